@@ -1,0 +1,66 @@
+"""Small column helpers: text tidying, guarded ratios, exact means."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def _col(value: Column | str) -> Column:
+    return F.col(value) if isinstance(value, str) else value
+
+
+def tidy(value: Column | str) -> Column:
+    """Trimmed, lower-case label."""
+    return F.lower(F.trim(_col(value)))
+
+
+def blank_to_null(value: Column | str) -> Column:
+    """Trimmed text, NULL when nothing is left."""
+    return F.nullif(F.trim(_col(value)), F.lit(""))
+
+
+def money(value: Column | str, scale: int = 2) -> Column:
+    return _col(value).cast(f"decimal(10,{scale})")
+
+
+def ratio(top: Column | str, bottom: Column | str) -> Column:
+    """``top / bottom`` as double, NULL when the divisor is zero or missing."""
+    return F.try_divide(_col(top).cast("double"), _col(bottom).cast("double"))
+
+
+def ratio_if_positive(top: Column | str, bottom: Column | str) -> Column:
+    """``top / bottom`` only where the divisor is above zero."""
+    return F.when(_col(bottom) > 0, _col(top).cast("double") / _col(bottom).cast("double"))
+
+
+def mean(value: Column | str) -> Column:
+    """Average as double of an exact sum, so decimals lose no digits to a rounded decimal average."""
+    return ratio(F.sum(_col(value)), F.count(_col(value)))
+
+
+def weighted_mean(value: Column | str, weight: Column | str) -> Column:
+    return ratio(F.sum(_col(value) * _col(weight)), F.sum(_col(weight)))
+
+
+def count_where(condition: Column) -> Column:
+    """Rows for which the condition holds; NULL counts as not holding."""
+    return F.coalesce(F.sum(F.when(condition, 1).otherwise(0)), F.lit(0)).cast("bigint")
+
+
+def share_where(condition: Column) -> Column:
+    """Share of all rows for which the condition holds; NULL counts as not holding."""
+    return ratio(F.sum(F.when(condition, 1).otherwise(0)), F.count(F.lit(1)))
+
+
+def closed(value: Column | str, allowed: Iterable[str]) -> Column:
+    """True where the value is one of a closed set; NULL is not a member."""
+    return F.coalesce(_col(value).isin(*allowed), F.lit(False))
+
+
+def minutes_between(start: Column, end: Column) -> Column:
+    """Elapsed minutes between two zone-less or zoned timestamps, to the microsecond."""
+    micros = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
+    return micros / F.lit(60_000_000.0)
