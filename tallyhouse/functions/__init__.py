@@ -1,29 +1,41 @@
-"""Column expressions shared by the operators; every one stays inside the JVM."""
+"""Expressions shared by the operators; every one stays inside the JVM.
 
-from tallyhouse.functions.columns import (
+Most are SQL text for ``selectExpr``/``expr``: one call to the JVM each, where a chain of Column
+operators makes one call per operator.
+"""
+
+from tallyhouse.functions.hashing import row_hash
+from tallyhouse.functions.text import (
+    aggregate,
     blank_to_null,
-    closed,
     count_where,
+    divided,
+    divided_if_positive,
     mean,
     minutes_between,
-    money,
-    ratio,
+    not_in,
+    or_zero,
+    select,
     share_where,
+    sums,
     tidy,
     weighted_mean,
 )
-from tallyhouse.functions.hashing import row_hash
 
 __all__ = [
+    "aggregate",
     "blank_to_null",
-    "closed",
     "count_where",
+    "divided",
+    "divided_if_positive",
     "mean",
     "minutes_between",
-    "money",
-    "ratio",
+    "not_in",
+    "or_zero",
     "row_hash",
+    "select",
     "share_where",
+    "sums",
     "tidy",
     "weighted_mean",
 ]

@@ -6,8 +6,7 @@ joined and any span of years works.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 # Recurring city events as (month, day) and weekday promotions.
 CITY_EVENTS = ((3, 14), (11, 8))
@@ -28,63 +27,50 @@ WEEKDAY_HOLIDAYS = (
 )
 
 
-def easter_sunday(year: Column) -> Column:
+def easter_sunday(year: str) -> str:
     """Gregorian Easter by Oudin's integer method: an offset from 28 March."""
+    century = f"({year} div 100)"
+    golden = f"({year} % 19)"
+    epact = f"(({century} - {century} div 4 - ({century} - ({century} - 17) div 25) div 3 + 19 * {golden} + 15) % 30)"
+    full_moon = f"({epact} - case when {epact} = 29 or ({epact} = 28 and {golden} > 10) then 1 else 0 end)"
+    weekday = f"(({year} + {year} div 4 + {full_moon} + 2 - {century} + {century} div 4) % 7)"
+    return f"date_add(make_date({year}, 3, 28), int({full_moon} - {weekday}))"
 
-    def whole(top: Column, bottom: int) -> Column:
-        return F.floor(top / F.lit(bottom))
 
-    century = whole(year, 100)
-    golden = year % 19
-    epact = (
-        century - whole(century, 4) - whole(century - whole(century - 17, 25), 3) + golden * 19 + 15
-    ) % 30
-    full_moon = epact - F.when(epact == 29, 1).when((epact == 28) & (golden > 10), 1).otherwise(0)
-    weekday = (year + whole(year, 4) + full_moon + 2 - century + whole(century, 4)) % 7
-    return F.date_add(F.make_date(year, F.lit(3), F.lit(28)), (full_moon - weekday).cast("int"))
+def nth_weekday(year: str, month: int, weekday: str, n: int) -> str:
+    """The n-th given weekday of a month."""
+    return f"date_add(next_day(date_sub(make_date({year}, {month}, 1), 1), '{weekday[:3]}'), {7 * (n - 1)})"
 
 
-def nth_weekday(year: Column, month: int, weekday: str, n: int) -> Column:
-    """The n-th given weekday of a month."""
-    eve = F.date_sub(F.make_date(year, F.lit(month), F.lit(1)), 1)
-    return F.date_add(F.next_day(eve, weekday[:3]), 7 * (n - 1))
+def _quoted(text: str) -> str:
+    return '"' + text + '"'
 
 
-def holiday_name(day: Column) -> Column:
+def holiday_name(day: str) -> str:
     """Name of the public holiday on a date, NULL on ordinary days."""
-    year = F.year(day)
+    year = f"year({day})"
     easter = easter_sunday(year)
-    found = F.when(day == F.date_sub(easter, 2), "Good Friday").when(day == F.date_add(easter, 1), "Easter Monday")
-    for month, date, name in DATED_HOLIDAYS:
-        found = found.when((F.month(day) == month) & (F.dayofmonth(day) == date), name)
-    for month, weekday, n, name in WEEKDAY_HOLIDAYS:
-        found = found.when(day == nth_weekday(year, month, weekday, n), name)
-    return found
+    rules = [(f"{day} = date_sub({easter}, 2)", "Good Friday"), (f"{day} = date_add({easter}, 1)", "Easter Monday")]
+    rules += [(f"month({day}) = {m} and dayofmonth({day}) = {d}", name) for m, d, name in DATED_HOLIDAYS]
+    rules += [(f"{day} = {nth_weekday(year, m, weekday, n)}", name) for m, weekday, n, name in WEEKDAY_HOLIDAYS]
+    return "case " + " ".join(f"when {rule} then {_quoted(name)}" for rule, name in rules) + " end"
 
 
-def day_spine(first: DataFrame) -> DataFrame:
+def day_spine(span: DataFrame) -> DataFrame:
     """Every date between ``first_date`` and ``last_date`` of a one-row frame."""
-    return first.select(
-        F.explode(F.sequence("first_date", "last_date", F.expr("interval 1 day"))).alias("business_date")
-    )
+    return span.selectExpr("explode(sequence(first_date, last_date, interval 1 day)) as business_date")
 
 
 def enrich_calendar(days: DataFrame) -> DataFrame:
     """Adds day name and the four calendar columns to a frame with ``business_date``."""
-    day = F.col("business_date")
-    name = F.date_format(day, "EEEE")
-    is_event = F.lit(False)
-    for month, date in CITY_EVENTS:
-        is_event = is_event | ((F.month(day) == month) & (F.dayofmonth(day) == date))
-    promotion = F.lit(None).cast("string")
-    for weekday, title in PROMOTIONS.items():
-        promotion = F.when(name == weekday, title).otherwise(promotion)
-    return days.withColumns(
-        {
-            "day_name": name,
-            "weekend_flag": F.weekday(day) >= 5,
-            "public_holiday_flag": holiday_name(day).isNotNull(),
-            "city_event_flag": is_event,
-            "promotion_name": promotion,
-        }
+    day = "business_date"
+    events = " or ".join(f"(month({day}) = {m} and dayofmonth({day}) = {d})" for m, d in CITY_EVENTS)
+    titles = " ".join(f"when {_quoted(weekday)} then {_quoted(title)}" for weekday, title in PROMOTIONS.items())
+    return days.selectExpr(
+        "*",
+        f"date_format({day}, 'EEEE') as day_name",
+        f"weekday({day}) >= 5 as weekend_flag",
+        f"{holiday_name(day)} is not null as public_holiday_flag",
+        f"{events} as city_event_flag",
+        f"case date_format({day}, 'EEEE') {titles} end as promotion_name",
     )

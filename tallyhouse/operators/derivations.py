@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tallyhouse.functions import mean, ratio
+from tallyhouse.functions import aggregate, divided, select
 from tallyhouse.operators.keys import attach
 
-CANCELLED = "Cancelled"
-PARTIAL = "Partially Refunded"
-FULFILLED = "Fulfilled"
+# A line counts as sold when it was served and its order was not cancelled.
+SERVED = "item_status = 'Fulfilled'"
+KEPT = "status <> 'Cancelled'"
 
 
 def ingredient_consumption(orders: DataFrame, lines: DataFrame, recipes: DataFrame) -> DataFrame:
@@ -20,44 +19,44 @@ def ingredient_consumption(orders: DataFrame, lines: DataFrame, recipes: DataFra
     multiplies item-days, not lines.  The line count travels along to keep the mean wastage a
     mean over lines.
     """
-    sold = (
-        lines.where(F.col("item_status") == FULFILLED)
-        .select("order_id", "menu_item_id", "quantity")
-        .join(orders.where(F.col("status") != CANCELLED).select("order_id", "business_date"), "order_id")
-        .groupBy("business_date", "menu_item_id")
-        .agg(F.sum("quantity").alias("quantity"), F.count("*").alias("line_count"))
+    sold = aggregate(
+        select(lines.where(SERVED), "order_id, menu_item_id, quantity").join(
+            select(orders.where(KEPT), "order_id, business_date"), "order_id"
+        ),
+        ["business_date", "menu_item_id"],
+        "sum(quantity) as quantity",
+        "count(*) as line_count",
     )
-    bill = recipes.select("menu_item_id", "ingredient_id", "quantity_required", "estimated_wastage_pct")
-    return (
-        sold.join(bill, "menu_item_id")
-        .groupBy("business_date", "ingredient_id")
-        .agg(
-            F.sum(F.col("quantity") * F.col("quantity_required")).alias("ingredient_quantity"),
-            ratio(
-                F.sum(F.col("estimated_wastage_pct") * F.col("line_count")), F.sum("line_count")
-            ).alias("estimated_wastage_pct"),
-        )
+    bill = select(recipes, "menu_item_id, ingredient_id, quantity_required, estimated_wastage_pct")
+    return aggregate(
+        sold.join(bill, "menu_item_id"),
+        ["business_date", "ingredient_id"],
+        "sum(quantity * quantity_required) as ingredient_quantity",
+        f"{divided('sum(estimated_wastage_pct * line_count)', 'sum(line_count)')} as estimated_wastage_pct",
     )
 
 
 def closing_inventory(movements: DataFrame) -> DataFrame:
     """A2: on-hand quantity and value per ingredient, four decimals."""
-    return movements.groupBy("ingredient_id").agg(
-        F.bround(F.sum("quantity_change"), 4).alias("closing_quantity"),
-        F.sum("movement_value").alias("closing_value"),
+    return aggregate(
+        movements,
+        ["ingredient_id"],
+        "bround(sum(quantity_change), 4) as closing_quantity",
+        "sum(movement_value) as closing_value",
     )
 
 
 def effective_staffing(shifts: DataFrame) -> DataFrame:
     """A3: people actually present per date and daypart by department, at least one each."""
 
-    def present(department: str):
-        here = (F.col("department") == department) & ~F.col("is_absent")
-        return F.greatest(F.lit(1).cast("bigint"), F.sum(F.when(here, 1).otherwise(0)))
+    def present(department: str) -> str:
+        return f"greatest(1L, count_if(department = '{department}' and not is_absent))"
 
-    return shifts.groupBy("business_date", "daypart").agg(
-        present("Kitchen").alias("kitchen_staff_count"),
-        present("Front of House").alias("front_of_house_staff_count"),
+    return aggregate(
+        shifts,
+        ["business_date", "daypart"],
+        f"{present('Kitchen')} as kitchen_staff_count",
+        f"{present('Front of House')} as front_of_house_staff_count",
     )
 
 
@@ -68,32 +67,27 @@ def orders_in_same_hour(orders: DataFrame) -> DataFrame:
     one task.
     """
     slot = ["business_date", "daypart", "order_hour"]
-    timed = orders.withColumn("order_hour", F.hour("order_timestamp"))
-    counts = timed.groupBy(*slot).agg(F.count("*").alias("orders_in_hour"))
-    return attach(timed, counts, slot)
+    timed = orders.selectExpr("*", "hour(order_timestamp) as order_hour")
+    return attach(timed, aggregate(timed, slot, "count(*) as orders_in_hour"), slot)
 
 
 def kitchen_load(orders: DataFrame, staffing: DataFrame, capacity_per_staff_hour: float = 9.0) -> DataFrame:
     """A4: orders sharing the hour over what the kitchen present can handle in an hour, 3 decimals."""
-    present = staffing.select("business_date", "daypart", F.col("kitchen_staff_count").alias("kitchen_present"))
-    capacity = F.col("kitchen_present") * F.lit(capacity_per_staff_hour)
-    return attach(orders_in_same_hour(orders), present, ["business_date", "daypart"]).withColumn(
-        "computed_load_ratio", F.bround(F.col("orders_in_hour") / capacity, 3)
+    present = staffing.selectExpr("business_date", "daypart", "kitchen_staff_count as kitchen_present")
+    capacity = f"(kitchen_present * {float(capacity_per_staff_hour)}D)"
+    return attach(orders_in_same_hour(orders), present, ["business_date", "daypart"]).selectExpr(
+        "*", f"bround(orders_in_hour / {capacity}, 3) as computed_load_ratio"
     )
 
 
 def base_preparation(lines: DataFrame, menu_items: DataFrame, overlap: float = 0.4) -> DataFrame:
     """A5: slowest line's minutes plus a share of the other lines' minutes, per order."""
-    minutes = F.col("estimated_prep_minutes")
-    return (
-        lines.select("order_id", "menu_item_id")
-        .join(menu_items.select("menu_item_id", "estimated_prep_minutes"), "menu_item_id")
-        .groupBy("order_id")
-        .agg(F.max(minutes).alias("_slowest"), F.sum(minutes).alias("_all"))
-        .select(
-            "order_id",
-            (F.col("_slowest") + F.lit(overlap) * (F.col("_all") - F.col("_slowest"))).alias("base_prep_minutes"),
-        )
+    timed = select(lines, "order_id, menu_item_id").join(
+        select(menu_items, "menu_item_id, estimated_prep_minutes"), "menu_item_id"
+    )
+    slowest, everything = "max(estimated_prep_minutes)", "sum(estimated_prep_minutes)"
+    return aggregate(
+        timed, ["order_id"], f"{slowest} + {float(overlap)}D * ({everything} - {slowest}) as base_prep_minutes"
     )
 
 
@@ -104,23 +98,22 @@ def order_economics(orders: DataFrame) -> DataFrame:
     ``discount_rate``, ``commission_rate``, ``refund_fraction``.  Amounts are carried exactly and
     rounded once, at the end.
     """
-    discount = F.col("subtotal") * F.col("discount_rate")
-    paid = F.col("subtotal") - discount
-    zero = F.lit(0).cast("decimal(10,2)")
-    cancelled = F.col("status") == CANCELLED
-    commission = F.when(cancelled, zero).otherwise(paid * F.col("commission_rate"))
-    refund = (
-        F.when(cancelled, paid).when(F.col("status") == PARTIAL, paid * F.col("refund_fraction")).otherwise(zero)
+    exact = orders.selectExpr("*", "subtotal * discount_rate as _discount").selectExpr(
+        "*", "subtotal - _discount as _paid"
     )
-    net = F.col("subtotal") - discount - refund - commission
-    return orders.withColumns(
-        {
-            "discount_amount": discount.cast("decimal(10,2)"),
-            "refund_amount": refund.cast("decimal(10,2)"),
-            "platform_commission": commission.cast("decimal(10,2)"),
-            "net_sales": net.cast("decimal(10,2)"),
-            "estimated_gross_profit": (net - F.col("estimated_food_cost")).cast("decimal(10,4)"),
-        }
+    exact = exact.selectExpr(
+        "*",
+        "case when status = 'Cancelled' then 0 else _paid * commission_rate end as _commission",
+        "case status when 'Cancelled' then _paid when 'Partially Refunded' then _paid * refund_fraction else 0 end "
+        "as _refund",
+    ).selectExpr("*", "_paid - _refund - _commission as _net")
+    return exact.selectExpr(
+        *orders.columns,
+        "cast(_discount as decimal(10,2)) as discount_amount",
+        "cast(_refund as decimal(10,2)) as refund_amount",
+        "cast(_commission as decimal(10,2)) as platform_commission",
+        "cast(_net as decimal(10,2)) as net_sales",
+        "cast(_net - estimated_food_cost as decimal(10,4)) as estimated_gross_profit",
     )
 
 
@@ -130,20 +123,11 @@ def complaint_columns(reviews: DataFrame) -> DataFrame:
     Input carries ``has_missing_item``, ``is_late`` and ``rating``.  A missing item outranks
     lateness, which outranks a low rating; the reason behind a low rating is not in the data.
     """
-    low = F.col("rating") <= 2
-    category = (
-        F.when(F.col("has_missing_item"), "Missing Item")
-        .when(F.col("is_late"), "Late Order")
-        .when(low, "Unspecified")
-    )
-    return reviews.withColumns(
-        {
-            "derived_complaint_category": category,
-            "derived_response_required": F.coalesce(low, F.lit(False)) | category.isNotNull(),
-        }
+    return reviews.selectExpr(
+        "*",
+        "case when has_missing_item then 'Missing Item' when is_late then 'Late Order' "
+        "when rating <= 2 then 'Unspecified' end as derived_complaint_category",
+    ).selectExpr(
+        "*",
+        "coalesce(rating <= 2, false) or derived_complaint_category is not null as derived_response_required",
     )
-
-
-def average_daily_consumption(consumption: DataFrame) -> DataFrame:
-    """Mean quantity used per ingredient over the days it was used."""
-    return consumption.groupBy("ingredient_id").agg(mean("ingredient_quantity").alias("avg_daily_consumption"))

@@ -2,55 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from tallyhouse.functions.columns import ratio_if_positive
+from tallyhouse.functions import aggregate, divided_if_positive, select
 
 
 def dim_date(context: DataFrame) -> DataFrame:
     """One row per business date with its calendar parts; the week is the ISO week."""
-    day = F.col("business_date")
-    return context.select(
-        "business_date",
-        "day_name",
-        F.year(day).alias("year"),
-        F.month(day).alias("month"),
-        F.quarter(day).alias("quarter"),
-        F.weekofyear(day).alias("week_of_year"),
-        F.dayofyear(day).alias("day_of_year"),
-        "is_weekend",
-        "is_public_holiday",
-        "is_city_event",
-        "promotion_name",
-        "temperature_c",
-        "rain_mm",
+    parts = {
+        "year": "year",
+        "month": "month",
+        "quarter": "quarter",
+        "weekofyear": "week_of_year",
+        "dayofyear": "day_of_year",
+    }
+    return select(
+        context,
+        "business_date, day_name",
+        *[f"{part}(business_date) as {name}" for part, name in parts.items()],
+        "is_weekend, is_public_holiday, is_city_event, promotion_name, temperature_c, rain_mm",
     )
 
 
-def line_cost() -> Column:
-    """Cost of one recipe line: quantity times unit cost, grossed up for wastage."""
-    return F.col("quantity_required") * F.col("estimated_unit_cost") * (1 + F.col("estimated_wastage_pct"))
+# Cost of one recipe line: quantity times unit cost, grossed up for wastage.
+LINE_COST = "quantity_required * estimated_unit_cost * (1 + estimated_wastage_pct)"
 
 
 def recipe_costs(recipes: DataFrame, ingredients: DataFrame) -> DataFrame:
     """Bill-of-materials cost per menu item; items without a priced recipe are absent."""
-    return (
-        recipes.select("menu_item_id", "ingredient_id", "quantity_required", "estimated_wastage_pct")
-        .join(ingredients.select("ingredient_id", "estimated_unit_cost"), "ingredient_id")
-        .groupBy("menu_item_id")
-        .agg(F.sum(line_cost()).alias("estimated_item_food_cost"))
-    )
+    priced = recipes.join(select(ingredients, "ingredient_id, estimated_unit_cost"), "ingredient_id")
+    return aggregate(priced, ["menu_item_id"], f"sum({LINE_COST}) as estimated_item_food_cost")
 
 
 def with_margin(priced: DataFrame) -> DataFrame:
     """Adds profit and margin share to items that carry a price and a food cost."""
-    profit = F.col("selling_price").cast("double") - F.col("estimated_item_food_cost")
-    return priced.withColumns(
-        {
-            "estimated_gross_profit": profit,
-            "estimated_gross_margin_pct": ratio_if_positive(profit, "selling_price"),
-        }
+    profit = "(cast(selling_price as double) - estimated_item_food_cost)"
+    return priced.selectExpr(
+        "*",
+        f"{profit} as estimated_gross_profit",
+        f"{divided_if_positive(profit, 'selling_price')} as estimated_gross_margin_pct",
     )
 
 
@@ -59,25 +49,18 @@ def dim_menu_item(menu_items: DataFrame, costs: DataFrame) -> DataFrame:
 
     ``costs`` is unique per item, so a query that reads no cost column loses the join altogether.
     """
-    return with_margin(
-        menu_items.drop("source_url").join(costs, "menu_item_id", "left")
-    )
+    return with_margin(menu_items.drop("source_url").join(costs, "menu_item_id", "left"))
 
 
 def dim_ingredient(ingredients: DataFrame, suppliers: DataFrame) -> DataFrame:
     """D3: ingredients with supplier attributes."""
-    vendor = suppliers.select(
+    vendor = suppliers.selectExpr(
         "supplier_id",
         "supplier_name",
-        F.col("average_lead_time_days").alias("supplier_lead_time_days"),
-        F.col("reliability_score").alias("supplier_reliability_score"),
-    )
-    return ingredients.drop("is_synthetic_estimate").join(vendor, "supplier_id", "left").select(
-        *[c for c in ingredients.columns if c != "is_synthetic_estimate"],
-        "supplier_name",
-        "supplier_lead_time_days",
-        "supplier_reliability_score",
+        "average_lead_time_days as supplier_lead_time_days",
+        "reliability_score as supplier_reliability_score",
     )
+    return ingredients.drop("is_synthetic_estimate").join(vendor, "supplier_id", "left")
 
 
 def dim_employee(employees: DataFrame) -> DataFrame:
@@ -92,4 +75,4 @@ def dim_supplier(suppliers: DataFrame) -> DataFrame:
 
 def dim_channel(reference: DataFrame) -> DataFrame:
     """D4."""
-    return reference.select("channel", "channel_label", "is_delivery_channel", "commission_rate")
+    return select(reference, "channel, channel_label, is_delivery_channel, commission_rate")

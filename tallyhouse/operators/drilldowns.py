@@ -9,30 +9,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import count_where, mean, ratio, share_where, weighted_mean
+from tallyhouse.functions import aggregate, count_where, divided, mean, select, share_where, sums, weighted_mean
+from tallyhouse.operators.marts import band
 from tallyhouse.operators.ordering import medians, top_rows
 from tallyhouse.schemas import WEEKDAYS
 
 
+def _means(*names: str) -> list[str]:
+    return [f"{mean(name)} as {name}" for name in names]
 
 
-def _total(name: str, alias: str | None = None) -> Column:
-    return F.sum(name).alias(alias or name)
-
-
-def _mean(name: str, alias: str | None = None) -> Column:
-    return mean(name).alias(alias or name)
-
-
-def _down(name: str) -> Column:
-    return F.col(name).desc_nulls_last()
-
-
-def _up(name: str) -> Column:
-    return F.col(name).asc_nulls_last()
+def _sorted(rows: DataFrame, *order: str) -> DataFrame:
+    return rows.orderBy(*[F.expr(name).desc_nulls_last() for name in order])
 
 
 # --- Q1, Q2: filters -------------------------------------------------------------------------
@@ -64,7 +55,7 @@ def date_domain(rows: DataFrame, column: str = "business_date") -> DataFrame:
 
 def option_domain(rows: DataFrame, column: str) -> DataFrame:
     """Q2: distinct non-null values, sorted."""
-    return rows.select(F.col(column).alias("option")).where("option is not null").distinct().orderBy("option")
+    return rows.selectExpr(f"{column} as option").where("option is not null").distinct().orderBy("option")
 
 
 # --- Q3-Q9: item, hour and slot drill-downs --------------------------------------------------
@@ -72,55 +63,42 @@ def option_domain(rows: DataFrame, column: str) -> DataFrame:
 # Temperature bands as (upper limit in degrees, label), then the open band.
 TEMPERATURE_BANDS = ((15, "Cold (<15°C)"), (25, "Mild (15-25°C)"))
 HOTTEST_BAND = "Hot (>25°C)"
+DEMAND = ("count(*) as order_count", "sum(quantity) as quantity")
 
 
-def _item_orders(lines: DataFrame, orders: DataFrame, item: str, *columns: str) -> DataFrame:
-    """Lines of one item with columns of their order; cancelled orders and missing lines included."""
-    return (
-        lines.where(F.col("menu_item_id") == item)
-        .select("order_id", "quantity")
-        .join(orders.select("order_id", *columns), "order_id")
-    )
+def _item_orders(lines: DataFrame, orders: DataFrame, item: str, column: str) -> DataFrame:
+    """Lines of one item with a column of their order; cancelled orders and missing lines included."""
+    wanted = lines.where(F.col("menu_item_id") == item)
+    return select(wanted, "order_id, quantity").join(select(orders, "order_id", column), "order_id")
 
 
 def item_demand_by_hour(lines: DataFrame, orders: DataFrame, item: str) -> DataFrame:
     """Q3."""
-    return (
-        _item_orders(lines, orders, item, "order_timestamp")
-        .groupBy(F.hour("order_timestamp").alias("order_hour"))
-        .agg(F.count("*").alias("order_count"), _total("quantity"))
-        .orderBy("order_hour")
-    )
+    timed = _item_orders(lines, orders, item, "order_timestamp").selectExpr("*", "hour(order_timestamp) as order_hour")
+    return aggregate(timed, ["order_hour"], *DEMAND).orderBy("order_hour")
 
 
 def item_demand_by_temperature(lines: DataFrame, orders: DataFrame, item: str) -> DataFrame:
     """Q4: an unknown temperature counts as hot."""
-    band = F
-    for limit, label in TEMPERATURE_BANDS:
-        band = band.when(F.col("temperature_c") < limit, label)
-    return (
-        _item_orders(lines, orders, item, "temperature_c")
-        .groupBy(band.otherwise(HOTTEST_BAND).alias("temperature_band"))
-        .agg(F.count("*").alias("order_count"), _total("quantity"))
-    )
+    label = f"{band('temperature_c', TEMPERATURE_BANDS, HOTTEST_BAND)} as temperature_band"
+    banded = _item_orders(lines, orders, item, "temperature_c").selectExpr("*", label)
+    return aggregate(banded, ["temperature_band"], *DEMAND)
 
 
 def item_channel_distribution(fact_lines: DataFrame, item: str) -> DataFrame:
     """Q5."""
-    return (
-        fact_lines.where(F.col("menu_item_id") == item)
-        .groupBy("channel")
-        .agg(F.count("*").alias("order_count"), _total("quantity"), _total("line_total", "revenue"))
-        .orderBy(_down("order_count"))
-    )
+    wanted = fact_lines.where(F.col("menu_item_id") == item)
+    return _sorted(aggregate(wanted, ["channel"], *DEMAND, "sum(line_total) as revenue"), "order_count")
+
+
+def _weekday(rows: DataFrame, dates: DataFrame) -> DataFrame:
+    return rows.join(select(dates, "business_date, day_name"), "business_date")
 
 
 def hourly_heatmap(demand: DataFrame, dates: DataFrame) -> DataFrame:
     """Q6: weekday by hour; the time is the plain mean of hourly means."""
-    return (
-        demand.join(dates.select("business_date", "day_name"), "business_date")
-        .groupBy("day_name", "order_hour")
-        .agg(_total("order_count"), _mean("avg_preparation_minutes"))
+    return aggregate(
+        _weekday(demand, dates), ["day_name", "order_hour"], *sums("order_count"), *_means("avg_preparation_minutes")
     )
 
 
@@ -129,25 +107,20 @@ def preparation_vs_promise(orders: DataFrame, dates: DataFrame) -> DataFrame:
 
     Orders are summed per date and daypart before the weekday is attached.
     """
-    daily = orders.groupBy("business_date", "daypart").agg(
-        F.count("*").alias("order_count"),
-        *[F.sum(c).alias(f"_sum_{c}") for c in ("preparation_minutes", "promised_minutes")],
-        *[F.count(c).alias(f"_n_{c}") for c in ("preparation_minutes", "promised_minutes")],
-    )
-
-    def back(name: str) -> Column:
-        return ratio(F.sum(f"_sum_{name}"), F.sum(f"_n_{name}")).alias(f"avg_{name}")
-
-    return (
-        daily.join(dates.select("business_date", "day_name"), "business_date")
-        .groupBy("day_name", "daypart")
-        .agg(_total("order_count"), back("preparation_minutes"), back("promised_minutes"))
+    minutes = ("preparation_minutes", "promised_minutes")
+    daily = aggregate(
+        orders,
+        ["business_date", "daypart"],
+        "count(*) as order_count",
+        *[f"{how}({name}) as _{how}_{name}" for name in minutes for how in ("sum", "count")],
     )
+    means = [f"{divided(f'sum(_sum_{name})', f'sum(_count_{name})')} as avg_{name}" for name in minutes]
+    return aggregate(_weekday(daily, dates), ["day_name", "daypart"], *sums("order_count"), *means)
 
 
 def shift_grain(fact_shifts: DataFrame) -> DataFrame:
     """Q8."""
-    return fact_shifts.select("department", "actual_hours", "is_absent")
+    return select(fact_shifts, "department, actual_hours, is_absent")
 
 
 def busiest_slot(prep_vs_promise: DataFrame, tolerance: float = 0.5) -> DataFrame:
@@ -155,35 +128,24 @@ def busiest_slot(prep_vs_promise: DataFrame, tolerance: float = 0.5) -> DataFram
 
     Ties go to the alphabetically first weekday and daypart.
     """
-    names = ["day_name", "daypart", "order_count", "avg_preparation_minutes", "avg_promised_minutes"]
-    top = top_rows(prep_vs_promise.select(*names), [_down("order_count"), _up("day_name"), _up("daypart")], 1)
-    variance = F.col("avg_preparation_minutes") - F.col("avg_promised_minutes")
-    slot = F.concat_ws(" ", "day_name", F.lower("daypart"))
-    minutes = F.format_number(F.abs(variance), 1)
-    sentence = (
-        F.when(
-            variance > tolerance,
-            F.concat(
-                slot,
-                F.lit(" produced the highest order volume, but average preparation time exceeded the target by "),
-                minutes,
-                F.lit(" minutes."),
-            ),
-        )
-        .when(
-            variance < -tolerance,
-            F.concat(
-                slot,
-                F.lit(" produced the highest order volume, and average preparation time beat the target by "),
-                minutes,
-                F.lit(" minutes."),
-            ),
-        )
-        .otherwise(
-            F.concat(slot, F.lit(" produced the highest order volume, right at the promised preparation-time target."))
-        )
+    top = top_rows(prep_vs_promise, "order_count desc, day_name, daypart", 1).selectExpr(
+        "*", "avg_preparation_minutes - avg_promised_minutes as variance_minutes"
+    )
+    # The three sentences of the summary.
+    return top.selectExpr(
+        "day_name",
+        "daypart",
+        "order_count",
+        "variance_minutes",
+        f"""concat(day_name, ' ', lower(daypart), case
+            when variance_minutes > {tolerance}D then concat(
+              ' produced the highest order volume, but average preparation time exceeded the target by ',
+              format_number(variance_minutes, 1), ' minutes.')
+            when variance_minutes < -{tolerance}D then concat(
+              ' produced the highest order volume, and average preparation time beat the target by ',
+              format_number(-variance_minutes, 1), ' minutes.')
+            else ' produced the highest order volume, right at the promised preparation-time target.' end) as insight""",
     )
-    return top.select("day_name", "daypart", "order_count", variance.alias("variance_minutes"), sentence.alias("insight"))
 
 
 # --- Q10-Q15: executive, menu and channel pages ----------------------------------------------
@@ -191,30 +153,30 @@ def busiest_slot(prep_vs_promise: DataFrame, tolerance: float = 0.5) -> DataFram
 
 def executive_kpis(daily: DataFrame) -> DataFrame:
     """Q10: totals, and plain means of the daily values."""
-    return daily.agg(
-        _total("net_sales"),
-        _total("order_count"),
-        _mean("average_order_value"),
-        _mean("estimated_gross_margin_pct"),
-        _mean("labour_cost_pct"),
-        _mean("average_preparation_minutes"),
-        _mean("average_rating"),
-        _total("waste_cost"),
+    return aggregate(
+        daily,
+        [],
+        *sums("net_sales", "order_count"),
+        *_means(
+            "average_order_value",
+            "estimated_gross_margin_pct",
+            "labour_cost_pct",
+            "average_preparation_minutes",
+            "average_rating",
+        ),
+        *sums("waste_cost"),
     )
 
 
 def orders_by_daypart(service: DataFrame) -> DataFrame:
     """Q11."""
-    return service.groupBy("daypart").agg(_total("order_count"))
+    return aggregate(service, ["daypart"], *sums("order_count"))
 
 
 def margin_by_category(menu: DataFrame) -> DataFrame:
     """Q11."""
-    return (
-        menu.groupBy("category")
-        .agg(_total("estimated_contribution_margin"))
-        .orderBy(_down("estimated_contribution_margin"))
-    )
+    margin = "estimated_contribution_margin"
+    return _sorted(aggregate(menu, ["category"], *sums(margin)), margin)
 
 
 def menu_top(menu: DataFrame, measure: str, k: int = 8, menu_class: str | None = None) -> DataFrame:
@@ -222,91 +184,74 @@ def menu_top(menu: DataFrame, measure: str, k: int = 8, menu_class: str | None =
 
     Items without the measure are not listed.
     """
-    rows = menu.where(F.col(measure).isNotNull())
+    rows = menu.where(f"{measure} is not null")
     if menu_class is not None:
         rows = rows.where(F.col("menu_engineering_classification") == menu_class)
-    return top_rows(rows.select("menu_item_id", "item_name", measure), [_down(measure), _up("menu_item_id")], k)
+    return top_rows(select(rows, "menu_item_id, item_name", measure), f"{measure} desc, menu_item_id", k)
 
 
 def category_comparison(menu: DataFrame) -> DataFrame:
     """Q13."""
-    return (
-        menu.groupBy("category")
-        .agg(_total("revenue"), _total("estimated_contribution_margin"))
-        .orderBy(_down("revenue"))
-    )
+    return _sorted(aggregate(menu, ["category"], *sums("revenue", "estimated_contribution_margin")), "revenue")
 
 
 def per_unit_cost(menu: DataFrame) -> DataFrame:
     """Q14: cost per unit sold, NULL for unsold items."""
-    return menu.select(
-        "menu_item_id",
-        "item_name",
-        "selling_price",
-        ratio("estimated_food_cost", "units_sold").alias("per_unit_cost"),
-        "contribution_margin_pct",
-        "units_sold",
+    return select(
+        menu,
+        "menu_item_id, item_name, selling_price",
+        f"{divided('estimated_food_cost', 'units_sold')} as per_unit_cost",
+        "contribution_margin_pct, units_sold",
     )
 
 
 def channel_comparison(channels: DataFrame) -> DataFrame:
     """Q15: the channel table with commission as a share of gross sales."""
-    return channels.select(
-        "channel",
-        "channel_label",
-        "order_count",
-        "gross_sales",
-        "commission",
-        "refunds",
-        "net_sales",
-        "estimated_gross_profit",
-        "average_order_value",
-        "average_preparation_minutes",
-        "average_rating",
-        "late_order_pct",
-        ratio("commission", "gross_sales").alias("commission_share"),
-    ).orderBy(_down("net_sales"))
+    compared = select(
+        channels,
+        "channel, channel_label, order_count, gross_sales, commission, refunds, net_sales, estimated_gross_profit",
+        "average_order_value, average_preparation_minutes, average_rating, late_order_pct",
+        f"{divided('commission', 'gross_sales')} as commission_share",
+    )
+    return _sorted(compared, "net_sales")
 
 
 # --- Q16-Q20: service page -------------------------------------------------------------------
 
+FAILURE_RATES = ("late_order_pct", "missing_item_pct", "refund_pct")
+
 
 def service_kpis(service: DataFrame) -> DataFrame:
     """Q16: rates weighted by orders."""
-    return service.agg(
-        _total("order_count"),
-        *[weighted_mean(c, "order_count").alias(c) for c in ("late_order_pct", "missing_item_pct", "refund_pct")],
-    )
+    weighted = [f"{weighted_mean(rate, 'order_count')} as {rate}" for rate in FAILURE_RATES]
+    return aggregate(service, [], *sums("order_count"), *weighted)
 
 
 def preparation_by_daypart(service: DataFrame) -> DataFrame:
     """Q17."""
-    return service.groupBy("daypart").agg(
-        _mean("average_preparation_minutes", "average"),
-        _mean("median_preparation_minutes", "median"),
-        _mean("p90_preparation_minutes", "p90"),
+    return aggregate(
+        service,
+        ["daypart"],
+        f"{mean('average_preparation_minutes')} as average",
+        f"{mean('median_preparation_minutes')} as median",
+        f"{mean('p90_preparation_minutes')} as p90",
     )
 
 
 def peak_windows(service: DataFrame, k: int = 10) -> DataFrame:
     """Q18: ties by date and daypart."""
-    return top_rows(
-        service.where("peak_kitchen_load_ratio is not null").select(
-            "business_date", "daypart", "peak_kitchen_load_ratio", "average_preparation_minutes", "order_count"
-        ),
-        [_down("peak_kitchen_load_ratio"), _up("business_date"), _up("daypart")],
-        k,
+    peaks = select(
+        service.where("peak_kitchen_load_ratio is not null"),
+        "business_date, daypart, peak_kitchen_load_ratio, average_preparation_minutes, order_count",
     )
+    return top_rows(peaks, "peak_kitchen_load_ratio desc, business_date, daypart", k)
 
 
 def outcomes_by_staffing(service: DataFrame, labour: DataFrame) -> DataFrame:
     """Q19: plain means of slot rates per staffing flag."""
     slot = ["business_date", "daypart"]
-    return (
-        service.join(labour.select(*slot, "staffing_level_flag"), slot)
-        .groupBy("staffing_level_flag")
-        .agg(_mean("late_order_pct"), _mean("missing_item_pct"), _mean("refund_pct"))
-    )
+    flagged = service.join(select(labour, *slot, "staffing_level_flag"), slot)
+    return aggregate(flagged, ["staffing_level_flag"], *_means(*FAILURE_RATES))
 
 
 def demand_pivot(heatmap: DataFrame, hours: Sequence[int] = tuple(range(24))) -> DataFrame:
@@ -314,9 +259,11 @@ def demand_pivot(heatmap: DataFrame, hours: Sequence[int] = tuple(range(24))) ->
 
     The hours are a fixed list, so the pivot needs no pass to find its columns.
     """
-    order = F.array_position(F.array(*[F.lit(d) for d in WEEKDAYS]), F.col("day_name"))
+    week = ", ".join(f"'{day}'" for day in WEEKDAYS)
     wide = heatmap.groupBy("day_name").pivot("order_hour", list(hours)).agg(F.sum("order_count"))
-    return wide.withColumnsRenamed({str(h): f"h{h:02d}" for h in hours}).orderBy(order)
+    return wide.withColumnsRenamed({str(h): f"h{h:02d}" for h in hours}).orderBy(
+        F.expr(f"array_position(array({week}), day_name)")
+    )
 
 
 # --- Q21, Q22: labour page -------------------------------------------------------------------
@@ -324,34 +271,30 @@ def demand_pivot(heatmap: DataFrame, hours: Sequence[int] = tuple(range(24))) ->
 
 def labour_kpis(labour: DataFrame) -> DataFrame:
     """Q21: totals and plain means over the slots."""
-    return labour.agg(
-        _total("total_labour_cost"),
-        _total("total_actual_hours"),
-        _mean("revenue_per_labour_hour"),
-        _mean("orders_per_labour_hour"),
-        _mean("labour_cost_pct"),
-        _total("scheduled_shift_count"),
-        _total("absence_count"),
+    return aggregate(
+        labour,
+        [],
+        *sums("total_labour_cost", "total_actual_hours"),
+        *_means("revenue_per_labour_hour", "orders_per_labour_hour", "labour_cost_pct"),
+        *sums("scheduled_shift_count", "absence_count"),
     )
 
 
 def hours_trend(labour: DataFrame) -> DataFrame:
     """Q21."""
-    return labour.groupBy("business_date").agg(
-        _total("total_scheduled_hours", "scheduled"), _total("total_actual_hours", "actual")
+    return aggregate(
+        labour, ["business_date"], "sum(total_scheduled_hours) as scheduled", "sum(total_actual_hours) as actual"
     )
 
 
 def staffing_windows(labour: DataFrame, flag: str, k: int = 15) -> DataFrame:
     """Q21: worst windows of a flag, highest load first when understaffed, lowest when overstaffed."""
-    load = _up("avg_kitchen_load_ratio") if flag == "Overstaffed" else _down("avg_kitchen_load_ratio")
-    return top_rows(
-        labour.where(F.col("staffing_level_flag") == flag).select(
-            "business_date", "daypart", "avg_kitchen_load_ratio", "order_count", "total_actual_hours"
-        ),
-        [load, _up("business_date"), _up("daypart")],
-        k,
+    flagged = select(
+        labour.where(F.col("staffing_level_flag") == flag),
+        "business_date, daypart, avg_kitchen_load_ratio, order_count, total_actual_hours",
     )
+    way = "" if flag == "Overstaffed" else " desc"
+    return top_rows(flagged, f"avg_kitchen_load_ratio{way}, business_date, daypart", k)
 
 
 def labour_cost_quartiles(labour: DataFrame) -> DataFrame:
@@ -359,11 +302,9 @@ def labour_cost_quartiles(labour: DataFrame) -> DataFrame:
 
     Reads the slot mart: rows are bounded by the calendar, so the exact percentile buffers are.
     """
-    five = F.percentile("labour_cost_pct", F.array(*[F.lit(q) for q in (0.0, 0.25, 0.5, 0.75, 1.0)]))
     names = ("lowest", "q1", "median", "q3", "highest")
-    return labour.groupBy("daypart").agg(five.alias("_f")).select(
-        "daypart", *[F.col("_f")[i].alias(n) for i, n in enumerate(names)]
-    )
+    five = aggregate(labour, ["daypart"], "percentile(labour_cost_pct, array(0.0, 0.25, 0.5, 0.75, 1.0)) as _f")
+    return five.selectExpr("daypart", *[f"_f[{i}] as {name}" for i, name in enumerate(names)])
 
 
 # --- Q23: inventory page ---------------------------------------------------------------------
@@ -371,45 +312,36 @@ def labour_cost_quartiles(labour: DataFrame) -> DataFrame:
 
 def inventory_kpis(inventory: DataFrame) -> DataFrame:
     """Q23."""
-    return inventory.agg(
-        _total("closing_value"),
-        count_where(F.col("is_reorder_alert")).alias("reorder_alerts"),
-        _total("total_waste_value"),
-        _mean("estimated_days_of_stock_remaining"),
-        _total("emergency_delivery_count"),
-        _total("total_expired_value"),
+    return aggregate(
+        inventory,
+        [],
+        *sums("closing_value"),
+        f"{count_where('is_reorder_alert')} as reorder_alerts",
+        *sums("total_waste_value"),
+        *_means("estimated_days_of_stock_remaining"),
+        *sums("emergency_delivery_count", "total_expired_value"),
     )
 
 
 def reorder_list(inventory: DataFrame) -> DataFrame:
     """Q23: every ingredient below its reorder level, shortest cover first."""
-    return (
-        inventory.where("is_reorder_alert")
-        .select(
-            "ingredient_id",
-            "ingredient_name",
-            "ingredient_category",
-            "closing_quantity",
-            "reorder_level",
-            "estimated_days_of_stock_remaining",
-            "supplier_name",
-            "supplier_lead_time_days",
-            "affected_menu_items",
-        )
-        .orderBy(_up("estimated_days_of_stock_remaining"), "ingredient_id")
-    )
+    return select(
+        inventory.where("is_reorder_alert"),
+        "ingredient_id, ingredient_name, ingredient_category, closing_quantity, reorder_level",
+        "estimated_days_of_stock_remaining, supplier_name, supplier_lead_time_days, affected_menu_items",
+    ).orderBy(F.col("estimated_days_of_stock_remaining").asc_nulls_last(), "ingredient_id")
 
 
 def stock_value_by_category(inventory: DataFrame) -> DataFrame:
     """Q23."""
-    return inventory.groupBy("ingredient_category").agg(_total("closing_value")).orderBy(_down("closing_value"))
+    return _sorted(aggregate(inventory, ["ingredient_category"], *sums("closing_value")), "closing_value")
 
 
 def most_wasted(inventory: DataFrame, k: int = 10) -> DataFrame:
     """Q23."""
     return top_rows(
-        inventory.select("ingredient_id", "ingredient_name", "total_waste_value"),
-        [_down("total_waste_value"), _up("ingredient_id")],
+        select(inventory, "ingredient_id, ingredient_name, total_waste_value"),
+        "total_waste_value desc, ingredient_id",
         k,
     )
 
@@ -417,10 +349,11 @@ def most_wasted(inventory: DataFrame, k: int = 10) -> DataFrame:
 def lowest_cover(inventory: DataFrame, k: int = 20) -> DataFrame:
     """Q23: fewest days of stock; ingredients without a run rate are not listed."""
     return top_rows(
-        inventory.where("estimated_days_of_stock_remaining is not null").select(
-            "ingredient_id", "ingredient_name", "estimated_days_of_stock_remaining", "is_reorder_alert"
+        select(
+            inventory.where("estimated_days_of_stock_remaining is not null"),
+            "ingredient_id, ingredient_name, estimated_days_of_stock_remaining, is_reorder_alert",
         ),
-        [_up("estimated_days_of_stock_remaining"), _up("ingredient_id")],
+        "estimated_days_of_stock_remaining, ingredient_id",
         k,
     )
 
@@ -430,38 +363,36 @@ def lowest_cover(inventory: DataFrame, k: int = 20) -> DataFrame:
 
 def review_kpis(reviews: DataFrame) -> DataFrame:
     """Q24."""
-    return reviews.agg(
-        _mean("rating", "average_rating"),
-        F.count("*").alias("review_count"),
-        share_where(F.col("rating") <= 2).alias("low_rating_pct"),
-        share_where(F.col("is_response_required")).alias("response_required_pct"),
+    return aggregate(
+        reviews,
+        [],
+        f"{mean('rating')} as average_rating",
+        "count(*) as review_count",
+        f"{share_where('rating <= 2')} as low_rating_pct",
+        f"{share_where('is_response_required')} as response_required_pct",
     )
 
 
 def rating_by(reviews: DataFrame, column: str) -> DataFrame:
     """Q24: mean rating per date, channel, band or daypart; rows without the column are left out."""
-    return reviews.where(F.col(column).isNotNull()).groupBy(column).agg(_mean("rating"))
+    return aggregate(reviews.where(f"{column} is not null"), [column], *_means("rating"))
 
 
 def value_counts(reviews: DataFrame, column: str) -> DataFrame:
     """Q24: rows per non-null value."""
-    return reviews.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("count"))
+    return aggregate(reviews.where(f"{column} is not null"), [column], "count(*) as count")
 
 
 def latest_low_ratings(reviews: DataFrame, k: int = 20) -> DataFrame:
     """Q24: newest low ratings; ties by review id."""
-    return top_rows(
-        reviews.where("rating <= 2").select(
-            "review_id", "business_date", "channel", "rating", "complaint_category", "review_text"
-        ),
-        [_down("business_date"), _up("review_id")],
-        k,
+    low = select(
+        reviews.where("rating <= 2"), "review_id, business_date, channel, rating, complaint_category, review_text"
     )
+    return top_rows(low, "business_date desc, review_id", k)
 
 
 def quadrant_lines(menu: DataFrame, categories: Sequence[str] | None, small: bool = False) -> DataFrame:
     """Q25: medians of the filtered menu, which differ from the medians that set the classes."""
     names = ["units_sold", "contribution_margin_pct"]
     middle = medians(apply_filters(menu, members={"category": categories}), names, small=small)
-    one_row = menu.sparkSession.range(1)
-    return one_row.select(*[middle[n].alias(f"median_{n}") for n in names])
+    return menu.sparkSession.range(1).select(*[middle[n].alias(f"median_{n}") for n in names])

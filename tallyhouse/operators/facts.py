@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from tallyhouse.functions import select
 
-def shift_daypart(start: Column, split_hour: int = 13) -> Column:
-    """Shifts that start before 13:00 serve lunch, the others dinner."""
-    return F.when(F.hour(start) < split_hour, "lunch").otherwise("dinner")
+# Shifts that start before 13:00 serve lunch, the others dinner.
+SHIFT_DAYPART = "case when hour(shift_start) < 13 then 'lunch' else 'dinner' end as daypart"
 
 
 def fact_orders(orders: DataFrame, financials: DataFrame) -> DataFrame:
@@ -17,81 +16,44 @@ def fact_orders(orders: DataFrame, financials: DataFrame) -> DataFrame:
     ``financials`` holds one row per order, made from pre-summed lines, so the join cannot fan
     out.
     """
-    extra = financials.select("order_id", "contribution_margin_pct", "item_count", "item_quantity_total")
-    joined = orders.join(extra, "order_id", "left")
-    head, tail = orders.columns, extra.columns[1:]
-    at = head.index("preparation_minutes")
-    return joined.select(*head[:at], *tail, *head[at:])
+    extra = select(financials, "order_id, contribution_margin_pct, item_count, item_quantity_total")
+    names = orders.columns
+    at = names.index("preparation_minutes")
+    return select(orders.join(extra, "order_id", "left"), *names[:at], *extra.columns[1:], *names[at:])
 
 
 def fact_order_items(lines: DataFrame, orders: DataFrame) -> DataFrame:
     """lines with date, daypart and channel of their order; lines without an order drop out."""
-    parent = orders.select("order_id", "business_date", "daypart", "channel")
-    return lines.join(parent, "order_id").select(
-        "order_item_id",
-        "order_id",
-        "menu_item_id",
-        "business_date",
-        "daypart",
-        "channel",
-        "quantity",
-        "unit_price",
-        "estimated_unit_food_cost",
-        "line_total",
-        "estimated_line_food_cost",
-        "special_request",
-        "item_status",
+    return select(
+        lines.join(select(orders, "order_id, business_date, daypart, channel"), "order_id"),
+        "order_item_id, order_id, menu_item_id, business_date, daypart, channel, quantity, unit_price",
+        "estimated_unit_food_cost, line_total, estimated_line_food_cost, special_request, item_status",
     )
 
 
 def fact_employee_shifts(shifts: DataFrame, employees: DataFrame) -> DataFrame:
     """shifts with the department of the employee and the daypart they serve."""
-    return shifts.join(employees.select("employee_id", "department"), "employee_id", "left").select(
-        "shift_id",
-        "employee_id",
-        "department",
-        "business_date",
-        shift_daypart(F.col("shift_start")).alias("daypart"),
-        "role",
-        "shift_start",
-        "shift_end",
-        "break_minutes",
-        "scheduled_hours",
-        "actual_hours",
-        "is_absent",
-        "hourly_rate",
-        "labour_cost",
+    return select(
+        shifts.join(select(employees, "employee_id, department"), "employee_id", "left"),
+        "shift_id, employee_id, department, business_date",
+        SHIFT_DAYPART,
+        "role, shift_start, shift_end, break_minutes, scheduled_hours, actual_hours, is_absent, hourly_rate, labour_cost",
     )
 
 
 def fact_reviews(reviews: DataFrame, orders: DataFrame) -> DataFrame:
     """reviews with date and daypart of the order; orphans keep NULLs."""
-    parent = orders.select("order_id", "business_date", "daypart")
-    return reviews.join(parent, "order_id", "left").select(
-        "review_id",
-        "order_id",
-        "business_date",
-        "daypart",
-        "review_date",
-        "channel",
-        "rating",
-        "review_text",
-        "complaint_category",
-        "is_response_required",
+    return select(
+        reviews.join(select(orders, "order_id, business_date, daypart"), "order_id", "left"),
+        "review_id, order_id, business_date, daypart, review_date, channel, rating, review_text",
+        "complaint_category, is_response_required",
     )
 
 
 def fact_inventory_movements(movements: DataFrame) -> DataFrame:
     """F5."""
-    return movements.select(
-        "movement_id",
-        "movement_timestamp",
-        "business_date",
-        "ingredient_id",
-        "movement_type",
-        "quantity_change",
-        "unit",
-        "unit_cost",
-        "movement_value",
-        "reference_id",
+    return select(
+        movements,
+        "movement_id, movement_timestamp, business_date, ingredient_id, movement_type, quantity_change, unit",
+        "unit_cost, movement_value, reference_id",
     )

@@ -12,10 +12,11 @@ from collections.abc import Callable, Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import mean, ratio
+from tallyhouse.functions import aggregate, divided, mean
+from tallyhouse.sources.workdir import shared_folder
 
 CONTEXT_COLUMNS = [
     "business_date",
@@ -64,8 +65,9 @@ TEST_DAYS = 60
 FORECAST_DAYS = 7
 
 
-def _by(series: Sequence[str]) -> WindowSpec:
-    return Window.partitionBy(*series) if series else Window.partitionBy(F.lit(0))
+def _over(series: Sequence[str], order: str = "business_date", frame: str = "") -> str:
+    partition = ", ".join(series) or "0"
+    return f"over (partition by {partition} order by {order} {frame})"
 
 
 # --- X1, X2 ----------------------------------------------------------------------------------
@@ -73,15 +75,13 @@ def _by(series: Sequence[str]) -> WindowSpec:
 
 def with_lags(daily: DataFrame, series: Sequence[str] = ()) -> DataFrame:
     """Counts one and seven rows back, and the mean of the seven rows before this one."""
-    ordered = _by(series).orderBy("business_date")
-    past_week = ordered.rowsBetween(-7, -1)
-    orders = F.col("order_count").cast("double")
-    return daily.withColumns(
-        {
-            "previous_day_orders": F.lag(orders, 1).over(ordered),
-            "previous_week_orders": F.lag(orders, 7).over(ordered),
-            "rolling_7day_avg": F.when(F.count(orders).over(past_week) == 7, F.avg(orders).over(past_week)),
-        }
+    orders = "double(order_count)"
+    past = _over(series, frame="rows between 7 preceding and 1 preceding")
+    return daily.selectExpr(
+        "*",
+        f"lag({orders}, 1) {_over(series)} as previous_day_orders",
+        f"lag({orders}, 7) {_over(series)} as previous_week_orders",
+        f"if(count(order_count) {past} = 7, avg({orders}) {past}, null) as rolling_7day_avg",
     )
 
 
@@ -90,18 +90,18 @@ def feature_frame(daily: DataFrame, series: Sequence[str] = ()) -> DataFrame:
 
     The rolling mean stops at the day before, so a day's own count never reaches its features.
     """
+    derived = {"month": "month(business_date)", "has_promotion": "promotion_name is not null"}
+    columns = [f"{derived[c]} as {c}" if c in derived else c for c in FEATURE_COLUMNS]
     return (
         with_lags(daily, series)
-        .withColumns({"month": F.month("business_date"), "has_promotion": F.col("promotion_name").isNotNull()})
         .where("previous_week_orders is not null and rolling_7day_avg is not null")
-        .select(*series, *FEATURE_COLUMNS)
+        .selectExpr(*series, *columns)
     )
 
 
 def mark_holdout(features: DataFrame, series: Sequence[str] = (), test_days: int = TEST_DAYS) -> DataFrame:
     """Flags the last ``test_days`` rows of each series as the test part."""
-    newest = F.row_number().over(_by(series).orderBy(F.desc("business_date")))
-    return features.withColumn("is_test", newest <= test_days)
+    return features.selectExpr("*", f"row_number() {_over(series, 'business_date desc')} <= {test_days} as is_test")
 
 
 def chronological_split(
@@ -111,7 +111,7 @@ def chronological_split(
 
     The check is one small job: the length of the shortest series.
     """
-    shortest = features.groupBy(*series).agg(F.count("*").alias("n")).agg(F.min("n")).first()[0] or 0
+    shortest = features.groupBy(*series).count().agg(F.min("count")).first()[0] or 0
     if test_days >= shortest:
         raise ValueError(f"test_days ({test_days}) must be smaller than the shortest series ({shortest} rows)")
     marked = mark_holdout(features, series, test_days)
@@ -121,13 +121,13 @@ def chronological_split(
 # --- X3: scores ------------------------------------------------------------------------------
 
 
-def score_columns(actual: str = "order_count", predicted: str = "prediction") -> list[Column]:
-    """MAE, RMSE and MAPE in percent; a MAPE over a zero actual skips that row."""
-    error = F.col(actual).cast("double") - F.col(predicted)
+def score_columns(actual: str = "order_count", predicted: str = "prediction") -> list[str]:
+    """MAE, RMSE and MAPE in percent; a zero actual has no percentage and is left out of MAPE."""
+    error = f"({actual} - {predicted})"
     return [
-        mean(F.abs(error)).alias("mae"),
-        F.sqrt(mean(error * error)).alias("rmse"),
-        (mean(F.abs(ratio(error, actual))) * 100).alias("mape"),
+        f"{mean(f'abs({error})')} as mae",
+        f"sqrt({mean(f'{error} * {error}')}) as rmse",
+        f"{mean(f'abs({divided(error, actual)})')} * 100 as mape",
     ]
 
 
@@ -147,11 +147,9 @@ def moving_average_model(features: DataFrame) -> DataFrame:
 
 
 def _design(features: DataFrame) -> DataFrame:
-    numbers = {c: F.col(c).cast("double") for c in NUMERIC_FEATURES}
-    labels = {f"{c}_label": F.col(c).cast("string") for c in CATEGORICAL_FEATURES}
-    return features.withColumns({**{f"{c}_value": v for c, v in numbers.items()}, **labels}).withColumn(
-        "_target", F.col("order_count").cast("double")
-    )
+    numbers = [f"double({c}) as {c}_value" for c in NUMERIC_FEATURES]
+    labels = [f"string({c}) as {c}_label" for c in CATEGORICAL_FEATURES]
+    return features.selectExpr("*", *numbers, *labels, "double(order_count) as _target")
 
 
 _DESIGN_COLUMNS = ["_target", "_features"] + [
@@ -235,7 +233,7 @@ def stacked_predictions(models: dict[str, Model], test: DataFrame) -> DataFrame:
 
 def score_models(models: dict[str, Model], test: DataFrame) -> DataFrame:
     """One row of scores per model, from one aggregate over the stacked predictions."""
-    return stacked_predictions(models, test).groupBy("model").agg(*score_columns())
+    return aggregate(stacked_predictions(models, test), ["model"], *score_columns())
 
 
 def best_model(scores: DataFrame) -> str:
@@ -259,39 +257,32 @@ def forecast(
     only; each step predicts its day for all series at once.  A step needs just the last seven
     days of each series, and the frame is checkpointed between steps to keep the plan short.
     """
-    columns = [*series, *CONTEXT_COLUMNS, "order_count"]
-    newest = F.row_number().over(_by(series).orderBy(F.desc("business_date")))
+    keys = [*series, "business_date"]
     recent = (
-        daily.select(*columns)
-        .withColumn("order_count", F.col("order_count").cast("double"))
-        .withColumn("_age", newest)
+        daily.selectExpr(
+            *series,
+            *CONTEXT_COLUMNS,
+            "double(order_count) as order_count",
+            f"row_number() {_over(series, 'business_date desc')} as _age",
+        )
         .where("_age <= 7")
-        .withColumn("_step", F.lit(0))
-        .drop("_age")
-    )
-    step = F.row_number().over(_by(series).orderBy("business_date"))
-    pending = (
-        future.select(*series, *CONTEXT_COLUMNS)
-        .withColumn("order_count", F.lit(None).cast("double"))
-        .withColumn("_step", step)
-        .where(F.col("_step") <= days)
+        .selectExpr(*series, *CONTEXT_COLUMNS, "order_count", "0 as _step")
     )
+    pending = future.selectExpr(
+        *series, *CONTEXT_COLUMNS, "cast(null as double) as order_count", f"row_number() {_over(series)} as _step"
+    ).where(f"_step <= {days}")
+    shared_folder(daily.sparkSession)
     known = recent.unionByName(pending).checkpoint()
-    keys = [*series, "business_date"]
-    for day in range(1, days + 1):
-        candidate = feature_frame(
-            known.where(F.col("_step") <= day), series
-        ).join(known.where(F.col("_step") == day).select(*keys), keys, "left_semi")
-        predicted = model(candidate).select(*keys, F.col("prediction").alias("_predicted"))
+    for step in range(1, days + 1):
+        today = known.where(f"_step = {step}").selectExpr(*keys)
+        candidate = feature_frame(known.where(f"_step <= {step}"), series).join(today, keys, "left_semi")
+        predicted = model(candidate).selectExpr(*keys, "prediction as _predicted")
         known = (
             known.join(predicted, keys, "left")
-            .withColumn("order_count", F.coalesce("order_count", "_predicted"))
-            .drop("_predicted")
+            .selectExpr(*keys, *CONTEXT_COLUMNS[1:], "coalesce(order_count, _predicted) as order_count", "_step")
             .checkpoint()
         )
-    return known.where("_step > 0").select(
-        *series, "business_date", "day_name", F.col("order_count").alias("predicted_orders")
-    )
+    return known.where("_step > 0").selectExpr(*keys, "day_name", "order_count as predicted_orders")
 
 
 # --- X10 -------------------------------------------------------------------------------------
@@ -302,38 +293,34 @@ def staffing_benchmarks(labour: DataFrame, shifts: DataFrame) -> DataFrame:
 
     The labour mart has one row per slot of the calendar, which bounds the median's buffer.
     """
-    balanced = labour.where("staffing_level_flag = 'Balanced'").agg(
-        F.median("orders_per_kitchen_labour_hour").alias("kitchen_rate"),
-        F.median("orders_per_front_of_house_labour_hour").alias("front_rate"),
+    rates = aggregate(
+        labour.where("staffing_level_flag = 'Balanced'"),
+        [],
+        "median(orders_per_kitchen_labour_hour) as _kitchen_rate",
+        "median(orders_per_front_of_house_labour_hour) as _front_rate",
     )
+    lengths = {"_kitchen_length": "Kitchen", "_front_length": "Front of House"}
     worked = shifts.where("not is_absent")
-
-    def length(department: str) -> Column:
-        return mean(F.when(F.col("department") == department, F.col("actual_hours")))
-
-    hours = worked.agg(
-        length("Kitchen").alias("kitchen_shift_hours"), length("Front of House").alias("front_shift_hours")
-    )
-    return balanced.select(
-        "kitchen_rate",
-        "front_rate",
-        hours.select("kitchen_shift_hours").scalar().alias("kitchen_shift_hours"),
-        hours.select("front_shift_hours").scalar().alias("front_shift_hours"),
+    return rates.withColumns(
+        {
+            name: aggregate(worked.where(F.col("department") == department), [], mean("actual_hours")).scalar()
+            for name, department in lengths.items()
+        }
     )
 
 
 def recommend_staffing(predictions: DataFrame, labour: DataFrame, shifts: DataFrame) -> DataFrame:
     """Labour hours and headcount per department for each predicted day."""
-    benchmark = staffing_benchmarks(labour, shifts)
-
-    def known(name: str) -> Column:
-        return benchmark.select(name).scalar()
-
-    kitchen = ratio("predicted_orders", known("kitchen_rate"))
-    front = ratio("predicted_orders", known("front_rate"))
-    return predictions.withColumns({"kitchen_hours": kitchen, "front_of_house_hours": front}).withColumns(
-        {
-            "kitchen_headcount": F.ceil(ratio("kitchen_hours", known("kitchen_shift_hours"))),
-            "front_of_house_headcount": F.ceil(ratio("front_of_house_hours", known("front_shift_hours"))),
-        }
+    benchmark = staffing_benchmarks(labour, shifts).selectExpr("struct(*)").scalar()
+    hours = predictions.withColumn("_b", benchmark).selectExpr(
+        "*",
+        f"{divided('predicted_orders', '_b._kitchen_rate')} as kitchen_hours",
+        f"{divided('predicted_orders', '_b._front_rate')} as front_of_house_hours",
+    )
+    return hours.selectExpr(
+        *predictions.columns,
+        "kitchen_hours",
+        "front_of_house_hours",
+        f"ceil({divided('kitchen_hours', '_b._kitchen_length')}) as kitchen_headcount",
+        f"ceil({divided('front_of_house_hours', '_b._front_length')}) as front_of_house_headcount",
     )

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import closed, minutes_between
+from tallyhouse.functions import aggregate, divided, minutes_between, not_in, select
 from tallyhouse.operators.ordering import running_totals, top_rows
 from tallyhouse.schemas import CHANNELS, DAYPARTS, EVENT_STATUSES
 
@@ -19,62 +19,52 @@ WINDOW_MINUTES = 15
 RECENT_LIMIT = 20
 FEED_LIMIT = 30
 HISTORY_LIMIT = 500
-
-
-def _newest_first() -> list[Column]:
-    return [F.col("timestamp").desc(), F.col("event_id").desc()]
-
+NEWEST_FIRST = "timestamp desc, event_id desc"
 
 # --- R10: contract ---------------------------------------------------------------------------
 
+# The condition under which an event breaks the contract, per field.
+CONTRACT = {
+    "event_id": "event_id is null",
+    "timestamp": "timestamp is null",
+    "channel": not_in("channel", CHANNELS),
+    "daypart": not_in("daypart", DAYPARTS),
+    "item_count": "not coalesce(item_count > 0, false)",
+    "subtotal": "not coalesce(subtotal > 0, false)",
+    "status": not_in("status", EVENT_STATUSES),
+}
+BROKEN_FIELDS = f"concat_ws(',', {', '.join(f"if({broken}, '{name}', null)" for name, broken in CONTRACT.items())})"
+
 
 def with_defaults(events: DataFrame) -> DataFrame:
     """A missing status means the order was placed."""
-    return events.withColumn("status", F.coalesce("status", F.lit("placed")))
-
-
-def contract_violations() -> Column:
-    """Array of the contract rules an event breaks; empty for a valid event."""
-    rules = {
-        "event_id": F.col("event_id").isNull(),
-        "timestamp": F.col("timestamp").isNull(),
-        "channel": ~closed("channel", CHANNELS),
-        "daypart": ~closed("daypart", DAYPARTS),
-        "item_count": ~F.coalesce(F.col("item_count") > 0, F.lit(False)),
-        "subtotal": ~F.coalesce(F.col("subtotal") > 0, F.lit(False)),
-        "status": ~closed("status", EVENT_STATUSES),
-    }
-    return F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()]))
+    return events.withColumn("status", F.expr("coalesce(status, 'placed')"))
 
 
 def valid_events(events: DataFrame) -> DataFrame:
     """Events that keep the contract.  Works on batches and streams."""
-    return with_defaults(events).where(F.size(contract_violations()) == 0)
+    return with_defaults(events).where(" and ".join(f"not ({broken})" for broken in CONTRACT.values()))
 
 
 def rejected_events(events: DataFrame) -> DataFrame:
     """R10 side output: events that break the contract, with the fields at fault."""
-    broken = contract_violations()
-    return with_defaults(events).withColumn("violations", F.array_join(broken, ",")).where(F.size(broken) > 0)
+    return with_defaults(events).selectExpr("*", f"{BROKEN_FIELDS} as violations").where("violations <> ''")
 
 
 # --- R1, R2, R3, W7: the trailing window -----------------------------------------------------
 
+REVENUE = "cast(subtotal as decimal(18,6))"
 
-def channel_map(counts: dict[str, Column]) -> Column:
-    """Map of channel to count, listing only the channels that occur."""
-    entries = [F.struct(F.lit(name).alias("key"), count.alias("value")) for name, count in counts.items()]
-    return F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"] > 0))
 
-
-def _summary_columns(minutes: float) -> list[Column]:
-    average = F.when(F.col("_n") > 0, F.col("_items") / F.col("_n")).otherwise(F.lit(0.0))
+def summary_columns(minutes: float) -> list[str]:
+    """The KPI columns from ``_n``, ``_revenue``, ``_items`` and one ``_n_<channel>`` per channel."""
+    entries = ", ".join(f"struct('{c}' as key, bigint(_n_{c}) as value)" for c in CHANNELS)
     return [
-        F.lit(float(minutes)).alias("window_minutes"),
-        F.col("_n").cast("bigint").alias("order_count"),
-        F.round(F.col("_revenue").cast("double"), 2).alias("total_revenue"),
-        F.round(average, 2).alias("average_items_per_order"),
-        channel_map({c: F.col(f"_n_{c}").cast("bigint") for c in CHANNELS}).alias("orders_by_channel"),
+        f"{float(minutes)}D as window_minutes",
+        "bigint(_n) as order_count",
+        "round(double(_revenue), 2) as total_revenue",
+        f"round(coalesce({divided('_items', '_n')}, 0D), 2) as average_items_per_order",
+        f"map_from_entries(filter(array({entries}), e -> e.value > 0)) as orders_by_channel",
     ]
 
 
@@ -88,111 +78,112 @@ def rolling_kpis(events: DataFrame, minutes: float = WINDOW_MINUTES, feed: Seque
     window is the difference.
     """
     feed = list(feed)
-    width = F.expr(f"make_dt_interval(0, 0, 0, {minutes * 60})")
     measures = {
-        "_n": F.lit(1).cast("bigint"),
-        "_revenue": F.col("subtotal").cast("decimal(18,6)"),
-        "_items": F.col("item_count").cast("bigint"),
-        **{f"_n_{c}": (F.col("channel") == c).cast("bigint") for c in CHANNELS},
+        "_n": "1L",
+        "_revenue": REVENUE,
+        "_items": "bigint(item_count)",
+        **{f"_n_{c}": f"bigint(channel = '{c}')" for c in CHANNELS},
     }
-    facts = events.select(
-        *feed, "event_id", F.col("timestamp").alias("_at"), F.lit(1).alias("_kind"),
-        *[value.alias(name) for name, value in measures.items()],
+    facts = events.selectExpr(
+        *feed, "event_id", "timestamp as _at", "1 as _kind", *[f"{v} as {m}" for m, v in measures.items()]
     )
-    probes = events.select(
-        *feed, "event_id", (F.col("timestamp") - width).alias("_at"), F.lit(0).alias("_kind"),
-        *[(value - value).alias(name) for name, value in measures.items()],
+    probes = events.selectExpr(
+        *feed,
+        "event_id",
+        f"timestamp - make_dt_interval(0, 0, 0, {minutes * 60}) as _at",
+        "0 as _kind",
+        *[f"{v} * 0 as {m}" for m, v in measures.items()],
     )
-    points = facts.unionByName(probes).withColumns(
-        {"_hour": F.date_trunc("hour", "_at"), "_second": F.date_trunc("second", "_at")}
+    points = facts.unionByName(probes).selectExpr(
+        "*", "date_trunc('hour', _at) as _hour", "date_trunc('second', _at) as _second"
     )
-    order = [F.col("_at"), F.col("_kind"), F.col("event_id")]
-    sums = running_totals(points, feed, ["_hour", "_second"], order, {f"t{m}": m for m in measures})
-    paired = sums.groupBy(*feed, "event_id").agg(
-        *[
-            (
-                F.max(F.when(F.col("_kind") == 1, F.col(f"t{m}"))) - F.max(F.when(F.col("_kind") == 0, F.col(f"t{m}")))
-            ).alias(m)
-            for m in measures
-        ],
-        F.max(F.when(F.col("_kind") == 1, F.col("_at"))).alias("timestamp"),
+    totals = {f"t{m}": m for m in measures}
+    sums = running_totals(points, feed, ["_hour", "_second"], "_at, _kind, event_id", totals)
+    paired = aggregate(
+        sums,
+        [*feed, "event_id"],
+        "max(_at) as timestamp",
+        *[f"max(t{m}) filter (where _kind = 1) - max(t{m}) filter (where _kind = 0) as {m}" for m in measures],
     )
-    return paired.select(*feed, "event_id", "timestamp", *_summary_columns(minutes))
-
+    return paired.selectExpr(*feed, "event_id", "timestamp", *summary_columns(minutes))
 
-def _reference_time(events: DataFrame, as_of: Column | None) -> Column:
-    return as_of if as_of is not None else events.agg(F.max("timestamp")).scalar()
 
+def in_window(events: DataFrame, minutes: float = WINDOW_MINUTES, as_of: str | None = None) -> DataFrame:
+    """Events of the window that ends at the SQL instant ``as_of``, or at the last event."""
+    end = F.expr(as_of) if as_of is not None else events.agg(F.max("timestamp")).scalar()
+    return events.where(F.col("timestamp") >= end - F.expr(f"make_dt_interval(0, 0, 0, {minutes * 60})"))
 
-def in_window(events: DataFrame, minutes: float = WINDOW_MINUTES, as_of: Column | None = None) -> DataFrame:
-    """Events of the window that ends at ``as_of``, or at the last event."""
-    width = F.expr(f"make_dt_interval(0, 0, 0, {minutes * 60})")
-    return events.where(F.col("timestamp") >= _reference_time(events, as_of) - width)
 
-
-def snapshot(events: DataFrame, minutes: float = WINDOW_MINUTES, as_of: Column | None = None) -> DataFrame:
+def snapshot(events: DataFrame, minutes: float = WINDOW_MINUTES, as_of: str | None = None) -> DataFrame:
     """R2: the KPIs of one window; zeros and an empty map when it holds nothing."""
-    zero = F.lit(0)
-    return (
-        in_window(events, minutes, as_of)
-        .agg(
-            F.count("*").alias("_n"),
-            F.coalesce(F.sum(F.col("subtotal").cast("decimal(18,6)")), zero).alias("_revenue"),
-            F.coalesce(F.sum("item_count"), zero).alias("_items"),
-            *[F.coalesce(F.sum((F.col("channel") == c).cast("bigint")), zero).alias(f"_n_{c}") for c in CHANNELS],
-        )
-        .select(*_summary_columns(minutes))
+    totals = aggregate(
+        in_window(events, minutes, as_of),
+        [],
+        "count(*) as _n",
+        f"coalesce(sum({REVENUE}), 0) as _revenue",
+        "coalesce(sum(item_count), 0) as _items",
+        *[f"count_if(channel = '{c}') as _n_{c}" for c in CHANNELS],
     )
+    return totals.selectExpr(*summary_columns(minutes))
 
 
 def recent_events(
-    events: DataFrame, limit: int = RECENT_LIMIT, minutes: float = WINDOW_MINUTES, as_of: Column | None = None
+    events: DataFrame, limit: int = RECENT_LIMIT, minutes: float = WINDOW_MINUTES, as_of: str | None = None
 ) -> DataFrame:
     """The last events of the window."""
-    return top_rows(in_window(events, minutes, as_of), _newest_first(), limit)
+    return top_rows(in_window(events, minutes, as_of), NEWEST_FIRST, limit)
 
 
 def latest_events(events: DataFrame, limit: int) -> DataFrame:
     """The last events of the feed, whatever their age."""
-    return top_rows(events, _newest_first(), limit)
+    return top_rows(events, NEWEST_FIRST, limit)
+
+
+def latest_per_feed(events: DataFrame, feed: Sequence[str], limit: int) -> DataFrame:
+    """R4 per feed; ``row_number() <= limit`` is cut per task before the shuffle."""
+    ranked = events.selectExpr(
+        "*", f"row_number() over (partition by {', '.join(feed)} order by {NEWEST_FIRST}) as _n"
+    )
+    return ranked.where(f"_n <= {limit}").drop("_n")
 
 
 # --- R5: session summary ---------------------------------------------------------------------
 
 
-def session_summary(events: DataFrame, session_start: Column) -> DataFrame:
+def session_summary(events: DataFrame, session_start: str) -> DataFrame:
     """Totals, channel counts, busiest channel and minute, and duration, as one row.
 
-    Pass the last ``HISTORY_LIMIT`` events for the capped form, all events for the whole session.
-    Channels tie by who came first.  Each part is an aggregate of a map-side-combined grouping;
-    none needs the events in one place.
+    Pass the last ``HISTORY_LIMIT`` events for the capped form, all events for the whole session;
+    ``session_start`` is a SQL instant.  Channels tie by who came first.  Each part is an
+    aggregate of a map-side-combined grouping; none needs the events in one place.
     """
-    at = F.struct("timestamp", "event_id")
-    by_channel = events.groupBy("channel").agg(
-        F.count("*").alias("_orders"),
-        F.sum(F.col("subtotal").cast("decimal(18,6)")).alias("_revenue"),
-        F.min(at).alias("_first"),
-        F.max("timestamp").alias("_last"),
+    by_channel = aggregate(
+        events,
+        ["channel"],
+        "count(*) as _orders",
+        f"sum({REVENUE}) as _revenue",
+        "min(timestamp) as _first",
+        "max(timestamp) as _last",
     )
-    best = F.struct(F.col("_orders").alias("n"), (-F.unix_micros(F.col("_first.timestamp"))).alias("early"))
-    totals = by_channel.agg(
-        F.coalesce(F.sum("_orders"), F.lit(0)).alias("total_orders"),
-        F.round(F.coalesce(F.sum("_revenue"), F.lit(0)).cast("double"), 2).alias("total_revenue"),
-        F.max_by("channel", best).alias("busiest_channel"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("channel", "_orders")))).alias("orders_by_channel"),
-        F.max("_last").alias("_last"),
+    totals = aggregate(
+        by_channel,
+        [],
+        "coalesce(sum(_orders), 0) as total_orders",
+        "round(double(coalesce(sum(_revenue), 0)), 2) as total_revenue",
+        "max_by(channel, struct(_orders, -unix_micros(_first))) as busiest_channel",
+        "map_from_entries(array_sort(collect_list(struct(channel, _orders)))) as orders_by_channel",
+        "max(_last) as _last",
     )
-    per_minute = events.groupBy(F.date_trunc("minute", "timestamp").alias("m")).agg(F.count("*").alias("n"))
-    peak = per_minute.agg(F.coalesce(F.max("n"), F.lit(0))).scalar()
-    lasted = minutes_between(session_start, F.coalesce(F.col("_last"), session_start))
-    return totals.select(
-        session_start.alias("session_start"),
-        F.round(F.greatest(lasted, F.lit(0.0)), 2).alias("session_duration_minutes"),
+    minutes = aggregate(events.selectExpr("date_trunc('minute', timestamp) as m"), ["m"], "count(*) as n")
+    lasted = minutes_between(session_start, f"coalesce(_last, {session_start})")
+    return totals.withColumn("_peak", minutes.agg(F.max("n")).scalar()).selectExpr(
+        f"{session_start} as session_start",
+        f"round(greatest({lasted}, 0D), 2) as session_duration_minutes",
         "total_orders",
         "total_revenue",
         "busiest_channel",
         "orders_by_channel",
-        peak.alias("peak_orders_per_minute"),
+        "coalesce(_peak, 0) as peak_orders_per_minute",
     )
 
 
@@ -201,20 +192,17 @@ def session_summary(events: DataFrame, session_start: Column) -> DataFrame:
 
 def minute_buckets(events: DataFrame, minutes: float = WINDOW_MINUTES) -> DataFrame:
     """Orders per minute over the window before the latest event; empty minutes are absent."""
-    return (
-        in_window(events, minutes)
-        .groupBy(F.date_trunc("minute", "timestamp").alias("minute"))
-        .agg(F.count("*").alias("count"))
-        .orderBy("minute")
-    )
+    timed = in_window(events, minutes).selectExpr("date_trunc('minute', timestamp) as minute")
+    return aggregate(timed, ["minute"], "count(*) as count").orderBy("minute")
 
 
 def channel_breakdown(events: DataFrame) -> DataFrame:
     """Orders and percent of all orders per channel, largest first."""
-    counts = events.groupBy("channel").agg(F.count("*").alias("order_count"))
-    total = counts.agg(F.sum("order_count")).scalar()
-    share = F.when(total > 0, F.col("order_count") / total * 100).otherwise(F.lit(0.0))
-    return counts.select("channel", "order_count", share.alias("pct")).orderBy(F.desc("order_count"), "channel")
+    counts = aggregate(events, ["channel"], "count(*) as order_count")
+    shares = counts.withColumn("_all", counts.agg(F.sum("order_count")).scalar())
+    return select(
+        shares, "channel, order_count", f"coalesce({divided('order_count', '_all')}, 0D) * 100 as pct"
+    ).orderBy(F.desc("order_count"), "channel")
 
 
 SORTABLE = ("timestamp", "channel", "daypart", "item_count", "subtotal")
@@ -229,12 +217,3 @@ def history_table(
     rows = events if channel is None else events.where(F.col("channel") == channel)
     order = [F.col(c) for c in dict.fromkeys([sort_column, "timestamp", "event_id"])]
     return rows.orderBy(*[c.desc() if descending else c.asc() for c in order])
-
-
-# --- O5 per key: used by the streams' tests --------------------------------------------------
-
-
-def latest_per_feed(events: DataFrame, feed: Sequence[str], limit: int) -> DataFrame:
-    """Last events of every feed; ``row_number() <= limit`` is cut per task before the shuffle."""
-    ranked = F.row_number().over(Window.partitionBy(*feed).orderBy(*_newest_first()))
-    return events.withColumn("_n", ranked).where(F.col("_n") <= limit).drop("_n")

@@ -2,59 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from tallyhouse.functions import count_where, mean
-from tallyhouse.functions.columns import ratio_if_positive
+from tallyhouse.functions import aggregate, count_where, divided_if_positive, mean, or_zero, select, sums
 from tallyhouse.operators.dimensions import with_margin
-from tallyhouse.operators.facts import shift_daypart
+from tallyhouse.operators.facts import SHIFT_DAYPART
 
 
 def hourly_demand(orders: DataFrame) -> DataFrame:
     """Orders per date, daypart and hour; cancelled orders are part of the load."""
-    return orders.groupBy("business_date", "daypart", F.hour("order_timestamp").alias("order_hour")).agg(
-        F.count("*").alias("order_count"),
-        mean("kitchen_load_ratio").alias("avg_kitchen_load_ratio"),
-        mean("preparation_minutes").alias("avg_preparation_minutes"),
-        count_where(F.col("is_late")).alias("late_order_count"),
-        count_where(F.col("has_missing_item")).alias("missing_item_order_count"),
+    return aggregate(
+        orders.selectExpr("*", "hour(order_timestamp) as order_hour"),
+        ["business_date", "daypart", "order_hour"],
+        "count(*) as order_count",
+        f"{mean('kitchen_load_ratio')} as avg_kitchen_load_ratio",
+        f"{mean('preparation_minutes')} as avg_preparation_minutes",
+        f"{count_where('is_late')} as late_order_count",
+        f"{count_where('has_missing_item')} as missing_item_order_count",
     )
 
 
-def _moved(kind: str, amount: str, sign: int) -> Column:
-    """Sum of one movement type; outflows are turned positive."""
-    return F.sum(F.when(F.col("movement_type") == kind, F.col(amount) * sign).otherwise(0))
+def _moved(kind: str, amount: str) -> str:
+    """Sum of one movement type."""
+    return f"sum(case when movement_type = '{kind}' then {amount} else 0 end)"
 
 
 def ingredient_daily_flows(movements: DataFrame, ingredients: DataFrame) -> DataFrame:
     """Quantities and values per ingredient and date, one column per movement type.
 
     The ledger is summed first and named afterwards, so the ingredient join sees one row per
-    ingredient and date and a busy ingredient never travels row by row.
+    ingredient and date and a busy ingredient never travels row by row.  Outflows turn positive.
     """
-    flows = movements.groupBy("business_date", "ingredient_id").agg(
-        _moved("Sales Consumption", "quantity_change", -1).alias("quantity_consumed"),
-        _moved("Sales Consumption", "movement_value", -1).alias("consumption_value"),
-        _moved("Waste", "quantity_change", -1).alias("quantity_wasted"),
-        _moved("Waste", "movement_value", -1).alias("waste_value"),
-        _moved("Expired Stock", "quantity_change", -1).alias("quantity_expired"),
-        _moved("Supplier Delivery", "quantity_change", 1).alias("quantity_delivered"),
-    )
-    names = ingredients.select("ingredient_id", "ingredient_name", "ingredient_category")
-    return flows.join(names, "ingredient_id").select(
-        "business_date",
-        "ingredient_id",
-        "ingredient_name",
-        "ingredient_category",
-        *flows.columns[2:],
+    flows = aggregate(
+        movements,
+        ["business_date", "ingredient_id"],
+        f"{_moved('Sales Consumption', '-quantity_change')} as quantity_consumed",
+        f"{_moved('Sales Consumption', '-movement_value')} as consumption_value",
+        f"{_moved('Waste', '-quantity_change')} as quantity_wasted",
+        f"{_moved('Waste', '-movement_value')} as waste_value",
+        f"{_moved('Expired Stock', '-quantity_change')} as quantity_expired",
+        f"{_moved('Supplier Delivery', 'quantity_change')} as quantity_delivered",
     )
+    names = ["ingredient_name", "ingredient_category"]
+    labels = select(ingredients, "ingredient_id", *names)
+    return select(flows.join(labels, "ingredient_id"), *flows.columns[:2], *names, *flows.columns[2:])
 
 
 def menu_item_costs(menu_items: DataFrame, costs: DataFrame) -> DataFrame:
     """Price, food cost, profit and margin of the items that have a recipe."""
     return with_margin(
-        menu_items.select("menu_item_id", "item_name", "category", "selling_price").join(costs, "menu_item_id")
+        select(menu_items, "menu_item_id, item_name, category, selling_price").join(costs, "menu_item_id")
     )
 
 
@@ -64,42 +61,23 @@ def order_financials(orders: DataFrame, lines: DataFrame) -> DataFrame:
     Lines are summed per order before the join: the join stays one to one and an order with very
     many lines is combined on the map side.
     """
-    counts = lines.groupBy("order_id").agg(
-        F.count("*").alias("item_count"), F.sum("quantity").alias("item_quantity_total")
-    )
-    return orders.join(counts, "order_id", "left").select(
-        "order_id",
-        "business_date",
-        "daypart",
-        "channel",
-        "status",
-        "subtotal",
-        "discount_amount",
-        "refund_amount",
-        "platform_commission",
-        "net_sales",
-        "estimated_food_cost",
-        "estimated_gross_profit",
-        ratio_if_positive("estimated_gross_profit", "net_sales").alias("contribution_margin_pct"),
-        F.coalesce("item_count", F.lit(0)).alias("item_count"),
-        F.coalesce("item_quantity_total", F.lit(0)).alias("item_quantity_total"),
+    counts = aggregate(lines, ["order_id"], "count(*) as item_count", "sum(quantity) as item_quantity_total")
+    return select(
+        orders.join(counts, "order_id", "left"),
+        "order_id, business_date, daypart, channel, status, subtotal, discount_amount, refund_amount",
+        "platform_commission, net_sales, estimated_food_cost, estimated_gross_profit",
+        f"{divided_if_positive('estimated_gross_profit', 'net_sales')} as contribution_margin_pct",
+        *or_zero("item_count", "item_quantity_total"),
     )
 
 
 def service_performance(orders: DataFrame, reviews: DataFrame) -> DataFrame:
     """Orders with their review, where there is one."""
-    feedback = reviews.select("order_id", "review_id", "rating", "complaint_category", "is_response_required")
-    return orders.select(
-        "order_id",
-        "business_date",
-        "daypart",
-        "channel",
-        "status",
-        "is_late",
-        "has_missing_item",
-        "kitchen_load_ratio",
-        "preparation_minutes",
-        "promised_minutes",
+    feedback = select(reviews, "order_id, review_id, rating, complaint_category, is_response_required")
+    return select(
+        orders,
+        "order_id, business_date, daypart, channel, status, is_late, has_missing_item, kitchen_load_ratio",
+        "preparation_minutes, promised_minutes",
     ).join(feedback, "order_id", "left")
 
 
@@ -109,17 +87,14 @@ def shift_labour(shifts: DataFrame, employees: DataFrame) -> DataFrame:
     Shifts are summed per employee, date and daypart before the join with the roster, then per
     department.
     """
-    per_person = shifts.groupBy(
-        "employee_id", "business_date", shift_daypart(F.col("shift_start")).alias("daypart")
-    ).agg(
-        F.count("*").alias("shift_count"),
-        count_where(F.col("is_absent")).alias("absence_count"),
-        F.sum("scheduled_hours").alias("total_scheduled_hours"),
-        F.sum("actual_hours").alias("total_actual_hours"),
-        F.sum("labour_cost").alias("total_labour_cost"),
-    )
-    return (
-        per_person.join(employees.select("employee_id", "department"), "employee_id")
-        .groupBy("business_date", "daypart", "department")
-        .agg(*[F.sum(c).alias(c) for c in per_person.columns[3:]])
+    per_person = aggregate(
+        shifts.selectExpr("*", SHIFT_DAYPART),
+        ["employee_id", "business_date", "daypart"],
+        "count(*) as shift_count",
+        f"{count_where('is_absent')} as absence_count",
+        "sum(scheduled_hours) as total_scheduled_hours",
+        "sum(actual_hours) as total_actual_hours",
+        "sum(labour_cost) as total_labour_cost",
     )
+    placed = per_person.join(select(employees, "employee_id, department"), "employee_id")
+    return aggregate(placed, ["business_date", "daypart", "department"], *sums(*per_person.columns[3:]))

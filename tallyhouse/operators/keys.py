@@ -14,5 +14,5 @@ def attach(rows: DataFrame, grouped: DataFrame, keys: list[str], how: str = "lef
     broadcast, shuffled or split for skew like any other.
     """
     renamed = grouped.withColumnsRenamed({k: f"_{k}" for k in keys})
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    same = F.expr(" and ".join(f"{k} <=> _{k}" for k in keys))
     return rows.join(renamed, same, how).drop(*[f"_{k}" for k in keys])

@@ -2,23 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import count_where, mean, ratio, share_where
-from tallyhouse.functions.columns import ratio_if_positive
-from tallyhouse.operators.derivations import CANCELLED, FULFILLED, PARTIAL
+from tallyhouse.functions import (
+    aggregate,
+    count_where,
+    divided,
+    divided_if_positive,
+    mean,
+    or_zero,
+    select,
+    share_where,
+    sums,
+)
+from tallyhouse.operators.derivations import KEPT, SERVED
 from tallyhouse.operators.ordering import SMALL_ROWS, medians, rank_and_group_total
 from tallyhouse.sources.workdir import settle
 
+SALES = (
+    f"{mean('net_sales')} as average_order_value",
+    f"{mean('preparation_minutes')} as average_preparation_minutes",
+    f"{share_where('is_late')} as late_order_pct",
+)
+RATING = f"{mean('rating')} as average_rating"
+
 
 def kept(orders: DataFrame) -> DataFrame:
     """Orders that were not cancelled."""
-    return orders.where(F.col("status") != CANCELLED)
-
-
-def _or_zero(*names: str) -> list[Column]:
-    return [F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names]
+    return orders.where(KEPT)
 
 
 def daily_performance(
@@ -29,71 +41,46 @@ def daily_performance(
     Each fact is summed to the date on its own before any join, so facts cannot multiply one
     another.  Sums and counts default to zero; averages and ratios of an empty day stay NULL.
     """
-    sales = kept(orders).groupBy("business_date").agg(
-        F.count("*").alias("order_count"),
-        F.sum("net_sales").alias("net_sales"),
-        F.sum("estimated_food_cost").alias("estimated_food_cost"),
-        F.sum("estimated_gross_profit").alias("estimated_gross_profit"),
-        mean("net_sales").alias("average_order_value"),
-        mean("preparation_minutes").alias("average_preparation_minutes"),
-        share_where(F.col("is_late")).alias("late_order_pct"),
-    )
-    wages = labour.groupBy("business_date").agg(F.sum("total_labour_cost").alias("labour_cost"))
-    ratings = reviews.groupBy("business_date").agg(mean("rating").alias("average_rating"))
-    waste = (
-        movements.where(F.col("movement_type") == "Waste")
-        .groupBy("business_date")
-        .agg(F.sum(-F.col("movement_value")).alias("waste_cost"))
+    day = ["business_date"]
+    money = ("net_sales", "estimated_food_cost", "estimated_gross_profit")
+    parts = (
+        aggregate(kept(orders), day, "count(*) as order_count", *sums(*money), *SALES),
+        aggregate(labour, day, "sum(total_labour_cost) as labour_cost"),
+        aggregate(reviews, day, RATING),
+        aggregate(movements.where("movement_type = 'Waste'"), day, "sum(-movement_value) as waste_cost"),
     )
     joined = dates
-    for part in (sales, wages, ratings, waste):
+    for part in parts:
         joined = joined.join(part, "business_date", "left")
-    return joined.select(
-        "business_date",
-        "day_name",
-        "is_weekend",
-        "is_public_holiday",
-        "is_city_event",
-        "promotion_name",
-        "temperature_c",
-        "rain_mm",
-        *_or_zero("order_count", "net_sales", "estimated_food_cost", "estimated_gross_profit"),
-        ratio_if_positive("estimated_gross_profit", "net_sales").alias("estimated_gross_margin_pct"),
-        "average_order_value",
-        "average_preparation_minutes",
-        "late_order_pct",
-        *_or_zero("labour_cost"),
-        ratio_if_positive("labour_cost", "net_sales").alias("labour_cost_pct"),
+    return select(
+        joined,
+        "business_date, day_name, is_weekend, is_public_holiday, is_city_event, promotion_name, temperature_c, rain_mm",
+        *or_zero("order_count", *money),
+        f"{divided_if_positive('estimated_gross_profit', 'net_sales')} as estimated_gross_margin_pct",
+        "average_order_value, average_preparation_minutes, late_order_pct",
+        *or_zero("labour_cost"),
+        f"{divided_if_positive('labour_cost', 'net_sales')} as labour_cost_pct",
         "average_rating",
-        *_or_zero("waste_cost"),
+        *or_zero("waste_cost"),
     )
 
 
 def channel_profitability(channels: DataFrame, orders: DataFrame, reviews: DataFrame) -> DataFrame:
     """K2: one row per listed channel; orders and reviews are summed apart to avoid fan-out."""
-    sales = kept(orders).groupBy("channel").agg(
-        F.count("*").alias("order_count"),
-        F.sum("subtotal").alias("gross_sales"),
-        F.sum("platform_commission").alias("commission"),
-        F.sum("refund_amount").alias("refunds"),
-        F.sum("net_sales").alias("net_sales"),
-        F.sum("estimated_gross_profit").alias("estimated_gross_profit"),
-        mean("net_sales").alias("average_order_value"),
-        mean("preparation_minutes").alias("average_preparation_minutes"),
-        share_where(F.col("is_late")).alias("late_order_pct"),
+    totals = ("gross_sales", "commission", "refunds", "net_sales", "estimated_gross_profit")
+    sources = ("subtotal", "platform_commission", "refund_amount", "net_sales", "estimated_gross_profit")
+    sales = aggregate(
+        kept(orders),
+        ["channel"],
+        "count(*) as order_count",
+        *[f"sum({source}) as {total}" for total, source in zip(totals, sources, strict=True)],
+        *SALES,
     )
-    ratings = reviews.groupBy("channel").agg(mean("rating").alias("average_rating"))
-    return (
-        channels.join(sales, "channel", "left")
-        .join(ratings, "channel", "left")
-        .select(
-            *channels.columns,
-            *_or_zero("order_count", "gross_sales", "commission", "refunds", "net_sales", "estimated_gross_profit"),
-            "average_order_value",
-            "average_preparation_minutes",
-            "late_order_pct",
-            "average_rating",
-        )
+    return select(
+        channels.join(sales, "channel", "left").join(aggregate(reviews, ["channel"], RATING), "channel", "left"),
+        *channels.columns,
+        *or_zero("order_count", *totals),
+        "average_order_value, average_preparation_minutes, late_order_pct, average_rating",
     )
 
 
@@ -103,23 +90,19 @@ def sold_item_stats(orders: DataFrame, lines: DataFrame) -> DataFrame:
     The distinct count makes Spark shuffle on (item, order) first, so a best seller is spread
     over tasks.
     """
-    eligible = lines.where(F.col("item_status") == FULFILLED).join(kept(orders).select("order_id"), "order_id")
-    margin = F.col("revenue") - F.col("estimated_food_cost")
-    return (
-        eligible.groupBy("menu_item_id")
-        .agg(
-            F.sum("quantity").alias("units_sold"),
-            F.sum("line_total").alias("revenue"),
-            F.sum("estimated_line_food_cost").alias("estimated_food_cost"),
-            F.countDistinct("order_id").alias("orders_containing_item"),
-            mean("quantity").alias("average_quantity_per_order"),
-        )
-        .withColumns(
-            {
-                "estimated_contribution_margin": margin,
-                "contribution_margin_pct": ratio_if_positive(margin, "revenue"),
-            }
-        )
+    eligible = lines.where(SERVED).join(select(kept(orders), "order_id"), "order_id")
+    return aggregate(
+        eligible,
+        ["menu_item_id"],
+        "sum(quantity) as units_sold",
+        "sum(line_total) as revenue",
+        "sum(estimated_line_food_cost) as estimated_food_cost",
+        "count(distinct order_id) as orders_containing_item",
+        f"{mean('quantity')} as average_quantity_per_order",
+    ).selectExpr(
+        "*",
+        "revenue - estimated_food_cost as estimated_contribution_margin",
+        f"{divided_if_positive('(revenue - estimated_food_cost)', 'revenue')} as contribution_margin_pct",
     )
 
 
@@ -132,48 +115,53 @@ def menu_engineering(
     sums feed the medians, the rank and the result, so they are settled to a table first; its row
     count then decides between the plain and the sliced order statistics.
     """
-    sums = settle(sold_item_stats(orders, lines), "item-sums")
-    total_orders = kept(orders).agg(F.count("*")).scalar()
-    few_sold = sums.count() <= small_rows
-    middle = medians(sums, ["units_sold", "contribution_margin_pct"], small=few_sold)
-    items = menu_items.select("menu_item_id", "item_name", "category", "selling_price")
-    few_items = few_sold and items.count() <= small_rows
+    sums_table = settle(sold_item_stats(orders, lines), "item-sums")
+    items = select(menu_items, "menu_item_id, item_name, category, selling_price")
+    few = sums_table.count() <= small_rows and items.count() <= small_rows
+    middle = medians(sums_table, ["units_sold", "contribution_margin_pct"], small=few)
     ranked = rank_and_group_total(
-        items.join(sums, "menu_item_id", "left"),
+        items.join(sums_table, "menu_item_id", "left"),
         group="category",
         value="revenue",
         rank="sales_rank_within_category",
         total="_category_revenue",
         row_id="menu_item_id",
-        small=few_items,
+        small=few,
     )
-    popular = F.coalesce(F.col("units_sold"), F.lit(0)) >= middle["units_sold"]
-    profitable = F.coalesce(F.col("contribution_margin_pct"), F.lit(0.0)) >= middle["contribution_margin_pct"]
-    listed = F.col("category").isNotNull() & (F.col("_category_revenue") > 0)
-    return ranked.withColumns({"_popular": popular, "_profitable": profitable, "_orders": total_orders}).select(
-        "menu_item_id",
-        "item_name",
-        "category",
-        "selling_price",
-        *_or_zero("units_sold", "revenue", "estimated_food_cost", "estimated_contribution_margin"),
+    limits = ranked.withColumns(
+        {
+            "_orders": kept(orders).agg(F.count("*")).scalar(),
+            "_units": middle["units_sold"],
+            "_margin": middle["contribution_margin_pct"],
+        }
+    ).selectExpr(
+        "*",
+        "coalesce(units_sold, 0) >= _units as _popular",
+        "coalesce(contribution_margin_pct, 0D) >= _margin as _profitable",
+    )
+    share = divided("revenue", "_category_revenue")
+    return select(
+        limits,
+        "menu_item_id, item_name, category, selling_price",
+        *or_zero("units_sold", "revenue", "estimated_food_cost", "estimated_contribution_margin"),
         "contribution_margin_pct",
-        ratio("orders_containing_item", "_orders").alias("order_penetration"),
+        f"{divided('orders_containing_item', '_orders')} as order_penetration",
         "average_quantity_per_order",
         "sales_rank_within_category",
-        F.when(listed, ratio("revenue", "_category_revenue")).alias("revenue_pct_within_category"),
-        F.when(F.col("_popular"), "High").otherwise("Low").alias("popularity_classification"),
-        F.when(F.col("_profitable"), "High").otherwise("Low").alias("profitability_classification"),
-        F.when(F.col("_popular") & F.col("_profitable"), "Star")
-        .when(F.col("_popular"), "Plowhorse")
-        .when(F.col("_profitable"), "Puzzle")
-        .otherwise("Dog")
-        .alias("menu_engineering_classification"),
+        f"case when category is not null and _category_revenue > 0 then {share} end as revenue_pct_within_category",
+        "if(_popular, 'High', 'Low') as popularity_classification",
+        "if(_profitable, 'High', 'Low') as profitability_classification",
+        "if(_popular, if(_profitable, 'Star', 'Plowhorse'), if(_profitable, 'Puzzle', 'Dog')) "
+        "as menu_engineering_classification",
     )
 
 
-def staffing_flag(load: Column, high: float = 1.2, low: float = 0.5) -> Column:
+def staffing_flag(load: str, high: float = 1.2, low: float = 0.5) -> str:
     """Understaffed above ``high``, Overstaffed below ``low``; an unknown load is Balanced."""
-    return F.when(load > high, "Understaffed").when(load < low, "Overstaffed").otherwise("Balanced")
+    return (
+        f"case when {load} > {float(high)}D then 'Understaffed' when {load} < {float(low)}D then 'Overstaffed' "
+        "else 'Balanced' end"
+    )
 
 
 def labour_productivity(labour: DataFrame, orders: DataFrame, demand: DataFrame) -> DataFrame:
@@ -184,50 +172,38 @@ def labour_productivity(labour: DataFrame, orders: DataFrame, demand: DataFrame)
     mean of the hourly means.
     """
     slot = ["business_date", "daypart"]
-    staffed = labour.where(F.col("department").isin("Kitchen", "Front of House"))
-
-    def of(department: str, measure: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("department") == department, F.col(measure))), F.lit(0))
-
     sides = {"kitchen": "Kitchen", "front_of_house": "Front of House"}
-    hours = staffed.groupBy(*slot).agg(
+    hours = aggregate(
+        labour.where("department in ('Kitchen', 'Front of House')"),
+        slot,
         *[
-            of(department, f"total_{measure}").alias(f"{side}_{measure}")
+            f"coalesce(sum(total_{measure}) filter (where department = '{department}'), 0) as {side}_{measure}"
             for measure in ("scheduled_hours", "actual_hours", "labour_cost")
             for side, department in sides.items()
         ],
-        F.sum("absence_count").alias("absence_count"),
-        F.sum("shift_count").alias("scheduled_shift_count"),
+        "sum(absence_count) as absence_count",
+        "sum(shift_count) as scheduled_shift_count",
     )
-    sales = kept(orders).groupBy(*slot).agg(F.count("*").alias("order_count"), F.sum("net_sales").alias("net_sales"))
-    load = demand.groupBy(*slot).agg(mean("avg_kitchen_load_ratio").alias("avg_kitchen_load_ratio"))
-    all_hours = F.col("kitchen_actual_hours") + F.col("front_of_house_actual_hours")
-    all_cost = F.col("kitchen_labour_cost") + F.col("front_of_house_labour_cost")
-    return (
-        hours.join(sales, slot, "left")
-        .join(load, slot, "left")
-        .select(
-            *slot,
-            (F.col("kitchen_scheduled_hours") + F.col("front_of_house_scheduled_hours")).alias("total_scheduled_hours"),
-            all_hours.alias("total_actual_hours"),
-            all_cost.alias("total_labour_cost"),
-            "kitchen_actual_hours",
-            "front_of_house_actual_hours",
-            "kitchen_labour_cost",
-            "front_of_house_labour_cost",
-            "absence_count",
-            "scheduled_shift_count",
-            *_or_zero("order_count", "net_sales"),
-            ratio_if_positive("order_count", all_hours).alias("orders_per_labour_hour"),
-            ratio_if_positive("net_sales", all_hours).alias("revenue_per_labour_hour"),
-            ratio_if_positive("order_count", "kitchen_actual_hours").alias("orders_per_kitchen_labour_hour"),
-            ratio_if_positive("order_count", "front_of_house_actual_hours").alias(
-                "orders_per_front_of_house_labour_hour"
-            ),
-            ratio_if_positive(all_cost, "net_sales").alias("labour_cost_pct"),
-            "avg_kitchen_load_ratio",
-            staffing_flag(F.col("avg_kitchen_load_ratio")).alias("staffing_level_flag"),
-        )
+    sales = aggregate(kept(orders), slot, "count(*) as order_count", *sums("net_sales"))
+    load = aggregate(demand, slot, f"{mean('avg_kitchen_load_ratio')} as avg_kitchen_load_ratio")
+    all_hours = "(kitchen_actual_hours + front_of_house_actual_hours)"
+    all_cost = "(kitchen_labour_cost + front_of_house_labour_cost)"
+    return select(
+        hours.join(sales, slot, "left").join(load, slot, "left"),
+        *slot,
+        "kitchen_scheduled_hours + front_of_house_scheduled_hours as total_scheduled_hours",
+        f"{all_hours} as total_actual_hours",
+        f"{all_cost} as total_labour_cost",
+        "kitchen_actual_hours, front_of_house_actual_hours, kitchen_labour_cost, front_of_house_labour_cost",
+        "absence_count, scheduled_shift_count",
+        *or_zero("order_count", "net_sales"),
+        f"{divided_if_positive('order_count', all_hours)} as orders_per_labour_hour",
+        f"{divided_if_positive('net_sales', all_hours)} as revenue_per_labour_hour",
+        f"{divided_if_positive('order_count', 'kitchen_actual_hours')} as orders_per_kitchen_labour_hour",
+        f"{divided_if_positive('order_count', 'front_of_house_actual_hours')} as orders_per_front_of_house_labour_hour",
+        f"{divided_if_positive(all_cost, 'net_sales')} as labour_cost_pct",
+        "avg_kitchen_load_ratio",
+        f"{staffing_flag('avg_kitchen_load_ratio')} as staffing_level_flag",
     )
 
 
@@ -235,21 +211,22 @@ def service_quality(orders: DataFrame) -> DataFrame:
     """K5: preparation times and failure rates per date and daypart.
 
     The exact percentiles keep one counter per distinct preparation time; times are measured to
-    a tenth of a minute, so the counters stay few however many orders a slot has.
+    a fraction of a minute, so the counters stay few however many orders a slot has.
     """
-    minutes = F.col("preparation_minutes")
-    return kept(orders).groupBy("business_date", "daypart").agg(
-        F.count("*").alias("order_count"),
-        mean(minutes).alias("average_preparation_minutes"),
-        F.median(minutes).alias("median_preparation_minutes"),
-        F.percentile(minutes, 0.9).alias("p90_preparation_minutes"),
-        share_where(F.col("is_late")).alias("late_order_pct"),
-        share_where(F.col("has_missing_item")).alias("missing_item_pct"),
-        share_where(F.col("status") == PARTIAL).alias("refund_pct"),
-        mean("kitchen_load_ratio").alias("average_kitchen_load_ratio"),
-        F.max("kitchen_load_ratio").alias("peak_kitchen_load_ratio"),
-        mean("kitchen_staff_count").alias("average_kitchen_staff_count"),
-        mean("front_of_house_staff_count").alias("average_front_of_house_staff_count"),
+    return aggregate(
+        kept(orders),
+        ["business_date", "daypart"],
+        "count(*) as order_count",
+        f"{mean('preparation_minutes')} as average_preparation_minutes",
+        "median(preparation_minutes) as median_preparation_minutes",
+        "percentile_cont(0.9) within group (order by preparation_minutes) as p90_preparation_minutes",
+        f"{share_where('is_late')} as late_order_pct",
+        f"{share_where('has_missing_item')} as missing_item_pct",
+        f"""{share_where("status = 'Partially Refunded'")} as refund_pct""",
+        f"{mean('kitchen_load_ratio')} as average_kitchen_load_ratio",
+        "max(kitchen_load_ratio) as peak_kitchen_load_ratio",
+        f"{mean('kitchen_staff_count')} as average_kitchen_staff_count",
+        f"{mean('front_of_house_staff_count')} as average_front_of_house_staff_count",
     )
 
 
@@ -260,35 +237,36 @@ def ledger_position(movements: DataFrame) -> DataFrame:
     over the days an ingredient moved; the days then add up to the ingredient.
     """
 
-    def when_type(kind: str, measure: str) -> Column:
-        return F.sum(F.when(F.col("movement_type") == kind, -F.col(measure)))
-
-    rush = (F.col("movement_type") == "Supplier Delivery") & F.col("reference_id").contains("EMERGENCY")
-    used = F.when(F.col("movement_type") == "Sales Consumption", -F.col("quantity_change")).otherwise(0)
-    days = movements.groupBy("ingredient_id", "business_date").agg(
-        F.sum("quantity_change").alias("closing_quantity"),
-        F.sum("movement_value").alias("closing_value"),
-        when_type("Waste", "quantity_change").alias("total_waste_quantity"),
-        when_type("Waste", "movement_value").alias("total_waste_value"),
-        when_type("Expired Stock", "quantity_change").alias("total_expired_quantity"),
-        when_type("Expired Stock", "movement_value").alias("total_expired_value"),
-        count_where(rush).alias("emergency_delivery_count"),
-        F.sum(used).alias("_used"),
+    def lost(kind: str, measure: str) -> str:
+        return f"sum(-{measure}) filter (where movement_type = '{kind}')"
+
+    rush = "movement_type = 'Supplier Delivery' and contains(reference_id, 'EMERGENCY')"
+    days = aggregate(
+        movements,
+        ["ingredient_id", "business_date"],
+        "sum(quantity_change) as closing_quantity",
+        "sum(movement_value) as closing_value",
+        f"{lost('Waste', 'quantity_change')} as total_waste_quantity",
+        f"{lost('Waste', 'movement_value')} as total_waste_value",
+        f"{lost('Expired Stock', 'quantity_change')} as total_expired_quantity",
+        f"{lost('Expired Stock', 'movement_value')} as total_expired_value",
+        f"{count_where(rush)} as emergency_delivery_count",
+        "sum(case when movement_type = 'Sales Consumption' then -quantity_change else 0 end) as _used",
     )
-    return days.groupBy("ingredient_id").agg(
-        *[F.sum(c).alias(c) for c in days.columns[2:-1]], mean("_used").alias("avg_daily_consumption")
+    return aggregate(
+        days, ["ingredient_id"], *sums(*days.columns[2:-1]), f"{mean('_used')} as avg_daily_consumption"
     )
 
 
 def affected_items(recipes: DataFrame, menu_items: DataFrame) -> DataFrame:
     """Names of the items that use an ingredient, each once, in alphabetical order."""
-    return (
-        recipes.select("ingredient_id", "menu_item_id")
-        .join(menu_items.select("menu_item_id", "item_name"), "menu_item_id")
-        .select("ingredient_id", "item_name")
-        .distinct()
-        .groupBy("ingredient_id")
-        .agg(F.array_join(F.array_sort(F.collect_list("item_name")), ", ").alias("affected_menu_items"))
+    named = select(recipes, "ingredient_id, menu_item_id").join(
+        select(menu_items, "menu_item_id, item_name"), "menu_item_id"
+    )
+    return aggregate(
+        select(named, "ingredient_id, item_name").distinct(),
+        ["ingredient_id"],
+        "array_join(array_sort(collect_list(item_name)), ', ') as affected_menu_items",
     )
 
 
@@ -296,33 +274,23 @@ def inventory_risk(
     ingredients: DataFrame, movements: DataFrame, recipes: DataFrame, menu_items: DataFrame
 ) -> DataFrame:
     """K6: current position of every ingredient."""
-    on_hand = F.coalesce(F.col("closing_quantity"), F.lit(0.0))
-    return (
-        ingredients.join(ledger_position(movements), "ingredient_id", "left")
-        .join(affected_items(recipes, menu_items), "ingredient_id", "left")
-        .select(
-            "ingredient_id",
-            "ingredient_name",
-            "ingredient_category",
-            "unit",
-            "reorder_level",
-            "safety_stock",
-            "supplier_name",
-            "supplier_lead_time_days",
-            on_hand.alias("closing_quantity"),
-            *_or_zero("closing_value"),
-            (on_hand < F.col("reorder_level")).alias("is_reorder_alert"),
-            *_or_zero("avg_daily_consumption"),
-            ratio_if_positive("closing_quantity", "avg_daily_consumption").alias("estimated_days_of_stock_remaining"),
-            *_or_zero(
-                "total_waste_quantity",
-                "total_waste_value",
-                "total_expired_quantity",
-                "total_expired_value",
-                "emergency_delivery_count",
-            ),
-            "affected_menu_items",
-        )
+    position = ingredients.join(ledger_position(movements), "ingredient_id", "left")
+    return select(
+        position.join(affected_items(recipes, menu_items), "ingredient_id", "left"),
+        "ingredient_id, ingredient_name, ingredient_category, unit, reorder_level, safety_stock, supplier_name",
+        "supplier_lead_time_days",
+        *or_zero("closing_quantity", "closing_value"),
+        "coalesce(closing_quantity, 0) < reorder_level as is_reorder_alert",
+        *or_zero("avg_daily_consumption"),
+        f"{divided_if_positive('closing_quantity', 'avg_daily_consumption')} as estimated_days_of_stock_remaining",
+        *or_zero(
+            "total_waste_quantity",
+            "total_waste_value",
+            "total_expired_quantity",
+            "total_expired_value",
+            "emergency_delivery_count",
+        ),
+        "affected_menu_items",
     )
 
 
@@ -331,32 +299,18 @@ PREPARATION_BANDS = ((15, "Under 15 min"), (25, "15-25 min"), (35, "25-35 min"))
 SLOWEST_BAND = "Over 35 min"
 
 
-def preparation_band(minutes: Column) -> Column:
-    """Band of a preparation time; an unknown time falls into the last band."""
-    band = F
-    for limit, label in PREPARATION_BANDS:
-        band = band.when(minutes < limit, label)
-    return band.otherwise(SLOWEST_BAND)
+def band(value: str, bands: tuple[tuple[int, str], ...], last: str) -> str:
+    """Label of the first band whose limit exceeds the value; an unknown value falls into the last."""
+    steps = " ".join(f"when {value} < {limit} then '{label}'" for limit, label in bands)
+    return f"case {steps} else '{last}' end"
 
 
 def review_analysis(reviews: DataFrame, orders: DataFrame, dates: DataFrame) -> DataFrame:
     """K7: one row per review with weekday and preparation-time band of its order."""
-    return (
-        reviews.join(orders.select("order_id", "preparation_minutes"), "order_id", "left")
-        .join(dates.select("business_date", "day_name"), "business_date", "left")
-        .select(
-            "review_id",
-            "order_id",
-            "business_date",
-            "day_name",
-            "daypart",
-            "channel",
-            "review_date",
-            "rating",
-            "review_text",
-            "complaint_category",
-            "is_response_required",
-            "preparation_minutes",
-            preparation_band(F.col("preparation_minutes")).alias("preparation_time_band"),
-        )
+    timed = reviews.join(select(orders, "order_id, preparation_minutes"), "order_id", "left")
+    return select(
+        timed.join(select(dates, "business_date, day_name"), "business_date", "left"),
+        "review_id, order_id, business_date, day_name, daypart, channel, review_date, rating, review_text",
+        "complaint_category, is_response_required, preparation_minutes",
+        f"{band('preparation_minutes', PREPARATION_BANDS, SLOWEST_BAND)} as preparation_time_band",
     )

@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.functions import aggregate
 from tallyhouse.operators.keys import attach
 
 # Up to this many rows a single task sorts without trouble (two narrow columns, a few dozen MB);
@@ -26,7 +27,7 @@ def running_totals(
     rows: DataFrame,
     keys: Sequence[str],
     slices: Sequence[str],
-    order_by: Sequence[Column],
+    order_by: str,
     totals: dict[str, str],
 ) -> DataFrame:
     """Adds running sums per key, first row to current row in the given order.
@@ -37,26 +38,17 @@ def running_totals(
     ones.  ``totals`` maps output column to input column.  ``order_by`` must order rows totally
     for the result to be determined.
     """
-    keys, slices = list(keys), list(slices)
-    inside = Window.partitionBy(*keys, *slices).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
-    running = rows.withColumns({out: F.sum(source).over(inside) for out, source in totals.items()})
+    cut = [*keys, *slices]
+    partition = f"partition by {', '.join(cut)}" if cut else ""
+    window = f"over ({partition} order by {order_by} rows between unbounded preceding and current row)"
+    running = rows.selectExpr("*", *[f"sum({source}) {window} as {out}" for out, source in totals.items()])
     if not slices:
         return running
-    sums = rows.groupBy(*keys, *slices).agg(*[F.sum(source).alias(out) for out, source in totals.items()])
-    carried = running_totals(
-        sums, keys, slices[:-1], [F.col(slices[-1])], {f"_upto_{out}": out for out in totals}
-    ).select(
-        *keys,
-        *slices,
-        *[
-            (F.coalesce(F.col(f"_upto_{out}"), F.lit(0)) - F.coalesce(F.col(out), F.lit(0))).alias(f"_before_{out}")
-            for out in totals
-        ],
-    )
-    opened = attach(running, carried, keys + slices)
-    return opened.withColumns({out: F.col(out) + F.col(f"_before_{out}") for out in totals}).drop(
-        *[f"_before_{out}" for out in totals]
-    )
+    sums = aggregate(rows, cut, *[f"sum({source}) as {out}" for out, source in totals.items()])
+    carried = running_totals(sums, keys, slices[:-1], slices[-1], {f"_upto_{out}": out for out in totals})
+    before = [f"coalesce(_upto_{out}, 0) - coalesce({out}, 0) as _before_{out}" for out in totals]
+    opened = attach(running, carried.selectExpr(*cut, *before), cut)
+    return opened.selectExpr(*rows.columns, *[f"{out} + _before_{out} as {out}" for out in totals])
 
 
 def rank_and_group_total(
@@ -75,32 +67,30 @@ def rank_and_group_total(
     ``slices`` cut points, ranks are taken inside a slice, and the rows in higher slices are
     added.  Equal values share a slice.  NULLs all tie, so they are spread over several tasks.
     """
-    whole = Window.partitionBy(group)
     if small:
-        return rows.withColumns(
-            {rank: F.rank().over(whole.orderBy(F.desc(value))), total: F.sum(value).over(whole)}
+        return rows.selectExpr(
+            "*",
+            f"rank() over (partition by {group} order by {value} desc nulls last) as {rank}",
+            f"sum({value}) over (partition by {group}) as {total}",
         )
-    fractions = [i / slices for i in range(1, slices)]
-    cuts = rows.groupBy(group).agg(F.percentile_approx(value, fractions, ACCURACY).alias("_cuts"))
-    above = F.size(F.filter("_cuts", lambda cut: cut > F.col(value)))
-    spread = F.when(F.col(value).isNull(), F.pmod(F.xxhash64(row_id), F.lit(slices))).otherwise(0)
-    sliced = attach(rows, cuts, [group]).withColumns(
-        {"_slice": F.when(F.col(value).isNull(), slices).otherwise(above), "_spread": spread}
+    fractions = ", ".join(str(i / slices) for i in range(1, slices))
+    cuts = aggregate(rows, [group], f"percentile_approx({value}, array({fractions}), {ACCURACY}) as _cuts")
+    sliced = attach(rows, cuts, [group]).selectExpr(
+        *rows.columns,
+        f"if({value} is null, {slices}, size(filter(_cuts, cut -> cut > {value}))) as _slice",
+        f"if({value} is null, pmod(xxhash64({row_id}), {slices}), 0) as _spread",
     )
-    per_slice = sliced.groupBy(group, "_slice").agg(F.count("*").alias("_rows"), F.sum(value).alias("_sum"))
-    ahead = per_slice.select(
+    ahead = aggregate(sliced, [group, "_slice"], "count(*) as _rows", f"sum({value}) as _sum").selectExpr(
         group,
         "_slice",
-        (
-            F.sum("_rows").over(whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_rows")
-        ).alias("_ahead"),
-        F.sum("_sum").over(whole).alias(total),
+        f"sum(_rows) over (partition by {group} order by _slice rows unbounded preceding) - _rows as _ahead",
+        f"sum(_sum) over (partition by {group}) as {total}",
     )
-    local = F.rank().over(Window.partitionBy(group, "_slice", "_spread").orderBy(F.desc(value)))
-    return (
-        attach(sliced.withColumn("_rank", local), ahead, [group, "_slice"])
-        .withColumn(rank, (F.col("_rank") + F.col("_ahead")).cast("int"))
-        .drop("_cuts", "_slice", "_spread", "_rank", "_ahead")
+    ranked = sliced.selectExpr(
+        "*", f"rank() over (partition by {group}, _slice, _spread order by {value} desc nulls last) as _rank"
+    )
+    return attach(ranked, ahead, [group, "_slice"]).selectExpr(
+        *rows.columns, f"int(_rank + _ahead) as {rank}", total
     )
 
 
@@ -119,29 +109,38 @@ def medians(rows: DataFrame, values: Sequence[str], small: bool = False) -> dict
 
 def _bracketed_median(rows: DataFrame, value: str) -> Column:
     margin = 2 / ACCURACY
-    bounds = rows.agg(F.percentile_approx(value, [0.5 - margin, 0.5 + margin], ACCURACY).alias("b"))
-    low, high = bounds.select(F.col("b")[0]).scalar(), bounds.select(F.col("b")[1]).scalar()
-    counted = rows.agg(
-        F.count("*").alias("_n"), F.coalesce(F.sum(F.when(F.col(value) < low, 1).otherwise(0)), F.lit(0)).alias("_below")
+    bounds = rows.agg(
+        F.expr(f"percentile_approx({value}, array({0.5 - margin}, {0.5 + margin}), {ACCURACY})").alias("b")
+    )
+    low, high = bounds.selectExpr("b[0]").scalar(), bounds.selectExpr("b[1]").scalar()
+    counted = rows.withColumn("_low", low).agg(
+        F.count("*").alias("_size"), F.expr(f"count_if({value} < _low)").alias("_below")
     )
-    size, below = counted.select("_n").scalar(), counted.select("_below").scalar()
     middle = (
         rows.where(F.col(value).between(low, high))
         .groupBy(value)
         .agg(F.count("*").alias("_copies"))
-        .withColumn("_last", F.sum("_copies").over(Window.partitionBy(F.lit(0)).orderBy(value)) + below)
-        .withColumn("_first", F.col("_last") - F.col("_copies") + 1)
+        .withColumns({"_size": counted.select("_size").scalar(), "_below": counted.select("_below").scalar()})
+        .selectExpr(
+            "*", f"_below + sum(_copies) over (partition by _size order by {value} rows unbounded preceding) as _last"
+        )
     )
-    left, right = F.floor((size + 1) / 2), F.floor((size + 2) / 2)
 
-    def holds(position: Column) -> Column:
-        return F.max(F.when((F.col("_first") <= position) & (position <= F.col("_last")), F.col(value)))
+    def at(position: str) -> str:
+        return f"max(case when _last - _copies < {position} and {position} <= _last then {value} end)"
 
     return middle.agg(
-        ((holds(left).cast("double") + holds(right).cast("double")) / 2).alias("m")
+        F.expr(f"(double({at('(_size + 1) div 2')}) + double({at('(_size + 2) div 2')})) / 2").alias("m")
     ).scalar()
 
 
-def top_rows(rows: DataFrame, order_by: Sequence[Column], k: int) -> DataFrame:
-    """First k rows in an order; Spark keeps k per task and merges, the table is never sorted."""
-    return rows.orderBy(*order_by).limit(k)
+def top_rows(rows: DataFrame, order_by: str, k: int) -> DataFrame:
+    """First k rows in an order, NULLs last; Spark keeps k per task and merges, no full sort.
+
+    ``order_by`` is a list of columns, each with ``desc`` for descending.
+    """
+    order = []
+    for item in order_by.split(","):
+        name, _, way = item.strip().partition(" ")
+        order.append(F.col(name).desc_nulls_last() if way == "desc" else F.col(name).asc_nulls_last())
+    return rows.orderBy(*order).limit(k)

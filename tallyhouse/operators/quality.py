@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import closed, mean, ratio
+from tallyhouse.functions import aggregate, divided, mean, not_in, select
 from tallyhouse.operators.ordering import running_totals
 from tallyhouse.schemas import (
     CHANNELS,
@@ -32,22 +32,19 @@ BALANCE_TOLERANCE = 0.01
 # --- V1: the report --------------------------------------------------------------------------
 
 
-def failures(rows: DataFrame, row_id: str, checks: dict[str, Column]) -> DataFrame:
+def failures(rows: DataFrame, row_id: str, checks: dict[str, str]) -> DataFrame:
     """One ``(check, id)`` pair per row and failed check; a NULL condition is no failure."""
-    pairs = [
-        F.when(condition, F.struct(F.lit(message).alias("check"), F.col(row_id).cast("string").alias("id")))
-        for message, condition in checks.items()
-    ]
-    found = rows.select(F.explode(F.array_compact(F.array(*pairs))).alias("f"))
-    return found.select("f.check", "f.id")
+    named = [f"if({condition}, '{message}', null)" for message, condition in checks.items()]
+    return rows.selectExpr(
+        f"explode(array_compact(array({', '.join(named)}))) as check", f"cast({row_id} as string) as id"
+    )
 
 
 def orphans(child: DataFrame, row_id: str, key: str, parent: DataFrame, parent_key: str, message: str) -> DataFrame:
     """Rows whose key, NULL included, is not among the parent's keys."""
-    known = parent.select(F.col(parent_key).alias(key)).where(F.col(key).isNotNull()).distinct()
-    return child.select(row_id, key).join(known, key, "left_anti").select(
-        F.lit(message).alias("check"), F.col(row_id).cast("string").alias("id")
-    )
+    known = parent.selectExpr(f"{parent_key} as {key}").where(f"{key} is not null").distinct()
+    missing = select(child, row_id, key).join(known, key, "left_anti")
+    return missing.selectExpr(f"'{message}' as check", f"cast({row_id} as string) as id")
 
 
 def report(table: str, failed: DataFrame) -> DataFrame:
@@ -56,24 +53,12 @@ def report(table: str, failed: DataFrame) -> DataFrame:
     The examples come from ``row_number() <= 5``, which Spark cuts to five per task before the
     shuffle, so a check that a third of a table fails still sends a handful of ids.
     """
-    first = F.row_number().over(Window.partitionBy("check").orderBy(F.col("id").asc_nulls_last()))
-    examples = (
-        failed.withColumn("_n", first)
-        .where(F.col("_n") <= EXAMPLES)
-        .groupBy("check")
-        .agg(F.array_sort(F.collect_list("id")).alias("_examples"))
-    )
-    return (
-        failed.groupBy("check")
-        .agg(F.count("*").alias("violations"))
-        .join(examples, "check")
-        .select(
-            F.lit(table).alias("table_name"),
-            "check",
-            "violations",
-            F.array_join("_examples", ", ").alias("examples"),
-        )
+    first = failed.selectExpr("*", "row_number() over (partition by check order by id nulls last) as _n")
+    examples = aggregate(
+        first.where(f"_n <= {EXAMPLES}"), ["check"], "array_join(array_sort(collect_list(id)), ', ') as examples"
     )
+    counted = aggregate(failed, ["check"], "count(*) as violations").join(examples, "check")
+    return counted.selectExpr(f"'{table}' as table_name", "check", "violations", "examples")
 
 
 # --- V2-V8: checks of the loaded tables ------------------------------------------------------
@@ -81,33 +66,30 @@ def report(table: str, failed: DataFrame) -> DataFrame:
 
 def check_daily_context(context: DataFrame) -> DataFrame:
     """V2."""
-    checks = {
-        "Negative rain_mm": F.col("rain_mm") < 0,
-        "Missing business_date": F.col("business_date").isNull(),
-    }
+    checks = {"Negative rain_mm": "rain_mm < 0", "Missing business_date": "business_date is null"}
     return report("daily_context", failures(context, "business_date", checks))
 
 
-def reconciliation_gap() -> Column:
-    parts = F.col("subtotal") - F.col("discount_amount") - F.col("refund_amount") - F.col("platform_commission")
-    return F.abs(F.col("net_sales") - parts)
+EXPECTED_NET = "(subtotal - discount_amount - refund_amount - platform_commission)"
+
+
+def off_balance(tolerance: float) -> str:
+    return f"abs(net_sales - {EXPECTED_NET}) > {tolerance}BD"
 
 
 def check_orders(orders: DataFrame, tolerance: float = MONEY_TOLERANCE) -> DataFrame:
     """V3."""
-    dine_in = F.coalesce(F.col("channel") == "dine_in", F.lit(False))
+    dine_in = "channel <=> 'dine_in'"
     checks = {
-        "Invalid channel value": ~closed("channel", CHANNELS),
-        "Invalid status value": ~closed("status", ORDER_STATUSES),
-        "Invalid daypart value": ~closed("daypart", DAYPARTS),
-        "Negative subtotal": F.col("subtotal") < 0,
-        "Non-positive preparation_minutes": F.col("preparation_minutes") <= 0,
-        "Missing order_timestamp": F.col("order_timestamp").isNull(),
-        "net_sales does not reconcile to subtotal - discount - refund - commission": (
-            reconciliation_gap() > F.lit(tolerance).cast("decimal(10,4)")
-        ),
-        "dine_in order missing table_number": dine_in & F.col("table_number").isNull(),
-        "non-dine_in order has a table_number": ~dine_in & F.col("table_number").isNotNull(),
+        "Invalid channel value": not_in("channel", CHANNELS),
+        "Invalid status value": not_in("status", ORDER_STATUSES),
+        "Invalid daypart value": not_in("daypart", DAYPARTS),
+        "Negative subtotal": "subtotal < 0",
+        "Non-positive preparation_minutes": "preparation_minutes <= 0",
+        "Missing order_timestamp": "order_timestamp is null",
+        "net_sales does not reconcile to subtotal - discount - refund - commission": off_balance(tolerance),
+        "dine_in order missing table_number": f"{dine_in} and table_number is null",
+        "non-dine_in order has a table_number": f"not ({dine_in}) and table_number is not null",
     }
     return report("orders", failures(orders, "order_id", checks))
 
@@ -118,9 +100,9 @@ def check_order_items(lines: DataFrame, orders: DataFrame, menu_items: DataFrame
         lines,
         "order_item_id",
         {
-            "Non-positive quantity": F.col("quantity") <= 0,
-            "Negative line_total": F.col("line_total") < 0,
-            "Invalid item_status value": ~closed("item_status", ITEM_STATUSES),
+            "Non-positive quantity": "quantity <= 0",
+            "Negative line_total": "line_total < 0",
+            "Invalid item_status value": not_in("item_status", ITEM_STATUSES),
         },
     )
     no_order = orphans(lines, "order_item_id", "order_id", orders, "order_id", "order_id not found in orders")
@@ -136,8 +118,8 @@ def check_reviews(reviews: DataFrame, orders: DataFrame) -> DataFrame:
         reviews,
         "review_id",
         {
-            "Rating outside 1-5": ~F.col("rating").between(1, 5),
-            "Invalid channel value": ~closed("channel", CHANNELS),
+            "Rating outside 1-5": "rating not between 1 and 5",
+            "Invalid channel value": not_in("channel", CHANNELS),
         },
     )
     no_order = orphans(reviews, "review_id", "order_id", orders, "order_id", "order_id not found in orders")
@@ -150,11 +132,11 @@ def check_shifts(shifts: DataFrame, employees: DataFrame) -> DataFrame:
         shifts,
         "shift_id",
         {
-            "shift_end not after shift_start": F.col("shift_end") <= F.col("shift_start"),
-            "Non-positive scheduled_hours": F.col("scheduled_hours") <= 0,
-            "Negative actual_hours": F.col("actual_hours") < 0,
-            "Negative labour_cost": F.col("labour_cost") < 0,
-            "Absent shift has non-zero actual_hours": F.col("is_absent") & (F.col("actual_hours") != 0),
+            "shift_end not after shift_start": "shift_end <= shift_start",
+            "Non-positive scheduled_hours": "scheduled_hours <= 0",
+            "Negative actual_hours": "actual_hours < 0",
+            "Negative labour_cost": "labour_cost < 0",
+            "Absent shift has non-zero actual_hours": "is_absent and actual_hours <> 0",
         },
     )
     nobody = orphans(
@@ -169,24 +151,23 @@ def running_balance(movements: DataFrame) -> DataFrame:
     Movements at the same instant follow their id.  The ledger is sliced by hour, so the longest
     sort is one ingredient's busiest hour.
     """
-    hour = F.date_trunc("hour", F.col("movement_timestamp").cast("timestamp"))
-    rows = movements.select(
+    rows = movements.selectExpr(
         "movement_id",
         "ingredient_id",
         "movement_timestamp",
         "quantity_change",
-        F.to_date("movement_timestamp").alias("_day"),
-        hour.alias("_hour"),
+        "to_date(movement_timestamp) as _day",
+        "hour(movement_timestamp) as _hour",
     )
-    order = [F.col("movement_timestamp"), F.col("movement_id")]
-    return running_totals(rows, ["ingredient_id"], ["_day", "_hour"], order, {"balance": "quantity_change"}).select(
-        "movement_id", "ingredient_id", "movement_timestamp", "balance"
+    totals = running_totals(
+        rows, ["ingredient_id"], ["_day", "_hour"], "movement_timestamp, movement_id", {"balance": "quantity_change"}
     )
+    return select(totals, "movement_id, ingredient_id, movement_timestamp, balance")
 
 
 def negative_balances(movements: DataFrame, tolerance: float = BALANCE_TOLERANCE) -> DataFrame:
     """Movements after which the stock is below zero."""
-    return running_balance(movements).where(F.col("balance") < -tolerance)
+    return running_balance(movements).where(f"balance < -{tolerance}D")
 
 
 def check_inventory_movements(movements: DataFrame, ingredients: DataFrame) -> DataFrame:
@@ -195,8 +176,8 @@ def check_inventory_movements(movements: DataFrame, ingredients: DataFrame) -> D
         movements,
         "movement_id",
         {
-            "Invalid movement_type value": ~closed("movement_type", MOVEMENT_TYPES),
-            "Negative unit_cost": F.col("unit_cost") < 0,
+            "Invalid movement_type value": not_in("movement_type", MOVEMENT_TYPES),
+            "Negative unit_cost": "unit_cost < 0",
         },
     )
     unknown = orphans(
@@ -207,8 +188,8 @@ def check_inventory_movements(movements: DataFrame, ingredients: DataFrame) -> D
         "ingredient_id",
         "ingredient_id not found in ingredients",
     )
-    below = negative_balances(movements).select(
-        F.lit("Running inventory balance went negative").alias("check"), F.col("movement_id").alias("id")
+    below = negative_balances(movements).selectExpr(
+        "'Running inventory balance went negative' as check", "movement_id as id"
     )
     return report("inventory_movements", own.unionByName(unknown).unionByName(below))
 
@@ -246,26 +227,19 @@ def run_all_checks(
 
 def duplicated_keys(rows: DataFrame, key: str) -> DataFrame:
     """V9 unique: non-null key values found more than once."""
-    return (
-        rows.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("key"))
-        .agg(F.count("*").alias("copies"))
-        .where("copies > 1")
-    )
+    keyed = rows.where(f"{key} is not null").selectExpr(f"{key} as key")
+    return aggregate(keyed, ["key"], "count(*) as copies").where("copies > 1")
 
 
 def missing_keys(rows: DataFrame, key: str) -> DataFrame:
     """V9 not_null."""
-    return rows.where(F.col(key).isNull())
+    return rows.where(f"{key} is null")
 
 
 def unaccepted_values(rows: DataFrame, column: str, accepted: Sequence[str]) -> DataFrame:
     """Non-null values outside a list, with their row counts."""
-    return (
-        rows.where(F.col(column).isNotNull() & ~F.col(column).isin(*accepted))
-        .groupBy(F.col(column).alias("value"))
-        .agg(F.count("*").alias("rows"))
-    )
+    outside = rows.where(f"{column} is not null and {not_in(column, accepted)}").selectExpr(f"{column} as value")
+    return aggregate(outside, ["value"], "count(*) as rows")
 
 
 def broken_references(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
@@ -273,21 +247,20 @@ def broken_references(child: DataFrame, key: str, parent: DataFrame, parent_key:
 
     The child is counted per key first, so a frequent key reaches the join as one row.
     """
-    used = child.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.count("*").alias("rows"))
-    return used.join(parent.select(F.col(parent_key).alias("key")), "key", "left_anti")
+    keyed = child.where(f"{key} is not null").selectExpr(f"{key} as key")
+    used = aggregate(keyed, ["key"], "count(*) as rows")
+    return used.join(parent.selectExpr(f"{parent_key} as key"), "key", "left_anti")
 
 
 def key_test_summary(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """V9 over several tables: duplicated key values and missing keys per table."""
     merged = None
     for name, (rows, key) in tables.items():
-        per_key = rows.groupBy(F.col(key).cast("string").alias("key")).agg(F.count("*").alias("n"))
-        line = per_key.agg(
-            F.lit(name).alias("table_name"),
-            F.coalesce(F.sum(F.when(F.col("key").isNotNull() & (F.col("n") > 1), 1)), F.lit(0)).alias(
-                "duplicated_keys"
-            ),
-            F.coalesce(F.sum(F.when(F.col("key").isNull(), F.col("n"))), F.lit(0)).alias("missing_keys"),
+        per_key = aggregate(rows.selectExpr(f"cast({key} as string) as key"), ["key"], "count(*) as n")
+        line = per_key.selectExpr(
+            f"'{name}' as table_name",
+            "count_if(key is not null and n > 1) as duplicated_keys",
+            "coalesce(sum(n) filter (where key is null), 0) as missing_keys",
         )
         merged = line if merged is None else merged.unionByName(line)
     return merged
@@ -297,27 +270,27 @@ def key_test_summary(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
 
 
 def nonpositive_quantities(lines: DataFrame) -> DataFrame:
-    return lines.where("quantity <= 0").select("order_item_id", "quantity")
+    return select(lines.where("quantity <= 0"), "order_item_id, quantity")
 
 
 def unreconciled_orders(orders: DataFrame, tolerance: float = MONEY_TOLERANCE) -> DataFrame:
-    parts = ["subtotal", "discount_amount", "refund_amount", "platform_commission"]
-    expected = F.col(parts[0]) - F.col(parts[1]) - F.col(parts[2]) - F.col(parts[3])
-    return orders.where(reconciliation_gap() > F.lit(tolerance).cast("decimal(10,4)")).select(
-        "order_id", *parts, "net_sales", expected.alias("expected_net_sales")
+    return select(
+        orders.where(off_balance(tolerance)),
+        "order_id, subtotal, discount_amount, refund_amount, platform_commission, net_sales",
+        f"{EXPECTED_NET} as expected_net_sales",
     )
 
 
 def negative_money(orders: DataFrame) -> DataFrame:
-    return orders.where("subtotal < 0 or net_sales < 0").select("order_id", "subtotal", "net_sales")
+    return select(orders.where("subtotal < 0 or net_sales < 0"), "order_id, subtotal, net_sales")
 
 
 def ratings_out_of_range(reviews: DataFrame) -> DataFrame:
-    return reviews.where(~F.col("rating").between(1, 5)).select("review_id", "rating")
+    return select(reviews.where("rating not between 1 and 5"), "review_id, rating")
 
 
 def shifts_ending_early(shifts: DataFrame) -> DataFrame:
-    return shifts.where("shift_end <= shift_start").select("shift_id", "shift_start", "shift_end")
+    return select(shifts.where("shift_end <= shift_start"), "shift_id, shift_start, shift_end")
 
 
 # --- V13-V16: seed tables --------------------------------------------------------------------
@@ -328,32 +301,36 @@ def seed_reference_errors(
 ) -> DataFrame:
     """A message per broken seed reference, and per menu item without a recipe."""
 
-    def unknown(rows: DataFrame, key: str, parent: DataFrame) -> DataFrame:
-        return rows.join(parent.select(key).distinct(), key, "left_anti")
+    def unknown(rows: DataFrame, key: str, parent: DataFrame, message: str) -> DataFrame:
+        lost = rows.join(select(parent, key).distinct(), key, "left_anti")
+        return lost.selectExpr(f"concat({message}) as error")
 
-    def quoted(name: str) -> Column:
-        return F.concat(F.lit("'"), F.col(name), F.lit("'"))
-
-    found = [
-        unknown(ingredients.select("ingredient_id", "supplier_id"), "supplier_id", suppliers).select(
-            F.concat(
-                F.lit("ingredients: "), F.col("ingredient_id"), F.lit(" references unknown supplier_id "),
-                quoted("supplier_id"),
-            ).alias("error")
+    found = (
+        unknown(
+            select(ingredients, "ingredient_id, supplier_id"),
+            "supplier_id",
+            suppliers,
+            """'ingredients: ', ingredient_id, " references unknown supplier_id '", supplier_id, "'" """,
         ),
-        unknown(recipes.select("menu_item_id"), "menu_item_id", menu_items).select(
-            F.concat(F.lit("recipes: unknown menu_item_id "), quoted("menu_item_id")).alias("error")
+        unknown(
+            select(recipes, "menu_item_id"),
+            "menu_item_id",
+            menu_items,
+            """"recipes: unknown menu_item_id '", menu_item_id, "'" """,
         ),
-        unknown(recipes.select("menu_item_id", "ingredient_id"), "ingredient_id", ingredients).select(
-            F.concat(
-                F.lit("recipes: unknown ingredient_id "), quoted("ingredient_id"), F.lit(" for menu item "),
-                quoted("menu_item_id"),
-            ).alias("error")
+        unknown(
+            select(recipes, "menu_item_id, ingredient_id"),
+            "ingredient_id",
+            ingredients,
+            """"recipes: unknown ingredient_id '", ingredient_id, "' for menu item '", menu_item_id, "'" """,
         ),
-        unknown(menu_items.select("menu_item_id"), "menu_item_id", recipes).select(
-            F.concat(F.lit("menu_items: "), F.col("menu_item_id"), F.lit(" has no recipe rows")).alias("error")
+        unknown(
+            select(menu_items, "menu_item_id"),
+            "menu_item_id",
+            recipes,
+            "'menu_items: ', menu_item_id, ' has no recipe rows'",
         ),
-    ]
+    )
     merged = found[0]
     for part in found[1:]:
         merged = merged.unionByName(part)
@@ -372,24 +349,20 @@ def require_seed_references(
         )
 
 
-_COMPARE = {
-    "gt": lambda c, limit: c <= limit,
-    "ge": lambda c, limit: c < limit,
-    "lt": lambda c, limit: c >= limit,
-    "le": lambda c, limit: c > limit,
-    "in": lambda c, allowed: ~c.isin(*allowed),
-}
+# Condition under which a value breaks a bound.
+_BROKEN = {"gt": "{0} <= {1}", "ge": "{0} < {1}", "lt": "{0} >= {1}", "le": "{0} > {1}"}
 
 
-def field_bound_checks(table: str, columns: Sequence[str]) -> dict[str, Column]:
+def field_bound_checks(table: str, columns: Sequence[str]) -> dict[str, str]:
     """Message and failure condition of every declared bound, and of every required column."""
     checks = {}
     for column, rule, limit in FIELD_BOUNDS[table]:
-        wanted = "one of " + ", ".join(limit) if rule == "in" else f"{rule} {limit}"
-        checks[f"{column} must be {wanted}"] = _COMPARE[rule](F.col(column), limit)
-    for column in columns:
-        if column not in NULLABLE_FIELDS.get(table, ()):
-            checks[f"{column} is required"] = F.col(column).isNull()
+        if rule == "in":
+            checks[f"{column} must be one of {', '.join(limit)}"] = f"{column} is not null and {not_in(column, limit)}"
+        else:
+            checks[f"{column} must be {rule} {limit}"] = _BROKEN[rule].format(column, limit)
+    optional = NULLABLE_FIELDS.get(table, ())
+    checks.update({f"{c} is required": f"{c} is null" for c in columns if c not in optional})
     return checks
 
 
@@ -400,33 +373,36 @@ def check_field_bounds(table: str, rows: DataFrame) -> DataFrame:
 
 def menu_summary(menu_items: DataFrame, costs: DataFrame) -> DataFrame:
     """Price, food cost, profit and margin of every item, with or without a recipe."""
-    profit = F.col("selling_price").cast("double") - F.col("estimated_item_food_cost")
+    profit = "(cast(selling_price as double) - estimated_item_food_cost)"
     return (
-        menu_items.select("menu_item_id", "item_name", "category", "selling_price")
+        select(menu_items, "menu_item_id, item_name, category, selling_price")
         .join(costs, "menu_item_id", "left")
-        .withColumns(
-            {
-                "estimated_gross_profit": profit,
-                "estimated_gross_margin_pct": ratio(profit, "selling_price"),
-            }
+        .selectExpr(
+            "*",
+            f"{profit} as estimated_gross_profit",
+            f"{divided(profit, 'selling_price')} as estimated_gross_margin_pct",
         )
     )
 
 
 def seed_report(menu_items: DataFrame, ingredients: DataFrame, recipes: DataFrame, costs: DataFrame) -> DataFrame:
     """One row of counts, recipe coverage and mean food-cost share."""
-    summary = menu_summary(menu_items, costs)
-    share = ratio("estimated_item_food_cost", "selling_price")
-    items = summary.agg(
-        F.count("*").alias("number_of_menu_items"),
-        F.countDistinct("category").alias("number_of_categories"),
-        mean(share).alias("average_estimated_food_cost_pct"),
+    items = aggregate(
+        menu_summary(menu_items, costs),
+        [],
+        "count(*) as number_of_menu_items",
+        "count(distinct category) as number_of_categories",
+        f"{mean(divided('estimated_item_food_cost', 'selling_price'))} as average_estimated_food_cost_pct",
+    )
+    counted = items.withColumns(
+        {
+            "number_of_ingredients": ingredients.agg(F.count("*")).scalar(),
+            "_with_recipe": recipes.agg(F.countDistinct("menu_item_id")).scalar(),
+        }
     )
-    with_recipe = recipes.agg(F.countDistinct("menu_item_id")).scalar()
-    return items.select(
-        "number_of_menu_items",
-        "number_of_categories",
-        ingredients.agg(F.count("*")).scalar().alias("number_of_ingredients"),
-        ratio(with_recipe, "number_of_menu_items").alias("recipe_coverage_pct"),
+    return select(
+        counted,
+        "number_of_menu_items, number_of_categories, number_of_ingredients",
+        f"{divided('_with_recipe', 'number_of_menu_items')} as recipe_coverage_pct",
         "average_estimated_food_cost_pct",
     )

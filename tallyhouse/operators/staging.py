@@ -3,118 +3,111 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tallyhouse.functions import blank_to_null, money, tidy
+from tallyhouse.functions import blank_to_null, tidy
 
 
-def _trim(name: str):
-    return F.trim(F.col(name)).alias(name)
+def _trim(name: str) -> str:
+    return f"trim({name}) as {name}"
 
 
-def _as(name: str, kind: str):
-    return F.col(name).cast(kind).alias(name)
+def _as(kind: str, *names: str) -> list[str]:
+    return [f"cast({name} as {kind}) as {name}" for name in names]
 
 
-def _money(name: str, scale: int = 2):
-    return money(name, scale).alias(name)
+def _money(*names: str) -> list[str]:
+    return _as("decimal(10,2)", *names)
+
+
+def _fine_money(*names: str) -> list[str]:
+    return _as("decimal(10,4)", *names)
 
 
 def stage_orders(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "order_id",
-        _as("order_timestamp", "timestamp_ntz"),
-        _as("business_date", "date"),
-        tidy("daypart").alias("daypart"),
-        tidy("channel").alias("channel"),
+        *_as("timestamp_ntz", "order_timestamp"),
+        *_as("date", "business_date"),
+        tidy("daypart"),
+        tidy("channel"),
         _trim("status"),
-        _as("table_number", "int"),
-        _as("customer_count", "int"),
-        blank_to_null("promotion_name").alias("promotion_name"),
-        *[_money(c) for c in ("subtotal", "discount_amount", "refund_amount", "platform_commission", "net_sales")],
-        *[_money(c, 4) for c in ("estimated_food_cost", "estimated_gross_profit")],
-        _as("preparation_minutes", "double"),
-        _as("promised_minutes", "double"),
-        F.col("late_flag").alias("is_late"),
-        F.col("missing_item_flag").alias("has_missing_item"),
-        _as("kitchen_staff_count", "int"),
-        _as("front_of_house_staff_count", "int"),
-        _as("kitchen_load_ratio", "double"),
-        _as("temperature_c", "double"),
-        _as("rain_mm", "double"),
+        *_as("int", "table_number", "customer_count"),
+        blank_to_null("promotion_name"),
+        *_money("subtotal", "discount_amount", "refund_amount", "platform_commission", "net_sales"),
+        *_fine_money("estimated_food_cost", "estimated_gross_profit"),
+        *_as("double", "preparation_minutes", "promised_minutes"),
+        "late_flag as is_late",
+        "missing_item_flag as has_missing_item",
+        *_as("int", "kitchen_staff_count", "front_of_house_staff_count"),
+        *_as("double", "kitchen_load_ratio", "temperature_c", "rain_mm"),
     )
 
 
 def stage_order_items(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "order_item_id",
         "order_id",
         "menu_item_id",
-        _as("quantity", "int"),
-        _money("unit_price"),
-        _money("estimated_unit_food_cost", 4),
-        _money("line_total"),
-        _money("estimated_line_food_cost", 4),
-        blank_to_null("special_request").alias("special_request"),
+        *_as("int", "quantity"),
+        *_money("unit_price"),
+        *_fine_money("estimated_unit_food_cost"),
+        *_money("line_total"),
+        *_fine_money("estimated_line_food_cost"),
+        blank_to_null("special_request"),
         _trim("item_status"),
     )
 
 
 def stage_reviews(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "review_id",
         "order_id",
-        _as("review_date", "date"),
-        tidy("channel").alias("channel"),
-        _as("rating", "int"),
+        *_as("date", "review_date"),
+        tidy("channel"),
+        *_as("int", "rating"),
         _trim("review_text"),
-        blank_to_null("complaint_category").alias("complaint_category"),
-        F.col("response_required_flag").alias("is_response_required"),
+        blank_to_null("complaint_category"),
+        "response_required_flag as is_response_required",
     )
 
 
 def stage_employee_shifts(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "shift_id",
         "employee_id",
-        _as("business_date", "date"),
+        *_as("date", "business_date"),
         _trim("role"),
-        _as("shift_start", "timestamp_ntz"),
-        _as("shift_end", "timestamp_ntz"),
-        _as("break_minutes", "int"),
-        _as("scheduled_hours", "double"),
-        _as("actual_hours", "double"),
-        F.col("absence_flag").alias("is_absent"),
-        _money("hourly_rate"),
-        _money("labour_cost"),
+        *_as("timestamp_ntz", "shift_start", "shift_end"),
+        *_as("int", "break_minutes"),
+        *_as("double", "scheduled_hours", "actual_hours"),
+        "absence_flag as is_absent",
+        *_money("hourly_rate", "labour_cost"),
     )
 
 
 def stage_inventory_movements(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "movement_id",
-        _as("movement_timestamp", "timestamp_ntz"),
-        _as("business_date", "date"),
+        *_as("timestamp_ntz", "movement_timestamp"),
+        *_as("date", "business_date"),
         "ingredient_id",
         _trim("movement_type"),
-        _as("quantity_change", "double"),
-        tidy("unit").alias("unit"),
-        _money("unit_cost", 4),
-        _money("movement_value", 4),
+        *_as("double", "quantity_change"),
+        tidy("unit"),
+        *_fine_money("unit_cost", "movement_value"),
         _trim("reference_id"),
     )
 
 
 def stage_daily_context(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        _as("business_date", "date"),
+    return raw.selectExpr(
+        *_as("date", "business_date"),
         _trim("day_name"),
-        _as("temperature_c", "double"),
-        _as("rain_mm", "double"),
-        F.col("weekend_flag").alias("is_weekend"),
-        F.col("public_holiday_flag").alias("is_public_holiday"),
-        F.col("city_event_flag").alias("is_city_event"),
-        blank_to_null("promotion_name").alias("promotion_name"),
+        *_as("double", "temperature_c", "rain_mm"),
+        "weekend_flag as is_weekend",
+        "public_holiday_flag as is_public_holiday",
+        "city_event_flag as is_city_event",
+        blank_to_null("promotion_name"),
     )
 
 
@@ -129,67 +122,66 @@ AFFINITIES = (
 
 
 def stage_menu_items(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "menu_item_id",
         _trim("item_name"),
         _trim("category"),
-        _money("selling_price"),
-        _as("estimated_prep_minutes", "int"),
-        F.col("vegetarian").alias("is_vegetarian"),
-        F.col("vegan").alias("is_vegan"),
-        F.col("gluten_free").alias("is_gluten_free"),
-        F.col("available_for_delivery").alias("is_available_for_delivery"),
-        *[_as(c, "double") for c in AFFINITIES],
-        tidy("source_type").alias("source_type"),
-        blank_to_null(F.col("source_url").cast("string")).alias("source_url"),
+        *_money("selling_price"),
+        *_as("int", "estimated_prep_minutes"),
+        "vegetarian as is_vegetarian",
+        "vegan as is_vegan",
+        "gluten_free as is_gluten_free",
+        "available_for_delivery as is_available_for_delivery",
+        *_as("double", *AFFINITIES),
+        tidy("source_type"),
+        blank_to_null("source_url"),
     )
 
 
 def stage_ingredients(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "ingredient_id",
         _trim("ingredient_name"),
         _trim("ingredient_category"),
-        tidy("unit").alias("unit"),
-        _money("estimated_unit_cost", 4),
-        _as("shelf_life_days", "int"),
-        _as("reorder_level", "double"),
-        _as("safety_stock", "double"),
+        tidy("unit"),
+        *_fine_money("estimated_unit_cost"),
+        *_as("int", "shelf_life_days"),
+        *_as("double", "reorder_level", "safety_stock"),
         "supplier_id",
-        F.col("synthetic_estimate").alias("is_synthetic_estimate"),
+        "synthetic_estimate as is_synthetic_estimate",
     )
 
 
 def stage_suppliers(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "supplier_id",
         _trim("supplier_name"),
         _trim("supplier_category"),
-        _as("average_lead_time_days", "int"),
-        _as("reliability_score", "double"),
-        F.col("synthetic_estimate").alias("is_synthetic_estimate"),
+        *_as("int", "average_lead_time_days"),
+        *_as("double", "reliability_score"),
+        "synthetic_estimate as is_synthetic_estimate",
     )
 
 
 def stage_recipes(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "menu_item_id",
         "ingredient_id",
-        _as("quantity_required", "double"),
-        tidy("unit").alias("unit"),
-        _as("estimated_wastage_pct", "double"),
+        *_as("double", "quantity_required"),
+        tidy("unit"),
+        *_as("double", "estimated_wastage_pct"),
     )
 
 
 def stage_employees(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "employee_id",
         _trim("employee_name"),
         _trim("department"),
         _trim("role"),
         _trim("employment_type"),
-        _money("hourly_rate"),
-        _as("standard_weekly_hours", "double"),
-        F.col("active").alias("is_active"),
-        F.col("synthetic_estimate").alias("is_synthetic_estimate"),
+        *_money("hourly_rate"),
+        *_as("double", "standard_weekly_hours"),
+        "active as is_active",
+        "synthetic_estimate as is_synthetic_estimate",
     )

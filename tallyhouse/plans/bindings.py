@@ -7,343 +7,290 @@ order.  Labels carry stray blanks and capitals on purpose, for staging to remove
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator, Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.calendar import day_spine, enrich_calendar
 from tallyhouse.operators.derivations import order_economics
 from tallyhouse.plans.warehouse import Warehouse
+from tallyhouse.schemas import RAW_SCHEMAS
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _text(name: str) -> Column:
-    return F.col(name).cast("string")
-
-
-def _money(value: Column, scale: int = 2) -> Column:
-    return value.cast(f"decimal(10,{scale})")
-
-
-def _rate(value: str) -> Column:
-    return F.lit(value).cast("decimal(4,2)")
-
-
-def _after(start: str, hours: Column, minutes: Column) -> Column:
-    return F.col(start) + F.make_dt_interval(F.lit(0), hours.cast("int"), minutes.cast("int"), F.lit(0))
-
-
-def _choose(column: str, options: dict[str, object], otherwise: object = None) -> Column:
-    chosen = F
-    for key, value in options.items():
-        chosen = chosen.when(F.col(column) == key, value)
-    return chosen.otherwise(otherwise)
-
-
-def temperature(day: Column) -> Column:
-    return 10 + F.dayofyear(day) % 80 / F.lit(4.0)
-
-
-def rain(day: Column) -> Column:
-    """Half-millimetre steps; one day in nine reads below zero, for the checks to find."""
-    return (F.dayofyear(day) % 9 - 1) * F.lit(0.5)
+# Half-millimetre steps of rain; one day in nine reads below zero, for the checks to find.
+WEATHER = (
+    "10 + dayofyear(business_date) % 80 / 4.0D as temperature_c",
+    "(dayofyear(business_date) % 9 - 1) * 0.5D as rain_mm",
+)
+PRICE = "cast(o_totalprice as decimal(10,2))"
+WEEKEND_DINNER = "weekday(o_orderdate) >= 5 and o_custkey % 10 >= 4"
 
 
 def raw_orders(orders: DataFrame) -> DataFrame:
-    day = F.to_date("o_orderdate")
-    weekday = F.weekday(day)
-    customer, order = F.col("o_custkey"), F.col("o_orderkey")
-    dine_in = F.col("o_orderpriority") == "1-URGENT"
-    unlisted = F.col("o_orderpriority") == "5-LOW"
-    prep = customer % 180 / F.lit(4.0)
-    promised = _choose(
-        "o_orderpriority", {"1-URGENT": 24.0, "2-HIGH": 23.0, "3-MEDIUM": 38.0, "4-NOT SPECIFIED": 38.0}, 30.0
-    )
-    table = F.when(dine_in & (customer % 50 != 0), order % 40 + 1).when(unlisted & (customer % 10 == 0), order % 40 + 1)
-    weekend_dinner = (weekday >= 5) & (customer % 10 >= 4)
-    priced = orders.select(
-        _text("o_orderkey").alias("order_id"),
-        _after("o_orderdate", 11 + customer % 10, order % 60).alias("order_timestamp"),
-        day.alias("business_date"),
-        F.when(customer % 10 < 4, " Lunch").otherwise("DINNER ").alias("daypart"),
-        _choose(
-            "o_orderpriority",
-            {"1-URGENT": " Dine_In", "2-HIGH": "pickup ", "3-MEDIUM": "uber_eats", "4-NOT SPECIFIED": "DoorDash"},
-            F.col("o_orderpriority"),
-        ).alias("channel"),
-        _choose("o_orderstatus", {"O": "Completed", "F": "Cancelled", "P": "Partially Refunded"}).alias("status"),
-        table.alias("table_number"),
-        F.when(dine_in, customer % 6 + 1).alias("customer_count"),
-        F.when(weekday == 0, "Banh Mi Monday ").when(weekday == 5, "Weekend Sharing Special").otherwise(" ").alias(
-            "promotion_name"
-        ),
-        _money(F.col("o_totalprice")).alias("subtotal"),
-        (_money(F.col("o_totalprice")) * _rate("0.30")).cast("decimal(10,4)").alias("estimated_food_cost"),
-        prep.alias("preparation_minutes"),
-        promised.alias("promised_minutes"),
-        (prep > promised).alias("late_flag"),
-        (order % 16 == 0).alias("missing_item_flag"),
-        F.when(weekend_dinner, 3).otherwise(2).alias("kitchen_staff_count"),
-        F.when(weekend_dinner, 3).otherwise(2).alias("front_of_house_staff_count"),
-        (customer % 24 / F.lit(16.0)).alias("kitchen_load_ratio"),
-        F.when(F.dayofmonth(day) != 31, temperature(day)).alias("temperature_c"),
-        rain(day).alias("rain_mm"),
-        F.when(weekday == 0, _rate("0.15")).when(weekday == 5, _rate("0.10")).otherwise(_rate("0")).alias(
-            "discount_rate"
-        ),
-        _choose("o_orderpriority", {"3-MEDIUM": _rate("0.28"), "4-NOT SPECIFIED": _rate("0.25")}, _rate("0")).alias(
-            "commission_rate"
-        ),
-        ((10 + customer % 51).cast("decimal(4,0)") * _rate("0.01")).cast("decimal(4,2)").alias("refund_fraction"),
-        unlisted.alias("_unlisted"),
-    )
-    # the unlisted channel adds a handling fee of 1 % that its components do not show
-    fee = F.when(F.col("_unlisted"), (F.col("subtotal") * _rate("0.01")).cast("decimal(10,2)")).otherwise(_rate("0"))
-    return (
-        order_economics(priced)
-        .withColumn("net_sales", (F.col("net_sales") + fee).cast("decimal(10,2)"))
-        .withColumn("estimated_gross_profit", _money(F.col("net_sales") - F.col("estimated_food_cost"), 4))
-        .drop("_unlisted")
-    )
+    priced = orders.selectExpr(
+        "cast(o_orderkey as string) as order_id",
+        "o_orderdate + make_dt_interval(0, int(11 + o_custkey % 10), int(o_orderkey % 60), 0) as order_timestamp",
+        "to_date(o_orderdate) as business_date",
+        "case when o_custkey % 10 < 4 then ' Lunch' else 'DINNER ' end as daypart",
+        "case o_orderpriority when '1-URGENT' then ' Dine_In' when '2-HIGH' then 'pickup ' "
+        "when '3-MEDIUM' then 'uber_eats' when '4-NOT SPECIFIED' then 'DoorDash' else o_orderpriority end as channel",
+        "case o_orderstatus when 'O' then 'Completed' when 'F' then 'Cancelled' else 'Partially Refunded' end as status",
+        "case when o_orderpriority = '1-URGENT' and o_custkey % 50 <> 0 then o_orderkey % 40 + 1 "
+        "when o_orderpriority = '5-LOW' and o_custkey % 10 = 0 then o_orderkey % 40 + 1 end as table_number",
+        "case when o_orderpriority = '1-URGENT' then o_custkey % 6 + 1 end as customer_count",
+        "case weekday(o_orderdate) when 0 then 'Banh Mi Monday ' when 5 then 'Weekend Sharing Special' else ' ' end "
+        "as promotion_name",
+        f"{PRICE} as subtotal",
+        f"cast({PRICE} * 0.30BD as decimal(10,4)) as estimated_food_cost",
+        "o_custkey % 180 / 4.0D as preparation_minutes",
+        "case o_orderpriority when '1-URGENT' then 24.0D when '2-HIGH' then 23.0D when '5-LOW' then 30.0D "
+        "else 38.0D end as promised_minutes",
+        "o_orderkey % 16 = 0 as missing_item_flag",
+        f"if({WEEKEND_DINNER}, 3, 2) as kitchen_staff_count",
+        f"if({WEEKEND_DINNER}, 3, 2) as front_of_house_staff_count",
+        "o_custkey % 24 / 16.0D as kitchen_load_ratio",
+        "cast(case weekday(o_orderdate) when 0 then 0.15 when 5 then 0.10 else 0 end as decimal(4,2)) as discount_rate",
+        "cast(case o_orderpriority when '3-MEDIUM' then 0.28 when '4-NOT SPECIFIED' then 0.25 else 0 end "
+        "as decimal(4,2)) as commission_rate",
+        "cast((10 + o_custkey % 51) * 0.01BD as decimal(4,2)) as refund_fraction",
+        # the unlisted channel adds a handling fee of 1 % that its components do not show
+        f"cast(if(o_orderpriority = '5-LOW', {PRICE} * 0.01BD, 0) as decimal(10,2)) as _fee",
+    ).selectExpr("*", "preparation_minutes > promised_minutes as late_flag", *WEATHER)
+    charged = order_economics(priced).withColumn("net_sales", F.expr("cast(net_sales + _fee as decimal(10,2))"))
+    return charged.withColumns(
+        {
+            "estimated_gross_profit": F.expr("cast(net_sales - estimated_food_cost as decimal(10,4))"),
+            "temperature_c": F.expr("if(dayofmonth(business_date) = 31, null, temperature_c)"),
+        }
+    ).drop("_fee")
 
 
 def raw_order_items(lineitem: DataFrame) -> DataFrame:
-    extended = _money(F.col("l_extendedprice"))
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    unit_cents = F.floor((cents - cents % F.col("l_quantity").cast("bigint")) / F.col("l_quantity"))
-    unit_price = (unit_cents.cast("decimal(10,0)") * _rate("0.01")).cast("decimal(10,2)")
-    return lineitem.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_item_id"),
-        _text("l_orderkey").alias("order_id"),
-        _text("l_partkey").alias("menu_item_id"),
-        F.col("l_quantity").alias("quantity"),
-        unit_price.alias("unit_price"),
-        (unit_price * _rate("0.30")).alias("estimated_unit_food_cost"),
-        _money(extended * (1 - F.col("l_discount").cast("decimal(4,2)"))).alias("line_total"),
-        (extended * (_rate("0.30") + F.col("l_tax").cast("decimal(4,2)"))).alias("estimated_line_food_cost"),
-        F.when(F.col("l_linestatus") == "O", " no peanuts ").otherwise("  ").alias("special_request"),
-        F.when(F.col("l_returnflag") == "R", "Missing ").otherwise(" Fulfilled").alias("item_status"),
+    extended = "cast(l_extendedprice as decimal(10,2))"
+    cents = "cast(round(l_extendedprice * 100) as bigint) div cast(l_quantity as bigint)"
+    return lineitem.selectExpr("*", f"cast(({cents}) * 0.01BD as decimal(10,2)) as _unit_price").selectExpr(
+        "concat_ws('-', l_orderkey, l_linenumber) as order_item_id",
+        "cast(l_orderkey as string) as order_id",
+        "cast(l_partkey as string) as menu_item_id",
+        "l_quantity as quantity",
+        "_unit_price as unit_price",
+        "_unit_price * 0.30BD as estimated_unit_food_cost",
+        f"cast({extended} * (1 - cast(l_discount as decimal(4,2))) as decimal(10,2)) as line_total",
+        f"{extended} * (0.30BD + cast(l_tax as decimal(4,2))) as estimated_line_food_cost",
+        "if(l_linestatus = 'O', ' no peanuts ', '  ') as special_request",
+        "if(l_returnflag = 'R', 'Missing ', ' Fulfilled') as item_status",
     )
 
 
 def raw_menu_items(part: DataFrame) -> DataFrame:
-    size = F.col("p_size")
-    return part.select(
-        _text("p_partkey").alias("menu_item_id"),
-        F.concat(F.lit(" "), "p_name").alias("item_name"),
-        F.concat("p_type", F.lit(" ")).alias("category"),
-        F.col("p_retailprice").alias("selling_price"),
-        size.alias("estimated_prep_minutes"),
-        (size % 2 == 0).alias("vegetarian"),
-        (size % 4 == 0).alias("vegan"),
-        (size % 3 == 0).alias("gluten_free"),
-        (size % 5 != 0).alias("available_for_delivery"),
-        *[
-            (F.lit(0.5) + size % n / F.lit(4.0)).alias(name)
-            for n, name in enumerate(
-                (
-                    "base_popularity_weight",
-                    "cold_weather_affinity",
-                    "hot_weather_affinity",
-                    "lunch_affinity",
-                    "dinner_affinity",
-                    "delivery_affinity",
-                ),
-                start=2,
-            )
-        ],
-        F.lit(" Synthetic").alias("source_type"),
-        F.when(size % 7 == 0, "https://example.org/menu").otherwise(" ").alias("source_url"),
+    weights = (
+        "base_popularity_weight",
+        "cold_weather_affinity",
+        "hot_weather_affinity",
+        "lunch_affinity",
+        "dinner_affinity",
+        "delivery_affinity",
+    )
+    return part.selectExpr(
+        "cast(p_partkey as string) as menu_item_id",
+        "concat(' ', p_name) as item_name",
+        "concat(p_type, ' ') as category",
+        "p_retailprice as selling_price",
+        "p_size as estimated_prep_minutes",
+        "p_size % 2 = 0 as vegetarian",
+        "p_size % 4 = 0 as vegan",
+        "p_size % 3 = 0 as gluten_free",
+        "p_size % 5 <> 0 as available_for_delivery",
+        *[f"0.5D + p_size % {n} / 4.0D as {name}" for n, name in enumerate(weights, start=2)],
+        "' Synthetic' as source_type",
+        "if(p_size % 7 = 0, 'https://example.org/menu', ' ') as source_url",
     )
 
 
 def raw_ingredients(supplier: DataFrame) -> DataFrame:
-    key = F.col("s_suppkey")
-    cost = _money(F.abs("s_acctbal")) * F.lit("0.0010").cast("decimal(5,4)")
-    return supplier.select(
-        _text("s_suppkey").alias("ingredient_id"),
-        F.concat("s_name", F.lit(" ")).alias("ingredient_name"),
-        F.concat(F.lit("Category "), (F.col("s_nationkey") % 5).cast("string")).alias("ingredient_category"),
-        F.lit(" Kilograms").alias("unit"),
-        _money(cost, 4).alias("estimated_unit_cost"),
-        (key % 30).alias("shelf_life_days"),
-        (key % 100 * F.lit(10.0)).alias("reorder_level"),
-        (key % 50 * F.lit(1.0)).alias("safety_stock"),
-        _text("s_nationkey").alias("supplier_id"),
-        F.lit(True).alias("synthetic_estimate"),
+    return supplier.selectExpr(
+        "cast(s_suppkey as string) as ingredient_id",
+        "concat(s_name, ' ') as ingredient_name",
+        "concat('Category ', s_nationkey % 5) as ingredient_category",
+        "' Kilograms' as unit",
+        "cast(cast(abs(s_acctbal) as decimal(10,2)) * 0.0010BD as decimal(10,4)) as estimated_unit_cost",
+        "s_suppkey % 30 as shelf_life_days",
+        "s_suppkey % 100 * 10.0D as reorder_level",
+        "s_suppkey % 50 * 1.0D as safety_stock",
+        "cast(s_nationkey as string) as supplier_id",
+        "true as synthetic_estimate",
     )
 
 
 def raw_suppliers(nation: DataFrame) -> DataFrame:
-    key = F.col("n_nationkey")
-    return nation.select(
-        _text("n_nationkey").alias("supplier_id"),
-        F.col("n_name").alias("supplier_name"),
-        F.concat(F.lit(" Region "), _text("n_regionkey")).alias("supplier_category"),
-        (key % 7).alias("average_lead_time_days"),
-        (key / F.lit(16.0)).alias("reliability_score"),
-        F.lit(True).alias("synthetic_estimate"),
+    return nation.selectExpr(
+        "cast(n_nationkey as string) as supplier_id",
+        "n_name as supplier_name",
+        "concat(' Region ', n_regionkey) as supplier_category",
+        "n_nationkey % 7 as average_lead_time_days",
+        "n_nationkey / 16.0D as reliability_score",
+        "true as synthetic_estimate",
     )
 
 
 def raw_recipes(lineitem: DataFrame) -> DataFrame:
-    return lineitem.groupBy("l_partkey", "l_suppkey").agg(
-        F.max("l_quantity").alias("quantity_required"), F.max("l_tax").alias("estimated_wastage_pct")
-    ).select(
-        _text("l_partkey").alias("menu_item_id"),
-        _text("l_suppkey").alias("ingredient_id"),
-        "quantity_required",
-        F.lit("Kilograms ").alias("unit"),
-        "estimated_wastage_pct",
+    widest = lineitem.groupBy("l_partkey", "l_suppkey").agg(F.max("l_quantity").alias("q"), F.max("l_tax").alias("w"))
+    return widest.selectExpr(
+        "cast(l_partkey as string) as menu_item_id",
+        "cast(l_suppkey as string) as ingredient_id",
+        "q as quantity_required",
+        "'Kilograms ' as unit",
+        "w as estimated_wastage_pct",
     )
 
 
-def _hourly_rate(key: str) -> Column:
-    return _money(20 + F.col(key) % 20)
-
-
 def raw_employees(supplier: DataFrame) -> DataFrame:
-    nation = F.col("s_nationkey")
-    department = F.when(nation == 24, "Office").when(nation % 2 == 0, "Kitchen ").otherwise(" Front of House")
-    return supplier.select(
-        _text("s_suppkey").alias("employee_id"),
-        F.col("s_name").alias("employee_name"),
-        department.alias("department"),
-        F.when(nation % 2 == 0, "Cook ").otherwise("Waiter").alias("role"),
-        F.when(nation % 3 == 0, "Full-time").when(nation % 3 == 1, " Part-time").otherwise("Casual").alias(
-            "employment_type"
-        ),
-        _hourly_rate("s_suppkey").alias("hourly_rate"),
-        F.lit(38).alias("standard_weekly_hours"),
-        (F.col("s_acctbal") > 0).alias("active"),
-        F.lit(True).alias("synthetic_estimate"),
+    return supplier.selectExpr(
+        "cast(s_suppkey as string) as employee_id",
+        "s_name as employee_name",
+        "case when s_nationkey = 24 then 'Office' when s_nationkey % 2 = 0 then 'Kitchen ' else ' Front of House' end "
+        "as department",
+        "if(s_nationkey % 2 = 0, 'Cook ', 'Waiter') as role",
+        "case s_nationkey % 3 when 0 then 'Full-time' when 1 then ' Part-time' else 'Casual' end as employment_type",
+        "cast(20 + s_suppkey % 20 as decimal(10,2)) as hourly_rate",
+        "38 as standard_weekly_hours",
+        "s_acctbal > 0 as active",
+        "true as synthetic_estimate",
     )
 
 
-def _line_key(prefix: str) -> Column:
-    return F.concat_ws("-", F.lit(prefix), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+def _line_key(prefix: str) -> str:
+    return f"concat_ws('-', '{prefix}', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
 
 
 def raw_employee_shifts(lineitem: DataFrame) -> DataFrame:
-    absent = F.col("l_returnflag") == "R"
-    scheduled = F.col("l_quantity") / F.lit(8.0)
-    actual = F.when(absent & (F.col("l_linenumber") < 7), 0.0).otherwise(scheduled)
-    start_hour = F.when(F.col("l_linestatus") == "O", 11).otherwise(15)
-    length = F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), (F.col("l_quantity") * 450 - 1800).cast("decimal(18,6)")
-    )
-    start = _after("l_shipdate", start_hour, F.lit(0))
-    return lineitem.select(
-        _line_key("S").alias("shift_id"),
-        _text("l_suppkey").alias("employee_id"),
-        F.to_date("l_shipdate").alias("business_date"),
-        F.lit(" Chef").alias("role"),
-        start.alias("shift_start"),
-        (start + length).alias("shift_end"),
-        F.lit(30).alias("break_minutes"),
-        scheduled.alias("scheduled_hours"),
-        actual.alias("actual_hours"),
-        absent.alias("absence_flag"),
-        _hourly_rate("l_suppkey").alias("hourly_rate"),
-        _money(actual.cast("decimal(8,3)") * _hourly_rate("l_suppkey")).alias("labour_cost"),
+    return lineitem.selectExpr(
+        "*",
+        "l_shipdate + make_dt_interval(0, if(l_linestatus = 'O', 11, 15), 0, 0) as _start",
+        "if(l_returnflag = 'R' and l_linenumber < 7, 0.0D, l_quantity / 8.0D) as _worked",
+        "cast(20 + l_suppkey % 20 as decimal(10,2)) as _rate",
+    ).selectExpr(
+        f"{_line_key('S')} as shift_id",
+        "cast(l_suppkey as string) as employee_id",
+        "to_date(l_shipdate) as business_date",
+        "' Chef' as role",
+        "_start as shift_start",
+        "_start + make_dt_interval(0, 0, 0, cast(l_quantity * 450 - 1800 as decimal(18,6))) as shift_end",
+        "30 as break_minutes",
+        "l_quantity / 8.0D as scheduled_hours",
+        "_worked as actual_hours",
+        "l_returnflag = 'R' as absence_flag",
+        "_rate as hourly_rate",
+        "cast(cast(_worked as decimal(8,3)) * _rate as decimal(10,2)) as labour_cost",
     )
 
 
 def raw_inventory_movements(lineitem: DataFrame) -> DataFrame:
-    flag, status, line = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_linenumber")
-    kind = (
-        F.when((flag == "N") & (line == 7), "Stock Adjustment")
-        .when(flag == "N", "Supplier Delivery ")
-        .when(flag == "A", "Sales Consumption")
-        .when(status == "O", " Waste")
-        .otherwise("Expired Stock")
-    )
-    change = F.when(flag == "N", F.col("l_quantity") * 2).otherwise(-F.col("l_quantity"))
-    unit_cost = _money(_money(F.col("l_extendedprice")) * F.lit("0.0001").cast("decimal(5,4)"), 4)
-    reference = (
-        F.when((flag == "N") & (line == 1), " EMERGENCY-").when(flag == "N", "PO-").when(flag == "A", "ORD-").otherwise("LOG-")
-    )
-    return lineitem.select(
-        _line_key("M").alias("movement_id"),
-        _after("l_shipdate", 5 + line, F.col("l_orderkey") % 60).alias("movement_timestamp"),
-        F.to_date("l_shipdate").alias("business_date"),
-        _text("l_suppkey").alias("ingredient_id"),
-        kind.alias("movement_type"),
-        change.alias("quantity_change"),
-        F.lit("KILOGRAMS").alias("unit"),
-        unit_cost.alias("unit_cost"),
-        _money(change.cast("decimal(6,0)") * unit_cost, 4).alias("movement_value"),
-        F.concat(reference, _text("l_orderkey")).alias("reference_id"),
+    return lineitem.selectExpr(
+        "*",
+        "if(l_returnflag = 'N', 2 * l_quantity, -l_quantity) as _change",
+        "cast(cast(l_extendedprice as decimal(10,2)) * 0.0001BD as decimal(10,4)) as _unit_cost",
+    ).selectExpr(
+        f"{_line_key('M')} as movement_id",
+        "l_shipdate + make_dt_interval(0, 5 + l_linenumber, int(l_orderkey % 60), 0) as movement_timestamp",
+        "to_date(l_shipdate) as business_date",
+        "cast(l_suppkey as string) as ingredient_id",
+        "case when l_returnflag = 'N' and l_linenumber = 7 then 'Stock Adjustment' "
+        "when l_returnflag = 'N' then 'Supplier Delivery ' when l_returnflag = 'A' then 'Sales Consumption' "
+        "when l_linestatus = 'O' then ' Waste' else 'Expired Stock' end as movement_type",
+        "_change as quantity_change",
+        "'KILOGRAMS' as unit",
+        "_unit_cost as unit_cost",
+        "cast(cast(_change as decimal(6,0)) * _unit_cost as decimal(10,4)) as movement_value",
+        "concat(case when l_returnflag = 'N' and l_linenumber = 1 then ' EMERGENCY-' when l_returnflag = 'N' "
+        "then 'PO-' when l_returnflag = 'A' then 'ORD-' else 'LOG-' end, l_orderkey) as reference_id",
     )
 
 
-def raw_reviews(events: DataFrame) -> DataFrame:
-    user = F.col("user_id")
-    rating = F.when(~((F.col("event_type") == "signup") & (user % 7 == 0)), user % 6)
-    complaint = (
-        F.when(F.col("event_type") == "error", " Late Order")
-        .when((F.col("event_type") == "purchase") & (user % 5 == 0), "Missing Item")
-        .otherwise("  ")
-    )
-    return events.select(
-        F.concat(F.lit("R"), _text("event_id")).alias("review_id"),
-        (F.col("event_id") * 2).cast("string").alias("order_id"),
-        F.to_date("ts").alias("review_date"),
-        _event_channel().alias("channel"),
-        rating.alias("rating"),
-        F.col("props").alias("review_text"),
-        complaint.alias("complaint_category"),
-        (F.coalesce(rating <= 2, F.lit(False)) | (F.trim(complaint) != "")).alias("response_required_flag"),
-    )
+EVENT_CHANNEL = (
+    "case event_type when 'click' then 'dine_in' when 'view' then 'pickup' when 'purchase' then 'uber_eats' "
+    "when 'signup' then 'doordash' else event_type end as channel"
+)
 
 
-def raw_daily_context(orders: DataFrame) -> DataFrame:
-    span = orders.agg(
-        F.min(F.to_date("o_orderdate")).alias("first_date"), F.max(F.to_date("o_orderdate")).alias("last_date")
+def raw_reviews(events: DataFrame) -> DataFrame:
+    return events.selectExpr(
+        "concat('R', event_id) as review_id",
+        "cast(event_id * 2 as string) as order_id",
+        "to_date(ts) as review_date",
+        EVENT_CHANNEL,
+        "if(event_type = 'signup' and user_id % 7 = 0, null, user_id % 6) as rating",
+        "props as review_text",
+        "case when event_type = 'error' then ' Late Order' when event_type = 'purchase' and user_id % 5 = 0 "
+        "then 'Missing Item' else '  ' end as complaint_category",
+    ).selectExpr(
+        "*", "coalesce(rating <= 2, false) or trim(complaint_category) <> '' as response_required_flag"
     )
-    day = F.col("business_date")
-    return enrich_calendar(day_spine(span)).withColumns({"temperature_c": temperature(day), "rain_mm": rain(day)})
 
 
-def _event_channel() -> Column:
-    return _choose(
-        "event_type",
-        {"click": "dine_in", "view": "pickup", "purchase": "uber_eats", "signup": "doordash"},
-        F.col("event_type"),
+def raw_daily_context(orders: DataFrame) -> DataFrame:
+    span = orders.selectExpr("to_date(o_orderdate) as d").agg(
+        F.min("d").alias("first_date"), F.max("d").alias("last_date")
     )
+    return enrich_calendar(day_spine(span)).selectExpr("*", *WEATHER)
 
 
 def order_events(events: DataFrame) -> DataFrame:
     """The live feed; ``site`` groups users into four feeds.  Works on a batch and on a stream."""
-    return events.select(
-        F.concat(F.lit("site-"), (F.col("user_id") % 4).cast("string")).alias("site"),
-        _text("event_id").alias("event_id"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
-        _event_channel().alias("channel"),
-        F.when(F.hour("ts") < 15, "lunch").otherwise("dinner").alias("daypart"),
-        F.get_json_object("props", "$.k").try_cast("int").alias("item_count"),
-        F.col("value").alias("subtotal"),
-        F.lit("placed").alias("status"),
+    return events.selectExpr(
+        "concat('site-', user_id % 4) as site",
+        "cast(event_id as string) as event_id",
+        "cast(ts as timestamp) as timestamp",
+        EVENT_CHANNEL,
+        "if(hour(ts) < 15, 'lunch', 'dinner') as daypart",
+        "try_cast(get_json_object(props, '$.k') as int) as item_count",
+        "value as subtotal",
+        "'placed' as status",
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    source = {n: read_table(spark, sf_dir, n) for n in ("orders", "lineitem", "part", "supplier", "nation", "events")}
-    return {
-        "orders": raw_orders(source["orders"]),
-        "order_items": raw_order_items(source["lineitem"]),
-        "menu_items": raw_menu_items(source["part"]),
-        "ingredients": raw_ingredients(source["supplier"]),
-        "suppliers": raw_suppliers(source["nation"]),
-        "recipes": raw_recipes(source["lineitem"]),
-        "employees": raw_employees(source["supplier"]),
-        "employee_shifts": raw_employee_shifts(source["lineitem"]),
-        "inventory_movements": raw_inventory_movements(source["lineitem"]),
-        "reviews": raw_reviews(source["events"]),
-        "daily_context": raw_daily_context(source["orders"]),
-    }
+# Raw table: the driver table it is projected from, and the projection.
+BINDINGS = {
+    "orders": ("orders", raw_orders),
+    "order_items": ("lineitem", raw_order_items),
+    "menu_items": ("part", raw_menu_items),
+    "ingredients": ("supplier", raw_ingredients),
+    "suppliers": ("nation", raw_suppliers),
+    "recipes": ("lineitem", raw_recipes),
+    "employees": ("supplier", raw_employees),
+    "employee_shifts": ("lineitem", raw_employee_shifts),
+    "inventory_movements": ("lineitem", raw_inventory_movements),
+    "reviews": ("events", raw_reviews),
+    "daily_context": ("orders", raw_daily_context),
+}
+
+
+class BoundTables(Mapping[str, DataFrame]):
+    """The raw tables by name, each projected when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir, self._made = spark, sf_dir, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            source, project = BINDINGS[name]
+            self._made[name] = project(read_table(self._spark, self._sf_dir, source))
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(RAW_SCHEMAS)
+
+    def __len__(self) -> int:
+        return len(RAW_SCHEMAS)
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> BoundTables:
+    return BoundTables(spark, sf_dir)
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:

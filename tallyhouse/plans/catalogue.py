@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyhouse import schemas
-from tallyhouse.functions import count_where, mean, row_hash, share_where, weighted_mean
+from tallyhouse.functions import aggregate, count_where, mean, row_hash, select, share_where, weighted_mean
 from tallyhouse.operators import calendar, derivations, drilldowns, forecasting, history, marts, quality
 from tallyhouse.operators.ordering import rank_and_group_total, top_rows
 from tallyhouse.plans import bindings
@@ -130,7 +130,7 @@ def load_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def row_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = bindings.read_table(spark, sf_dir, "lineitem")
-    return lines.select("l_orderkey", "l_linenumber", row_hash(lines.columns).alias("record_hash"))
+    return lines.selectExpr("l_orderkey", "l_linenumber", f"{row_hash(lines.columns)} as record_hash")
 
 
 def replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,7 +194,7 @@ on_warehouse(
 )
 on_warehouse(
     "j2_left_join",
-    lambda w: w.fact_reviews.groupBy("daypart").agg(F.count("*").alias("reviews"), mean("rating").alias("rating")),
+    lambda w: aggregate(w.fact_reviews, ["daypart"], "count(*) as reviews", f"{mean('rating')} as rating"),
 )
 on_warehouse(
     "j3_full_outer_join",
@@ -208,9 +208,9 @@ on_warehouse(
 )
 on_warehouse(
     "j4_one_row_scalar",
-    lambda w: w.stg_orders.groupBy("channel")
-    .agg(F.count("*").alias("orders"))
-    .withColumn("share", F.col("orders") / w.stg_orders.agg(F.count("*")).scalar()),
+    lambda w: aggregate(w.stg_orders, ["channel"], "count(*) as orders")
+    .withColumn("_all", w.stg_orders.agg(F.count("*")).scalar())
+    .selectExpr("channel", "orders", "orders / _all as share"),
 )
 on_warehouse(
     "j5_using_join",
@@ -233,11 +233,13 @@ on_warehouse(
 
 on_warehouse(
     "g1_basic_aggregates",
-    lambda w: w.stg_orders.groupBy("channel").agg(
-        F.count("*").alias("orders"),
-        F.sum("net_sales").alias("net_sales"),
-        mean("net_sales").alias("average_net_sales"),
-        F.max("net_sales").alias("largest"),
+    lambda w: aggregate(
+        w.stg_orders,
+        ["channel"],
+        "count(*) as orders",
+        "sum(net_sales) as net_sales",
+        f"{mean('net_sales')} as average_net_sales",
+        "max(net_sales) as largest",
     ),
 )
 on_warehouse(
@@ -246,8 +248,11 @@ on_warehouse(
 )
 on_warehouse(
     "g3_conditional_aggregates",
-    lambda w: w.stg_orders.groupBy("daypart").agg(
-        count_where(F.col("is_late")).alias("late"), share_where(F.col("has_missing_item")).alias("missing_share")
+    lambda w: aggregate(
+        w.stg_orders,
+        ["daypart"],
+        f"{count_where('is_late')} as late",
+        f"{share_where('has_missing_item')} as missing_share",
     ),
 )
 on_warehouse("g4_median", lambda w: w.stg_orders.groupBy("channel").agg(F.median("preparation_minutes").alias("median")))
@@ -258,30 +263,29 @@ on_warehouse(
 on_warehouse("g6_distinct_names", lambda w: marts.affected_items(w.stg_recipes, w.stg_menu_items))
 on_warehouse(
     "g7_weighted_mean",
-    lambda w: w.stg_order_items.groupBy("item_status").agg(
-        weighted_mean(F.col("unit_price").cast("decimal(12,2)"), F.col("quantity")).alias("mean_unit_price")
+    lambda w: aggregate(
+        w.stg_order_items, ["item_status"], f"{weighted_mean('unit_price', 'quantity')} as mean_unit_price"
     ),
 )
 on_warehouse("g8_value_counts", lambda w: drilldowns.value_counts(w.stg_inventory_movements, "movement_type"))
 on_warehouse(
     "g9_boolean_mean",
-    lambda w: w.stg_reviews.groupBy("channel").agg(share_where(F.col("is_response_required")).alias("share")),
+    lambda w: aggregate(w.stg_reviews, ["channel"], f"{share_where('is_response_required')} as share"),
 )
 on_warehouse(
     "g10_argmax",
-    lambda w: w.int_hourly_demand.groupBy("daypart").agg(
-        F.max_by(
-            F.struct("business_date", "order_hour", "order_count"),
-            F.struct("order_count", F.col("business_date"), F.col("order_hour")),
-        ).alias("top")
-    ).select("daypart", "top.business_date", "top.order_hour", "top.order_count"),
+    lambda w: aggregate(
+        w.int_hourly_demand,
+        ["daypart"],
+        "max_by(struct(business_date, order_hour, order_count), struct(order_count, business_date, order_hour)) as top",
+    ).selectExpr("daypart", "top.business_date", "top.order_hour", "top.order_count"),
 )
 on_warehouse("g11_pivot", lambda w: drilldowns.demand_pivot(drilldowns.hourly_heatmap(w.int_hourly_demand, w.dim_date)))
 on_warehouse(
     "g12_quartiles",
-    lambda w: w.stg_orders.groupBy("daypart")
-    .agg(F.percentile("preparation_minutes", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-    .select("daypart", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3")),
+    lambda w: aggregate(
+        w.stg_orders, ["daypart"], "percentile(preparation_minutes, array(0.25, 0.5, 0.75)) as q"
+    ).selectExpr("daypart", "q[0] as q1", "q[1] as median", "q[2] as q3"),
 )
 on_feed(
     "g13_count_map",
@@ -295,9 +299,8 @@ on_feed(
 
 def _sales(w: Warehouse) -> DataFrame:
     items = w.stg_menu_items.select("menu_item_id", "category")
-    return items.join(marts.sold_item_stats(w.stg_orders, w.stg_order_items), "menu_item_id", "left").select(
-        "menu_item_id", "category", "revenue"
-    )
+    sold = marts.sold_item_stats(w.stg_orders, w.stg_order_items)
+    return select(items.join(sold, "menu_item_id", "left"), "menu_item_id, category, revenue")
 
 
 on_warehouse(
@@ -317,7 +320,7 @@ on_warehouse(
 
 def each_channel(days: DataFrame) -> DataFrame:
     """Every row once per listed channel."""
-    return days.withColumn("channel", F.explode(F.array(*[F.lit(c) for c in schemas.CHANNELS])))
+    return days.selectExpr("*", f"explode(array{schemas.CHANNELS}) as channel")
 
 
 def daily_by_channel(w: Warehouse) -> DataFrame:
@@ -348,24 +351,20 @@ on_feed("w7_trailing_window", lambda e: history.rolling_kpis(e, 15))
 on_warehouse(
     "o1_top_items",
     lambda w: top_rows(
-        w.stg_order_items.groupBy("menu_item_id").agg(F.sum("quantity").alias("units")),
-        [F.desc("units"), F.asc("menu_item_id")],
-        10,
+        aggregate(w.stg_order_items, ["menu_item_id"], "sum(quantity) as units"), "units desc, menu_item_id", 10
     ),
 )
 on_warehouse(
     "o2_bottom_ingredients",
     lambda w: top_rows(
-        w.dim_ingredient.select("ingredient_id", "estimated_unit_cost"),
-        [F.col("estimated_unit_cost").asc_nulls_last(), F.asc("ingredient_id")],
-        5,
+        select(w.dim_ingredient, "ingredient_id, estimated_unit_cost"), "estimated_unit_cost, ingredient_id", 5
     ),
 )
 on_warehouse(
     "o3_sort_head",
     lambda w: top_rows(
-        w.stg_orders.where("status = 'Cancelled'").select("order_id", "business_date", "net_sales", "subtotal"),
-        [F.desc("subtotal"), F.asc("order_id")],
+        select(w.stg_orders.where("status = 'Cancelled'"), "order_id, business_date, net_sales, subtotal"),
+        "subtotal desc, order_id",
         15,
     ),
 )
@@ -470,7 +469,7 @@ on_warehouse(
 
 on_warehouse("v1_violation_report", lambda w: quality.report("orders", quality.failures(
     w.stg_orders, "order_id",
-    {"large refund": F.col("refund_amount") > 200000, "late": F.col("is_late"), "never": F.col("subtotal") < 0},
+    {"large refund": "refund_amount > 200000", "late": "is_late", "never": "subtotal < 0"},
 )))
 on_warehouse("v2_daily_context", lambda w: quality.check_daily_context(w.stg_daily_context))
 on_warehouse("v3_orders", lambda w: quality.check_orders(w.stg_orders))
@@ -549,11 +548,8 @@ def _split(w: Warehouse) -> tuple[DataFrame, DataFrame]:
 def future_days(w: Warehouse, days: int = forecasting.FORECAST_DAYS) -> DataFrame:
     """Calendar rows after the last known date, with the bindings' weather."""
     last = w.stg_daily_context.agg(F.max("business_date").alias("d"))
-    span = last.select(F.date_add("d", 1).alias("first_date"), F.date_add("d", days).alias("last_date"))
-    day = F.col("business_date")
-    raw = calendar.enrich_calendar(calendar.day_spine(span)).withColumns(
-        {"temperature_c": bindings.temperature(day), "rain_mm": bindings.rain(day)}
-    )
+    span = last.selectExpr("date_add(d, 1) as first_date", f"date_add(d, {days}) as last_date")
+    raw = calendar.enrich_calendar(calendar.day_spine(span)).selectExpr("*", *bindings.WEATHER)
     return Warehouse(w.spark, {"daily_context": raw}).stg_daily_context
 
 
@@ -628,25 +624,19 @@ on_warehouse("x10_staffing", staffing_from_history)
 
 # --- 2.13: the live feed in batch ------------------------------------------------------------
 
-SESSION_START = "2024-01-01 00:00:00"
-
-
-def _start():
-    return F.lit(SESSION_START).cast("timestamp")
+SESSION_START = "timestamp '2024-01-01 00:00:00'"
+NOON = "timestamp '2024-01-15 12:00:00'"
 
 
 on_feed("r1_rolling_kpis", lambda e: history.rolling_kpis(e, 15, ["site"]))
 on_feed("r2_snapshot_latest", lambda e: history.snapshot(e, 600))
-on_feed("r2_snapshot_as_of", lambda e: history.snapshot(
-    e.where(F.col("timestamp") <= F.lit("2024-01-15 12:00:00").cast("timestamp")), 600,
-    F.lit("2024-01-15 12:00:00").cast("timestamp"),
-))
+on_feed("r2_snapshot_as_of", lambda e: history.snapshot(e.where(f"timestamp <= {NOON}"), 600, NOON))
 on_feed("r3_recent_events", lambda e: history.recent_events(e, 20, 600))
 on_feed("r4_session_history", lambda e: history.latest_events(e, history.HISTORY_LIMIT))
-on_feed("r5_session_summary", lambda e: history.session_summary(e, _start()))
+on_feed("r5_session_summary", lambda e: history.session_summary(e, SESSION_START))
 on_feed(
     "r5_session_summary_capped",
-    lambda e: history.session_summary(history.latest_events(e, history.HISTORY_LIMIT), _start()),
+    lambda e: history.session_summary(history.latest_events(e, history.HISTORY_LIMIT), SESSION_START),
 )
 on_feed("r6_minute_buckets", lambda e: history.minute_buckets(e, 600))
 on_feed("r7_channel_breakdown", history.channel_breakdown)
@@ -691,6 +681,6 @@ register(
         bindings.read_table(spark, sf_dir, "orders")
         .select(F.to_date("o_orderdate").alias("business_date"))
         .distinct()
-    ).withColumn("holiday", calendar.holiday_name(F.col("business_date"))),
+    ).selectExpr("*", f"{calendar.holiday_name('business_date')} as holiday"),
 )
 

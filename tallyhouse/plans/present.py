@@ -2,36 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-SCALE = 1_000_000.0
 
-
-def _shape(field: T.StructField) -> Column:
-    column = F.col(f"`{field.name}`")
-    kind = field.dataType
+def _shape(field: T.StructField) -> str:
+    name, kind = f"`{field.name}`", field.dataType
     if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
-        column = column.cast("bigint")
-    elif isinstance(kind, (T.FloatType, T.DoubleType)):
-        column = F.floor(column.cast("double") * SCALE + 0.5) / F.lit(SCALE)
-    elif isinstance(kind, T.DecimalType):
-        column = column.cast(T.DecimalType(38, kind.scale))
-    elif isinstance(kind, T.TimestampType):
-        column = column.cast("timestamp_ntz")
-    elif isinstance(kind, T.MapType):
-        column = map_text(column)
-    return column.alias(field.name)
-
-
-def map_text(column: Column) -> Column:
+        return f"cast({name} as bigint) as {name}"
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return f"floor({name} * 1000000.0D + 0.5D) / 1000000.0D as {name}"
+    if isinstance(kind, T.DecimalType):
+        return f"cast({name} as decimal(38,{kind.scale})) as {name}"
+    if isinstance(kind, T.TimestampType):
+        return f"cast({name} as timestamp_ntz) as {name}"
+    if isinstance(kind, T.MapType):
+        return f"{map_text(name)} as {name}"
+    return name
+
+
+def map_text(name: str) -> str:
     """A map of counts as ``key=value`` pairs in key order."""
-    pairs = F.transform(
-        F.array_sort(F.map_entries(column)),
-        lambda e: F.concat(e["key"].cast("string"), F.lit("="), e["value"].cast("string")),
-    )
-    return F.array_join(pairs, ",")
+    return f"array_join(transform(array_sort(map_entries({name})), e -> concat(e.key, '=', e.value)), ',')"
 
 
 def present(rows: DataFrame) -> DataFrame:
@@ -40,4 +32,4 @@ def present(rows: DataFrame) -> DataFrame:
     Doubles are rounded by multiply, floor and divide, which every engine computes alike;
     library ``round`` functions disagree about values halfway between two results.
     """
-    return rows.select(*[_shape(f) for f in rows.schema])
+    return rows.selectExpr(*[_shape(f) for f in rows.schema])

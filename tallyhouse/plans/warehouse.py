@@ -6,6 +6,7 @@ Every layer is a lazy DataFrame made on first use.  ``store`` writes dimensions,
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +37,7 @@ MARTS = (
 class Warehouse:
     """Lazy layers over the eleven raw tables."""
 
-    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame]):
+    def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame]):
         self.spark = spark
         self.raw = raw
 
@@ -206,17 +207,18 @@ class Warehouse:
     # S11
 
     def store(self, folder: str, names: tuple[str, ...] = DIMENSIONS + FACTS + MARTS) -> dict[str, int]:
-        """Writes the named layers under a folder; dated facts are partitioned by date.
+        """Writes the named layers under a folder; facts are laid out by business date.
 
-        Facts are written first and later layers read them back, so each is computed once.
-        Returns rows per table.
+        Later layers read a stored fact back instead of computing it again.  Returns rows per
+        table.
         """
         counts = {}
         for name in names:
-            dated = "business_date" if name in FACTS else None
-            counts[name] = tables.replace_table(getattr(self, name), f"{folder}/{name}", partition_by=dated)
+            frame = getattr(self, name)
+            layout = ("business_date", frame.columns[0]) if name in FACTS else ()
+            counts[name] = tables.replace_table(frame, f"{folder}/{name}", layout)
             if name in FACTS:
-                self.__dict__[name] = tables.read_table(self.spark, f"{folder}/{name}", getattr(self, name).schema)
+                self.__dict__[name] = tables.read_table(self.spark, f"{folder}/{name}", frame.schema)
         return counts
 
 

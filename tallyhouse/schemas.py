@@ -25,7 +25,6 @@ CHANNEL_REFERENCE = (
     ("uber_eats", "Uber Eats", True, 0.28),
     ("doordash", "DoorDash", True, 0.25),
 )
-CHANNEL_REFERENCE_SCHEMA = "channel string, channel_label string, is_delivery_channel boolean, commission_rate double"
 
 # Raw tables as they lie in CSV files, in column order.
 RAW_SCHEMAS = {

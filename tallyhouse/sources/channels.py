@@ -3,18 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tallyhouse.schemas import CHANNEL_REFERENCE, CHANNEL_REFERENCE_SCHEMA
+from tallyhouse.schemas import CHANNEL_REFERENCE
 
 
 def channel_reference(spark: SparkSession) -> DataFrame:
-    """Four fixed rows, built as an inline table so that no Python worker starts."""
-    fields = [part.split() for part in CHANNEL_REFERENCE_SCHEMA.split(", ")]
-    rows = F.array(
-        *[
-            F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(row, fields, strict=True)])
-            for row in CHANNEL_REFERENCE
-        ]
+    """Four fixed rows, as an inline table so that no Python worker starts."""
+    rows = ", ".join(
+        f"('{channel}', '{label}', {str(delivery).lower()}, {rate}D)" for channel, label, delivery, rate in CHANNEL_REFERENCE
+    )
+    return spark.sql(
+        f"select * from values {rows} as c(channel, channel_label, is_delivery_channel, commission_rate)"
     )
-    return spark.range(1).select(F.inline(rows))

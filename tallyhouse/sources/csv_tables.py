@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tallyhouse.functions import blank_to_null, row_hash
+from tallyhouse.functions import row_hash
 from tallyhouse.schemas import RAW_SCHEMAS
 from tallyhouse.sources.tables import replace_table
 
@@ -32,7 +32,9 @@ def scan_seed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """
     text = StructType([StructField(f.name, StringType()) for f in schema])
     rows = spark.read.schema(text).option("header", True).csv(path)
-    return rows.select(*[blank_to_null(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
+    return rows.selectExpr(
+        *[f"try_cast(nullif(trim({f.name}), '') as {f.dataType.simpleString()}) as {f.name}" for f in schema]
+    )
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -51,7 +53,7 @@ def with_load_metadata(rows: DataFrame, batch_id: str, loaded_at: datetime, sour
     file_name = source_file if source_file is not None else F.element_at(F.split("_metadata.file_path", "/"), -1)
     return rows.select(
         "*",
-        row_hash(rows.columns).alias("record_hash"),
+        F.expr(row_hash(rows.columns)).alias("record_hash"),
         F.lit(loaded_at).cast("timestamp").alias("loaded_at"),
         file_name.alias("source_file"),
         F.lit(batch_id).alias("batch_id"),
