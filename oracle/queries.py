@@ -626,6 +626,25 @@ add("r10_rejected_events", f"""select {pick(EVENT)}, violations from (select *,
     case when not coalesce(item_count > 0, false) then 'item_count' end,
     case when not coalesce(subtotal > 0, false) then 'subtotal' end) as violations from s_events) where violations <> ''""")
 
+SQL["s9_event_stream"] = SQL["r10_valid_events"]
+SQL["r10_stream_rejects"] = SQL["r10_rejected_events"]
+SQL["r1_stream_rolling"] = SQL["r1_rolling_kpis"]
+add("r9_stream_latest", f"""select * exclude place from (select *, row_number() over (partition by site
+    order by "timestamp" desc) as place from rolled) where place = 1""", rolled=trailing("site"))
+add("s10_messages", """select 'order' as type, event_id, channel, cast(order_count as varchar) as order_count,
+    nullif(regexp_extract(orders_by_channel, 'dine_in=([0-9]+)', 1), '') as dine_in
+    from rolled join valid_events using (event_id)""", rolled=trailing("site"))
+add("r4_stream_history", f"""select {pick(EVENT)} from (select *, row_number() over (partition by site
+    order by "timestamp" desc, event_id desc) as place from valid_events) where place <= 500""")
+add("r3_stream_open_window", f"""select {pick(EVENT)} from (select *, max("timestamp") over (partition by site) as newest
+    from valid_events) where "timestamp" >= newest - interval 15 minutes""")
+add("r5_stream_totals", """select channel, count(*) as order_count,
+    cast(sum(cast(subtotal as decimal(18,6))) as decimal(38,6)) as revenue, min("timestamp") as first_order,
+    max("timestamp") as last_order from valid_events group by 1""")
+add("r6_stream_minutes", """select date_trunc('minute', "timestamp") as minute, count(*) as "count" from valid_events
+    group by 1 having date_trunc('minute', "timestamp") + interval 1 minute
+      <= date_trunc('millisecond', (select max("timestamp") from valid_events)) - interval 10 minutes""")
+
 # --- derived tables --------------------------------------------------------------------------
 
 add("a1_ingredient_consumption", f"""select l.business_date, r.ingredient_id,

@@ -27,14 +27,24 @@ WEEKDAY_HOLIDAYS = (
 )
 
 
-def easter_sunday(year: str) -> str:
-    """Gregorian Easter by Oudin's integer method: an offset from 28 March."""
-    century = f"({year} div 100)"
-    golden = f"({year} % 19)"
-    epact = f"(({century} - {century} div 4 - ({century} - ({century} - 17) div 25) div 3 + 19 * {golden} + 15) % 30)"
-    full_moon = f"({epact} - case when {epact} = 29 or ({epact} = 28 and {golden} > 10) then 1 else 0 end)"
-    weekday = f"(({year} + {year} div 4 + {full_moon} + 2 - {century} + {century} div 4) % 7)"
-    return f"date_add(make_date({year}, 3, 28), int({full_moon} - {weekday}))"
+def with_easter(days: DataFrame, day: str = "business_date") -> DataFrame:
+    """Adds ``_easter``, Easter Sunday of the date's year, by Oudin's integer method.
+
+    The method ends in an offset from 28 March.  Its steps are columns of their own, because each
+    is used several times by the next.
+    """
+    steps = (
+        f"year({day}) as _year",
+        "_year div 100 as _century",
+        "(_century - _century div 4 - (_century - (_century - 17) div 25) div 3 + 19 * (_year % 19) + 15) % 30 as _epact",
+        "_epact - case when _epact = 29 or (_epact = 28 and _year % 19 > 10) then 1 else 0 end as _moon",
+        "_moon - (_year + _year div 4 + _moon + 2 - _century + _century div 4) % 7 as _offset",
+        "date_add(make_date(_year, 3, 28), int(_offset)) as _easter",
+    )
+    kept = days.columns
+    for step in steps:
+        days = days.selectExpr("*", step)
+    return days.selectExpr(*kept, "_easter")
 
 
 def nth_weekday(year: str, month: int, weekday: str, n: int) -> str:
@@ -46,13 +56,11 @@ def _quoted(text: str) -> str:
     return '"' + text + '"'
 
 
-def holiday_name(day: str) -> str:
-    """Name of the public holiday on a date, NULL on ordinary days."""
-    year = f"year({day})"
-    easter = easter_sunday(year)
-    rules = [(f"{day} = date_sub({easter}, 2)", "Good Friday"), (f"{day} = date_add({easter}, 1)", "Easter Monday")]
+def holiday_name(day: str = "business_date") -> str:
+    """Name of the public holiday on a date with ``_easter``, NULL on ordinary days."""
+    rules = [(f"{day} = date_sub(_easter, 2)", "Good Friday"), (f"{day} = date_add(_easter, 1)", "Easter Monday")]
     rules += [(f"month({day}) = {m} and dayofmonth({day}) = {d}", name) for m, d, name in DATED_HOLIDAYS]
-    rules += [(f"{day} = {nth_weekday(year, m, weekday, n)}", name) for m, weekday, n, name in WEEKDAY_HOLIDAYS]
+    rules += [(f"{day} = {nth_weekday(f'year({day})', m, weekday, n)}", name) for m, weekday, n, name in WEEKDAY_HOLIDAYS]
     return "case " + " ".join(f"when {rule} then {_quoted(name)}" for rule, name in rules) + " end"
 
 
@@ -62,15 +70,19 @@ def day_spine(span: DataFrame) -> DataFrame:
 
 
 def enrich_calendar(days: DataFrame) -> DataFrame:
-    """Adds day name and the four calendar columns to a frame with ``business_date``."""
+    """Adds day name, the four calendar columns and the holiday's name to ``business_date``."""
     day = "business_date"
     events = " or ".join(f"(month({day}) = {m} and dayofmonth({day}) = {d})" for m, d in CITY_EVENTS)
     titles = " ".join(f"when {_quoted(weekday)} then {_quoted(title)}" for weekday, title in PROMOTIONS.items())
-    return days.selectExpr(
-        "*",
-        f"date_format({day}, 'EEEE') as day_name",
+    named = with_easter(days).selectExpr(
+        *days.columns, f"date_format({day}, 'EEEE') as day_name", f"{holiday_name(day)} as holiday_name"
+    )
+    return named.selectExpr(
+        *days.columns,
+        "day_name",
         f"weekday({day}) >= 5 as weekend_flag",
-        f"{holiday_name(day)} is not null as public_holiday_flag",
+        "holiday_name is not null as public_holiday_flag",
         f"{events} as city_event_flag",
-        f"case date_format({day}, 'EEEE') {titles} end as promotion_name",
+        f"case day_name {titles} end as promotion_name",
+        "holiday_name",
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tallyhouse.functions import aggregate, count_where, divided_if_positive, mean, or_zero, select, sums
+from tallyhouse.functions import aggregate, count_where, divided_if_positive, mean, or_zero, select
 from tallyhouse.operators.dimensions import with_margin
 from tallyhouse.operators.facts import SHIFT_DAYPART
 
@@ -84,17 +84,17 @@ def service_performance(orders: DataFrame, reviews: DataFrame) -> DataFrame:
 def shift_labour(shifts: DataFrame, employees: DataFrame) -> DataFrame:
     """Shifts, absences, hours and cost per date, daypart and department.
 
-    Shifts are summed per employee, date and daypart before the join with the roster, then per
-    department.
+    The roster is joined row by row because it is small next to the shifts: once it fits the
+    broadcast threshold no shift moves before the map-side sums; a larger one is shuffled, where
+    adaptive execution splits an employee with very many shifts.
     """
-    per_person = aggregate(
-        shifts.selectExpr("*", SHIFT_DAYPART),
-        ["employee_id", "business_date", "daypart"],
+    placed = shifts.selectExpr("*", SHIFT_DAYPART).join(select(employees, "employee_id, department"), "employee_id")
+    return aggregate(
+        placed,
+        ["business_date", "daypart", "department"],
         "count(*) as shift_count",
         f"{count_where('is_absent')} as absence_count",
         "sum(scheduled_hours) as total_scheduled_hours",
         "sum(actual_hours) as total_actual_hours",
         "sum(labour_cost) as total_labour_cost",
     )
-    placed = per_person.join(select(employees, "employee_id, department"), "employee_id")
-    return aggregate(placed, ["business_date", "daypart", "department"], *sums(*per_person.columns[3:]))

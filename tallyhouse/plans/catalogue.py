@@ -23,6 +23,9 @@ from tallyhouse.plans.warehouse import StoredWarehouse, Warehouse
 from tallyhouse.sources import csv_tables, tables
 from tallyhouse.sources.channels import channel_reference
 from tallyhouse.sources.workdir import new_folder, settle
+from tallyhouse.streaming import rollups
+from tallyhouse.streaming.board import LiveBoard
+from tallyhouse.streaming.source import finish, split_by_contract, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -123,7 +126,7 @@ def seed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = csv_tables.with_load_metadata(
-        bindings.read_table(spark, sf_dir, "customer"), "batch-1", datetime(2024, 1, 1)
+        spark.read.parquet(f"{sf_dir}/customer.parquet"), "batch-1", datetime(2024, 1, 1)
     )
     return loaded.select("c_custkey", *csv_tables.METADATA)
 
@@ -646,6 +649,90 @@ register(
 )
 register("r10_valid_events", lambda spark, sf_dir: history.valid_events(bindings.feed(spark, sf_dir)))
 
+# --- 2.13: the live feed as a stream ---------------------------------------------------------
+
+SLICES = ("2024-01-01", "2024-01-16", "2025-01-01")
+
+
+def _event_files(sf_dir: str) -> str:
+    """The one events file as a pattern; a stream takes folders or patterns, not a file."""
+    return f"{sf_dir}/[e]vents.parquet"
+
+
+def _raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a stream of its files."""
+    schema = bindings.read_table(spark, sf_dir, "events").schema
+    return bindings.order_events(spark.readStream.schema(schema).parquet(_event_files(sf_dir)))
+
+
+def _sliced_stream(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame], list]) -> None:
+    """Runs streams over the events as they arrive in two parts, restarting from the checkpoint."""
+    events, folder = bindings.read_table(spark, sf_dir, "events"), new_folder(spark, "arrivals")
+    for first, last in zip(SLICES, SLICES[1:], strict=False):
+        part = events.where(f"ts >= timestamp_ntz '{first}' and ts < timestamp_ntz '{last}'")
+        part.write.mode("append").parquet(folder)
+        finish(*start(bindings.order_events(spark.readStream.schema(events.schema).parquet(folder))))
+
+
+def stream_contract(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = new_folder(spark, "contract")
+        finish(*split_by_contract(_raw_stream(spark, sf_dir), folder))
+        return spark.read.parquet(f"{folder}/{name}")
+
+    return run
+
+
+def stream_board(show: Callable[[LiveBoard], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        board = LiveBoard(spark, new_folder(spark, "board"))
+        _sliced_stream(spark, sf_dir, lambda events: [board.start(events)])
+        return show(board)
+
+    return run
+
+
+def stream_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "minutes")
+    _sliced_stream(
+        spark,
+        sf_dir,
+        lambda events: [write_table(rollups.minute_counts(history.valid_events(events)), folder, "minutes")],
+    )
+    return spark.read.parquet(f"{folder}/minutes")
+
+
+def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "totals")
+    _sliced_stream(
+        spark,
+        sf_dir,
+        lambda events: [rollups.write_latest(rollups.channel_totals(history.valid_events(events)), folder, "totals")],
+    )
+    return spark.read.parquet(f"{folder}/totals")
+
+
+def _message_fields(messages: DataFrame) -> DataFrame:
+    fields = {
+        "type": "$.type",
+        "event_id": "$.event.event_id",
+        "channel": "$.event.channel",
+        "order_count": "$.summary.order_count",
+        "dine_in": "$.summary.orders_by_channel.dine_in",
+    }
+    return messages.selectExpr(*[f"get_json_object(value, '{path}') as {name}" for name, path in fields.items()])
+
+
+register("s9_event_stream", stream_contract("valid"))
+register("r10_stream_rejects", stream_contract("rejected"))
+register("r1_stream_rolling", stream_board(LiveBoard.kpis))
+register("r3_stream_open_window", stream_board(LiveBoard.open_window))
+register("r4_stream_history", stream_board(LiveBoard.recent_history))
+register("r9_stream_latest", stream_board(LiveBoard.latest))
+register("s10_messages", stream_board(lambda board: _message_fields(board.messages())))
+register("r5_stream_totals", stream_totals)
+register("r6_stream_minutes", stream_minutes)
+
 # --- 2.15: derived tables --------------------------------------------------------------------
 
 on_warehouse(
@@ -681,6 +768,6 @@ register(
         bindings.read_table(spark, sf_dir, "orders")
         .select(F.to_date("o_orderdate").alias("business_date"))
         .distinct()
-    ).selectExpr("*", f"{calendar.holiday_name('business_date')} as holiday"),
+    ).withColumnRenamed("holiday_name", "holiday"),
 )
 
