@@ -19,6 +19,11 @@ def d(x: str) -> str:
     return f"floor(cast({x} as double) * 1000000 + 0.5) / 1000000"
 
 
+def r2(x: str) -> str:
+    """Double to two digits, by the same arithmetic as the Spark side."""
+    return f"floor(({x}) * 100::double + 0.5::double) / 100::double"
+
+
 def m2(x: str) -> str:
     return f"cast({x} as decimal(38,2))"
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.ctes import avg_exact, d, div, m2, m4, n, pick, share, statement
+from oracle.ctes import avg_exact, d, div, m2, m4, n, pick, r2, share, statement
 
 SQL: dict[str, str] = {}
 
@@ -265,8 +265,8 @@ def trailing(feed: str) -> str:
     over = f"""over ({partition}order by "timestamp" range between interval 15 minutes preceding and current row)"""
     return f"""select {feed + ',' if feed else ''} event_id, "timestamp", 15.0::double as window_minutes,
       count(*) {over} as order_count,
-      {d(f"round(cast(sum(cast(subtotal as decimal(18,6))) {over} as double), 2)")} as total_revenue,
-      {d(f"round(sum(item_count) {over} / cast(count(*) {over} as double), 2)")} as average_items_per_order,
+      {d(r2(f"cast(sum(cast(subtotal as decimal(18,6))) {over} as double)"))} as total_revenue,
+      {d(r2(f"sum(item_count) {over} / cast(count(*) {over} as double)"))} as average_items_per_order,
       {channel_text(over=over)} as orders_by_channel from valid_events"""
 
 
@@ -590,8 +590,8 @@ RECENT = """select * from valid_events where "timestamp" >= (select max("timesta
 
 def one_snapshot(source: str) -> str:
     return f"""select 600.0::double as window_minutes, count(*) as order_count,
-      {d('round(coalesce(cast(sum(cast(subtotal as decimal(18,6))) as double), 0), 2)')} as total_revenue,
-      {d('coalesce(round(sum(item_count) / nullif(count(*), 0)::double, 2), 0)')} as average_items_per_order,
+      {d(r2('coalesce(cast(sum(cast(subtotal as decimal(18,6))) as double), 0)'))} as total_revenue,
+      {d(r2('coalesce(sum(item_count) / nullif(count(*), 0)::double, 0)'))} as average_items_per_order,
       {channel_text()} as orders_by_channel from {source}"""
 
 
@@ -604,10 +604,10 @@ add("r3_recent_events", f"""select {pick(EVENT)} from recent order by "timestamp
 
 def session(source: str) -> str:
     return f"""select timestamp '2024-01-01 00:00:00' as session_start,
-      {d("round(date_diff('microsecond', timestamp '2024-01-01 00:00:00', max(\"timestamp\")) / 60000000.0::double, 2)")}
+      {d(r2("date_diff('microsecond', timestamp '2024-01-01 00:00:00', max(\"timestamp\")) / 60000000.0::double"))}
         as session_duration_minutes,
       count(*) as total_orders,
-      {d('round(cast(sum(cast(subtotal as decimal(18,6))) as double), 2)')} as total_revenue,
+      {d(r2('cast(sum(cast(subtotal as decimal(18,6))) as double)'))} as total_revenue,
       (select channel from {source} group by 1 order by count(*) desc, min("timestamp") limit 1) as busiest_channel,
       {channel_text()} as orders_by_channel,
       (select max(c) from (select count(*) as c from {source} group by date_trunc('minute', "timestamp")))

@@ -19,6 +19,7 @@ from tallyhouse.functions.text import (
     share_where,
     sums,
     tidy,
+    two_digits,
     weighted_mean,
 )
 
@@ -37,5 +38,6 @@ __all__ = [
     "share_where",
     "sums",
     "tidy",
+    "two_digits",
     "weighted_mean",
 ]

@@ -76,6 +76,11 @@ def not_in(name: str, allowed: Iterable[str]) -> str:
     return f"not coalesce({name} in ({listed}), false)"
 
 
+def two_digits(value: str) -> str:
+    """A double to two digits by multiply, floor and divide: ties go by the double itself, as in Python."""
+    return f"floor(({value}) * 100D + 0.5D) / 100D"
+
+
 def minutes_between(start: str, end: str) -> str:
     """Elapsed minutes between two timestamps, to the microsecond."""
     return f"(unix_micros(cast({end} as timestamp)) - unix_micros(cast({start} as timestamp))) / 60000000.0D"

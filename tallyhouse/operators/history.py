@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import aggregate, divided, minutes_between, not_in, select
+from tallyhouse.functions import aggregate, divided, minutes_between, not_in, select, two_digits
 from tallyhouse.operators.ordering import running_totals, top_rows
 from tallyhouse.schemas import CHANNELS, DAYPARTS, EVENT_STATUSES
 
@@ -62,8 +62,8 @@ def summary_columns(minutes: float) -> list[str]:
     return [
         f"{float(minutes)}D as window_minutes",
         "bigint(_n) as order_count",
-        "round(double(_revenue), 2) as total_revenue",
-        f"round(coalesce({divided('_items', '_n')}, 0D), 2) as average_items_per_order",
+        f"{two_digits('double(_revenue)')} as total_revenue",
+        f"{two_digits(f'coalesce({divided("_items", "_n")}, 0D)')} as average_items_per_order",
         f"map_from_entries(filter(array({entries}), e -> e.value > 0)) as orders_by_channel",
     ]
 
@@ -169,7 +169,7 @@ def session_summary(events: DataFrame, session_start: str) -> DataFrame:
         by_channel,
         [],
         "coalesce(sum(_orders), 0) as total_orders",
-        "round(double(coalesce(sum(_revenue), 0)), 2) as total_revenue",
+        f"{two_digits('double(coalesce(sum(_revenue), 0))')} as total_revenue",
         "max_by(channel, struct(_orders, -unix_micros(_first))) as busiest_channel",
         "map_from_entries(array_sort(collect_list(struct(channel, _orders)))) as orders_by_channel",
         "max(_last) as _last",
@@ -178,7 +178,7 @@ def session_summary(events: DataFrame, session_start: str) -> DataFrame:
     lasted = minutes_between(session_start, f"coalesce(_last, {session_start})")
     return totals.withColumn("_peak", minutes.agg(F.max("n")).scalar()).selectExpr(
         f"{session_start} as session_start",
-        f"round(greatest({lasted}, 0D), 2) as session_duration_minutes",
+        f"{two_digits(f'greatest({lasted}, 0D)')} as session_duration_minutes",
         "total_orders",
         "total_revenue",
         "busiest_channel",

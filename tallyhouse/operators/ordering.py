@@ -34,21 +34,26 @@ def running_totals(
 
     ``slices`` names columns that cut a key's rows into ordered pieces, coarse to fine, each a
     non-decreasing function of the order (an hour, then a second).  Rows are sorted only inside
-    the finest slice; slice sums, combined on the map side, are run over in turn by the coarser
-    ones.  ``totals`` maps output column to input column.  ``order_by`` must order rows totally
-    for the result to be determined.
+    the finest slice.  What the earlier slices add up to enters a slice as one extra row ahead of
+    its own, so rows are shuffled once and joined with nothing; the slice sums, combined on the
+    map side, are run over in turn by the coarser slices.  ``totals`` maps output column to input
+    column.  ``order_by`` must order rows totally for the result to be determined.
     """
     cut = [*keys, *slices]
     partition = f"partition by {', '.join(cut)}" if cut else ""
-    window = f"over ({partition} order by {order_by} rows between unbounded preceding and current row)"
-    running = rows.selectExpr("*", *[f"sum({source}) {window} as {out}" for out, source in totals.items()])
     if not slices:
-        return running
-    sums = aggregate(rows, cut, *[f"sum({source}) as {out}" for out, source in totals.items()])
-    carried = running_totals(sums, keys, slices[:-1], slices[-1], {f"_upto_{out}": out for out in totals})
-    before = [f"coalesce(_upto_{out}, 0) - coalesce({out}, 0) as _before_{out}" for out in totals]
-    opened = attach(running, carried.selectExpr(*cut, *before), cut)
-    return opened.selectExpr(*rows.columns, *[f"{out} + _before_{out} as {out}" for out in totals])
+        window = f"over ({partition} order by {order_by} rows between unbounded preceding and current row)"
+        return rows.selectExpr("*", *[f"sum({source}) {window} as {out}" for out, source in totals.items()])
+    sums = aggregate(rows, cut, *[f"coalesce(sum({source}), 0) as {out}" for out, source in totals.items()])
+    carried = running_totals(sums, keys, slices[:-1], slices[-1], {f"_upto_{out}": out for out in totals}).selectExpr(
+        *cut, "0 as _own", *[f"_upto_{out} - {out} as _add_{out}" for out in totals]
+    )
+    own = rows.selectExpr("*", "1 as _own", *[f"{source} as _add_{out}" for out, source in totals.items()])
+    window = f"over ({partition} order by _own, {order_by} rows between unbounded preceding and current row)"
+    summed = own.unionByName(carried, allowMissingColumns=True).selectExpr(
+        *rows.columns, "_own", *[f"sum(_add_{out}) {window} as {out}" for out in totals]
+    )
+    return summed.where("_own = 1").drop("_own")
 
 
 def rank_and_group_total(
