@@ -208,6 +208,17 @@ def test_plans_drop_joins_and_columns_nobody_reads(spark, sf_dir):
     assert "o_totalprice" not in demand and "ReadSchema" in demand
 
 
+def test_examples_are_cut_per_task_before_the_shuffle(spark, sf_dir):
+    plan = _plan(quality.check_orders(bindings.warehouse(spark, sf_dir).stg_orders))
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
+
+
+def test_running_balance_sorts_no_whole_ingredient(spark, sf_dir):
+    plan = _plan(quality.running_balance(bindings.warehouse(spark, sf_dir).fact_inventory_movements))
+    assert "Join" not in plan
+    assert "hashpartitioning(ingredient_id" in plan and "_day" in plan and "_hour" in plan
+
+
 def test_stored_facts_skip_files_by_date(spark, sf_dir, tmp_path):
     w = bindings.warehouse(spark, sf_dir)
     rows = w.stg_orders.count()
