@@ -21,6 +21,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SPACE = "▁"
 #: Chunks a worker remembers; beyond it the memory starts anew, which costs time and changes nothing.
@@ -194,7 +195,7 @@ def encode_texts(docs: DataFrame, model_path: str, text: str = "text", ids: str
     very long texts are segmented whole, chunk by chunk.
     """
     out = docs.drop(ids, decoded)
-    schema = out.schema.add(ids, "array<int>").add(decoded, "string")
+    schema = T.StructType([*out.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_path)

@@ -11,6 +11,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.main_text import page_texts
+
+    return page_texts(_table(spark, sf_dir, "pages"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyhouse.llm.pieces import piece_digests
 
@@ -23,5 +29,5 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_sentencepiece, op3_token_files)}
+QUERIES = {f.__name__: f for f in (op1_main_text, op2_sentencepiece, op3_token_files)}
 SQL: dict[str, str] = {}
