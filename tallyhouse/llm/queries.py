@@ -29,5 +29,60 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_main_text, op2_sentencepiece, op3_token_files)}
-SQL: dict[str, str] = {}
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.quality import quality_scores
+
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.decontamination import contamination
+
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.language import language_scores
+
+    return language_scores(_table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.toxicity import toxicity_scores
+
+    return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_main_text, op2_sentencepiece, op3_token_files, op6_quality, op8_decontamination, op9_language, op10_toxicity)}
+SQL: dict[str, str] = {
+    "op8_decontamination": r"""
+with doc as (
+    select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as words
+    from documents),
+item as (
+    select item_id, words, least(len(words), 10) as n from (
+        select item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as words
+        from benchmark)
+    where len(words) > 0),
+item_window as (
+    select distinct item_id, n, array_to_string(words[i : i + n - 1], ' ') as w
+    from (select *, unnest(range(1, len(words) - n + 2)) as i from item)),
+doc_window as (
+    select doc_id, n, i, array_to_string(words[i : i + n - 1], ' ') as w
+    from (select doc_id, words, n, unnest(range(1, len(words) - n + 2)) as i
+          from doc, (select distinct n from item) where len(words) >= n)),
+hit as (select doc_id, n, i, item_id from doc_window join item_window using (n, w)),
+hit_word as (
+    select doc_id, count(distinct p) as n_hit
+    from (select doc_id, unnest(range(i, i + n)) as p from (select distinct doc_id, n, i from hit)) group by doc_id),
+hit_item as (
+    select doc_id, count(*) as n_items, string_agg(s, ',' order by s) as listed
+    from (select distinct doc_id, cast(item_id as varchar) as s from hit) group by doc_id)
+select doc_id, cast(len(words) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+    cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(listed, '')) as items_sha256,
+    coalesce(n_hit, 0) > 0 as contaminated
+from doc left join hit_word using (doc_id) left join hit_item using (doc_id)
+""",
+}
