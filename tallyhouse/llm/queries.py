@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
+from tallyhouse.llm.workers import find_package
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
