@@ -32,6 +32,12 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.personal_data import personal_data
+
+    return personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyhouse.llm.quality import quality_scores
 
@@ -56,7 +62,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_main_text, op2_sentencepiece, op3_token_files, op6_quality, op8_decontamination, op9_language, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_main_text, op2_sentencepiece, op3_token_files, op5_personal_data, op6_quality, op8_decontamination, op9_language, op10_toxicity)}
 SQL: dict[str, str] = {
     "op8_decontamination": r"""
 with doc as (

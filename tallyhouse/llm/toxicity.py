@@ -32,7 +32,7 @@ THRESHOLD = 0.3
 #: Bound of the labelled sample that the lexicon is learned from, for each label.
 PER_CLASS = 6000
 #: An entry explains at least so many toxic documents of the sample, and this share of them, and is right this often.
-LEAST_DOCUMENTS, LEAST_SHARE, LEAST_PRECISION = 4, 0.002, 0.8
+LEAST_DOCUMENTS, LEAST_SHARE, LEAST_PRECISION = 3, 0.002, 0.8
 
 # Signs that stand for letters.
 LOOK_ALIKES = {
