@@ -12,6 +12,7 @@ are as many as partitions, and a running sum within a part.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -32,7 +33,7 @@ MAGIC = b"DAC1"
 #: A segment is closed once it holds so many ids; a longer document has one of its own.
 SEGMENT_IDS = 1 << 20
 #: Chunks of text a worker remembers.
-MEMORY = 400_000
+MEMORY = 1_200_000
 SEGMENTS = "part int, segment long, first_doc long, last_doc long, n_docs long, n_ids long, doc_ids binary, doc_ends binary, codes binary"
 
 
@@ -115,25 +116,50 @@ class WordCoder:
     """Ids of whole texts by the tokenizers library, asked once per distinct chunk between ASCII white space.
 
     The vocabulary's normaliser and pattern treat white space as a separator, so the ids of a text are those of its chunks.
-    Unseen chunks go to the library together, a special token between them to find their ends; texts that may hold a
-    special token's string go to it whole.
+    A final full stop or comma behind an ASCII letter is a word of its own, and ASCII letters have one case, so such chunks
+    share their ids with the plain word.  Unseen words go to the library together, a digit between them to find their ends
+    (digits are words of their own too); texts that may hold a special token's string go to it whole.
     """
 
+    MARK = "0"
+
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         self.library = Tokenizer.from_file(path)
-        self.mark_id, self.mark = min((i, t.content) for i, t in self.library.get_added_tokens_decoder().items())
+        self.mark_id = int(self._ids(self.MARK)[0])
         self.memory: dict[bytes, bytes] = {}
+        self.tails = {tail: self._ids(tail.decode()).tobytes() for tail in (b".", b",")}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _learn(self, chunks: list[bytes]) -> None:
-        for k in range(0, len(chunks), 2000):
-            some = chunks[k : k + 2000]
-            ids = self._ids(self.mark.join(map(bytes.decode, some)))
-            for chunk, x in zip(some, np.split(ids, np.flatnonzero(ids == self.mark_id)), strict=True):
-                self.memory[chunk] = x[1:].tobytes()
-            self.memory[some[0]] = ids[: int(np.argmax(ids == self.mark_id)) if len(some) > 1 else None].tobytes()
+    def _ask(self, words: list[bytes]) -> None:
+        """Remembers the library's ids of words that hold no mark."""
+        blocks = [words[k : k + 256] for k in range(0, len(words), 256)]
+        texts = [f" {self.MARK} ".join(map(bytes.decode, block)) for block in blocks]
+        for block, coded in zip(blocks, self.library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(coded.ids, "<u4")
+            cuts = (np.flatnonzero(ids == self.mark_id) * 4).tolist()
+            packed = ids.tobytes()
+            for word, first, last in zip(block, [-4, *cuts], [*cuts, len(packed)], strict=True):
+                self.memory[word] = packed[first + 4 : last]
+
+    def _learn(self, chunks: set[bytes]) -> None:
+        memory, plain, derived = self.memory, set(), []
+        for chunk in chunks:
+            tail = chunk[-1:] if chunk[-1:] in self.tails and chunk[-2:-1].isalpha() else b""
+            word = chunk[: len(chunk) - len(tail)]
+            if word.isascii():
+                word = word.lower()
+            if self.MARK.encode() in word:
+                memory[word] = self._ids(word.decode()).tobytes()
+            elif word not in memory:
+                plain.add(word)
+            if word != chunk:
+                derived.append((chunk, word, tail))
+        self._ask(list(plain))
+        for chunk, word, tail in derived:
+            memory[chunk] = memory[word] + self.tails.get(tail, b"")
 
     def encode(self, texts: list[bytes], end_id: int) -> list[bytes]:
         """Packed little-endian 32-bit ids of each text, with the end id."""
@@ -141,7 +167,7 @@ class WordCoder:
             self.memory.clear()
         end, memory = struct.pack("<I", end_id), self.memory
         cut = [None if b"<|" in t else t.split() for t in texts]
-        self._learn(list(set().union(*filter(None, cut)) - memory.keys()))
+        self._learn(set().union(*filter(None, cut)) - memory.keys())
         return [
             (self._ids(t.decode()).tobytes() if words is None else b"".join(map(memory.__getitem__, words))) + end
             for t, words in zip(texts, cut, strict=True)
