@@ -32,6 +32,12 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.set_join import linked_documents
+
+    return linked_documents(_table(spark, sf_dir, "documents"))
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyhouse.llm.personal_data import personal_data
 
@@ -62,8 +68,30 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_main_text, op2_sentencepiece, op3_token_files, op5_personal_data, op6_quality, op8_decontamination, op9_language, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_main_text, op2_sentencepiece, op3_token_files, op4_jaccard_join, op5_personal_data, op6_quality, op8_decontamination, op9_language, op10_toxicity)}
 SQL: dict[str, str] = {
+    "op4_jaccard_join": r"""
+with recursive word as (
+    select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as words
+    from documents),
+shingle as (
+    select distinct doc_id, array_to_string(words[i : i + 4], ' ') as s
+    from (select *, unnest(range(1, greatest(len(words) - 4, 1) + 1)) as i from word where len(words) > 0)),
+size as (select doc_id, count(*) as n from shingle group by doc_id),
+pair as (
+    select a.doc_id as a, b.doc_id as b, count(*) as both_have
+    from shingle a join shingle b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2),
+link as (
+    select a, b from pair join size x on x.doc_id = a join size y on y.doc_id = b
+    where 100 * both_have >= 80 * (x.n + y.n - both_have)),
+reach as (
+    select doc_id, doc_id as other from documents
+    union
+    select r.doc_id, l.b from reach r join link l on l.a = r.other)
+select r.doc_id, cast(coalesce(any_value(s.n), 0) as bigint) as n_shingles, min(other) as component_id
+from reach r left join size s on s.doc_id = r.doc_id group by r.doc_id
+""",
     "op8_decontamination": r"""
 with doc as (
     select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
