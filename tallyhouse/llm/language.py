@@ -176,14 +176,16 @@ def train_network(docs: DataFrame, label: str = "lang") -> ByteConvNet | None:
     return ByteConvNet(labels).train(windows, target) if labels else None
 
 
-def predict_languages(docs: DataFrame, network: ByteConvNet | None, text: str = "text") -> DataFrame:
-    """Adds lang_pred and score for every whole text, replacing columns of those names.
+def predict_languages(
+    docs: DataFrame, network: ByteConvNet | None, text: str = "text", language: str = "lang_pred", score: str = "score"
+) -> DataFrame:
+    """Adds the language and its score for every whole text, replacing columns of those names.
 
     A null text, one without a letter, and any text when no network could be trained is ``und`` with score 0.  Repeated rows
     stay; an empty table gives an empty one.
     """
-    out = docs.drop("lang_pred", "score")
-    schema = T.StructType([*out.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    out = docs.drop(language, score)
+    schema = T.StructType([*out.schema.fields, T.StructField(language, T.StringType()), T.StructField(score, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.columns import unused
 from tallyhouse.sources.workdir import settle
 
 ROUNDS = 3
@@ -197,15 +198,16 @@ def redact(docs: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     )
     per_doc = blocks.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("blocks"))
     names = "array(" + ", ".join(f"'[{k}]'" for k in KINDS) + ")"
-    # each piece is the text from the end of the last block to the start of this one, then this one's name
-    text = f"""if(blocks is null, text, concat(
-        array_join(transform(blocks, (b, i) -> concat(
-            substring(text, if(i = 0, 0, blocks[i - 1].end) + 1, b.start - if(i = 0, 0, blocks[i - 1].end)), {names}[b.kind])), ''),
-        substring(text, blocks[size(blocks) - 1].end + 1)))"""
+    own = unused(docs, "blocks")
     marked = docs.alias("d").join(
         per_doc.alias("p"), F.expr("d.doc_id <=> p.doc_id and xxhash64(d.text) = p.text_hash"), "left"
-    ).select("d.*", "p.blocks")
-    out = marked.withColumn("text", F.expr(text)).drop("blocks")
+    ).select("d.*", F.col("p.blocks").alias(own))
+    # each piece is the text from the end of the last block to the start of this one, then this one's name
+    text = f"""if({own} is null, text, concat(
+        array_join(transform({own}, (b, i) -> concat(
+            substring(text, if(i = 0, 0, {own}[i - 1].end) + 1, b.start - if(i = 0, 0, {own}[i - 1].end)), {names}[b.kind])), ''),
+        substring(text, {own}[size({own}) - 1].end + 1)))"""
+    out = marked.withColumn("text", F.expr(text)).drop(own)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

@@ -50,6 +50,12 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.neighbours import nearest_neighbours
+
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyhouse.llm.decontamination import contamination
 
@@ -68,7 +74,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_main_text, op2_sentencepiece, op3_token_files, op4_jaccard_join, op5_personal_data, op6_quality, op8_decontamination, op9_language, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_main_text, op2_sentencepiece, op3_token_files, op4_jaccard_join, op5_personal_data, op6_quality, op7_neighbours, op8_decontamination, op9_language, op10_toxicity)}
 SQL: dict[str, str] = {
     "op4_jaccard_join": r"""
 with recursive word as (

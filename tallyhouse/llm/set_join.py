@@ -312,10 +312,9 @@ def one_per_component(docs: DataFrame) -> DataFrame:
     """
     rows = settle(linked_documents(docs), "linked-documents")
     stays = rows.filter("n_shingles = 0 or doc_id <=> component_id")
-    ids = stays.groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("most")).alias("s")
-    ids = settle(ids, "staying")
-    kept = docs.alias("d").join(ids, F.expr("cast(d.doc_id as long) <=> s.doc_id"))
-    once = kept.filter("copies = 1 or most = 0").select("d.*")
+    ids = settle(stays.groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("most")), "staying")
+    kept = docs.alias("d").join(ids.alias("s"), F.expr("cast(d.doc_id as long) <=> s.doc_id"))
+    once = kept.filter("s.copies = 1 or s.most = 0").select("d.*")
     if ids.filter("copies > 1 and most > 0").isEmpty():
         return once
-    return once.unionByName(kept.filter("copies > 1 and most > 0").select("d.*").dropDuplicates(["doc_id"]))
+    return once.unionByName(kept.filter("s.copies > 1 and s.most > 0").select("d.*").dropDuplicates(["doc_id"]))
