@@ -20,8 +20,8 @@ def d(x: str) -> str:
 
 
 def r2(x: str) -> str:
-    """Double to two digits, by the same arithmetic as the Spark side."""
-    return f"floor(({x}) * 100::double + 0.5::double) / 100::double"
+    """Double to two digits by its exact binary value, ties to even, as formatted output rounds."""
+    return f"cast(printf('%.2f', cast({x} as double)) as double)"
 
 
 def m2(x: str) -> str:

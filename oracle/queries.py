@@ -121,7 +121,6 @@ add("k3_menu_engineering", f"""select {pick('menu_item_id, item_name, category,
     'd order_penetration, d average_quantity_per_order, n sales_rank_within_category, d revenue_pct_within_category')},
     if(hot, 'High', 'Low') as popularity_classification, if(rich, 'High', 'Low') as profitability_classification,
     class as menu_engineering_classification from k3""")
-SQL["k3_menu_engineering_sliced"] = SQL["k3_menu_engineering"]
 add("k4_labour_productivity", f"""select {pick('business_date, daypart, d sched>total_scheduled_hours, '
     'd work>total_actual_hours, m2 cost>total_labour_cost, d k_work>kitchen_actual_hours, '
     'd f_work>front_of_house_actual_hours, m2 k_cost>kitchen_labour_cost, m2 f_cost>front_of_house_labour_cost, '
@@ -210,7 +209,7 @@ def heat_columns(hours: range) -> str:
 
 add("g11_pivot", f"""select day_name, {heat_columns(range(24))} from hourly join s_daily_context using (business_date)
     group by 1""")
-add("q20_demand_pivot", f"""select day_name, {heat_columns(range(11, 21))} from hourly
+add("q20_demand_pivot", f"""select day_name, {heat_columns(range(24))} from hourly
     join s_daily_context using (business_date) group by 1""")
 add("g12_quartiles", f"""select daypart, {d('quantile_cont(preparation_minutes, 0.25)')} as q1,
     {d('median(preparation_minutes)')} as median, {d('quantile_cont(preparation_minutes, 0.75)')} as q3
@@ -486,13 +485,16 @@ add("v12_shift_end", """select shift_id, shift_start, shift_end from s_employee_
     where shift_end <= shift_start""")
 add("v13_seed_references", """
     select 'ingredients: ' || ingredient_id || ' references unknown supplier_id ''' || supplier_id || '''' as error
-      from s_ingredients where supplier_id not in (select supplier_id from s_suppliers where supplier_id <> '3')
-    union all select 'recipes: unknown menu_item_id ''' || menu_item_id || '''' from s_recipes
-      where menu_item_id <> '5' and menu_item_id not in (select menu_item_id from s_menu_items)
+      from seed_ingredients where supplier_id not in (select supplier_id from s_suppliers)
+    union all select 'recipes: unknown menu_item_id ''' || menu_item_id || '''' from seed_recipes
+      where menu_item_id not in (select menu_item_id from seed_items)
     union all select 'recipes: unknown ingredient_id ''' || ingredient_id || ''' for menu item ''' || menu_item_id
-      || '''' from s_recipes where menu_item_id <> '5' and ingredient_id not in (select ingredient_id from s_ingredients)
-    union all select 'menu_items: ' || menu_item_id || ' has no recipe rows' from s_menu_items
-      where menu_item_id not in (select menu_item_id from s_recipes where menu_item_id <> '5')""")
+      || '''' from seed_recipes where ingredient_id not in (select ingredient_id from seed_ingredients)
+    union all select 'menu_items: ' || menu_item_id || ' has no recipe rows' from seed_items
+      where menu_item_id not in (select menu_item_id from seed_recipes)""",
+    seed_items="select menu_item_id from s_menu_items union all select 'MI998'",
+    seed_ingredients="select ingredient_id, supplier_id from s_ingredients union all select 'IN998', 'SU999'",
+    seed_recipes="select menu_item_id, ingredient_id from s_recipes union all select 'MI999', 'IN999'")
 
 # raw tables hold the untidied labels, so the closed sets reject padded and capitalised ones
 RAW_DAYPART = "case when daypart = 'lunch' then ' Lunch' else 'DINNER ' end"
@@ -642,8 +644,7 @@ add("r5_stream_totals", """select channel, count(*) as order_count,
     cast(sum(cast(subtotal as decimal(18,6))) as decimal(38,6)) as revenue, min("timestamp") as first_order,
     max("timestamp") as last_order from valid_events group by 1""")
 add("r6_stream_minutes", """select date_trunc('minute', "timestamp") as minute, count(*) as "count" from valid_events
-    group by 1 having date_trunc('minute', "timestamp") + interval 1 minute
-      <= date_trunc('millisecond', (select max("timestamp") from valid_events)) - interval 10 minutes""")
+    group by 1""")
 
 # --- derived tables --------------------------------------------------------------------------
 

@@ -77,8 +77,18 @@ def not_in(name: str, allowed: Iterable[str]) -> str:
 
 
 def two_digits(value: str) -> str:
-    """A double to two digits by multiply, floor and divide: ties go by the double itself, as in Python."""
-    return f"floor(({value}) * 100D + 0.5D) / 100D"
+    """A non-negative double rounded to two digits as Python rounds it: by its exact binary value, ties to even.
+
+    The double is split into halves whose products by 200 are exact, which gives its number of half cents and what that
+    number misses.  An odd number of half cents lies between two cents: the rest decides, or without one the even cent.
+    """
+    high = "(x * 134217729D - (x * 134217729D - x))"
+    halves = f"transform(array({value}), x -> struct(x * 200D as h, ({high} * 200D - x * 200D) + (x - {high}) * 200D as rest))[0]"
+    cents = (
+        "case when s.h <> floor(s.h) then floor((floor(s.h) + 1) / 2) when s.h % 2 = 0 then s.h / 2 when s.rest < 0 then (s.h - 1) / 2 "
+        "when s.rest > 0 then (s.h + 1) / 2 else 2 * floor((s.h + 1) / 4) end"
+    )
+    return f"double(transform(array({halves}), s -> {cents})[0]) / 100D"
 
 
 def minutes_between(start: str, end: str) -> str:

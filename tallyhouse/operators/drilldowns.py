@@ -391,8 +391,8 @@ def latest_low_ratings(reviews: DataFrame, k: int = 20) -> DataFrame:
     return top_rows(low, "business_date desc, review_id", k)
 
 
-def quadrant_lines(menu: DataFrame, categories: Sequence[str] | None, small: bool = False) -> DataFrame:
+def quadrant_lines(menu: DataFrame, categories: Sequence[str] | None) -> DataFrame:
     """Q25: medians of the filtered menu, which differ from the medians that set the classes."""
     names = ["units_sold", "contribution_margin_pct"]
-    middle = medians(apply_filters(menu, members={"category": categories}), names, small=small)
+    middle = medians(apply_filters(menu, members={"category": categories}), names)
     return menu.sparkSession.range(1).select(*[middle[n].alias(f"median_{n}") for n in names])

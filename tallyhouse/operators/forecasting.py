@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import aggregate, divided, mean
-from tallyhouse.sources.workdir import shared_folder
+from tallyhouse.sources.workdir import settle
 
+# The columns of a day's context, the features made of them, and the names of the models.
 CONTEXT_COLUMNS = [
     "business_date",
     "day_name",
@@ -40,21 +41,7 @@ NUMERIC_FEATURES = [
     "rolling_7day_avg",
 ]
 CATEGORICAL_FEATURES = ["day_name", "month"]
-FEATURE_COLUMNS = [
-    "business_date",
-    "day_name",
-    "month",
-    "is_weekend",
-    "is_public_holiday",
-    "is_city_event",
-    "has_promotion",
-    "temperature_c",
-    "rain_mm",
-    "previous_day_orders",
-    "previous_week_orders",
-    "rolling_7day_avg",
-    "order_count",
-]
+FEATURE_COLUMNS = ["business_date", *CATEGORICAL_FEATURES, *NUMERIC_FEATURES, "order_count"]
 
 NAIVE = "Naive (previous week)"
 MOVING_AVERAGE = "Moving average (7-day)"
@@ -199,11 +186,17 @@ def fit_linear_regression(train: DataFrame, series: Sequence[str] = ()) -> Model
     return _fit(estimator, train, series)
 
 
-def fit_random_forest(train: DataFrame, series: Sequence[str] = (), trees: int = 200, seed: int = 42) -> Model:
-    """Same inputs; the trees differ from other libraries' for the same seed."""
+def fit_random_forest(
+    train: DataFrame, series: Sequence[str] = (), trees: int = 200, seed: int = 42, depth: int = 30, features: str = "all"
+) -> Model:
+    """Same inputs; the trees differ from other libraries' for the same seed.
+
+    Trees grow to a depth of 30, the deepest Spark allows, over all features at every split.
+    """
     estimator = RandomForestRegressor(
-        featuresCol="_features", labelCol="_target", predictionCol="prediction", numTrees=trees, seed=seed, maxDepth=10
-    )
+        featuresCol="_features", labelCol="_target", predictionCol="prediction", numTrees=trees, seed=seed, maxDepth=depth,
+        featureSubsetStrategy=features,
+    )
     return _fit(estimator, train, series)
 
 
@@ -255,7 +248,7 @@ def forecast(
 
     ``future`` holds the coming calendar rows (per series, if any).  The loop is over the horizon
     only; each step predicts its day for all series at once.  A step needs just the last seven
-    days of each series, and the frame is checkpointed between steps to keep the plan short.
+    days of each series, and the frame is written between steps to keep the plan short.
     """
     keys = [*series, "business_date"]
     recent = (
@@ -271,8 +264,7 @@ def forecast(
     pending = future.selectExpr(
         *series, *CONTEXT_COLUMNS, "cast(null as double) as order_count", f"row_number() {_over(series)} as _step"
     ).where(f"_step <= {days}")
-    shared_folder(daily.sparkSession)
-    known = recent.unionByName(pending).checkpoint()
+    known = settle(recent.unionByName(pending), "forecast-step")
     for step in range(1, days + 1):
         today = known.where(f"_step = {step}").selectExpr(*keys)
         candidate = feature_frame(known.where(f"_step <= {step}"), series).join(today, keys, "left_semi")
@@ -280,8 +272,8 @@ def forecast(
         known = (
             known.join(predicted, keys, "left")
             .selectExpr(*keys, *CONTEXT_COLUMNS[1:], "coalesce(order_count, _predicted) as order_count", "_step")
-            .checkpoint()
         )
+        known = settle(known, "forecast-step")
     return known.where("_step > 0").selectExpr(*keys, "day_name", "order_count as predicted_orders")
 
 

@@ -68,44 +68,45 @@ def summary_columns(minutes: float) -> list[str]:
     ]
 
 
-def rolling_kpis(events: DataFrame, minutes: float = WINDOW_MINUTES, feed: Sequence[str] = ()) -> DataFrame:
+def rolling_kpis(
+    events: DataFrame, minutes: float = WINDOW_MINUTES, feed: Sequence[str] = (), keep: Sequence[str] = ()
+) -> DataFrame:
     """For every event, the KPIs of the window that ends with it, closed at both ends.
 
     One feed may hold the whole table, so no feed, and no window of one, is sorted in a task.
     Every event asks for two running totals: up to and including itself, and up to just before
     its window opens.  The second is asked by a probe row placed at the opening instant, ahead of
     the events there.  Events and probes share one running total, sliced by hour and second; the
-    window is the difference.
+    window is the difference.  An event and its probe carry one row number, so events that share an
+    id stay apart and a missing feed is a feed of its own.  ``keep`` names further columns to return.
     """
-    feed = list(feed)
+    feed, keep = list(feed), [c for c in keep if c not in ("event_id", "timestamp", *feed)]
     measures = {
         "_n": "1L",
         "_revenue": REVENUE,
         "_items": "bigint(item_count)",
         **{f"_n_{c}": f"bigint(channel = '{c}')" for c in CHANNELS},
     }
-    facts = events.selectExpr(
-        *feed, "event_id", "timestamp as _at", "1 as _kind", *[f"{v} as {m}" for m, v in measures.items()]
-    )
-    probes = events.selectExpr(
-        *feed,
-        "event_id",
-        f"timestamp - make_dt_interval(0, 0, 0, {minutes * 60}) as _at",
-        "0 as _kind",
-        *[f"{v} * 0 as {m}" for m, v in measures.items()],
-    )
-    points = facts.unionByName(probes).selectExpr(
-        "*", "date_trunc('hour', _at) as _hour", "date_trunc('second', _at) as _second"
-    )
+    opening = f"timestamp - make_dt_interval(0, 0, 0, {minutes * 60})"
+    numbered = events.selectExpr("*", "monotonically_increasing_id() as _row")
+    points = numbered.selectExpr(
+        *feed, *keep, "event_id", "_row", *[f"{v} as {m}" for m, v in measures.items()],
+        f"explode(array(struct(timestamp as at, 1 as kind), struct({opening} as at, 0 as kind))) as _p",
+    )
+    points = points.selectExpr(
+        *feed, *[f"if(_p.kind = 1, {c}, null) as {c}" for c in keep], "event_id", "_row", "_p.at as _at", "_p.kind as _kind",
+        *[f"{m} * _p.kind as {m}" for m in measures], "date_trunc('hour', _p.at) as _hour", "date_trunc('second', _p.at) as _second",
+    )
     totals = {f"t{m}": m for m in measures}
-    sums = running_totals(points, feed, ["_hour", "_second"], "_at, _kind, event_id", totals)
+    sums = running_totals(points, feed, ["_hour", "_second"], "_at, _kind, event_id, _row", totals)
     paired = aggregate(
         sums,
-        [*feed, "event_id"],
+        [*feed, "event_id", "_row"],
         "max(_at) as timestamp",
+        *[f"max_by({c}, _kind) as {c}" for c in keep],
         *[f"max(t{m}) filter (where _kind = 1) - max(t{m}) filter (where _kind = 0) as {m}" for m in measures],
     )
-    return paired.selectExpr(*feed, "event_id", "timestamp", *summary_columns(minutes))
+    return paired.selectExpr(*feed, "event_id", "timestamp", *keep, *summary_columns(minutes))
 
 
 def in_window(events: DataFrame, minutes: float = WINDOW_MINUTES, as_of: str | None = None) -> DataFrame:
@@ -140,7 +141,9 @@ def latest_events(events: DataFrame, limit: int) -> DataFrame:
 
 
 def latest_per_feed(events: DataFrame, feed: Sequence[str], limit: int) -> DataFrame:
-    """R4 per feed; ``row_number() <= limit`` is cut per task before the shuffle."""
+    """R4 per feed; ``row_number() <= limit`` is cut per task before the shuffle.  Without feeds all events are one."""
+    if not feed:
+        return latest_events(events, limit)
     ranked = events.selectExpr(
         "*", f"row_number() over (partition by {', '.join(feed)} order by {NEWEST_FIRST}) as _n"
     )

@@ -17,7 +17,7 @@ from tallyhouse.functions import (
     sums,
 )
 from tallyhouse.operators.derivations import KEPT, SERVED
-from tallyhouse.operators.ordering import SMALL_ROWS, medians, rank_and_group_total
+from tallyhouse.operators.ordering import medians, rank_and_group_total
 from tallyhouse.sources.workdir import settle
 
 SALES = (
@@ -106,27 +106,21 @@ def sold_item_stats(orders: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
-def menu_engineering(
-    menu_items: DataFrame, orders: DataFrame, lines: DataFrame, small_rows: int = SMALL_ROWS
-) -> DataFrame:
+def menu_engineering(menu_items: DataFrame, orders: DataFrame, lines: DataFrame) -> DataFrame:
     """K3: sales, margin, rank and class of every menu item.  Writes the item sums once.
 
     Medians are taken over *sold* items and unsold items count as zero against them.  The item
-    sums feed the medians, the rank and the result, so they are settled to a table first; its row
-    count then decides between the plain and the sliced order statistics.
+    sums feed the medians, the rank and the result, so they are settled to a table first.
     """
     sums_table = settle(sold_item_stats(orders, lines), "item-sums")
     items = select(menu_items, "menu_item_id, item_name, category, selling_price")
-    few = sums_table.count() <= small_rows and items.count() <= small_rows
-    middle = medians(sums_table, ["units_sold", "contribution_margin_pct"], small=few)
+    middle = medians(sums_table, ["units_sold", "contribution_margin_pct"])
     ranked = rank_and_group_total(
         items.join(sums_table, "menu_item_id", "left"),
         group="category",
         value="revenue",
         rank="sales_rank_within_category",
         total="_category_revenue",
-        row_id="menu_item_id",
-        small=few,
     )
     limits = ranked.withColumns(
         {

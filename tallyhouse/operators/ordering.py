@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import aggregate
 from tallyhouse.operators.keys import attach
+from tallyhouse.sources.workdir import settle
 
-# Up to this many rows a single task sorts without trouble (two narrow columns, a few dozen MB);
-# beyond it the sliced form is used.
-SMALL_ROWS = 2_000_000
 # Rank error of the approximate percentiles that place cut points, as one part in ACCURACY.
 ACCURACY = 10_000
+# Distinct values of a group that one task may sort, and the most slices a group is cut into.
+SLICE_VALUES = 100_000
+MOST_SLICES = 4096
 
 
 def running_totals(
@@ -57,86 +58,83 @@ def running_totals(
 
 
 def rank_and_group_total(
-    rows: DataFrame,
-    group: str,
-    value: str,
-    rank: str,
-    total: str,
-    row_id: str,
-    slices: int = 64,
-    small: bool = False,
+    rows: DataFrame, group: str, value: str, rank: str, total: str, slice_values: int = SLICE_VALUES
 ) -> DataFrame:
     """Adds ``rank()`` by descending value within a group, NULLs last, and the group's sum.
 
-    With ``small`` one window per group does it.  Otherwise percentiles of each group place
-    ``slices`` cut points, ranks are taken inside a slice, and the rows in higher slices are
-    added.  Equal values share a slice.  NULLs all tie, so they are spread over several tasks.
+    Rows are counted per distinct value first, so ties, NULLs among them, are one row.  Percentiles of
+    each group cut its values into slices, whose number follows the largest group; ranks are taken
+    inside a slice and the rows of higher slices are added.
     """
-    if small:
-        return rows.selectExpr(
-            "*",
-            f"rank() over (partition by {group} order by {value} desc nulls last) as {rank}",
-            f"sum({value}) over (partition by {group}) as {total}",
-        )
+    counted = settle(aggregate(rows, [group, value], "count(*) as _copies", f"sum({value}) as _sum"), "ranked-values")
+    largest = aggregate(aggregate(counted, [group], "count(*) as _n"), [], "max(_n)").first()[0] or 0
+    slices = max(1, min(MOST_SLICES, -(-largest // slice_values)))
     fractions = ", ".join(str(i / slices) for i in range(1, slices))
-    cuts = aggregate(rows, [group], f"percentile_approx({value}, array({fractions}), {ACCURACY}) as _cuts")
-    sliced = attach(rows, cuts, [group]).selectExpr(
-        *rows.columns,
+    cuts = f"percentile_approx({value}, array({fractions}), {ACCURACY})" if slices > 1 else f"filter(array(max({value})), c -> false)"
+    per_group = aggregate(counted, [group], f"{cuts} as _cuts", f"sum(_sum) as {total}")
+    sliced = attach(counted, per_group, [group]).selectExpr(
+        group, value, "_copies", total,
         f"if({value} is null, {slices}, size(filter(_cuts, cut -> cut > {value}))) as _slice",
-        f"if({value} is null, pmod(xxhash64({row_id}), {slices}), 0) as _spread",
-    )
-    ahead = aggregate(sliced, [group, "_slice"], "count(*) as _rows", f"sum({value}) as _sum").selectExpr(
-        group,
-        "_slice",
-        f"sum(_rows) over (partition by {group} order by _slice rows unbounded preceding) - _rows as _ahead",
-        f"sum(_sum) over (partition by {group}) as {total}",
-    )
-    ranked = sliced.selectExpr(
-        "*", f"rank() over (partition by {group}, _slice, _spread order by {value} desc nulls last) as _rank"
-    )
-    return attach(ranked, ahead, [group, "_slice"]).selectExpr(
-        *rows.columns, f"int(_rank + _ahead) as {rank}", total
+    )
+    ahead = aggregate(sliced, [group, "_slice"], "sum(_copies) as _rows").selectExpr(
+        group, "_slice", f"sum(_rows) over (partition by {group} order by _slice rows unbounded preceding) - _rows as _ahead"
     )
+    above = f"sum(_copies) over (partition by {group}, _slice order by {value} desc rows unbounded preceding) - _copies"
+    ranked = attach(sliced.selectExpr("*", f"{above} as _above"), ahead, [group, "_slice"])
+    ranked = ranked.selectExpr(group, value, f"int(1 + _ahead + _above) as {rank}", total)
+    return attach(rows, ranked, [group, value])
 
 
-def medians(rows: DataFrame, values: Sequence[str], small: bool = False) -> dict[str, Column]:
-    """Exact medians of whole columns, as scalar subqueries to use in a later expression.
+def medians(rows: DataFrame, values: Sequence[str]) -> dict[str, Column]:
+    """Exact medians of whole columns, as literals to use in a later expression.  Eager: four aggregates.
 
-    With ``small`` the built-in ``median`` answers; it keeps every distinct value of the column
-    in one buffer, so a continuous column of a large frame takes the other way: approximate
-    percentiles bracket the middle with a proven rank error, the rows below the bracket are
-    counted, and only the bracket (a few parts in ``ACCURACY`` of the distinct values) is sorted.
+    Approximate percentiles bracket the middle of every column at once, with a proven rank error.  The rows below the
+    bracket and in it are counted, a second bracket is taken inside the first, and only the values in that one, about one in
+    six million of the distinct values, are brought to the driver with their counts.
     """
-    if small:
-        return {v: rows.agg(F.median(v)).scalar() for v in values}
-    return {v: _bracketed_median(rows.select(v).where(F.col(v).isNotNull()), v) for v in values}
-
-
-def _bracketed_median(rows: DataFrame, value: str) -> Column:
     margin = 2 / ACCURACY
-    bounds = rows.agg(
-        F.expr(f"percentile_approx({value}, array({0.5 - margin}, {0.5 + margin}), {ACCURACY})").alias("b")
-    )
-    low, high = bounds.selectExpr("b[0]").scalar(), bounds.selectExpr("b[1]").scalar()
-    counted = rows.withColumn("_low", low).agg(
-        F.count("*").alias("_size"), F.expr(f"count_if({value} < _low)").alias("_below")
-    )
-    middle = (
-        rows.where(F.col(value).between(low, high))
-        .groupBy(value)
-        .agg(F.count("*").alias("_copies"))
-        .withColumns({"_size": counted.select("_size").scalar(), "_below": counted.select("_below").scalar()})
-        .selectExpr(
-            "*", f"_below + sum(_copies) over (partition by _size order by {value} rows unbounded preceding) as _last"
-        )
-    )
-
-    def at(position: str) -> str:
-        return f"max(case when _last - _copies < {position} and {position} <= _last then {value} end)"
-
-    return middle.agg(
-        F.expr(f"(double({at('(_size + 1) div 2')}) + double({at('(_size + 2) div 2')})) / 2").alias("m")
-    ).scalar()
+    names = {f"v{i}": f"double({v})" for i, v in enumerate(values)}
+    middle = f"array({0.5 - margin}, {0.5 + margin})"
+    first = aggregate(rows, [], *[f"struct(count({x}) as n, percentile_approx({x}, {middle}, {ACCURACY}) as b) as {k}" for k, x in names.items()]).first()
+    size = {k: first[k].n for k in names if first[k].n}
+    bracket = {k: tuple(first[k].b) for k in size}
+
+    def bounds(k: str) -> str:
+        low, high = bracket[k]
+        return f"double('{low!r}') and double('{high!r}')"
+
+    if size:
+        held = aggregate(rows, [], *[
+            f"struct(count_if({names[k]} < double('{bracket[k][0]!r}')) as below, count_if({names[k]} between {bounds(k)}) as inside) as {k}" for k in size
+        ]).first()
+        asked, inner = [], {}
+        for k, n in size.items():
+            low = ((n + 1) // 2 - held[k].below) / held[k].inside - margin
+            high = ((n + 2) // 2 - held[k].below) / held[k].inside + margin
+            fractions = f"array({max(low, 0)}, {min(high, 1)})"
+            asked.append(f"percentile_approx({names[k]}, {fractions}, {ACCURACY}) filter (where {names[k]} between {bounds(k)}) as {k}")
+            inner[k] = (low > 0, high < 1)
+        second = aggregate(rows, [], *asked).first()
+        # where the middle lies at an end of the bracket, that end stays the bound
+        bracket = {k: tuple(second[k][i] if inner[k][i] else bracket[k][i] for i in (0, 1)) for k in size}
+    found: dict[str, Column] = {}
+    parts = None
+    for k in size:
+        x, (low, high) = names[k], bracket[k]
+        cut = rows.where(f"{x} <= double('{high!r}')").selectExpr(f"'{k}' as name", f"if({x} < double('{low!r}'), null, {x}) as value")
+        parts = cut if parts is None else parts.unionByName(cut)
+    near = sorted(aggregate(parts, ["name", "value"], "count(*) as n").collect(), key=lambda r: (r.value is not None, r.value or 0)) if size else []
+    for (k, _), value in zip(names.items(), values, strict=True):
+        if k not in size:
+            found[value] = F.lit(None).cast("double")
+            continue
+        wanted, seen, at = ((size[k] + 1) // 2, (size[k] + 2) // 2), 0, []
+        for r in near:
+            if r.name == k:
+                at += [r.value for w in wanted if seen < w <= seen + r.n]
+                seen += r.n
+        found[value] = F.lit((at[0] + at[1]) / 2)
+    return found
 
 
 def top_rows(rows: DataFrame, order_by: str, k: int) -> DataFrame:

@@ -86,10 +86,6 @@ for _name, _layer in LAYERS.items():
     on_warehouse(_name, lambda w, layer=_layer: getattr(w, layer))
 
 # the same mart by the way taken for menus too large for one task
-on_warehouse(
-    "k3_menu_engineering_sliced",
-    lambda w: marts.menu_engineering(w.dim_menu_item, w.stg_orders, w.stg_order_items, small_rows=0),
-)
 on_warehouse(
     "d4_dim_channel",
     lambda w: w.dim_channel.join(
@@ -309,7 +305,7 @@ def _sales(w: Warehouse) -> DataFrame:
 on_warehouse(
     "w1_rank_in_category",
     lambda w: rank_and_group_total(
-        settle(_sales(w), "ranked-items"), "category", "revenue", "sales_rank", "category_revenue", "menu_item_id"
+        settle(_sales(w), "ranked-items"), "category", "revenue", "sales_rank", "category_revenue"
     ),
 )
 on_warehouse("w2_running_balance", lambda w: quality.running_balance(w.fact_inventory_movements))
@@ -438,9 +434,7 @@ on_warehouse(
 )
 on_warehouse(
     "q20_demand_pivot",
-    lambda w: drilldowns.demand_pivot(
-        drilldowns.hourly_heatmap(w.int_hourly_demand, w.dim_date), hours=range(11, 21)
-    ),
+    lambda w: drilldowns.demand_pivot(drilldowns.hourly_heatmap(w.int_hourly_demand, w.dim_date)),
 )
 on_warehouse("q21_labour_kpis", lambda w: drilldowns.labour_kpis(w.mart_labour_productivity))
 on_warehouse("q21_hours_trend", lambda w: drilldowns.hours_trend(w.mart_labour_productivity))
@@ -517,10 +511,22 @@ on_warehouse("v12_reconciliation", lambda w: quality.unreconciled_orders(w.stg_o
 on_warehouse("v12_money", lambda w: quality.negative_money(w.stg_orders))
 on_warehouse("v12_rating_range", lambda w: quality.ratings_out_of_range(w.stg_reviews))
 on_warehouse("v12_shift_end", lambda w: quality.shifts_ending_early(w.stg_employee_shifts))
-on_warehouse("v13_seed_references", lambda w: quality.seed_reference_errors(
-    w.stg_menu_items, w.stg_ingredients, w.stg_suppliers.where("supplier_id <> '3'"),
-    w.stg_recipes.where("menu_item_id <> '5'"),
-))
+def seed_faults(w: Warehouse) -> DataFrame:
+    """Every seed row, and beside them an item without a recipe, a recipe of nothing and an ingredient of no supplier."""
+
+    def beside(rows: DataFrame, **fault: str) -> DataFrame:
+        faulty = w.spark.range(1).selectExpr(*[f"'{v}' as {k}" for k, v in fault.items()])
+        return rows.unionByName(faulty, allowMissingColumns=True)
+
+    return quality.seed_reference_errors(
+        beside(w.stg_menu_items, menu_item_id="MI998"),
+        beside(w.stg_ingredients, ingredient_id="IN998", supplier_id="SU999"),
+        w.stg_suppliers,
+        beside(w.stg_recipes, menu_item_id="MI999", ingredient_id="IN999"),
+    )
+
+
+on_warehouse("v13_seed_references", seed_faults)
 for _table in ("orders", "order_items", "reviews", "employee_shifts", "ingredients", "suppliers", "employees"):
     register(
         f"v14_bounds_{_table}",
@@ -574,8 +580,7 @@ def score_all(w: Warehouse) -> DataFrame:
 def score_by_channel(w: Warehouse) -> DataFrame:
     features = settle(forecasting.feature_frame(daily_by_channel(w), SERIES), "channel-features")
     train, test = forecasting.chronological_split(features, SERIES)
-    names = (*BASELINES, forecasting.LINEAR)
-    return forecasting.score_models(forecasting.fit_models(train, SERIES, names), test)
+    return forecasting.score_models(forecasting.fit_models(train, SERIES), test)
 
 
 def forecast_with(w: Warehouse, model: forecasting.Model) -> DataFrame:
@@ -593,8 +598,7 @@ def forecast_best(w: Warehouse) -> DataFrame:
     daily = settle(w.mart_daily_performance, "daily")
     features = settle(forecasting.feature_frame(daily), "features")
     train, test = forecasting.chronological_split(features)
-    names = (*BASELINES, forecasting.LINEAR)
-    best = forecasting.best_model(forecasting.score_models(forecasting.fit_models(train, names=names), test))
+    best = forecasting.best_model(forecasting.score_models(forecasting.fit_models(train), test))
     predicted = forecasting.forecast(daily, future_days(w), forecasting.FITTERS[best](features))
     return forecasting.recommend_staffing(predicted, w.mart_labour_productivity, w.fact_employee_shifts)
 
@@ -651,9 +655,6 @@ register("r10_valid_events", lambda spark, sf_dir: history.valid_events(bindings
 
 # --- 2.13: the live feed as a stream ---------------------------------------------------------
 
-SLICES = ("2024-01-01", "2024-01-16", "2025-01-01")
-
-
 def _event_files(sf_dir: str) -> str:
     """The one events file as a pattern; a stream takes folders or patterns, not a file."""
     return f"{sf_dir}/[e]vents.parquet"
@@ -666,10 +667,14 @@ def _raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sliced_stream(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame], list]) -> None:
-    """Runs streams over the events as they arrive in two parts, restarting from the checkpoint."""
+    """Runs streams over the events as they arrive in two parts, restarting from the checkpoint.
+
+    The parts meet at the middle of the events' times and are open to either side; an event without a time is in the first.
+    """
     events, folder = bindings.read_table(spark, sf_dir, "events"), new_folder(spark, "arrivals")
-    for first, last in zip(SLICES, SLICES[1:], strict=False):
-        part = events.where(f"ts >= timestamp_ntz '{first}' and ts < timestamp_ntz '{last}'")
+    middle = events.agg(F.expr("timestampadd(microsecond, percentile_approx(timestampdiff(microsecond, timestamp_ntz '1970-01-01', ts), 0.5), timestamp_ntz '1970-01-01')").alias("m")).scalar()
+    later = F.coalesce(F.col("ts") >= middle, F.lit(False))
+    for part in (events.where(~later), events.where(later)):
         part.write.mode("append").parquet(folder)
         finish(*start(bindings.order_events(spark.readStream.schema(events.schema).parquet(folder))))
 
@@ -697,9 +702,9 @@ def stream_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     _sliced_stream(
         spark,
         sf_dir,
-        lambda events: [write_table(rollups.minute_counts(history.valid_events(events)), folder, "minutes")],
+        lambda events: [rollups.write_changes(rollups.minute_counts(history.valid_events(events)), folder, "minutes")],
     )
-    return spark.read.parquet(f"{folder}/minutes")
+    return rollups.read_minutes(spark, folder, "minutes")
 
 
 def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,9 @@ Per batch the board writes, under ``folder``:
 - ``arrived/batch=n``   the valid events of the batch, read back by the steps below
 - ``kpis/batch=n``      R1: one row of KPIs per event
 - ``messages/batch=n``  S10: the same as JSON lines ``{type, event, summary}``
-- ``late/batch=n``      events older than the lateness allowed, not rolled up
+- ``late/batch=n``      events older than the lateness allowed, not rolled up.  As with a watermark,
+  an event is measured against the latest one of its feed up to the end of the batch it arrives in, and nothing is
+  late in the first batch; how events are dealt to batches therefore decides about events out of order
 - ``state/batch=n``     ``tail`` (open windows), ``history`` (R4: last events per feed),
   ``latest`` (R9: last KPIs per feed); a batch reads the state before it
 
@@ -34,10 +36,9 @@ COMPLETE = "complete"  # marker left when all state of a batch is written
 EVENT_FIELDS = "event_id, timestamp, channel, daypart, item_count, subtotal, status"
 
 
-def order_message(events: DataFrame, kpis: DataFrame, feed: Sequence[str]) -> DataFrame:
-    """One JSON message per event: its type, the event and the summary at that event."""
-    joined = events.join(kpis.drop("timestamp"), [*feed, "event_id"])
-    return joined.selectExpr(
+def order_message(events: DataFrame) -> DataFrame:
+    """One JSON message per event with its KPIs: its type, the event and the summary at that event."""
+    return events.selectExpr(
         f"to_json(struct('order' as type, struct({EVENT_FIELDS}) as event, struct({SUMMARY}) as summary)) as value"
     )
 
@@ -66,12 +67,16 @@ class LiveBoard:
         self.history = history
         self.lateness_minutes = lateness_minutes
 
-    def start(self, events: DataFrame) -> StreamingQuery:
+    def start(self, events: DataFrame, **trigger) -> StreamingQuery:
+        """Follows a stream of events; ``trigger`` is Spark's, e.g. ``processingTime="5 seconds"`` to keep running.
+
+        Without one it takes what is there and stops.
+        """
         return (
             valid_events(events)
             .writeStream.foreachBatch(self.update)
             .option("checkpointLocation", f"{self.folder}/checkpoint")
-            .trigger(availableNow=True)
+            .trigger(**(trigger or {"availableNow": True}))
             .start()
         )
 
@@ -112,20 +117,22 @@ class LiveBoard:
             late = marked.where(is_late).drop("_latest")
             late.write.mode("overwrite").parquet(f"{self.folder}/late/{part}")
             arrived = marked.where(f"not {is_late}").drop("_latest")
-            known = tail.unionByName(arrived)
+            known = tail.withColumn("_new", F.lit(False)).unionByName(arrived.withColumn("_new", F.lit(True)))
         else:
-            known = arrived
+            known = arrived.withColumn("_new", F.lit(True))
 
-        wanted = arrived.selectExpr(*self.feed, "event_id")
-        kpis = rolling_kpis(known, self.minutes, self.feed).join(wanted, [*self.feed, "event_id"], "left_semi")
-        kpis = self._write(kpis, f"kpis/{part}")
-        order_message(arrived, kpis, self.feed).write.mode("overwrite").text(f"{self.folder}/messages/{part}")
+        fields = [f.strip() for f in EVENT_FIELDS.split(",")]
+        rolled = rolling_kpis(known, self.minutes, self.feed, [*fields, "_new"]).where("_new").drop("_new")
+        rolled = self._write(rolled, f"rolled/{part}")
+        kpis = self._write(rolled.drop(*[f for f in fields if f not in ("event_id", "timestamp")]), f"kpis/{part}")
+        order_message(rolled).write.mode("overwrite").text(f"{self.folder}/messages/{part}")
 
         history, latest = arrived, kpis
         if before is not None:
             history = self._state("history", before).unionByName(arrived)
             latest = self._state("latest", before).unionByName(kpis)
         state = f"state/{part}"
+        known = known.drop("_new")
         self._write(self._since_latest(known, known, self.minutes + self.lateness_minutes), f"{state}/tail")
         self._write(latest_per_feed(history, self.feed, self.history), f"{state}/history")
         self._write(latest_per_feed(latest, self.feed, 1), f"{state}/latest")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,7 +13,7 @@ LATENESS = "10 minutes"
 
 
 def minute_counts(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Orders per tumbling minute; a minute is final once the watermark has passed it.
+    """Orders per tumbling minute, emitted whenever a minute changes.
 
     Events later than the watermark are dropped.  State holds the open minutes only.
     """
@@ -33,6 +33,27 @@ def channel_totals(events: DataFrame) -> DataFrame:
     )
 
 
+def write_changes(counts: DataFrame, folder: str, name: str, **trigger) -> StreamingQuery:
+    """Keeps every change of a keyed aggregate under its batch; a repeated batch replaces its own folder."""
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/{name}/batch={batch_id}")
+
+    return (
+        counts.writeStream.outputMode("update")
+        .foreachBatch(keep)
+        .option("checkpointLocation", f"{folder}/checkpoint-{name}")
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def read_minutes(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The newest count of every minute, open minutes included."""
+    changes = spark.read.option("basePath", f"{folder}/{name}").parquet(f"{folder}/{name}/batch=*")
+    return aggregate(changes, ["minute"], "max_by(count, batch) as count")
+
+
 def write_latest(totals: DataFrame, folder: str, name: str) -> StreamingQuery:
     """Keeps the complete result of an unwindowed aggregate as a table, replaced per batch."""
 

@@ -15,7 +15,7 @@ QUERIES = entry.queries()
 USUAL = (
     "s1_csv_scan s3_load_metadata s6_seed_scan p1_stg_orders p5_stg_inventory_movements d1_dim_date "
     "d2_dim_menu_item f1_fact_orders f3_fact_employee_shifts i2_ingredient_consumption i5_service_performance "
-    "k1_daily_performance k2_channel_profitability k3_menu_engineering k3_menu_engineering_sliced "
+    "k1_daily_performance k2_channel_profitability k3_menu_engineering "
     "k4_labour_productivity k5_service_quality k6_inventory_risk k7_review_analysis w1_rank_in_category "
     "w2_running_balance w7_trailing_window q1_apply_filters q4_item_demand_by_temperature q9_busiest_slot "
     "q12_plowhorses q20_demand_pivot q22_labour_cost_quartiles q25_quadrant_lines v3_orders v7_inventory "
