@@ -163,6 +163,20 @@ add("s11_layered_store", """select 'dim_date' as table_name, count(*) as rows fr
     union all select 'fact_orders', count(*) from s_orders
     union all select 'mart_channel_profitability', count(*) from k2
     union all select 'mart_service_quality', count(*) from k5""")
+STORED = {
+    "dim_date": "s_daily_context", "dim_menu_item": "s_menu_items", "dim_ingredient": "s_ingredients", "dim_employee": "s_employees",
+    "dim_supplier": "s_suppliers", "dim_channel": "channels", "fact_orders": "s_orders", "fact_order_items": "f_order_lines",
+    "fact_employee_shifts": "f_shifts", "fact_reviews": "f_reviews", "fact_inventory_movements": "s_inventory_movements",
+    "mart_daily_performance": "k1", "mart_channel_profitability": "k2", "mart_menu_engineering": "k3",
+    "mart_labour_productivity": "k4", "mart_service_quality": "k5", "mart_inventory_risk": "k6", "mart_review_analysis": "k7",
+}
+add("s11_store_all", " union all ".join(f"select '{t}' as table_name, count(*) as rows from {s}" for t, s in STORED.items()))
+SEEDS = ("menu_items", "ingredients", "suppliers", "recipes", "employees")
+add("s6_load_all_seeds", " union all ".join(f"select '{t}' as table_name, count(*) as rows from s_{t}" for t in SEEDS))
+add("s1_load_all", " union all ".join(
+    f"select '{t}' as table_name, count(*) as rows, count(distinct x) as hashes, 1 as batches from s_{t} x"
+    for t in (*SEEDS, "daily_context", "orders", "order_items", "reviews", "employee_shifts", "inventory_movements")
+).replace("1 as batches", "cast(1 as bigint) as batches"))
 add("s12_freshness", """select 'orders' as table_name, max(o_orderdate) as latest_loaded_at from orders
     union all select 'lineitem', max(l_shipdate) from lineitem union all select 'events', max(ts) from events""")
 
@@ -512,6 +526,13 @@ BOUNDS = {
         "channel must be one of dine_in, pickup, uber_eats, doordash": f"channel not in {CHANNEL_SET}",
         "rating must be ge 1": "rating < 1", "rating must be le 5": "rating > 5", "rating is required": "rating is null"}),
     "employee_shifts": ("s_employee_shifts", "shift_id", {"scheduled_hours must be gt 0": "scheduled_hours <= 0"}),
+    "menu_items": ("s_menu_items", "menu_item_id", {"source_type must be one of synthetic, public_source": "true"}),
+    "recipes": ("s_recipes", "menu_item_id", {"unit must be one of kilograms, litres, each, portions": "true"}),
+    "inventory_movements": ("s_inventory_movements", "movement_id", {
+        "movement_type must be one of Supplier Delivery, Sales Consumption, Waste, Stock Adjustment, Expired Stock":
+            "movement_type in ('Waste', 'Supplier Delivery')",
+        "unit must be one of kilograms, litres, each, portions": "true"}),
+    "daily_context": ("s_daily_context", "business_date", {"rain_mm must be ge 0": "rain_mm < 0"}),
     "ingredients": ("s_ingredients", "ingredient_id", {
         "unit must be one of kilograms, litres, each, portions": "true",
         "shelf_life_days must be gt 0": "shelf_life_days <= 0"}),

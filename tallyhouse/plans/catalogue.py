@@ -19,7 +19,7 @@ from tallyhouse.operators import calendar, derivations, drilldowns, forecasting,
 from tallyhouse.operators.ordering import rank_and_group_total, top_rows
 from tallyhouse.plans import bindings
 from tallyhouse.plans.present import present
-from tallyhouse.plans.warehouse import StoredWarehouse, Warehouse
+from tallyhouse.plans.warehouse import MARTS, StoredWarehouse, Warehouse
 from tallyhouse.sources import csv_tables, tables
 from tallyhouse.sources.channels import channel_reference
 from tallyhouse.sources.workdir import new_folder, settle
@@ -102,7 +102,8 @@ def _raw_columns(table: str) -> list[str]:
 
 def _as_csv(spark: SparkSession, rows: DataFrame, table: str) -> str:
     folder = new_folder(spark, f"csv-{table}")
-    rows.select(*_raw_columns(table)).write.option("header", True).csv(folder)
+    declared = StructType.fromDDL(schemas.RAW_SCHEMAS[table])
+    rows.select(*[F.col(f.name).cast(f.dataType) for f in declared]).write.option("header", True).csv(folder)
     return folder
 
 
@@ -166,6 +167,40 @@ def stored_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged
 
 
+def _rows_of(tables_by_name: dict[str, DataFrame], *more: str) -> DataFrame:
+    """One line per table: its name, its rows and further aggregates."""
+    merged = None
+    for name, rows in tables_by_name.items():
+        line = rows.selectExpr(f"'{name}' as table_name", "*").groupBy("table_name").agg(F.count("*").alias("rows"), *map(F.expr, more))
+        merged = line if merged is None else merged.unionByName(line)
+    return merged
+
+
+def load_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every raw table from its CSV, as one load."""
+    raw, folder = bindings.raw_tables(spark, sf_dir), new_folder(spark, "raw")
+    csv_tables.load_raw_tables(spark, {t: _as_csv(spark, raw[t], t) for t in schemas.RAW_SCHEMAS}, folder)
+    loaded = {t: spark.read.parquet(f"{folder}/{t}").select("record_hash", "batch_id") for t in schemas.RAW_SCHEMAS}
+    return _rows_of(loaded, "count(distinct record_hash) as hashes", "count(distinct batch_id) as batches")
+
+
+def load_all_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seed table from its CSV, through staging."""
+    raw, seeds = bindings.raw_tables(spark, sf_dir), {}
+    for t in schemas.SEED_TABLES:
+        seeds[t] = csv_tables.scan_seed(spark, _as_csv(spark, raw[t], t), StructType.fromDDL(schemas.RAW_SCHEMAS[t]))
+    w = Warehouse(spark, seeds)
+    return _rows_of({t: getattr(w, f"stg_{t}") for t in schemas.SEED_TABLES})
+
+
+def store_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dimension, fact and mart, written and read back; marts by their allow-listed name."""
+    folder = new_folder(spark, "layers")
+    counts = bindings.warehouse(spark, sf_dir).store(folder)
+    stored = StoredWarehouse(spark, folder)
+    return _rows_of({t: stored.load_mart(t) if t in MARTS else spark.read.parquet(f"{folder}/{t}") for t in counts})
+
+
 def table_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     stamped = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
     return tables.freshness(
@@ -174,13 +209,16 @@ def table_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 register("s1_csv_scan", csv_scan)
+register("s1_load_all", load_all)
 register("s3_load_metadata", load_metadata)
 register("s4_row_hash", row_hashes)
 register("s5_replace_table", replaced_table)
 register("s6_seed_scan", seed_scan)
+register("s6_load_all_seeds", load_all_seeds)
 register("s7_channel_reference", channel_lookup)
 register("s8_load_mart", stored_mart)
 register("s11_layered_store", stored_layers)
+register("s11_store_all", store_all)
 register("s12_freshness", table_freshness)
 
 # --- 2.6: joins ------------------------------------------------------------------------------
@@ -527,7 +565,7 @@ def seed_faults(w: Warehouse) -> DataFrame:
 
 
 on_warehouse("v13_seed_references", seed_faults)
-for _table in ("orders", "order_items", "reviews", "employee_shifts", "ingredients", "suppliers", "employees"):
+for _table in schemas.RAW_SCHEMAS:
     register(
         f"v14_bounds_{_table}",
         lambda spark, sf_dir, t=_table: quality.check_field_bounds(
