@@ -24,8 +24,8 @@ FOLDS, HELD_OUT = 3, 1
 UNKNOWN = "und"
 WINDOW = 256
 EMBEDDING, WIDTHS, FILTERS = 8, (2, 3, 4), 12
-#: Bounds of the training sample: documents of each language, windows of each document.
-PER_LABEL, TRAIN_WINDOWS = 1200, 3
+#: Bounds of the training sample: documents of each language (up to 1000 are cut per task before the shuffle), windows of each.
+PER_LABEL, TRAIN_WINDOWS = 1000, 3
 EPOCHS, BATCH, RATE, SEED = 12, 128, 0.01, 7
 #: Windows of one batch of the network.
 PREDICT_WINDOWS = 1024
