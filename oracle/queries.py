@@ -486,6 +486,36 @@ add("v11_review_orders", """select order_id as "key", count(*) as rows from s_re
     where order_id not in (select order_id from s_orders) group by 1""")
 add("v11_order_channels", """select channel as "key", count(*) as rows from s_orders
     where channel not in (select channel from channels) group by 1""")
+DECLARED_KEYS = ("business_date", "menu_item_id", "ingredient_id", "employee_id", "supplier_id", "channel", "order_id",
+                 "order_item_id", "shift_id", "review_id", "movement_id")
+add("v9_declared_keys", " union all ".join(
+    f"""select '{t}' as table_name, count(*) filter (where k is not null and c > 1) as duplicated_keys,
+    cast(coalesce(sum(c) filter (where k is null), 0) as bigint) as missing_keys
+    from (select {k} as k, count(*) as c from {source} group by 1)"""
+    for (t, source), k in zip(list(STORED.items())[:11], DECLARED_KEYS, strict=True)))
+ACCEPTED = {
+    ("dim_menu_item", "category"): "('Starters', 'Dumplings', 'Rice Paper Rolls', 'Banh Mi', 'Pho Noodles', 'Pho Xao', "
+    "'Rice Bowls', 'Vermicelli Salad', 'Sharing Plates', 'Sides', 'Drinks')",
+    ("dim_employee", "department"): "('Kitchen', 'Front of House')",
+    ("dim_channel", "channel"): CHANNEL_SET,
+    ("fact_orders", "status"): "('Completed', 'Cancelled', 'Partially Refunded')",
+    ("fact_orders", "daypart"): "('lunch', 'dinner')",
+    ("fact_order_items", "item_status"): "('Fulfilled', 'Missing')",
+    ("fact_inventory_movements", "movement_type"):
+        "('Supplier Delivery', 'Sales Consumption', 'Waste', 'Stock Adjustment', 'Expired Stock')",
+}
+add("v10_declared_values", " union all ".join(
+    f"""select '{t}' as table_name, '{c}' as column_name, {c} as "value", count(*) as rows from {STORED[t]}
+    where {c} not in {allowed} group by {c}""" for (t, c), allowed in ACCEPTED.items()))
+PARENTS = {
+    ("dim_ingredient", "supplier_id"): "dim_supplier", ("fact_orders", "channel"): "dim_channel",
+    ("fact_order_items", "order_id"): "fact_orders", ("fact_order_items", "menu_item_id"): "dim_menu_item",
+    ("fact_employee_shifts", "employee_id"): "dim_employee", ("fact_reviews", "order_id"): "fact_orders",
+    ("fact_inventory_movements", "ingredient_id"): "dim_ingredient",
+}
+add("v11_declared_references", " union all ".join(
+    f"""select '{t}' as table_name, '{c}' as column_name, {c} as "key", count(*) as rows from {STORED[t]}
+    where {c} not in (select {c} from {STORED[p]}) group by {c}""" for (t, c), p in PARENTS.items()))
 add("v12_quantity", f"select order_item_id, {n('quantity')} as quantity from s_order_items where quantity <= 0")
 add("v12_reconciliation", f"""select order_id, {pick('m2 subtotal, m2 discount_amount, m2 refund_amount, '
     'm2 platform_commission, m2 net_sales')},

@@ -543,6 +543,32 @@ on_warehouse(
 on_warehouse(
     "v11_order_channels", lambda w: quality.broken_references(w.stg_orders, "channel", w.dim_channel, "channel")
 )
+
+
+def _per_column(parts: dict[tuple[str, str], DataFrame]) -> DataFrame:
+    merged = None
+    for (table, column), rows in parts.items():
+        named = rows.selectExpr(f"'{table}' as table_name", f"'{column}' as column_name", "*")
+        merged = named if merged is None else merged.unionByName(named)
+    return merged
+
+
+on_warehouse(
+    "v9_declared_keys", lambda w: quality.key_test_summary({t: (getattr(w, t), k) for t, k in schemas.DECLARED_KEYS.items()})
+)
+on_warehouse(
+    "v10_declared_values",
+    lambda w: _per_column(
+        {(t, c): quality.unaccepted_values(getattr(w, t), c, allowed) for (t, c), allowed in schemas.DECLARED_VALUES.items()}
+    ),
+)
+on_warehouse(
+    "v11_declared_references",
+    lambda w: _per_column({
+        (t, c): quality.broken_references(getattr(w, t), c, getattr(w, parent), c)
+        for (t, c), parent in schemas.DECLARED_REFERENCES.items()
+    }),
+)
 on_warehouse("v12_negative_balance", lambda w: quality.negative_balances(w.fact_inventory_movements))
 on_warehouse("v12_quantity", lambda w: quality.nonpositive_quantities(w.stg_order_items))
 on_warehouse("v12_reconciliation", lambda w: quality.unreconciled_orders(w.stg_orders))

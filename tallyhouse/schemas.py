@@ -197,3 +197,40 @@ ROW_ID = {
     "employee_shifts": "shift_id",
     "inventory_movements": "movement_id",
 }
+
+# The menu's categories, and the column tests declared for dimensions and facts.
+MENU_CATEGORIES = (
+    "Starters", "Dumplings", "Rice Paper Rolls", "Banh Mi", "Pho Noodles", "Pho Xao", "Rice Bowls", "Vermicelli Salad",
+    "Sharing Plates", "Sides", "Drinks",
+)
+DECLARED_KEYS = {
+    "dim_date": "business_date",
+    "dim_menu_item": "menu_item_id",
+    "dim_ingredient": "ingredient_id",
+    "dim_employee": "employee_id",
+    "dim_supplier": "supplier_id",
+    "dim_channel": "channel",
+    "fact_orders": "order_id",
+    "fact_order_items": "order_item_id",
+    "fact_employee_shifts": "shift_id",
+    "fact_reviews": "review_id",
+    "fact_inventory_movements": "movement_id",
+}
+DECLARED_VALUES = {
+    ("dim_menu_item", "category"): MENU_CATEGORIES,
+    ("dim_employee", "department"): DEPARTMENTS,
+    ("dim_channel", "channel"): CHANNELS,
+    ("fact_orders", "status"): ORDER_STATUSES,
+    ("fact_orders", "daypart"): DAYPARTS,
+    ("fact_order_items", "item_status"): ITEM_STATUSES,
+    ("fact_inventory_movements", "movement_type"): MOVEMENT_TYPES,
+}
+DECLARED_REFERENCES = {
+    ("dim_ingredient", "supplier_id"): "dim_supplier",
+    ("fact_orders", "channel"): "dim_channel",
+    ("fact_order_items", "order_id"): "fact_orders",
+    ("fact_order_items", "menu_item_id"): "dim_menu_item",
+    ("fact_employee_shifts", "employee_id"): "dim_employee",
+    ("fact_reviews", "order_id"): "fact_orders",
+    ("fact_inventory_movements", "ingredient_id"): "dim_ingredient",
+}
