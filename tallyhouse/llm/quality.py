@@ -126,7 +126,9 @@ def moments(rows: DataFrame, label: str = "label", x: str = "x") -> dict[int, tu
 
 
 def fit(by_class: dict[int, tuple[float, np.ndarray, np.ndarray]]) -> dict[int, ClassDensity]:
-    """Densities with shrunk covariances."""
+    """Densities with shrunk covariances; none without rows."""
+    if not by_class:
+        return {}
     total = sum(n for n, _, _ in by_class.values())
     pooled = sum(n * c for n, _, c in by_class.values()) / total
     out = {}
