@@ -36,17 +36,23 @@ def running_totals(
     ``slices`` names columns that cut a key's rows into ordered pieces, coarse to fine, each a
     non-decreasing function of the order (an hour, then a second).  Rows are sorted only inside
     the finest slice.  What the earlier slices add up to enters a slice as one extra row ahead of
-    its own, so rows are shuffled once and joined with nothing; the slice sums, combined on the
-    map side, are run over in turn by the coarser slices.  ``totals`` maps output column to input
-    column.  ``order_by`` must order rows totally for the result to be determined.
+    its own.  The rows are read twice: once for the sums of the finest slices, which are combined on
+    the map side and written (eager), and once for the result; coarser slices run over those sums.
+    ``totals`` maps output column to input column.  ``order_by`` must order rows totally for the
+    result to be determined.
     """
+    return _running_totals(rows, keys, slices, order_by, totals, lambda sums: settle(sums, "slice-sums"))
+
+
+def _running_totals(rows, keys, slices, order_by, totals, keep) -> DataFrame:
     cut = [*keys, *slices]
     partition = f"partition by {', '.join(cut)}" if cut else ""
     if not slices:
         window = f"over ({partition} order by {order_by} rows between unbounded preceding and current row)"
         return rows.selectExpr("*", *[f"sum({source}) {window} as {out}" for out, source in totals.items()])
-    sums = aggregate(rows, cut, *[f"coalesce(sum({source}), 0) as {out}" for out, source in totals.items()])
-    carried = running_totals(sums, keys, slices[:-1], slices[-1], {f"_upto_{out}": out for out in totals}).selectExpr(
+    sums = keep(aggregate(rows, cut, *[f"coalesce(sum({source}), 0) as {out}" for out, source in totals.items()]))
+    upto = {f"_upto_{out}": out for out in totals}
+    carried = _running_totals(sums, keys, slices[:-1], slices[-1], upto, lambda coarser: coarser).selectExpr(
         *cut, "0 as _own", *[f"_upto_{out} - {out} as _add_{out}" for out in totals]
     )
     own = rows.selectExpr("*", "1 as _own", *[f"{source} as _add_{out}" for out, source in totals.items()])

@@ -23,6 +23,7 @@ from tallyhouse.schemas import (
     ORDER_STATUSES,
     ROW_ID,
 )
+from tallyhouse.sources.workdir import settle
 
 EXAMPLES = 5
 MONEY_TOLERANCE = 0.02
@@ -50,9 +51,11 @@ def orphans(child: DataFrame, row_id: str, key: str, parent: DataFrame, parent_k
 def report(table: str, failed: DataFrame) -> DataFrame:
     """V1: count and first ids per failed check.
 
-    The examples come from ``row_number() <= 5``, which Spark cuts to five per task before the
-    shuffle, so a check that a third of a table fails still sends a handful of ids.
+    The failures are written first (eager), so the checked tables are read once.  The examples come
+    from ``row_number() <= 5``, which Spark cuts to five per task before the shuffle, so a check that
+    a third of a table fails still sends a handful of ids.
     """
+    failed = settle(failed, "failures")
     first = failed.selectExpr("*", "row_number() over (partition by check order by id nulls last) as _n")
     examples = aggregate(
         first.where(f"_n <= {EXAMPLES}"), ["check"], "array_join(array_sort(collect_list(id)), ', ') as examples"
@@ -148,8 +151,8 @@ def check_shifts(shifts: DataFrame, employees: DataFrame) -> DataFrame:
 def running_balance(movements: DataFrame) -> DataFrame:
     """Stock after each ledger movement of an ingredient.
 
-    Movements at the same instant follow their id.  The ledger is sliced by hour, so the longest
-    sort is one ingredient's busiest hour.
+    Movements at the same instant follow their id.  The ledger is sliced by day, hour and second, so
+    the longest sort is one ingredient's busiest second.
     """
     rows = movements.selectExpr(
         "movement_id",
@@ -158,10 +161,10 @@ def running_balance(movements: DataFrame) -> DataFrame:
         "quantity_change",
         "to_date(movement_timestamp) as _day",
         "hour(movement_timestamp) as _hour",
+        "date_trunc('second', movement_timestamp) as _second",
     )
-    totals = running_totals(
-        rows, ["ingredient_id"], ["_day", "_hour"], "movement_timestamp, movement_id", {"balance": "quantity_change"}
-    )
+    order, slices = "movement_timestamp, movement_id", ["_day", "_hour", "_second"]
+    totals = running_totals(rows, ["ingredient_id"], slices, order, {"balance": "quantity_change"})
     return select(totals, "movement_id, ingredient_id, movement_timestamp, balance")
 
 
