@@ -12,7 +12,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-RUN_BYTES = 4 << 20
+RUN_BYTES = 2 << 20
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(MULTIPLIER), -1, 1 << 64))
 

@@ -12,8 +12,10 @@ Sets of n and m shingles are linked when they share c(n, m) = ceil(4 (n + m) / 9
 Lists are worked off in two steps.  First each class is compared with one hub of each of its lists, the class most of whose
 listed shingles are shared: that joins a group of copies around its original with a comparison per copy.  Then, in lists
 that still hold several components, classes of different components are paired, except those both in the list's largest
-component.  Pairs are counted over all their shared lists, and a pair whose count and unlisted rest cannot reach c is dropped;
-the others are compared exactly from their texts.  Every link between different components is found, so components are exact.
+component, and only where the shingles of each from the list's one on are enough to reach c: the first shingle that linked
+sets share always leaves enough.  Pairs are counted over all their shared lists, and a pair whose count and unlisted rest
+cannot reach c is dropped; the others are compared exactly from their texts.  Every link between different components is
+found, so components are exact.
 
 Shingles and sets are told apart by 64-bit hashes: of N sets, two different ones fall together with a chance of N^2 / 2^65.
 """
@@ -136,7 +138,7 @@ def _first_of_set(keys: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def inverted_lists(docs: DataFrame, weights: np.ndarray, least_size: int) -> DataFrame:
-    """(token, set_key): the listed shingles of each set of at least ``least_size``, copies within a run once."""
+    """(token, set_key, place): the listed shingles of each set of at least ``least_size``, copies within a run once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,9 +147,10 @@ def inverted_lists(docs: DataFrame, weights: np.ndarray, least_size: int) -> Dat
                 place = np.arange(len(owner)) - (np.cumsum(n) - n)[owner]
                 wanted = _first_of_set(keys, n) & (n >= least_size)
                 keep = wanted[owner] & (place < listed(n)[owner])
-                yield pa.RecordBatch.from_arrays([pa.array(_tokens(hashes[keep], weights)), pa.array(keys[owner[keep]])], names=["token", "set_key"])
+                columns = (_tokens(hashes[keep], weights), keys[owner[keep]], place[keep].astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "set_key", "place"])
 
-    return docs.select("text").mapInArrow(run, "token long, set_key long")
+    return docs.select("text").mapInArrow(run, "token long, set_key long, place int")
 
 
 def _costs(classes: DataFrame, weights: np.ndarray) -> dict[int, tuple[float, float]]:
@@ -196,13 +199,10 @@ def small_links(classes: DataFrame, limit: int) -> DataFrame:
     return met.select(F.col("set_key").alias("u"), F.col("hub.set_key").alias("v")).distinct()
 
 
-def _counted(pairs: DataFrame) -> DataFrame:
-    """Pairs (a, b, n, m) per shared list, counted; those that cannot be linked are dropped."""
-    rest = "greatest({0} - listed_n, {1} - listed_m)"
-    n_listed, m_listed = "n - (4 * n + 4) div 5 + 1", "m - (4 * m + 4) div 5 + 1"
-    summed = pairs.groupBy("a", "b", "n", "m").agg(F.count(F.lit(1)).alias("shared"))
-    summed = summed.withColumn("listed_n", F.expr(n_listed)).withColumn("listed_m", F.expr(m_listed))
-    return summed.filter(f"shared + {rest.format('n', 'm')} >= " + NEED.format(n="n", m="m")).select("a", "b")
+def _within_reach(pairs: DataFrame) -> DataFrame:
+    """Of pairs (a, b, n, m, shared), with the number of lists they share, those that what is not listed can still link."""
+    rest = "greatest((4 * n + 4) div 5 - 1, (4 * m + 4) div 5 - 1)"
+    return pairs.filter(f"shared + {rest} >= " + NEED.format(n="n", m="m")).select("a", "b")
 
 
 def compare(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -254,7 +254,8 @@ def _hub_pairs(lists: DataFrame) -> DataFrame:
     weighed = lists.join(share, "set_key").withColumn("weight", F.expr("kept / (n - (4 * n + 4) div 5 + 1)"))
     hubs = weighed.groupBy("token").agg(F.max(F.struct("weight", "set_key", "n")).alias("hub"))
     pairs = lists.join(hubs, "token").filter("set_key <> hub.set_key and " + SIZES_FIT.format(n="n", m="hub.n"))
-    return _counted(pairs.select(F.col("set_key").alias("a"), F.col("hub.set_key").alias("b"), "n", F.col("hub.n").alias("m")))
+    pairs = pairs.groupBy(F.col("set_key").alias("a"), F.col("hub.set_key").alias("b"), "n", F.col("hub.n").alias("m"))
+    return _within_reach(pairs.agg(F.count(F.lit(1)).alias("shared")))
 
 
 def _open_pairs(lists: DataFrame, roots: DataFrame, compared: DataFrame) -> DataFrame:
@@ -264,12 +265,19 @@ def _open_pairs(lists: DataFrame, roots: DataFrame, compared: DataFrame) -> Data
     per_root = known.groupBy("token", "root").agg(F.count(F.lit(1)).alias("size"))
     largest = per_root.groupBy("token").agg(F.max(F.struct("size", "root")).alias("largest"), F.count(F.lit(1)).alias("roots"))
     known = settle(known.join(largest.filter("roots > 1"), "token").withColumn("common", F.expr("root = largest.root")), "open-lists")
-    x = known.filter("not common").select("token", F.col("set_key").alias("x"), F.col("root").alias("x_root"), F.col("n").alias("x_n"))
-    y = known.select("token", F.col("set_key").alias("y"), F.col("root").alias("y_root"), F.col("n").alias("y_n"), "common")
-    met = x.join(y, "token").filter("x_root <> y_root and (common or x < y) and " + SIZES_FIT.format(n="x_n", m="y_n"))
-    pairs = met.selectExpr("least(x, y) as a", "greatest(x, y) as b", "if(x < y, x_n, y_n) as n", "if(x < y, y_n, x_n) as m")
+    x = known.filter("not common").selectExpr("token", "set_key as x", "root as x_root", "n as x_n", "n - place as x_left")
+    y = known.selectExpr("token", "set_key as y", "root as y_root", "n as y_n", "n - place as y_left", "common")
+    enough = "least(x_left, y_left) >= " + NEED.format(n="x_n", m="y_n")
+    met = x.join(y, "token").filter(
+        f"x_root <> y_root and (common or x < y) and {SIZES_FIT.format(n='x_n', m='y_n')} and {enough}"
+    )
+    pairs = met.selectExpr("least(x, y) as a", "greatest(x, y) as b", "if(x < y, x_n, y_n) as n", "if(x < y, y_n, x_n) as m").distinct()
     done = compared.selectExpr("least(a, b) as a", "greatest(a, b) as b")
-    return _counted(pairs).join(done, ["a", "b"], "left_anti")
+    pairs = settle(pairs.join(done, ["a", "b"], "left_anti"), "met-pairs")
+    nodes = pairs.selectExpr("a as set_key").unionByName(pairs.selectExpr("b as set_key")).distinct()
+    tokens = lists.join(nodes, "set_key").groupBy("set_key").agg(F.collect_list("token").alias("tokens"))  # a fifth of a set
+    both = pairs.join(tokens.selectExpr("set_key as a", "tokens as a_tokens"), "a").join(tokens.selectExpr("set_key as b", "tokens as b_tokens"), "b")
+    return _within_reach(both.selectExpr("a", "b", "n", "m", "size(array_intersect(a_tokens, b_tokens)) as shared"))
 
 
 def linked_documents(docs: DataFrame) -> DataFrame:
@@ -288,7 +296,7 @@ def linked_documents(docs: DataFrame) -> DataFrame:
     lists = inverted_lists(docs, weights, -(-4 * (limit + 1) // 5))
     shared = settle(lists.groupBy("token").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("token"), "shared-tokens")
     lists = lists.join(shared, "token").distinct().join(classes.select("set_key", "n"), "set_key")
-    lists = settle(lists.select("token", "set_key", "n"), "inverted-lists")
+    lists = settle(lists.select("token", "set_key", "place", "n"), "inverted-lists")
     first = settle(compare(docs, classes, settle(_hub_pairs(lists), "hub-pairs")), "hub-links")
     links = light.unionByName(first.filter("linked").selectExpr("a as u", "b as v"))
     roots = settle(connected_components(links), "components")
