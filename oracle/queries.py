@@ -684,6 +684,11 @@ SQL["r10_stream_rejects"] = SQL["r10_rejected_events"]
 SQL["r1_stream_rolling"] = SQL["r1_rolling_kpis"]
 add("r9_stream_latest", f"""select * exclude place from (select *, row_number() over (partition by site
     order by "timestamp" desc) as place from rolled) where place = 1""", rolled=trailing("site"))
+SQL["r5_stream_session"] = SQL["r5_session_summary"]
+add("r9_summary_messages", """select 'summary' as type, cast(order_count as varchar) as order_count,
+    nullif(regexp_extract(orders_by_channel, 'dine_in=([0-9]+)', 1), '') as dine_in
+    from (select *, row_number() over (partition by site order by "timestamp" desc) as place from rolled) where place = 1""",
+    rolled=trailing("site"))
 add("s10_messages", """select 'order' as type, event_id, channel, cast(order_count as varchar) as order_count,
     nullif(regexp_extract(orders_by_channel, 'dine_in=([0-9]+)', 1), '') as dine_in
     from rolled join valid_events using (event_id)""", rolled=trailing("site"))

@@ -160,26 +160,35 @@ def session_summary(events: DataFrame, session_start: str) -> DataFrame:
     ``session_start`` is a SQL instant.  Channels tie by who came first.  Each part is an
     aggregate of a map-side-combined grouping; none needs the events in one place.
     """
-    by_channel = aggregate(
+    minutes = aggregate(events.selectExpr("date_trunc('minute', timestamp) as minute"), ["minute"], "count(*) as count")
+    return summarise_session(totals_by_channel(events), minutes, session_start)
+
+
+def totals_by_channel(events: DataFrame) -> DataFrame:
+    """Totals per channel.  Works on batches and streams."""
+    return aggregate(
         events,
         ["channel"],
-        "count(*) as _orders",
-        f"sum({REVENUE}) as _revenue",
-        "min(timestamp) as _first",
-        "max(timestamp) as _last",
+        "count(*) as order_count",
+        f"sum({REVENUE}) as revenue",
+        "min(timestamp) as first_order",
+        "max(timestamp) as last_order",
     )
+
+
+def summarise_session(by_channel: DataFrame, minutes: DataFrame, session_start: str) -> DataFrame:
+    """R5 from totals per channel and counts per minute, however they were kept."""
     totals = aggregate(
         by_channel,
         [],
-        "coalesce(sum(_orders), 0) as total_orders",
-        f"{two_digits('double(coalesce(sum(_revenue), 0))')} as total_revenue",
-        "max_by(channel, struct(_orders, -unix_micros(_first))) as busiest_channel",
-        "map_from_entries(array_sort(collect_list(struct(channel, _orders)))) as orders_by_channel",
-        "max(_last) as _last",
+        "coalesce(sum(order_count), 0) as total_orders",
+        f"{two_digits('double(coalesce(sum(revenue), 0))')} as total_revenue",
+        "max_by(channel, struct(order_count, -unix_micros(first_order))) as busiest_channel",
+        "map_from_entries(array_sort(collect_list(struct(channel, order_count)))) as orders_by_channel",
+        "max(last_order) as _last",
     )
-    minutes = aggregate(events.selectExpr("date_trunc('minute', timestamp) as m"), ["m"], "count(*) as n")
     lasted = minutes_between(session_start, f"coalesce(_last, {session_start})")
-    return totals.withColumn("_peak", minutes.agg(F.max("n")).scalar()).selectExpr(
+    return totals.withColumn("_peak", minutes.agg(F.max("count")).scalar()).selectExpr(
         f"{session_start} as session_start",
         f"{two_digits(f'greatest({lasted}, 0D)')} as session_duration_minutes",
         "total_orders",

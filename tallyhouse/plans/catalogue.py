@@ -24,7 +24,7 @@ from tallyhouse.sources import csv_tables, tables
 from tallyhouse.sources.channels import channel_reference
 from tallyhouse.sources.workdir import new_folder, settle
 from tallyhouse.streaming import rollups
-from tallyhouse.streaming.board import LiveBoard
+from tallyhouse.streaming.board import LiveBoard, summary_message
 from tallyhouse.streaming.source import finish, split_by_contract, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -781,6 +781,27 @@ def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/totals")
 
 
+def stream_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R5 on the stream: both rollups run over the arrivals, and their tables make the summary."""
+    folder = new_folder(spark, "session")
+
+    def start(events: DataFrame) -> list:
+        valid = history.valid_events(events)
+        return [
+            rollups.write_changes(rollups.minute_counts(valid), folder, "minutes"),
+            rollups.write_latest(rollups.channel_totals(valid), folder, "totals"),
+        ]
+
+    _sliced_stream(spark, sf_dir, start)
+    totals = spark.read.parquet(f"{folder}/totals")
+    return history.summarise_session(totals, rollups.read_minutes(spark, folder, "minutes"), SESSION_START)
+
+
+def _summary_fields(messages: DataFrame) -> DataFrame:
+    fields = {"type": "$.type", "order_count": "$.summary.order_count", "dine_in": "$.summary.orders_by_channel.dine_in"}
+    return messages.selectExpr(*[f"get_json_object(value, '{path}') as {name}" for name, path in fields.items()])
+
+
 def _message_fields(messages: DataFrame) -> DataFrame:
     fields = {
         "type": "$.type",
@@ -798,6 +819,8 @@ register("r1_stream_rolling", stream_board(LiveBoard.kpis))
 register("r3_stream_open_window", stream_board(LiveBoard.open_window))
 register("r4_stream_history", stream_board(LiveBoard.recent_history))
 register("r9_stream_latest", stream_board(LiveBoard.latest))
+register("r9_summary_messages", stream_board(lambda board: _summary_fields(summary_message(board.latest()))))
+register("r5_stream_session", stream_session)
 register("s10_messages", stream_board(lambda board: _message_fields(board.messages())))
 register("r5_stream_totals", stream_totals)
 register("r6_stream_minutes", stream_minutes)

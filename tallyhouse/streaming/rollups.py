@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyhouse.functions import aggregate
-from tallyhouse.operators.history import REVENUE
+from tallyhouse.operators.history import totals_by_channel
 
 LATENESS = "10 minutes"
 
@@ -23,14 +23,7 @@ def minute_counts(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
 
 def channel_totals(events: DataFrame) -> DataFrame:
     """Running totals per channel since the stream began; state is one row per channel."""
-    return aggregate(
-        events,
-        ["channel"],
-        "count(*) as order_count",
-        f"sum({REVENUE}) as revenue",
-        "min(timestamp) as first_order",
-        "max(timestamp) as last_order",
-    )
+    return totals_by_channel(events)
 
 
 def write_changes(counts: DataFrame, folder: str, name: str, **trigger) -> StreamingQuery:
