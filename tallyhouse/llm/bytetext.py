@@ -1,6 +1,6 @@
 """Vectorised work on the UTF-8 bytes of an Arrow batch of texts: word bounds and 64-bit word hashes.
 
-A batch is cut into runs of whole texts of a few megabytes, so memory follows the run and the longest text, never the
+A batch is cut into runs of whole texts of about a megabyte, so memory follows the run and the longest text, never the
 partition.
 """
 
@@ -12,7 +12,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-RUN_BYTES = 2 << 20
+RUN_BYTES = 1 << 20
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(MULTIPLIER), -1, 1 << 64))
 
