@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import bytetext
+from tallyhouse.llm.columns import unused
 from tallyhouse.llm.components import connected_components
 from tallyhouse.sources.workdir import settle
 
@@ -50,6 +51,10 @@ NEED = "(4 * ({n} + {m}) + 8) div 9"
 SIZES_FIT = "5 * least({n}, {m}) >= 4 * greatest({n}, {m})"
 
 
+#: Whether a text has a word: anything but the separators of ``bytetext``.
+HAS_WORDS = r"text rlike '[^\\x20\\x09-\\x0D]'"
+
+
 def need(n: int, m: int) -> int:
     return (4 * (n + m) + 8) // 9
 
@@ -93,8 +98,11 @@ def _tokens(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return (weights[_slots(hashes)] << 54) | (hashes >> np.uint64(10)).astype(np.int64)
 
 
-def document_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, set_key, items): size and key of every document's set; its shingles where it is small.  Null ids stay null."""
+def document_sets(docs: DataFrame, *further: str) -> DataFrame:
+    """(doc_id, n, set_key, items): size and key of every document's set; its shingles where it is small.  Null ids stay null.
+
+    Further columns of longs are passed on.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,11 +112,12 @@ def document_sets(docs: DataFrame) -> DataFrame:
                 sizes = np.where(n <= SMALL_LIMIT, n, 0)
                 items = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(hashes[small].view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[r.first : r.last], pa.array(n.astype(np.int32)), pa.array(keys), items], names=["doc_id", "n", "set_key", "items"]
+                    [batch.column(0)[r.first : r.last], pa.array(n.astype(np.int32)), pa.array(keys), items, *(c[r.first : r.last] for c in batch.columns[2:])],
+                    names=["doc_id", "n", "set_key", "items", *further],
                 )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, n int, set_key long, items array<long>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *further)
+    return rows.mapInArrow(run, ", ".join(["doc_id long, n int, set_key long, items array<long>", *(f"{c} long" for c in further)]))
 
 
 def shingle_weights(docs: DataFrame) -> np.ndarray:
@@ -286,7 +295,12 @@ def linked_documents(docs: DataFrame) -> DataFrame:
     Documents without words have no shingle, link with nothing and are their own component; fewer than five words are one
     shingle.  Rows that share an id are judged by their own texts; a null id is passed over when the smallest is taken.
     """
-    sets = settle(document_sets(docs), "document-sets")
+    return _linked(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def _linked(docs: DataFrame, *further: str) -> DataFrame:
+    """Rows of ``linked_documents`` with further columns and root, a set key that names the component; null without words."""
+    sets = settle(document_sets(docs, *further), "document-sets")
     classes = sets.filter("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("smallest"), F.min("n").alias("n"), F.min("items").alias("items"))
     classes = settle(classes, "set-classes")
     weights = shingle_weights(docs)
@@ -307,22 +321,30 @@ def linked_documents(docs: DataFrame) -> DataFrame:
         roots = settle(connected_components(joined), "components")
     named = classes.join(roots, classes.set_key == roots.node, "left").select("set_key", "smallest", F.coalesce("root", "set_key").alias("root"))
     ids = named.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    named = named.join(ids, "root").select("set_key", "component_id")
-    out = sets.filter("n > 0").join(named, "set_key").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
-    alone = sets.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    named = named.join(ids, "root").select("set_key", "component_id", "root")
+    out = sets.filter("n > 0").join(named, "set_key")
+    out = out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "root", *further)
+    alone = sets.filter("n = 0").select(
+        "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("root"), *further
+    )
     return out.unionByName(alone)
 
 
 def one_per_component(docs: DataFrame) -> DataFrame:
-    """The documents without those linked to one of a smaller id; documents without words all stay.
+    """One document of each component, that of the smallest id; documents without words all stay.
 
-    Of rows that share the staying id, one stays.
+    A null id comes after all others, and of texts of one id in a component the one of the smallest hash stays.  Of rows
+    equal in id and text one stays.  Texts that are not linked never stand for one another, whatever their ids.
     """
-    rows = settle(linked_documents(docs), "linked-documents")
-    stays = rows.filter("n_shingles = 0 or doc_id <=> component_id")
-    ids = settle(stays.groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("most")), "staying")
-    kept = docs.alias("d").join(ids.alias("s"), F.expr("cast(d.doc_id as long) <=> s.doc_id"))
-    once = kept.filter("s.copies = 1 or s.most = 0").select("d.*")
-    if ids.filter("copies > 1 and most > 0").isEmpty():
-        return once
-    return once.unionByName(kept.filter("s.copies > 1 and s.most > 0").select("d.*").dropDuplicates(["doc_id"]))
+    own = unused(docs, "text_hash")
+    hashed = docs.withColumn(own, F.xxhash64("text"))
+    has_words = F.coalesce(F.expr(HAS_WORDS), F.lit(False))
+    rows = settle(_linked(hashed.filter(has_words), own).select("doc_id", "root", own), "linked-documents")
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(own))).alias("first")
+    stays = rows.groupBy("root").agg(first).select(F.col("first.doc_id").alias("doc_id"), F.col(f"first.{own}").alias(own))
+    stays = settle(stays, "staying")
+    kept = hashed.filter(has_words).alias("d").join(stays.alias("s"), F.expr(f"cast(d.doc_id as long) <=> s.doc_id and d.{own} = s.{own}"), "left_semi")
+    copies = rows.join(stays, (rows.doc_id.eqNullSafe(stays.doc_id)) & (rows[own] == stays[own]), "left_semi").groupBy("doc_id", own).count()
+    if not copies.filter("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id", own])
+    return hashed.filter(~has_words).unionByName(kept).drop(own)

@@ -100,6 +100,21 @@ def test_one_per_component(spark, table):
     assert sorted(r.doc_id for r in kept.collect()) == [2, 7, 8, 9]
 
 
+def test_one_per_component_goes_by_text(spark, table):
+    """Null ids, and unlinked texts of one id, never stand for one another; linked texts of one id leave one."""
+    find_package(spark)
+    text = " ".join(f"w{k}" for k in range(30))
+    near = text.replace("w29", "own")
+    rows = [(None, "first of none"), (None, "second of none"), (None, "third of none"), (None, "third of none"), (None, None), (None, ""), (None, "\x0b")]
+    rows += [(2, "one text of two"), (2, "quite another text"), (2, ""), (3, text), (3, near), (4, near), (None, text)]
+    rows += [(5, "shared by five and six"), (5, "alone in five"), (6, "Shared by five and six"), (6, "alone in six")]
+    got = [(r.doc_id, r.text) for r in set_join.one_per_component(table(rows, "doc_id long, text string")).collect()]
+    of_three = [t for i, t in got if i == 3]
+    assert len(of_three) == 1 and of_three[0] in (text, near)
+    wanted = [r for k, r in enumerate(rows) if k not in (3, 10, 11, 12, 13, 16)]
+    assert sorted(map(repr, [r for r in got if r[0] != 3])) == sorted(map(repr, wanted))
+
+
 def test_empty(spark, table):
     find_package(spark)
     assert set_join.linked_documents(table([], "doc_id long, text string")).count() == 0
