@@ -5,8 +5,10 @@ are summed over its nodes and divided by their number.  The two ratios are laid
 fused by their product, averaged per path again and compared with a threshold taken from their spread: paths above it are
 content.  The content paths then name the element that holds the article (an article or main element where there is one,
 otherwise the innermost element with most of the content), and the blocks of that element are returned, so that headings
-and short paragraphs stay with the article.  Elements that are menus, notices, forms and the like by tag, role or class
-never count.
+and short paragraphs stay with the article.  Elements that are menus, notices, forms and the like by tag or role never
+count.  A class or id only makes an element doubtful, as layouts use such words too (``no-sidebar``, ``comments-open``): it
+never speaks against html, body, main and article, and another element is left out only where it holds less than half of
+the content that the ratios select on the whole page.
 """
 
 from __future__ import annotations
@@ -49,16 +51,20 @@ ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]
 SMOOTHING, SPREAD = 1.0, 0.5
 #: Share of the content that an element must hold to be looked into further.
 MOST = 0.75
+#: Share of the content from which an element counts whatever its class says; and elements whose class says nothing.
+SPARED = 0.5
+FRAMES = frozenset("html body main article".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "path", "aside", "main", "order", "mass")
+    __slots__ = ("tag", "parent", "path", "aside", "doubtful", "main", "order", "mass")
 
-    def __init__(self, tag, parent, aside=False, main=False):
+    def __init__(self, tag, parent, aside=False, main=False, doubtful=False):
         self.tag, self.parent = tag, parent
         self.path = (parent.path if parent else "") + "/" + tag
         self.aside = aside or bool(parent and parent.aside)
         self.main = main
+        self.doubtful = doubtful
         self.mass = 0.0
 
     def chain(self) -> Iterator[Node]:
@@ -68,20 +74,20 @@ class Node:
             node = node.parent
 
 
-def _aside(tag: str, attributes: str, parent: Node) -> tuple[bool, bool]:
-    """Whether an element is beside the article, and whether it is one."""
-    main = tag in ("article", "main")
+def _aside(tag: str, attributes: str, parent: Node) -> tuple[bool, bool, bool]:
+    """Whether an element is beside the article, whether it is one, and whether its class or id says that it is beside it."""
+    main, doubtful = tag in ("article", "main"), False
     aside = tag in ASIDE or tag == "header" and not any(n.main for n in parent.chain())
     if attributes:
         found = {m[0].lower(): m[1] or m[2] or m[3] for m in ATTRIBUTE.findall(attributes)}
         role = found.get("role", "").lower()
         words = set(re.split(r"[\s_-]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", found.get("class", "") + " " + found.get("id", "")).lower()))
         off = re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes) or "display:none" in found.get("style", "").replace(" ", "").lower()
-        aside = bool(aside or role in ASIDE_ROLES or words & ASIDE_WORDS or off or found.get("aria-hidden") == "true")
-        if "header" in words and tag not in ("h1", "h2") and not any(n.main for n in parent.chain()):
-            aside = True
+        aside = bool(aside or role in ASIDE_ROLES or off or found.get("aria-hidden") == "true")
+        header = "header" in words and tag not in ("h1", "h2") and not any(n.main for n in parent.chain())
+        doubtful = tag not in FRAMES and bool(words & ASIDE_WORDS or header)
         main = main or role == "main" or found.get("itemprop") == "articleBody"
-    return aside, main and not aside
+    return aside, main and not aside, doubtful
 
 
 def blocks(page: str) -> list[tuple[Node, list[str]]]:
@@ -144,8 +150,7 @@ def blocks(page: str) -> list[tuple[Node, list[str]]]:
                     if n.tag in SIBLINGS[name]:
                         close(n)
                         break
-        aside, main = _aside(name, m[3], top)
-        top = Node(name, top, aside, main)
+        top = Node(name, top, *_aside(name, m[3], top))
     end_block()
     return out
 
@@ -169,6 +174,18 @@ def content_paths(paths: list[str], lengths: np.ndarray, marks: np.ndarray) -> s
     return {str(n) for n, v in zip(names, per_path, strict=True) if v >= threshold}
 
 
+def _weigh(found: list[tuple[Node, str]]) -> set[str]:
+    """The content paths of the blocks; adds the length of each block on one to the elements around it."""
+    lengths = np.array([len(t) for _, t in found], float)
+    marks = np.array([len(PUNCTUATION.findall(t)) for _, t in found], float)
+    chosen = content_paths([n.path for n, _ in found], lengths, marks)
+    for (node, _), length in zip(found, lengths, strict=True):
+        if node.path in chosen:
+            for n in node.chain():
+                n.mass += length
+    return chosen
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks joined by line breaks; empty for a null page or one without text."""
     found = []
@@ -178,13 +195,16 @@ def main_text(page: str | None) -> str:
             found.append((node, text))
     if not found:
         return ""
-    lengths = np.array([len(t) for _, t in found], float)
-    marks = np.array([len(PUNCTUATION.findall(t)) for _, t in found], float)
-    chosen = content_paths([n.path for n, _ in found], lengths, marks)
-    for (node, _), length in zip(found, lengths, strict=True):
-        if node.path in chosen:
+    if any(n.doubtful for node, _ in found for n in node.chain()):
+        _weigh(found)
+        total = sum(root.mass for root in {id(n): n for node, _ in found for n in node.chain() if n.parent is None}.values())
+        found = [(node, t) for node, t in found if not any(n.doubtful and n.mass < SPARED * total for n in node.chain())]
+        for node, _ in found:
             for n in node.chain():
-                n.mass += length
+                n.mass = 0.0
+        if not found:
+            return ""
+    chosen = _weigh(found)
     mains = {id(n): n for node, _ in found for n in node.chain() if n.main}
     outer = [n for n in mains.values() if not any(p.main for p in n.chain() if p is not n)]
     best = max(outer, key=lambda n: n.mass, default=None)

@@ -31,6 +31,23 @@ def test_page(page):
     assert main_text(page) == PAGES[page]
 
 
+LONG = "A long paragraph, with words. And more, words of the article.", "Second paragraph, as long as the first one, or nearly so."
+BODY = "<h1>T</h1>" + "".join(f"<p>{p}</p>" for p in LONG)
+LAYOUTS = [
+    f"<html class='has-header'><body class='single has-sidebar'><div>{BODY}</div><div class='sidebar'>Links, here.</div></body></html>",
+    f"<body><div id='page' class='no-sidebar'><div class='ad'>Buy, now!</div><div>{BODY}</div></div><div class='footer'>c</div></body>",
+    f"<body><article class='post comments-open'>{BODY}<div class='share'>Tell</div></article><div class='comments'><p>Nice, read!</p></div></body>",
+    f"<body><div class='menu'>Home</div><main class='search-page'>{BODY}</main></body>",
+    f"<body><div class='overflow-hidden'><div class='page-with-menu'>{BODY}<div class='newsletter'>Sign up.</div></div></div></body>",
+]
+
+
+@pytest.mark.parametrize("page", LAYOUTS, ids=range(len(LAYOUTS)))
+def test_class_words_of_layouts(page):
+    """Words like those of menus and notices on elements around the article leave it; on small elements they drop these."""
+    assert main_text(page) == "\n".join(["T", *LONG])
+
+
 def test_frame(spark, table):
     find_package(spark)
     pages = table([(1, None, "clash"), (2, "<p>x</p>", "clash"), (2, "<p>x</p>", "clash"), (None, "", None)], "page_id long, html string, text string")
