@@ -2,8 +2,10 @@
 
 A writer's word passes a noisy channel: letters become look-alike signs, are repeated, or are set apart by spaces and dots.
 A character trigram model, counted over all documents, says which words are likely.  Places that may be disguised (a sign
-next to letters, a letter three times in a row, single letters in a row) become a lattice of readings, Viterbi finds the
-likeliest one, and it replaces the place where it beats the text as it stands.
+before or behind letters, a letter of a-z twice or any three times in a row, single letters and signs set apart, short groups
+of letters with one gap sign between two) become a lattice of readings, Viterbi finds the likeliest one, and it replaces the
+place where it beats the text as it stands.  A text is scored by both its restored and its shown words, so that restoring only
+adds.
 
 The restored text is scored by a lexicon of words and word beginnings.  It is learned from labelled rows outside the held-out
 fold, at most ``PER_CLASS`` of either label: entries are taken one by one, each time the one that explains most toxic documents
@@ -19,6 +21,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,10 +58,24 @@ _LETTER_BYTE = _SYMBOL_OF_BYTE > 0
 _LETTER_BYTE[128:192] = True
 _SIGN_BYTE = np.isin(np.arange(256), list(_SIGNS.encode()))
 _S = re.escape(_SIGNS)
+_GAP = r"[ .\-_*]"
+_UNIT = rf"(?:[^\W\d_]|[{_S}])"
+#: Letters and signs set apart by up to three gap signs each, two letters at least.
+SET_APART = rf"(?=(?:[{_S}]|{_GAP})*[^\W\d_](?:[{_S}]|{_GAP})+[^\W\d_])(?:{_UNIT}{_GAP}{{1,3}}){{2,}}{_UNIT}(?![^\W_]|[{_S}])"
+APART_PLACE = re.compile(rf"(?:{_UNIT}{_GAP}+)+{_UNIT}")
+#: A word with a sign next to a letter or a letter three times in a row; not the parts of an address.
+DISGUISED = (
+    rf"(?=\S*[^\W\d_])(?=[^\W\d_]*(?:[{_S}]+[^\W\d_]|(?<=[^\W\d_])[{_S}]|([^\W\d_])\1\1))"
+    rf"(?:[{_S}]|[^\W\d_])++(?![\w@.-]*@)"
+)
 SUSPECT = re.compile(
-    rf"(?<!\S)(?:[^\W\d_][ .\-_*]){{2,}}[^\W\d_](?![^\W\d_])"  # letters set apart
-    rf"|(?<![\w@$|+!.-])(?=\S*[^\W\d_])(?=[^\W\d_]*(?:[{_S}]+[^\W\d_]|([^\W\d_])\1\1))[^\W\d_{_S}]*(?:[{_S}]|[^\W\d_])+(?![\w@.-]*@)"
+    rf"(?<![^\W_])(?<![{_S}]){SET_APART}"
+    rf"|(?:(?<![\w@$|+!.-])|(?<=[_|!.-])(?![^\s@]*@[\w-]+\.\w)){DISGUISED}"
 )
+#: Longest group of letters that counts as a syllable, and gap signs between groups.
+SYLLABLE, _GAPS = 4, np.isin(np.arange(256), list(b" .-_*"))
+#: Readings kept by a worker before it forgets them all.
+MEMORY = 500_000
 
 
 def symbol(char: str) -> int:
@@ -74,44 +91,52 @@ class CharacterModel:
         one = (three.sum((0, 1)) + 1) / (three.sum() + SYMBOLS)
         two = (three.sum(0) + SYMBOLS * one) / (three.sum(0).sum(1, keepdims=True) + SYMBOLS)
         self.log = np.log((three + SYMBOLS * two[None]) / (three.sum(2, keepdims=True) + SYMBOLS))
+        self.table = self.log.tolist()
+        self.known: dict[str, str] = {}
+        self.surplus: dict[int, list[int]] = {}
+
+    def gains(self, s: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """What the text gains when the gaps at these places of its symbols are left out."""
+        w, x, y, z = s[at - 2], s[at - 1], s[at + 1], s[at + 2]
+        return self.log[w, x, y] + self.log[x, y, z] + APART - self.log[w, x, 0] - self.log[x, 0, y] - self.log[0, y, z]
 
     def word(self, text: str) -> float:
         before = (0, 0)
         total = 0.0
         for s in [*map(symbol, text), 0]:
-            total += self.log[before[0], before[1], s]
+            total += self.table[before[0]][before[1]][s]
             before = (before[1], s)
         return total
 
     def decode(self, observed: str) -> tuple[str, float]:
         """The likeliest reading of a disguised place and its log probability, by Viterbi over the last two symbols."""
-        apart = re.fullmatch(r"(?:[^\W\d_][ .\-_*])+[^\W\d_]", observed) is not None
+        apart = APART_PLACE.fullmatch(observed) is not None
         units = [(m[0], len(m[0])) for m in re.finditer(r"(.)\1*", observed, re.S)]
         best = {(0, 0): (0.0, "")}
         for run, n in units:
             char = run[0]
             readings: list[tuple[str, float]] = []
             if apart and char in " .-_*":
-                readings = [("", APART if n == 1 else AS_SIGN)]
+                readings = [("", APART * n)]
             elif char.isalpha():
                 readings = [(run, 0.0)] if n == 1 else [(char, REPEATED), (char * 2, REPEATED if n > 2 else 0.0)]
             else:
                 readings = [(char, AS_SIGN * n)]
                 if char in LOOK_ALIKES:
                     share = AS_LETTER - np.log(len(LOOK_ALIKES[char]))
-                    readings += [(c * k, share * n) for c in LOOK_ALIKES[char] for k in {min(n, 2), 1}]
+                    readings += [(c * k, share * n + (REPEATED if k < n else 0.0)) for c in LOOK_ALIKES[char] for k in {min(n, 2), 1}]
             after: dict[tuple[int, int], tuple[float, str]] = {}
             for (a, b), (value, text) in best.items():
                 for reading, cost in readings:
                     x, y, total = a, b, value + cost
                     for c in reading:
                         s = symbol(c)
-                        total += self.log[x, y, s]
+                        total += self.table[x][y][s]
                         x, y = y, s
                     if (x, y) not in after or (total, text + reading) > after[x, y]:
                         after[x, y] = (total, text + reading)
             best = after
-        ends = [(value + self.log[a, b, 0], text) for (a, b), (value, text) in best.items()]
+        ends = [(value + self.table[a][b][0], text) for (a, b), (value, text) in best.items()]
         value, text = max(ends)
         return text, value
 
@@ -126,12 +151,18 @@ class CharacterModel:
                 letters = ""
         return total
 
-    def restore(self, text: str) -> str:
-        def reading(m: re.Match) -> str:
-            found, value = self.decode(m[0])
-            return found if found != m[0] and value > self.as_it_stands(m[0]) + GAIN else m[0]
+    def reading(self, observed: str) -> str:
+        """A place as it is read: the likeliest reading where it gains enough."""
+        if observed not in self.known:
+            if len(self.known) >= MEMORY:
+                self.known.clear()
+            found, value = self.decode(observed)
+            self.known[observed] = found if found != observed and value > self.as_it_stands(observed) + GAIN else observed
+        return self.known[observed]
 
-        return SUSPECT.sub(reading, text)
+    def restore(self, text: str) -> str:
+        read = SUSPECT.sub(lambda m: self.reading(m[0]), text)
+        return _closed(pa.array([read], pa.large_string()), self)[0].as_py()
 
 
 def trigram_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -154,6 +185,69 @@ def trigram_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
     return counts
 
 
+def _surplus_letters(run: bytetext.Run, model: CharacterModel) -> np.ndarray:
+    """Places of letters of a-z that repeat the one before and are left out; each word is decoded once per worker."""
+    low = run.data | 32
+    twice = np.flatnonzero((low[1:] == low[:-1]) & (low[1:] >= 97) & (low[1:] <= 122) & _LETTER_BYTE[run.data[1:]] & _LETTER_BYTE[run.data[:-1]])
+    w = bytetext.words(run, ~_LETTER_BYTE)
+    of = np.unique(np.searchsorted(w.starts, twice, "right") - 1)
+    hashes, first, back = np.unique(w.hashes[of], return_index=True, return_inverse=True)
+    order = np.argsort(back, kind="stable")
+    upto = np.concatenate([[0], np.cumsum(np.bincount(back, minlength=len(hashes)))])
+    out = [np.zeros(0, int)]
+    for k, (h, f) in enumerate(zip(hashes.tolist(), of[first].tolist(), strict=True)):
+        if h not in model.surplus:
+            if len(model.surplus) >= MEMORY:
+                model.surplus.clear()
+            word = run.data[w.starts[f] : w.ends[f]].tobytes().decode("utf-8", "replace").lower()
+            model.surplus[h] = _left_out(word, model.reading(word))
+        if model.surplus[h]:
+            starts = w.starts[of[order[upto[k] : upto[k + 1]]]]
+            out += [starts + j for j in model.surplus[h]]
+    return np.concatenate(out)
+
+
+def _left_out(word: str, read: str) -> list[int]:
+    """Byte places of a word's letters that its reading leaves out; the reading repeats no letter more often."""
+    out, at, k = [], 0, 0
+    for c in word:
+        if k < len(read) and read[k] == c:
+            k += 1
+        else:
+            out.append(at)
+        at += len(c.encode())
+    return out
+
+
+def _open_gaps(run: bytetext.Run, model: CharacterModel) -> np.ndarray:
+    """Places of single gap signs between groups of at most ``SYLLABLE`` letters of a-z where the text gains without the gap.
+
+    Only the symbols two places to either side tell, so each gap of the lattice is decided by itself.
+    """
+    place = np.arange(len(run.data)) + 3 * np.repeat(np.arange(1, len(run.offsets)), np.diff(run.offsets))
+    data = np.zeros(len(run.data) + 3 * len(run.offsets), np.uint8)  # three zeros between texts
+    data[place] = run.data
+    s = _SYMBOL_OF_BYTE[data]
+    inside = (s > 0) & (s < 27)
+    at = np.flatnonzero(_GAPS[data[1:-1]] & inside[:-2] & inside[2:]) + 1
+    edge = np.flatnonzero(~inside)
+    k = np.searchsorted(edge, at)
+    at = at[(at - edge[k - 1] <= SYLLABLE + 1) & (edge[k + 1] - at <= SYLLABLE + 1)]
+    return np.searchsorted(place, at[model.gains(s, at) > GAIN])
+
+
+def _closed(column: pa.Array, model: CharacterModel) -> pa.Array:
+    """Texts without surplus letters and without gaps inside words; nulls become empty."""
+    parts = []
+    for r in bytetext.runs(column):
+        keep = np.ones(len(r.data), bool)
+        keep[_surplus_letters(r, model)] = False
+        keep[_open_gaps(r, model)] = False
+        offsets = np.concatenate([[0], np.cumsum(keep)])[r.offsets]
+        parts.append(pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(r.data[keep].tobytes())))
+    return pa.concat_arrays(parts) if parts else column
+
+
 def _suspects(run: bytetext.Run) -> np.ndarray:
     """Numbers of the texts of a run that have a place to decode."""
     data = run.data
@@ -162,31 +256,41 @@ def _suspects(run: bytetext.Run) -> np.ndarray:
     letter, sign = _LETTER_BYTE[data], _SIGN_BYTE[data]
     flag = np.zeros(len(data), bool)
     flag[:-1] |= sign[:-1] & letter[1:]
+    flag[1:] |= sign[1:] & letter[:-1]
     flag[2:] |= letter[2:] & (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2])
     starts = (data < 128) | (data >= 192)
     chars = np.flatnonzero(starts)
-    kinds = letter[chars]
-    alone = kinds & ~np.roll(kinds, 1) & ~np.roll(kinds, -1)
-    flag[chars[4:]] |= alone[4:] & alone[2:-2] & alone[:-4]
+    kinds = letter[chars] | sign[chars]
+    alone = np.flatnonzero(kinds & ~np.roll(kinds, 1) & ~np.roll(kinds, -1))
+    near = alone[2:] - alone[:-2] <= 8  # three units with at most three gap signs between two
+    flag[chars[alone[2:][near]]] = True
     return np.unique(np.searchsorted(run.offsets, np.flatnonzero(flag), "right") - 1)
 
 
 def restored_texts(column: pa.Array, model: CharacterModel) -> pa.Array:
-    """Texts with disguised places restored; others are passed on as they are."""
+    """Texts with disguised places restored; a null stays null."""
     changed: dict[int, str] = {}
     for r in bytetext.runs(column):
         for k in _suspects(r):
             text = column[r.first + int(k)].as_py()
             if text:
-                restored = model.restore(text)
-                if restored != text:
-                    changed[r.first + int(k)] = restored
-    if not changed:
-        return column
-    values = column.to_pylist()
-    for k, v in changed.items():
-        values[k] = v
-    return pa.array(values, pa.large_string())
+                read = SUSPECT.sub(lambda m: model.reading(m[0]), text)
+                if read != text:
+                    changed[r.first + int(k)] = read
+    read = column.cast(pa.large_string())
+    if changed:
+        values = column.to_pylist()
+        for k, v in changed.items():
+            values[k] = v
+        read = pa.array(values, pa.large_string())
+    closed = _closed(read, model)
+    return pc.if_else(column.is_valid(), closed, pa.scalar(None, pa.large_string()))
+
+
+def both_texts(column: pa.Array, model: CharacterModel) -> pa.Array:
+    """What texts show and, behind a line break, what they are restored to."""
+    column = column.cast(pa.large_string())
+    return pc.binary_join_element_wise(column, restored_texts(column, model), pa.scalar("\n", pa.large_string()))
 
 
 def word_features(run: bytetext.Run) -> tuple[np.ndarray, np.ndarray]:
@@ -237,7 +341,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, model: CharacterModel) ->
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = restored_texts(batch.column(2), model)
+            column = both_texts(batch.column(2), model)
             for r in bytetext.runs(column):
                 owner, feature = word_features(r)
                 pairs = np.unique(np.stack([owner.astype(np.uint64), feature]), axis=1)
@@ -313,7 +417,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = lexicon.scores(restored_texts(batch.column(1), model))
+            scores = lexicon.scores(both_texts(batch.column(1), model))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["doc_id", "score"])
 
     schema = T.StructType([docs.schema["doc_id"], T.StructField("score", T.DoubleType())])

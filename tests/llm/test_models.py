@@ -1,6 +1,7 @@
 """Operators 6, 7, 9 and 10: held-out accuracy, recall against brute force, and the cases their docstrings define."""
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
@@ -93,6 +94,24 @@ def test_disguise_is_undone(model, disguised, plain):
     assert model.restore(f"and {disguised} the") == f"and {plain} the"
 
 
+@pytest.mark.parametrize(
+    "disguised, plain",
+    [
+        ("idio7", "idiot"), ("m 0 r 0 n", "moron"), ("l.0.s.e.r", "loser"), ("s t u p 1 d", "stupid"), ("$ t u p i d", "stupid"), ("s  c  u  m", "scum"),
+        ("stuupid", "stupid"), ("STUUPID", "STUPID"), ("st up id", "stupid"), ("st.up.id", "stupid"), ("you...m0ron", "you...moron"), ("-m0ron", "-moron"),
+    ],
+)
+def test_mixed_disguise_is_undone(model, disguised, plain):
+    """Signs behind letters and among letters set apart, wider gaps, doubled letters, syllables, starts behind punctuation."""
+    assert model.restore(f"and {disguised} the") == f"and {plain} the"
+
+
+def test_restoring_does_not_cross_texts_and_only_adds(model):
+    column = pa.array(["and st", "up id", None, "", "st up id", "x stuupid " * 3])
+    assert toxicity.restored_texts(column, model).to_pylist() == ["and st", "up id".replace(" ", ""), None, "", "stupid", "x stupid " * 3]
+    assert toxicity.both_texts(column, model).to_pylist()[4] == "st up id\nstupid"
+
+
 @pytest.mark.parametrize("text", ["call +1 (459) 555-7415 now", "a.b40@mail6.example.com", "1. first", "the th 3 and", "22.249.23.55", "x"])
 def test_plain_text_stays(model, text):
     assert model.restore(text) == text
