@@ -4,8 +4,9 @@ Four base kinds are found by pattern and checked: e-mail addresses, IP addresses
 seeds.  The tokens around an entity are its lexical patterns: the token before it (or the label glued to it, as in ``id=``)
 and the token behind it.  Patterns and instances form a graph: a pattern is as good as the share of its places in all
 documents that hold a known instance, weighted by how well that is known, and a candidate (a longer token with digits that no
-base kind covers) is as well known as its patterns together make it.  After some rounds the candidates known best are added
-as spans of the kind ``id``.  Base spans are never changed.
+base kind covers) is as well known as its patterns together make it.  Each of ``ROUNDS`` rounds reaches one hop further: what
+one makes known counts for other patterns in the next, also for those without a seed.  Then the candidates known best are
+added as spans of the kind ``id``.  Base spans are never changed.
 
 Where a match starts is summed from the lengths of what lies before it: each kind's matches are set apart by a mark, the text
 is split at the marks, and a window adds up lengths in code points per document and kind.
@@ -128,22 +129,24 @@ def discovered_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     around = around.withColumn("as", F.when(F.col("side") == "glued", "label").otherwise("word"))
     edges = around.groupBy("side", "as", "token", "value").agg(F.count(F.lit(1)).alias("n"), F.max(is_seed.cast("int")).alias("seed"))
     edges = settle(edges, "pattern-instances")
-    known = edges.groupBy("side", "as", "token").agg(F.sum("n").alias("uses"), F.sum(F.col("n") * F.col("seed")).alias("seeds"))
-    known = known.filter((F.col("uses") >= LEAST_PLACES) & (F.col("seeds") > 0))
+    # a pattern without a seed may become good in a later round, by instances that other patterns make known
+    known = edges.groupBy("side", "as", "token").agg(F.sum("n").alias("uses")).filter(F.col("uses") >= LEAST_PLACES)
     places = _places(docs, settle(known.select("as", "token").distinct(), "context-tokens"))
     # a pattern whose places mostly hold ordinary words cannot become good
     known = known.join(places, ["as", "token"]).filter(F.col("uses") >= PATTERN_CONFIDENCE * F.greatest("places", "uses"))
     graph = edges.join(known.select("side", "as", "token", F.greatest("places", "uses").alias("places")), ["side", "as", "token"])
     graph = settle(graph, "pattern-graph")
-    instances = graph.groupBy("value").agg(F.max("seed").cast("double").alias("confidence"))
+    values = graph.groupBy("value").agg(F.max("seed").cast("double").alias("seed"))
+    instances = values.filter("seed = 1").select("value", F.col("seed").alias("confidence"))
     for _ in range(ROUNDS):
         patterns = graph.join(instances, "value").groupBy("side", "as", "token")
         patterns = patterns.agg((F.sum(F.col("n") * F.col("confidence")) / F.max("places")).alias("good"))
         patterns = patterns.filter(F.col("good") >= PATTERN_CONFIDENCE)
         doubt = F.sum(F.log1p(-F.least("good", F.lit(0.999999))))
-        heard = graph.join(patterns, ["side", "as", "token"]).groupBy("value", "seed").agg(F.exp(doubt).alias("doubt"))
-        instances = heard.select("value", F.when(F.col("seed") == 1, 1.0).otherwise(1 - F.col("doubt")).alias("confidence"))
-        instances = settle(instances.groupBy("value").agg(F.max("confidence").alias("confidence")), "instances")
+        heard = graph.join(patterns, ["side", "as", "token"]).groupBy("value").agg(F.exp(doubt).alias("doubt"))
+        confidence = F.when(F.col("seed") == 1, 1.0).otherwise(1 - F.col("doubt"))
+        known_now = values.join(heard, "value", "left").select("value", confidence.alias("confidence"))  # seeds stay known
+        instances = settle(known_now.filter("confidence > 0"), "instances")
     found = instances.filter(F.col("confidence") >= INSTANCE_CONFIDENCE).select("value")
     return free.select("c.*").join(found, "value", "left_semi").select(*spans.columns)
 

@@ -65,6 +65,15 @@ def test_contexts_discover_identifiers(spark, table):
     assert all(spans[k].startswith("email:") and spans[k].count(":") == 2 for k in range(12))
 
 
+def test_discovered_identifiers_discover_others(spark, table):
+    """From addresses to an identifier beside the same word, and from its other places to one that no seed's context touches."""
+    rows = [(k, f"w{k} words contact: u{k}@mail.org then{k} more") for k in range(12)]
+    rows += [(20, "so contact: AB123456 on"), (40, "so member CD987654 off"), (41, "so nothing EF987654 off")]
+    rows += [(k, f"the member AB123456 x{k} here") for k in range(21, 30)]
+    spans = {r.doc_id: r.spans for r in personal_data.personal_data(table(rows, "doc_id long, text string")).collect()}
+    assert spans[20] == "id:12:20" and spans[21] == "id:11:19" and spans[40] == "id:10:18" and spans[41] == ""
+
+
 def test_redaction(spark, table):
     rows = [(1, "é mail a@b.cd, ip 1.2.3.4!", 0, "k"), (2, None, 0, "k"), (3, "+12.34.56.78.90 x", 0, "k"), (1, "é mail a@b.cd, ip 1.2.3.4!", 0, "k")]
     docs = table(rows, "doc_id long, text string, n_chars long, blocks string")
