@@ -55,5 +55,13 @@ def test_stages_on_odd_tables(spark, table, sf_dir, rows):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == len(rows)
 
 
+@pytest.mark.parametrize("lang", [None, "en"])
+def test_language_stage_without_languages_to_tell(spark, table, lang):
+    """Where no language, or only one, is taught, texts with a letter stay."""
+    rows = [(k, f"plain words number {k}", lang) for k in range(8)] + [(20, "12 !", lang), (21, None, lang), (22, "", None), (23, "été", None)]
+    docs = table(rows, "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in corpus_pipeline.identify_language(spark, docs, "").collect()) == [*range(8), 23]
+
+
 def test_each_stage_calls_its_operator():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "ngram_jaccard_join", "benchmark_decontamination", "personal_data", "sentencepiece"]
