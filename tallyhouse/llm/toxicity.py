@@ -61,16 +61,16 @@ _S = re.escape(_SIGNS)
 _GAP = r"[ .\-_*]"
 _UNIT = rf"(?:[^\W\d_]|[{_S}])"
 #: Letters and signs set apart by up to three gap signs each, two letters at least.
-SET_APART = rf"(?=(?:[{_S}]|{_GAP})*[^\W\d_](?:[{_S}]|{_GAP})+[^\W\d_])(?:{_UNIT}{_GAP}{{1,3}}){{2,}}{_UNIT}(?![^\W_]|[{_S}])"
+SET_APART = rf"(?={_UNIT}{_GAP})(?=(?:[{_S}]{_GAP}{{1,3}}){{0,8}}[^\W\d_]{_GAP}{{1,3}}(?:[{_S}]{_GAP}{{1,3}}){{0,8}}[^\W\d_])(?:{_UNIT}{_GAP}{{1,3}}){{2,}}{_UNIT}(?![^\W_]|[{_S}])"
 APART_PLACE = re.compile(rf"(?:{_UNIT}{_GAP}+)+{_UNIT}")
 #: A word with a sign next to a letter or a letter three times in a row; not the parts of an address.
 DISGUISED = (
-    rf"(?=\S*[^\W\d_])(?=[^\W\d_]*(?:[{_S}]+[^\W\d_]|(?<=[^\W\d_])[{_S}]|([^\W\d_])\1\1))"
+    rf"(?=[^\W\d_]*(?:[{_S}]+[^\W\d_]|(?<=[^\W\d_])[{_S}]|([^\W\d_])\1\1))"
     rf"(?:[{_S}]|[^\W\d_])++(?![\w@.-]*@)"
 )
 SUSPECT = re.compile(
     rf"(?<![^\W_])(?<![{_S}]){SET_APART}"
-    rf"|(?:(?<![\w@$|+!.-])|(?<=[_|!.-])(?![^\s@]*@[\w-]+\.\w)){DISGUISED}"
+    rf"|(?:(?<![\w@$|+!.-])|(?<=[_.-])(?![^\s@]{{0,64}}@[\w-]+\.\w)){DISGUISED}"
 )
 #: Longest group of letters that counts as a syllable, and gap signs between groups.
 SYLLABLE, _GAPS = 4, np.isin(np.arange(256), list(b" .-_*"))
