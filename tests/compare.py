@@ -17,6 +17,7 @@ TABLES = (
     "conversations"
 ).split()
 KINDS = {
+    "int": "INTEGER",
     "bigint": "BIGINT",
     "double": "DOUBLE",
     "string": "VARCHAR",
