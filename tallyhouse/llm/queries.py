@@ -74,7 +74,26 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_main_text, op2_sentencepiece, op3_token_files, op4_jaccard_join, op5_personal_data, op6_quality, op7_neighbours, op8_decontamination, op9_language, op10_toxicity)}
+def op11_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.cover_tree import inner_product_search
+
+    return inner_product_search(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.alignment import align_tokens
+
+    return align_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.lexical import rank_documents
+
+    found = rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("item", "item_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_main_text, op2_sentencepiece, op3_token_files, op4_jaccard_join, op5_personal_data, op6_quality, op7_neighbours, op8_decontamination, op9_language, op10_toxicity, op11_inner_products, op12_token_alignment, op13_lexical_search)}
 SQL: dict[str, str] = {
     "op4_jaccard_join": r"""
 with recursive word as (
@@ -127,5 +146,39 @@ select doc_id, cast(len(words) as bigint) as n_words, cast(coalesce(n_hit, 0) as
     cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(listed, '')) as items_sha256,
     coalesce(n_hit, 0) > 0 as contaminated
 from doc left join hit_word using (doc_id) left join hit_item using (doc_id)
+""",
+    "op11_inner_products": """
+with v as (
+    select distinct vec_id, list_transform(e, lambda x: floor(1024 * x)) as e
+    from (select vec_id, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings)
+    where vec_id is not null and len(e) > 0 and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0),
+pair as (
+    select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score
+    from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 100 = 0)
+select query_id, cast(place as integer) as "rank", vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as place from pair) where place <= 10
+""",
+    "op13_lexical_search": r"""
+with doc as (
+    select row_number() over () as r, doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') as words
+    from documents where text is not null),
+item as (
+    select distinct item_id, unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from benchmark where text is not null),
+total as (select count(*) as docs, cast(sum(len(words)) as bigint) as words from doc where len(words) > 0),
+posting as (
+    select r, doc_id, n, term, count(*) as tf
+    from (select r, doc_id, len(words) as n, unnest(words) as term from doc) group by all),
+weight as (
+    select term, cast(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) as bigint) as w
+    from posting, total group by term, docs),
+scored as (
+    select item_id, r, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // words)))) as bigint) as score
+    from item join posting using (term) join weight using (term), total group by item_id, r, doc_id)
+select item_id, cast(place as integer) as "rank", doc_id, score
+from (select *, row_number() over (partition by item_id order by score desc, doc_id) as place from scored where score > 0)
+where place <= 10
 """,
 }
