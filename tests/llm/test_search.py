@@ -124,6 +124,7 @@ def test_blocks_are_rejected_unopened(monkeypatch):
     arrays = lexical.build_segment(list(range(n)), np.full(n, 10), terms, owner, np.ones(len(owner), np.int64))
     opened = []
     plain = lexical.Segment.unpack
+    monkeypatch.setattr(lexical, "LAST_WINDOW", 1024)
     monkeypatch.setattr(lexical.Segment, "unpack", lambda self, b, first: (opened.append(b), plain(self, b, first))[1])
     best = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))]
     lexical.Segment(arrays, n, 10 * n).search(np.array([1, 2], np.uint64), np.array([1, 6000]), best, 10)
