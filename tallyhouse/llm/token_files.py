@@ -15,11 +15,13 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,8 +34,10 @@ RANK_BLOCK = 512
 MAGIC = b"DAC1"
 #: A segment is closed once it holds so many ids; a longer document has one of its own.
 SEGMENT_IDS = 1 << 20
-#: Chunks of text a worker remembers.
+#: Words a worker remembers.
 MEMORY = 1_200_000
+#: Documents coded together, and words that go to the library together.
+BATCH_DOCS, TOGETHER = 1000, 256
 SEGMENTS = "part int, segment long, first_doc long, last_doc long, n_docs long, n_ids long, doc_ids binary, doc_ends binary, codes binary"
 
 
@@ -113,65 +117,90 @@ class DirectCodes:
 
 
 class WordCoder:
-    """Ids of whole texts by the tokenizers library, asked once per distinct chunk between ASCII white space.
+    """Ids of whole texts by the tokenizers library, asked once per distinct word between ASCII white space.
 
     The vocabulary's normaliser and pattern treat white space as a separator, so the ids of a text are those of its chunks.
     A final full stop or comma behind an ASCII letter is a word of its own, and ASCII letters have one case, so such chunks
-    share their ids with the plain word.  Unseen words go to the library together, a digit between them to find their ends
-    (digits are words of their own too); texts that may hold a special token's string go to it whole.
+    share their ids with the plain word.  Arrow cuts a batch into chunks and finds the distinct words; their ids lie one
+    behind the other in one array, from which numpy gathers those of every text.  Unseen words go to the library together, a
+    digit between them to find their ends (digits are words of their own too); texts that may hold a special token's string
+    go to it whole.
     """
 
     MARK = "0"
+    TAILS = (".", ",")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         self.library = Tokenizer.from_file(path)
         self.mark_id = int(self._ids(self.MARK)[0])
-        self.memory: dict[bytes, bytes] = {}
-        self.tails = {tail: self._ids(tail.decode()).tobytes() for tail in (b".", b",")}
+        self._restart()
+
+    def _restart(self) -> None:
+        self.codes: dict[str, int] = {"": 0}
+        self.ends, self.ids = array("q", [0, 0]), array("I")
+        self._learn(list(self.TAILS))
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _ask(self, words: list[bytes]) -> None:
-        """Remembers the library's ids of words that hold no mark."""
-        blocks = [words[k : k + 256] for k in range(0, len(words), 256)]
-        texts = [f" {self.MARK} ".join(map(bytes.decode, block)) for block in blocks]
-        for block, coded in zip(blocks, self.library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            ids = np.array(coded.ids, "<u4")
-            cuts = (np.flatnonzero(ids == self.mark_id) * 4).tolist()
-            packed = ids.tobytes()
-            for word, first, last in zip(block, [-4, *cuts], [*cuts, len(packed)], strict=True):
-                self.memory[word] = packed[first + 4 : last]
-
-    def _learn(self, chunks: set[bytes]) -> None:
-        memory, plain, derived = self.memory, set(), []
-        for chunk in chunks:
-            tail = chunk[-1:] if chunk[-1:] in self.tails and chunk[-2:-1].isalpha() else b""
-            word = chunk[: len(chunk) - len(tail)]
-            if word.isascii():
-                word = word.lower()
-            if self.MARK.encode() in word:
-                memory[word] = self._ids(word.decode()).tobytes()
-            elif word not in memory:
-                plain.add(word)
-            if word != chunk:
-                derived.append((chunk, word, tail))
-        self._ask(list(plain))
-        for chunk, word, tail in derived:
-            memory[chunk] = memory[word] + self.tails.get(tail, b"")
+    def _remember(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        first = len(self.codes)
+        self.codes.update(zip(words, range(first, first + len(words)), strict=True))
+        self.ends.frombytes((ends + len(self.ids)).astype(np.int64).tobytes())
+        self.ids.frombytes(ids.astype(np.uint32).tobytes())
+
+    def _learn(self, words: list[str]) -> None:
+        plain = [w for w in words if self.MARK not in w]
+        for k in range(0, len(plain), TOGETHER):
+            block = plain[k : k + TOGETHER]
+            coded = self._ids(f" {self.MARK} ".join(block))
+            marks = np.flatnonzero(coded == self.mark_id)
+            self._remember(block, np.delete(coded, marks), np.r_[marks - np.arange(len(marks)), len(coded) - len(marks)])
+        for word in words:
+            if self.MARK in word:
+                ids = self._ids(word)
+                self._remember([word], ids, np.array([len(ids)]))
+
+    def _words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Two codes a chunk, of the word and of the full stop or comma behind it, and the bounds of each text's chunks."""
+        cut = pc.ascii_split_whitespace(texts)
+        chunks = cut.flatten().dictionary_encode()
+        distinct = chunks.dictionary
+        distinct = pc.if_else(pc.string_is_ascii(distinct), pc.ascii_lower(distinct), distinct)
+        tailed = [pc.match_substring_regex(distinct, f"[A-Za-z][{t}]$") for t in self.TAILS]
+        words = pc.if_else(pc.or_(*tailed), pc.utf8_slice_codeunits(distinct, 0, -1), distinct).dictionary_encode()
+        names = words.dictionary.to_pylist()
+        self._learn([w for w in names if w not in self.codes])
+        codes = np.fromiter(map(self.codes.__getitem__, names), np.int64, len(names))[words.indices.to_numpy()]
+        tails = sum(np.where(t.to_numpy(zero_copy_only=False), self.codes[c], 0) for t, c in zip(tailed, self.TAILS, strict=True))
+        at = chunks.indices.to_numpy()
+        bounds = cut.offsets.to_numpy().astype(np.int64)
+        return np.stack([codes, tails], axis=1)[at].ravel(), 2 * (bounds - bounds[0])
 
     def encode(self, texts: list[bytes], end_id: int) -> list[bytes]:
         """Packed little-endian 32-bit ids of each text, with the end id."""
-        if len(self.memory) > MEMORY:
-            self.memory.clear()
-        end, memory = struct.pack("<I", end_id), self.memory
-        cut = [None if b"<|" in t else t.split() for t in texts]
-        self._learn(set().union(*filter(None, cut)) - memory.keys())
-        return [
-            (self._ids(t.decode()).tobytes() if words is None else b"".join(map(memory.__getitem__, words))) + end
-            for t, words in zip(texts, cut, strict=True)
-        ]
+        ids, ends = self.encode_batch(pa.array(texts, pa.large_binary()).cast(pa.large_string()), end_id)
+        return [own.astype("<u4").tobytes() for own in np.split(ids, ends[:-1])] if texts else []
+
+    def encode_batch(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, an end id behind each text's, and where each text's ids end."""
+        if len(self.codes) > MEMORY:
+            self._restart()
+        whole = np.flatnonzero(pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False))
+        apart = {i: self._ids(texts[i].as_py()) for i in whole.tolist()}
+        if apart:
+            texts = pc.if_else(pc.match_substring(texts, "<|"), "", texts)
+        codes, bounds = self._words(texts)
+        ends = np.frombuffer(self.ends, np.int64).copy()
+        first, n = ends[codes], ends[codes + 1] - ends[codes]
+        upto = np.r_[0, np.cumsum(n)]
+        ids = np.frombuffer(self.ids, np.uint32)[np.repeat(first - upto[:-1], n) + np.arange(upto[-1])]
+        sizes = np.diff(upto[bounds])
+        for i, own in apart.items():
+            at = upto[bounds[i]] + sum(len(apart[j]) for j in apart if j < i)
+            ids, sizes[i] = np.insert(ids, at, own), len(own)
+        return np.insert(ids, np.cumsum(sizes), end_id), np.cumsum(sizes + 1)
 
 
 @lru_cache(maxsize=2)
@@ -181,35 +210,38 @@ def coder(path: str) -> WordCoder:
 
 def _segments(batches: Iterator[pa.RecordBatch], tokenizer_path: str, end_id: int) -> Iterator[pa.RecordBatch]:
     part, number = TaskContext.get().partitionId(), 0
-    ids, ends, packed = [], [], []
-    held = 0
+    held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []  # document ids, token ids, how many each document has
 
     def close() -> pa.RecordBatch:
-        values = np.frombuffer(b"".join(packed), "<u4")
-        known = [i for i in ids if i is not None]
+        doc_ids = pa.chunked_array([h[0] for h in held])
+        values, sizes = np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
+        known = doc_ids.drop_null()
+        # a null id is written as the smallest long, with which no document is numbered
+        ids = doc_ids.fill_null(np.iinfo(np.int64).min).to_numpy()
         row = {
-            "part": part, "segment": number, "first_doc": known[0] if known else None, "last_doc": known[-1] if known else None,
-            "n_docs": len(ids), "n_ids": len(values), "doc_ids": pa.array(ids, pa.int64()), "doc_ends": np.cumsum(ends).astype("<i8").tobytes(),
+            "part": part, "segment": number, "first_doc": known[0].as_py() if len(known) else None, "last_doc": known[-1].as_py() if len(known) else None,
+            "n_docs": len(ids), "n_ids": len(values), "doc_ids": ids.astype("<i8").tobytes(), "doc_ends": np.cumsum(sizes).astype("<i8").tobytes(),
             "codes": DirectCodes.build(values).to_bytes(),
         }
-        # a null id is written as the smallest long, with which no document is numbered
-        row["doc_ids"] = row["doc_ids"].fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False).astype("<i8").tobytes()
         kinds = (pa.int32(), *[pa.int64()] * 5, *[pa.binary()] * 3)
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row.values(), kinds, strict=True)], names=list(row))
 
     for batch in batches:
-        doc_ids = batch.column(0).to_pylist()
-        texts = batch.column(1).cast(pa.large_binary()).fill_null(b"")
-        for k in range(0, len(doc_ids), 500):
-            for i, coded in zip(doc_ids[k : k + 500], coder(tokenizer_path).encode(texts[k : k + 500].to_pylist(), end_id), strict=True):
-                ids.append(i)
-                ends.append(len(coded) // 4)
-                packed.append(coded)
-                held += ends[-1]
-                if held >= SEGMENT_IDS:
+        texts = batch.column(1).cast(pa.large_string()).fill_null("")
+        for k in range(0, batch.num_rows, BATCH_DOCS):
+            doc_ids = batch.column(0)[k : k + BATCH_DOCS]
+            values, ends = coder(tokenizer_path).encode_batch(texts[k : k + BATCH_DOCS], end_id)
+            first = 0
+            while first < len(ends):
+                start = int(ends[first - 1]) if first else 0
+                room = SEGMENT_IDS - sum(len(h[1]) for h in held)
+                last = min(int(np.searchsorted(ends, start + room)) + 1, len(ends))
+                held.append((doc_ids[first:last], values[start : ends[last - 1]], np.diff(ends[first:last], prepend=start)))
+                if ends[last - 1] - start >= room:
                     yield close()
-                    ids, ends, packed, held, number = [], [], [], 0, number + 1
-    if ids:
+                    held, number = [], number + 1
+                first = last
+    if held:
         yield close()
 
 
