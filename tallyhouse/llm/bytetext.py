@@ -1,6 +1,6 @@
 """Vectorised work on the UTF-8 bytes of an Arrow batch of texts: word bounds and 64-bit word hashes.
 
-A batch is cut into runs of whole texts of about a megabyte, so memory follows the run and the longest text, never the
+A batch is cut into runs of whole texts of about a quarter of a megabyte, so memory follows the run and the longest text, never the
 partition.
 """
 
@@ -12,7 +12,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-RUN_BYTES = 1 << 20
+RUN_BYTES, BLOCK_ROWS = 1 << 18, 1024
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(MULTIPLIER), -1, 1 << 64))
 
@@ -62,10 +62,12 @@ def runs(texts: pa.Array, run_bytes: int = RUN_BYTES) -> Iterator[Run]:
     """Runs of whole texts; a null text counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = texts.cast(pa.large_string()).fill_null("")
+    for k in range(0, len(texts), BLOCK_ROWS):  # what is copied to fill nulls is a block, not the batch
+        yield from _block_runs(texts.slice(k, BLOCK_ROWS).cast(pa.large_string()).fill_null(""), k, run_bytes)
+
+
+def _block_runs(texts: pa.Array, row: int, run_bytes: int) -> Iterator[Run]:
     n = len(texts)
-    if not n:
-        return
     _, offsets, data = texts.buffers()
     offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + n + 1]
     data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
@@ -73,7 +75,7 @@ def runs(texts: pa.Array, run_bytes: int = RUN_BYTES) -> Iterator[Run]:
     while first < n:
         last = int(np.searchsorted(offsets, offsets[first] + run_bytes, "right")) - 1
         last = min(n, max(last, first + 1))
-        yield Run(first, last, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
+        yield Run(row + first, row + last, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
         first = last
 
 

@@ -8,7 +8,6 @@ each); prediction covers every window of every whole text, in batches, and avera
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,12 +23,11 @@ FOLDS, HELD_OUT = 3, 1
 UNKNOWN = "und"
 WINDOW = 256
 EMBEDDING, WIDTHS, FILTERS = 8, (2, 3, 4), 12
-#: Bounds of the training sample: documents of each language (up to 1000 are cut per task before the shuffle), windows of each.
-PER_LABEL, TRAIN_WINDOWS = 1000, 3
+#: Bounds of the training sample: documents of each language, windows of each.
+PER_LABEL, TRAIN_WINDOWS = 1200, 3
 EPOCHS, BATCH, RATE, SEED = 12, 128, 0.01, 7
 #: Windows of one batch of the network.
-PREDICT_WINDOWS = 1024
-LETTER = re.compile(r"[^\W\d_]")
+PREDICT_WINDOWS = 128
 
 
 class ByteConvNet:
@@ -142,12 +140,19 @@ def byte_windows(run: bytetext.Run) -> tuple[np.ndarray, np.ndarray]:
 def training_windows(docs: DataFrame, label: str = "lang") -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, windows and their language numbers, from a bounded sample outside the held-out fold.
 
-    Documents are taken by the hash of their id; their windows lie evenly over the whole text.
+    Texts are taken by the hash of their id and themselves; their windows lie evenly over the whole text.  Equal rows count
+    once, so the bound holds however often an id or a text is repeated.
     """
     known = docs.filter(F.col(label).isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~in_fold("doc_id", FOLDS, HELD_OUT))
-    by_hash = Window.partitionBy(label).orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.select("doc_id", label).withColumn("place", F.row_number().over(by_hash)).filter(F.col("place") <= PER_LABEL)
-    chosen = chosen.select("doc_id").distinct()  # at most PER_LABEL a language
+    known = known.select(F.col(label).alias("label"), "text", F.xxhash64("doc_id", "text").alias("place"))
+    sizes = {r.label: r["count"] for r in known.groupBy("label").count().collect()}  # a row a language
+    if not sizes:
+        return [], np.zeros((0, WINDOW), np.uint8), np.zeros(0, int)
+    # places under a bound that about twice the sample meets, so that few rows are ordered
+    share = F.element_at(F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, 2 * PER_LABEL / n))]), F.col("label"))
+    near = known.filter(F.col("place") / 2.0**64 + 0.5 <= share).select("label", "place").distinct()
+    chosen = near.withColumn("number", F.row_number().over(Window.partitionBy("label").orderBy("place"))).filter(F.col("number") <= PER_LABEL)
+    chosen = chosen.select("label", "place")  # at most PER_LABEL a language
     schema = "label string, window binary"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +168,8 @@ def training_windows(docs: DataFrame, label: str = "lang") -> tuple[list[str], n
                         out.append(windows[mine[k]].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(out_labels, pa.string()), pa.array(out, pa.binary())], names=["label", "window"])
 
-    rows = known.join(F.broadcast(chosen), "doc_id", "left_semi").select(label, "text").mapInArrow(cut, schema)
+    sample = known.join(F.broadcast(chosen), ["label", "place"], "left_semi").select("label", "text").distinct()
+    rows = sample.mapInArrow(cut, schema)
     got = sorted((r.label, bytes(r.window)) for r in rows.toLocalIterator())
     labels = sorted({a for a, _ in got})
     windows = np.frombuffer(b"".join(b for _, b in got), np.uint8).reshape(-1, WINDOW)
@@ -192,7 +198,7 @@ def predict_languages(
             column = batch.column(batch.schema.get_field_index(text))
             for r in bytetext.runs(column):
                 part = batch.slice(r.first, r.last - r.first)
-                speaks = np.array([bool(v and LETTER.search(v)) for v in column[r.first : r.last].to_pylist()], bool)
+                speaks = np.array([any(map(str.isalpha, v or "")) for v in column[r.first : r.last].to_pylist()], bool)
                 names, scores = np.full(len(part), UNKNOWN, object), np.zeros(len(part))
                 if network is not None:
                     owner, windows = byte_windows(r)
@@ -209,7 +215,11 @@ def predict_languages(
 
 
 def language_scores(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, held_out, lang_pred, score."""
+    """Per document row: doc_id, held_out, lang_pred, score.
+
+    A null text, or one without a letter, is ``und`` with score 0, as is any text where no row teaches a language.  Repeated
+    rows stay, rows without an id are not held out and teach nothing, and an empty table gives an empty one.
+    """
     network = train_network(docs)
     rows = predict_languages(docs.select("doc_id", "text"), network)
     return rows.select("doc_id", in_fold("doc_id", FOLDS, HELD_OUT).alias("held_out"), "lang_pred", "score")

@@ -217,12 +217,14 @@ def _within_reach(pairs: DataFrame) -> DataFrame:
 def compare(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """(a, b, linked) for pairs of set keys, from the shingles of their texts.  A text goes once to each group of pairs of its hub."""
     keys = pairs.select(F.col("a").alias("set_key")).unionByName(pairs.select(F.col("b").alias("set_key"))).distinct()
-    wanted = settle(keys.join(classes.select("set_key", "smallest"), "set_key"), "compared-sets")
+    wanted = settle(keys.join(classes.select("set_key", "first"), "set_key"), "compared-sets")
     n = wanted.count()
     side = F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").alias("d")
-    texts = texts.join(side.alias("w"), F.expr("d.doc_id <=> w.smallest")).select("w.set_key", "d.text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash")).alias("d")
+    texts = texts.join(side.alias("w"), F.expr("d.doc_id <=> w.first.doc_id and d.text_hash = w.first.text_hash")).select("w.set_key", "d.text")
     texts = settle(texts, "compared-texts")
+    if texts.count() > n:  # repeated rows
+        texts = settle(texts.dropDuplicates(["set_key"]), "compared-texts")
     sizes = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("size"))
     grouped = pairs.join(sizes, "b").withColumn("part", F.expr(f"pmod(xxhash64(a), (size + {GROUP - 1}) div {GROUP})")).select("a", "b", "part")
     others = grouped.join(texts, grouped.a == texts.set_key).select("b", "part", F.lit(1).alias("role"), F.col("a").alias("key"), "text")
@@ -235,13 +237,11 @@ def compare(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
         for batch in batches:
             b, part, role, key = (batch.column(k).to_numpy() for k in range(4))
             for r in bytetext.runs(batch.column(4)):
-                owner, hashes, n, keys = _run_sets(r)
+                owner, hashes, n, _ = _run_sets(r)
                 ends = np.cumsum(n)
                 out: list[tuple[int, int, bool]] = []
                 for k in range(r.last - r.first):
                     row = r.first + k
-                    if keys[k] != key[row]:
-                        continue  # another document of the same id
                     mine = hashes[ends[k] - n[k] : ends[k]]
                     if role[row] == 0:
                         group, hub = (b[row], part[row]), mine
@@ -300,8 +300,11 @@ def linked_documents(docs: DataFrame) -> DataFrame:
 
 def _linked(docs: DataFrame, *further: str) -> DataFrame:
     """Rows of ``linked_documents`` with further columns and root, a set key that names the component; null without words."""
-    sets = settle(document_sets(docs, *further), "document-sets")
-    classes = sets.filter("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("smallest"), F.min("n").alias("n"), F.min("items").alias("items"))
+    hashed = unused(docs, "text_hash")
+    sets = settle(document_sets(docs.withColumn(hashed, F.xxhash64("text")), *further, hashed), "document-sets")
+    # one row stands for a set, named by its id and its text's hash, as ids may be missing or shared
+    first = F.min(F.struct("doc_id", F.col(hashed).alias("text_hash"))).alias("first")
+    classes = sets.filter("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("smallest"), first, F.min("n").alias("n"), F.min("items").alias("items"))
     classes = settle(classes, "set-classes")
     weights = shingle_weights(docs)
     limit = boundary(_costs(classes, weights))

@@ -252,7 +252,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     null id come first.  An empty table gives an empty file.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    rows = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
     rows.mapInArrow(lambda it: _segments(it, tokenizer_path, end_id), SEGMENTS).write.parquet(path)
 
 
