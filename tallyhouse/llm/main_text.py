@@ -3,12 +3,18 @@
 Every text node has a tag path, from the root down to its element.  Per path of a page the text length and the punctuation
 are summed over its nodes and divided by their number.  The two ratios are laid out in page order, smoothed with a Gaussian,
 fused by their product, averaged per path again and compared with a threshold taken from their spread: paths above it are
-content.  The content paths then name the element that holds the article (an article or main element where there is one,
-otherwise the innermost element with most of the content), and the blocks of that element are returned, so that headings
-and short paragraphs stay with the article.  Elements that are menus, notices, forms and the like by tag or role never
-count.  A class or id only makes an element doubtful, as layouts use such words too (``no-sidebar``, ``comments-open``): it
-never speaks against html, body, main and article, and another element is left out only where it holds less than half of
-the content that the ratios select on the whole page.
+content.  A third sum, of the text in links, leaves out paths of which most is links.
+
+The content paths then name the elements that hold the article: article and main elements with content, or else the
+innermost element with most of the content.  Of their blocks those on link paths go; headings and short paragraphs stay.
+
+Elements that are menus, notices, forms and the like by tag or role never count.  Classes and ids are read word by word.  One
+that only tells a layout (``no-sidebar``, ``comments-open``) says nothing.  One that names such a part (``comments``,
+``cookie-notice``) leaves its element out, however long that is, unless the page's main element lies within.  One that mixes
+both (``comments-wrapper``, ``search-page``) leaves its element out unless an article or first heading lies within, or next to
+no content lies outside.  Nothing of this speaks against html, body, main and article.
+
+Every step goes once over the elements, so deep pages cost as much as flat ones.
 """
 
 from __future__ import annotations
@@ -51,66 +57,98 @@ ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]
 SMOOTHING, SPREAD = 1.0, 0.5
 #: Share of the content that an element must hold to be looked into further.
 MOST = 0.75
-#: Share of the content from which an element counts whatever its class says; and elements whose class says nothing.
-SPARED = 0.5
+#: Content outside an element of doubtful class, as a share of that inside, up to which it surrounds the content.
+OUTSIDE = 0.25
+#: Share of a path's text that links may be.
+LINKED = 0.5
 FRAMES = frozenset("html body main article".split())
+# Words that turn a class or id into a layout's: those that deny or state a part, and those that name a frame.
+STATES = frozenset("no not has have with without open closed enabled disabled overflow".split())
+LAYOUT = frozenset("page wrap wrapper content container main primary layout site body inner outer row col column columns grid results single".split())
+#: Words that hold a page's article often enough that one within, or a first heading, speaks for the element.
+GENERIC = frozenset("widget widgets overlay modal popup hidden search banner promo promotion".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "path", "aside", "doubtful", "main", "order", "mass")
-
-    def __init__(self, tag, parent, aside=False, main=False, doubtful=False):
-        self.tag, self.parent = tag, parent
-        self.path = (parent.path if parent else "") + "/" + tag
-        self.aside = aside or bool(parent and parent.aside)
-        self.main = main
-        self.doubtful = doubtful
-        self.mass = 0.0
-
-    def chain(self) -> Iterator[Node]:
-        node = self
-        while node:
-            yield node
-            node = node.parent
-
-
-def _aside(tag: str, attributes: str, parent: Node) -> tuple[bool, bool, bool]:
-    """Whether an element is beside the article, whether it is one, and whether its class or id says that it is beside it."""
-    main, doubtful = tag in ("article", "main"), False
-    aside = tag in ASIDE or tag == "header" and not any(n.main for n in parent.chain())
+    """An element.  ``standing``: 0 says nothing, 1 is doubtful, 2 names a part beside the article by a generic word, 3 by another."""
+
+    __slots__ = ("tag", "parent", "number", "path", "aside", "main", "in_main", "in_link", "block", "depth", "standing", "mass", "holds")
+
+    def __init__(self, tag: str, parent: Node | None, number: int, path: int):
+        self.tag, self.parent, self.number, self.path = tag, parent, number, path
+        self.aside = bool(parent and parent.aside)
+        self.main, self.standing, self.mass, self.holds = False, 0, 0.0, 0
+        self.in_main = bool(parent and parent.in_main)
+        self.in_link = tag == "a" or bool(parent and parent.in_link)
+        self.depth = parent.depth + 1 if parent else 0
+        self.block = parent.block if parent and tag in INLINE else self
+
+
+def _standing(tag: str, names: str, in_main: bool) -> int:
+    """What an element's class and id say."""
+    out = 0
+    for name in names.split():
+        words = set(re.split(r"[_-]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower()))
+        parts = words & ASIDE_WORDS
+        if "header" in words and tag not in ("h1", "h2") and not in_main:
+            parts = parts | {"header"}
+        if parts and not words & STATES:
+            out = max(out, 1 if words & LAYOUT else 2 if parts <= GENERIC else 3)
+    return out
+
+
+def _judge(node: Node, attributes: str) -> None:
+    """Sets whether an element is beside the article, whether it is one, and what its class or id says."""
+    tag = node.tag
+    main = tag in ("article", "main")
+    aside = tag in ASIDE or tag == "header" and not node.in_main
     if attributes:
         found = {m[0].lower(): m[1] or m[2] or m[3] for m in ATTRIBUTE.findall(attributes)}
         role = found.get("role", "").lower()
-        words = set(re.split(r"[\s_-]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", found.get("class", "") + " " + found.get("id", "")).lower()))
         off = re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes) or "display:none" in found.get("style", "").replace(" ", "").lower()
         aside = bool(aside or role in ASIDE_ROLES or off or found.get("aria-hidden") == "true")
-        header = "header" in words and tag not in ("h1", "h2") and not any(n.main for n in parent.chain())
-        doubtful = tag not in FRAMES and bool(words & ASIDE_WORDS or header)
+        if tag not in FRAMES:
+            node.standing = _standing(tag, found.get("class", "") + " " + found.get("id", ""), node.in_main)
         main = main or role == "main" or found.get("itemprop") == "articleBody"
-    return aside, main and not aside, doubtful
-
-
-def blocks(page: str) -> list[tuple[Node, list[str]]]:
-    """Blocks of text in page order: the innermost block element and its pieces of raw text."""
-    root = top = Node("", None)
-    out: list[tuple[Node, list[str]]] = []
-    holder, pieces = None, []
+        if main and tag != "article":
+            node.holds = 2
+    node.aside = node.aside or aside
+    node.main = main and not aside
+    node.in_main = node.in_main or node.main
+    if tag == "main":
+        node.holds = 2
+    elif tag in ("h1", "article"):
+        node.holds = max(node.holds, 1)
+
+
+def blocks(page: str) -> tuple[list[Node], list[tuple[Node, list[str], int]]]:
+    """Elements in page order, and blocks of text: the innermost block element, its pieces of raw text, characters in links."""
+    root = top = Node("", None, 0, 0)
+    nodes, out, paths = [root], [], {}
+    open_nodes: dict[str, list[Node]] = {}
+    holder, pieces, linked = None, [], 0
 
     def text(raw: str) -> None:
-        nonlocal holder
+        nonlocal holder, linked
         if raw and not top.aside:
             holder = holder or top
             pieces.append(raw)
+            if top.in_link:
+                linked += len(raw)
 
     def end_block() -> None:
-        nonlocal holder, pieces
+        nonlocal holder, pieces, linked
         if pieces:
-            out.append((holder, pieces))
-        holder, pieces = None, []
+            out.append((holder, pieces, linked))
+        holder, pieces, linked = None, [], 0
 
     def close(upto: Node) -> None:
         nonlocal top
-        top = upto.parent or root
+        while top is not upto:
+            open_nodes[top.tag].pop()
+            top = top.parent
+        open_nodes[top.tag].pop()
+        top = top.parent
 
     at = 0
     while True:
@@ -130,9 +168,9 @@ def blocks(page: str) -> list[tuple[Node, list[str]]]:
                 pieces.append(" ")
             continue
         if m[1]:
-            found = next((n for n in top.chain() if n.tag == name), None)
-            if found is not None and found is not root and (name not in INLINE or not any(n.tag not in INLINE for n in top.chain() if n is not found and found in n.chain())):
-                close(found)
+            same = open_nodes.get(name)
+            if same and (name not in INLINE or same[-1].depth > top.block.depth):
+                close(same[-1])
             continue
         if name in RAW and not m[3].rstrip().endswith("/"):
             ending = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -141,18 +179,21 @@ def blocks(page: str) -> list[tuple[Node, list[str]]]:
         if name in VOID:
             continue
         if name not in INLINE:
-            while top.tag in INLINE and any(n.tag in CLOSED_BY_BLOCK for n in top.chain()) or top.tag in CLOSED_BY_BLOCK:
+            while top.tag in INLINE and open_nodes.get("p") or top.tag in CLOSED_BY_BLOCK:
                 close(top)
             if name in SIBLINGS:
-                for n in top.chain():
-                    if n.tag in SCOPES.get(name, ()):
-                        break
+                n = top
+                while n.parent and n.tag not in SCOPES.get(name, ()):
                     if n.tag in SIBLINGS[name]:
                         close(n)
                         break
-        top = Node(name, top, *_aside(name, m[3], top))
+                    n = n.parent
+        top = Node(name, top, len(nodes), paths.setdefault((top.path, name), len(paths) + 1))
+        _judge(top, m[3])
+        nodes.append(top)
+        open_nodes.setdefault(name, []).append(top)
     end_block()
-    return out
+    return nodes, out
 
 
 def _smooth(values: np.ndarray) -> np.ndarray:
@@ -162,76 +203,93 @@ def _smooth(values: np.ndarray) -> np.ndarray:
     return np.convolve(values, kernel)[radius : radius + len(values)] / weights
 
 
-def content_paths(paths: list[str], lengths: np.ndarray, marks: np.ndarray) -> set[str]:
-    """Paths whose smoothed, fused ratios reach the threshold."""
-    names, index = np.unique(np.array(paths), return_inverse=True)
+def content_paths(paths: np.ndarray, lengths: np.ndarray, marks: np.ndarray, linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of blocks: whether the smoothed, fused ratios of the path reach the threshold, and whether most of the path is links."""
+    _, index = np.unique(paths, return_inverse=True)
     nodes = np.bincount(index)
     length_ratio = np.bincount(index, lengths) / nodes
     mark_ratio = np.bincount(index, marks) / nodes
     fused = _smooth(length_ratio[index]) * (1 + _smooth(mark_ratio[index]))
     per_path = np.bincount(index, fused) / nodes
+    links = np.bincount(index, linked) > LINKED * np.bincount(index, lengths)
     threshold = min(SPREAD * fused.std(), fused.max())
-    return {str(n) for n, v in zip(names, per_path, strict=True) if v >= threshold}
-
-
-def _weigh(found: list[tuple[Node, str]]) -> set[str]:
-    """The content paths of the blocks; adds the length of each block on one to the elements around it."""
-    lengths = np.array([len(t) for _, t in found], float)
-    marks = np.array([len(PUNCTUATION.findall(t)) for _, t in found], float)
-    chosen = content_paths([n.path for n, _ in found], lengths, marks)
-    for (node, _), length in zip(found, lengths, strict=True):
-        if node.path in chosen:
-            for n in node.chain():
-                n.mass += length
-    return chosen
+    return (per_path >= threshold)[index] & ~links[index], links[index]
+
+
+def _weigh(nodes: list[Node], found: list[tuple[Node, str, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Chosen and link blocks; gives every element the length of its chosen blocks."""
+    lengths = np.array([len(t) for _, t, _ in found], float)
+    marks = np.array([len(PUNCTUATION.findall(t)) for _, t, _ in found], float)
+    chosen, links = content_paths(np.array([n.path for n, _, _ in found]), lengths, marks, np.array([x for _, _, x in found], float))
+    for node in nodes:
+        node.mass = 0.0
+    for (node, _, _), length, is_content in zip(found, lengths, chosen, strict=True):
+        node.mass += length * is_content
+    for node in reversed(nodes[1:]):  # children come behind their parents
+        node.parent.mass += node.mass
+    return chosen, links
+
+
+def _inside(nodes: list[Node], tops: list[bool]) -> list[bool]:
+    """Whether elements are, or lie in, one of the given ones."""
+    for node in nodes[1:]:
+        tops[node.number] = tops[node.number] or tops[node.parent.number]
+    return tops
+
+
+def _beside(nodes: list[Node], found: list[tuple[Node, str, int]]) -> list[bool]:
+    """Whether elements lie in one that its class or id puts beside the article."""
+    for node in reversed(nodes[1:]):
+        node.parent.holds = max(node.parent.holds, node.holds)
+    named = _inside(nodes, [n.standing == 3 and n.holds < 2 or n.standing == 2 and not n.holds for n in nodes])
+    rest = [f for f in found if not named[f[0].number]]
+    if rest and any(n.standing == 1 for n in nodes):
+        _weigh(nodes, rest)
+        total = nodes[0].mass
+        named = _inside(nodes, [x or n.standing == 1 and not n.holds and total - n.mass > OUTSIDE * n.mass for x, n in zip(named, nodes, strict=True)])
+    return named
 
 
 def main_text(page: str | None) -> str:
     """The article's blocks joined by line breaks; empty for a null page or one without text."""
+    nodes, raw = blocks(page or "")
     found = []
-    for node, pieces in blocks(page or ""):
+    for node, pieces, linked in raw:
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
-            found.append((node, text))
+            found.append((node, text, min(linked, len(text))))
+    beside = _beside(nodes, found)
+    found = [f for f in found if not beside[f[0].number]]
     if not found:
         return ""
-    if any(n.doubtful for node, _ in found for n in node.chain()):
-        _weigh(found)
-        total = sum(root.mass for root in {id(n): n for node, _ in found for n in node.chain() if n.parent is None}.values())
-        found = [(node, t) for node, t in found if not any(n.doubtful and n.mass < SPARED * total for n in node.chain())]
-        for node, _ in found:
-            for n in node.chain():
-                n.mass = 0.0
-        if not found:
-            return ""
-    chosen = _weigh(found)
-    mains = {id(n): n for node, _ in found for n in node.chain() if n.main}
-    outer = [n for n in mains.values() if not any(p.main for p in n.chain() if p is not n)]
-    best = max(outer, key=lambda n: n.mass, default=None)
-    if best is not None and best.mass > 0:
-        return "\n".join(t for node, t in found if any(n is best for n in node.chain()))
-    inside = next(iter(found[0][0].chain()))
-    *_, inside = found[0][0].chain()
-    while True:
-        children = {id(n): n for node, _ in found for n in node.chain() if n.parent is inside}
-        heavy = max(children.values(), key=lambda n: n.mass, default=None)
-        if heavy is None or heavy.tag in LEAF or heavy.tag in INLINE or heavy.mass < MOST * inside.mass:
-            break
-        inside = heavy
-    kept = [k for k, (node, _) in enumerate(found) if any(n is inside for n in node.chain())]
-    content = [k for k in kept if found[k][0].path in chosen]
+    chosen, links = _weigh(nodes, found)
+    mains = [n.main and n.mass > 0 for n in nodes]
+    if any(mains):
+        held = _inside(nodes, mains)
+        return "\n".join(t for (node, t, _), is_link in zip(found, links, strict=True) if held[node.number] and not is_link)
+    heavy: dict[int, Node] = {}
+    for node in nodes[1:]:
+        best = heavy.get(node.parent.number)
+        if best is None or node.mass > best.mass:
+            heavy[node.parent.number] = node
+    top = nodes[0]
+    while (below := heavy.get(top.number)) is not None and below.tag not in LEAF and below.tag not in INLINE and 0 < below.mass >= MOST * top.mass:
+        top = below
+    held = _inside(nodes, [n is top for n in nodes])
+    kept = [k for k, (node, _, _) in enumerate(found) if held[node.number]]
+    content = [k for k in kept if chosen[k]]
     first, last = (content[0], content[-1]) if content else (0, -1)
     heading = re.compile("h[1-6]").fullmatch
     while first > kept[0] and heading(found[first - 1][0].tag):
         first -= 1
-    return "\n".join(found[k][1] for k in kept if first <= k <= last)
+    return "\n".join(found[k][1] for k in kept if first <= k <= last and not links[k])
 
 
 def extract_main_text(pages: DataFrame, page: str = "html", text: str = "text") -> DataFrame:
     """Adds the main text of every whole page, replacing a column of that name.
 
     A null or empty page, or one without article text, has an empty text.  Unclosed elements end where HTML ends them; a
-    page cut off inside a tag loses that tag.  Repeated rows stay; an empty table gives an empty one.
+    page cut off inside a tag loses that tag.  A page all of which lies beside an article has an empty text.  Repeated rows stay; an empty table gives an empty one.
     """
     out = pages.drop(text) if text != page else pages
     schema = T.StructType([*out.schema.fields, T.StructField(text, T.StringType())]) if text != page else out.schema
