@@ -5,8 +5,8 @@ by the piece's score and then from the left; the best pair is merged, its new ne
 stale by a merge are skipped.  Characters without a piece fall back to their bytes.
 
 No piece holds a space mark behind another character, and none holds a line break, so a text falls apart at those places
-and each distinct chunk is segmented once per worker.  All chunks a batch meets for the first time are checked, in one
-call, against the sentencepiece library; a difference raises an error.  Ids become text again by the library's decode(ids).
+and each distinct chunk is segmented once per worker.  All chunks a batch meets for the first time are checked, many to
+a call, against the sentencepiece library; a difference raises an error.  Ids become text again by the library's decode(ids).
 """
 
 from __future__ import annotations
@@ -29,8 +29,10 @@ MEMORY = 400_000
 #: Symbols of a chunk whose agenda is a list.
 SHORT = 40
 NEVER = 1 << 60
+#: Chunks that the library gets together; it holds a multiple of their bytes.
+CHECKED = 4000
 #: Texts of one output batch, in characters.
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_000_000
 
 
 class PieceAgenda:
@@ -157,16 +159,17 @@ class PieceCodec:
                 if self.agenda.segment(SPACE + odd) != library.encode(odd.replace(SPACE, " ")):
                     raise ValueError("segmentation differs from the sentencepiece library")
             memory.fresh = [c for c in memory.fresh if c]
-            if memory.fresh:
-                ours = [np.frombuffer(memory[c], np.int32) for c in memory.fresh]
+            for k in range(0, len(memory.fresh), CHECKED):
+                fresh = memory.fresh[k : k + CHECKED]
+                ours = [np.frombuffer(memory[c], np.int32) for c in fresh]
                 if memory is self.bare:
                     ours = [x for y in ours for x in (np.frombuffer(self.line_break, np.int32), y)]
                     ours[0] = np.array(prefix, np.int32)
-                texts = separator.join(c.replace(SPACE, " ") for c in memory.fresh)
+                texts = separator.join(c.replace(SPACE, " ") for c in fresh)
                 theirs = library.encode("\n" + texts if memory is self.bare else texts)
                 if np.concatenate(ours).tolist() != theirs:
                     raise ValueError("segmentation differs from the sentencepiece library")
-                memory.fresh.clear()
+            memory.fresh.clear()
             if len(memory) > self.limit:
                 memory.clear()
 
