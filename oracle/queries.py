@@ -682,6 +682,9 @@ add("r10_rejected_events", f"""select {pick(EVENT)}, violations from (select *,
 SQL["s9_event_stream"] = SQL["r10_valid_events"]
 SQL["r10_stream_rejects"] = SQL["r10_rejected_events"]
 SQL["r1_stream_rolling"] = SQL["r1_rolling_kpis"]
+add("r2_stream_idle", """select site, max("timestamp") + interval 15 minutes as "timestamp", 15.0::double as window_minutes,
+    cast(0 as bigint) as order_count, 0.0::double as total_revenue, 0.0::double as average_items_per_order,
+    cast(0 as bigint) as channels from valid_events group by 1""")
 add("r9_stream_latest", f"""select * exclude place from (select *, row_number() over (partition by site
     order by "timestamp" desc) as place from rolled) where place = 1""", rolled=trailing("site"))
 SQL["r5_stream_session"] = SQL["r5_session_summary"]

@@ -85,7 +85,6 @@ LAYERS = {
 for _name, _layer in LAYERS.items():
     on_warehouse(_name, lambda w, layer=_layer: getattr(w, layer))
 
-# the same mart by the way taken for menus too large for one task
 on_warehouse(
     "d4_dim_channel",
     lambda w: w.dim_channel.join(
@@ -761,6 +760,19 @@ def stream_board(show: Callable[[LiveBoard], DataFrame]) -> Query:
     return run
 
 
+def stream_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2 on the stream: a tick a day behind the last event moves the clock past every window, which empties."""
+    board = LiveBoard(spark, new_folder(spark, "board"), timers=True)
+    events, arrivals, ticks = bindings.read_table(spark, sf_dir, "events"), new_folder(spark, "arrivals"), new_folder(spark, "ticks")
+    last = events.selectExpr("max(cast(ts as timestamp)) as timestamp")
+    events.write.parquet(arrivals)
+    for tick in (last, last.selectExpr("timestamp + interval 1 day as timestamp")):
+        tick.write.mode("append").parquet(ticks)
+        clock = spark.readStream.schema(tick.schema).parquet(ticks)
+        finish(board.start(bindings.order_events(spark.readStream.schema(events.schema).parquet(arrivals)), clock))
+    return board.latest().selectExpr("site", "timestamp", "window_minutes", "order_count", "total_revenue", "average_items_per_order", "bigint(size(orders_by_channel)) as channels")
+
+
 def stream_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "minutes")
     _sliced_stream(
@@ -778,7 +790,7 @@ def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
         sf_dir,
         lambda events: [rollups.write_latest(rollups.channel_totals(history.valid_events(events)), folder, "totals")],
     )
-    return spark.read.parquet(f"{folder}/totals")
+    return rollups.latest_table(spark, folder, "totals").read()
 
 
 def stream_session(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -793,7 +805,7 @@ def stream_session(spark: SparkSession, sf_dir: str) -> DataFrame:
         ]
 
     _sliced_stream(spark, sf_dir, start)
-    totals = spark.read.parquet(f"{folder}/totals")
+    totals = rollups.latest_table(spark, folder, "totals").read()
     return history.summarise_session(totals, rollups.read_minutes(spark, folder, "minutes"), SESSION_START)
 
 
@@ -816,6 +828,7 @@ def _message_fields(messages: DataFrame) -> DataFrame:
 register("s9_event_stream", stream_contract("valid"))
 register("r10_stream_rejects", stream_contract("rejected"))
 register("r1_stream_rolling", stream_board(LiveBoard.kpis))
+register("r2_stream_idle", stream_idle)
 register("r3_stream_open_window", stream_board(LiveBoard.open_window))
 register("r4_stream_history", stream_board(LiveBoard.recent_history))
 register("r9_stream_latest", stream_board(LiveBoard.latest))

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyhouse.functions import aggregate
 from tallyhouse.operators.history import totals_by_channel
+from tallyhouse.streaming.versions import VersionedTable
 
 LATENESS = "10 minutes"
 
@@ -48,15 +49,17 @@ def read_minutes(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def write_latest(totals: DataFrame, folder: str, name: str) -> StreamingQuery:
-    """Keeps the complete result of an unwindowed aggregate as a table, replaced per batch."""
-
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/{name}")
-
+    """Keeps the complete result of an unwindowed aggregate as a versioned table, a version per batch."""
+    table = latest_table(totals.sparkSession, folder, name)
     return (
         totals.writeStream.outputMode("complete")
-        .foreachBatch(replace)
+        .foreachBatch(table.write)
         .option("checkpointLocation", f"{folder}/checkpoint-{name}")
         .trigger(availableNow=True)
         .start()
     )
+
+
+def latest_table(spark: SparkSession, folder: str, name: str) -> VersionedTable:
+    """The table that ``write_latest`` keeps."""
+    return VersionedTable(spark, f"{folder}/{name}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -9,6 +11,20 @@ from tallyhouse.operators.history import rejected_events, valid_events
 from tallyhouse.schemas import EVENT_SCHEMA
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def let_workers_import(spark: SparkSession) -> None:
+    """Puts the package's folder on the path of Python workers, for sessions started elsewhere.
+
+    A cluster whose machines do not share that folder gets the package as any other one: installed, or with ``--py-files``.
+    """
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, known)])
+
+
 def event_stream(
     spark: SparkSession, path: str, schema: str = EVENT_SCHEMA, file_format: str = "parquet", files_per_trigger: int | None = None
 ) -> DataFrame:

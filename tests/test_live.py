@@ -7,8 +7,9 @@ import pytest
 
 from tallyhouse.operators import history
 from tallyhouse.schemas import EVENT_SCHEMA
-from tallyhouse.streaming.board import LiveBoard, summary_message
+from tallyhouse.streaming.board import SHARES, LiveBoard, summary_message
 from tallyhouse.streaming.source import event_stream, finish, split_by_contract
+from tallyhouse.streaming.versions import VersionedTable
 
 BASE = datetime(2026, 1, 5, 12, 0)
 SCHEMA = f"site string, {EVENT_SCHEMA}"
@@ -137,11 +138,65 @@ def test_board_over_batches_equals_the_batch_form(spark, feed, tmp_path):
     assert json.loads(summary_message(board.latest()).first().value)["type"] == "summary"
 
 
-def test_a_batch_run_again_changes_nothing(spark, feed, tmp_path):
-    board = LiveBoard(spark, str(tmp_path / "board"), minutes=15)
-    first, second = feed(event(1), event(2, 3)), feed(event(3, 5))
-    board.update(first, 0)
-    board.update(second, 1)
-    board.update(second, 1)
-    assert board.kpis().count() == 3
-    assert board.latest().first().order_count == 3
+def follow(board, spark, folder, ticks=None):
+    clock = None if ticks is None else spark.readStream.schema("timestamp timestamp").parquet(ticks)
+    finish(board.start(spark.readStream.schema(SCHEMA).parquet(folder), clock))
+
+
+def test_a_batch_run_again_changes_nothing(spark, feed, table, tmp_path):
+    board, arrivals = LiveBoard(spark, str(tmp_path / "board"), minutes=15), str(tmp_path / "in")
+    for rows in ([event(1), event(2, 3)], [event(3, 5), event(3, 5)]):
+        feed(*rows).coalesce(1).write.mode("append").parquet(arrivals)
+        follow(board, spark, arrivals)
+    answers = spark.read.parquet(f"{board.folder}/answers/batch=1")
+    board.update(table(answers.collect(), answers.schema), 1)
+    assert board.kpis().count() == 4
+    assert board.latest().first().order_count == 4
+
+
+def test_a_hot_feed_is_dealt_to_several_states(spark, feed, tmp_path):
+    """One feed only: its events lie in several sub-states, none of which holds all."""
+    board, arrivals = LiveBoard(spark, str(tmp_path / "board"), minutes=15), str(tmp_path / "in")
+    feed(*[event(i, seconds=i) for i in range(200)]).write.parquet(arrivals)
+    follow(board, spark, arrivals)
+    kept = board._state("window").selectExpr("key.share").groupBy("share").count().collect()
+    assert sum(r["count"] for r in kept) == 200 and len(kept) == SHARES and max(r["count"] for r in kept) < 100
+    assert not (tmp_path / "board" / "state").exists()
+
+
+def test_an_idle_window_empties_when_the_clock_passes(spark, feed, table, tmp_path):
+    """Feed a goes quiet; events of feed b, then a tick, move the clock."""
+    arrivals, ticks = str(tmp_path / "in"), str(tmp_path / "ticks")
+    board = LiveBoard(spark, str(tmp_path / "board"), minutes=15, lateness_minutes=5, timers=True)
+    table([], "timestamp timestamp").write.parquet(ticks)
+    feed(event(1, site="a"), event(2, 4, site="a"), event(3, 2, site="b")).coalesce(1).write.parquet(arrivals)
+    follow(board, spark, arrivals, ticks)
+    assert {r.site: r.order_count for r in board.latest().collect()} == {"a": 2, "b": 1}
+    feed(event(4, 30, site="b")).coalesce(1).write.mode("append").parquet(arrivals)
+    follow(board, spark, arrivals, ticks)
+    rows = {r.site: r for r in board.latest().collect()}
+    assert (rows["a"].order_count, rows["a"].total_revenue, rows["a"].orders_by_channel) == (0, 0.0, {})
+    assert rows["a"].timestamp == BASE + timedelta(minutes=19) and rows["b"].order_count == 1
+    table([(BASE + timedelta(minutes=90),)], "timestamp timestamp").coalesce(1).write.mode("append").parquet(ticks)
+    follow(board, spark, arrivals, ticks)
+    assert {r.site: r.order_count for r in board.latest().collect()} == {"a": 0, "b": 0}
+    assert board.kpis().count() == 4
+
+
+def test_a_reader_sees_whole_versions(spark, table, tmp_path):
+    """A frame opened before a write, and the pointer until it is replaced, give the version before."""
+    kept = VersionedTable(spark, str(tmp_path / "latest"))
+    assert kept.read(below=0) is None
+    with pytest.raises(ValueError):
+        kept.read()
+    kept.write(table([(1, 10), (2, 10)], "k int, v int"), 0)
+    opened = kept.read()
+    # a batch that breaks off has written files and not moved the pointer
+    table([(1, 99)], "k int, v int").write.parquet(str(tmp_path / "latest" / "version=1"))
+    assert sorted(map(tuple, kept.read().collect())) == [(1, 10), (2, 10)]
+    kept.write(table([(1, 11), (2, 11)], "k int, v int"), 1)
+    assert sorted(map(tuple, opened.collect())) == [(1, 10), (2, 10)]
+    assert sorted(map(tuple, kept.read().collect())) == [(1, 11), (2, 11)]
+    assert sorted(map(tuple, kept.read(below=1).collect())) == [(1, 10), (2, 10)]
+    kept.write(table([(3, 12)], "k int, v int"), 2)
+    assert not (tmp_path / "latest" / "version=0").exists() and (tmp_path / "latest" / "version=1").exists()
