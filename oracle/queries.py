@@ -25,6 +25,10 @@ ITEM = "menu_item_id, item_name, category, m2 selling_price, n estimated_prep_mi
 
 add("p1_stg_orders", f"select {pick(ORDER_HEAD + ', ' + ORDER_TAIL)} from s_orders")
 SQL["s1_csv_scan"] = SQL["p1_stg_orders"]
+add("s2_missing_sources", """select t as table_name, t not in ('orders', 'reviews') as is_missing, case
+    when t = 'orders' then (select count(*) from s_orders) when t = 'reviews' then (select count(*) from s_reviews) end as row_count
+    from (select unnest(['daily_context', 'employee_shifts', 'employees', 'ingredients', 'inventory_movements', 'menu_items',
+      'order_items', 'orders', 'recipes', 'reviews', 'suppliers']) as t)""")
 add("p2_stg_order_items", f"""select {pick('order_item_id, order_id, menu_item_id, n quantity, m2 unit_price, '
     'm4 estimated_unit_food_cost, m2 line_total, m4 estimated_line_food_cost, special_request, item_status')}
     from s_order_items""")
@@ -332,6 +336,9 @@ add("q9_busiest_slot", f"""select day_name, daypart, order_count, {d('prep - pro
         || 'target by ' || printf('%.1f', promise - prep) || ' minutes.'
       else ' produced the highest order volume, right at the promised preparation-time target.' end as insight
     from prep_promise order by order_count desc, day_name, daypart limit 1""", prep_promise=PREP)
+add("q9_no_slot", """select cast(null as varchar) as day_name, cast(null as varchar) as daypart,
+    cast(null as bigint) as order_count, cast(null as double) as variance_minutes,
+    'Not enough data to generate a summary yet.' as insight""")
 add("q10_executive_kpis", f"""select {m2('sum(net_sales)')} as net_sales, {n('sum(order_count)')} as order_count,
     {', '.join(f"{d(f'avg({c})')} as {c}" for c in ('average_order_value', 'estimated_gross_margin_pct',
         'labour_cost_pct', 'average_preparation_minutes', 'average_rating'))},

@@ -17,7 +17,8 @@ from tallyhouse.functions import (
     sums,
 )
 from tallyhouse.operators.derivations import KEPT, SERVED
-from tallyhouse.operators.ordering import medians, rank_and_group_total
+from tallyhouse.operators.keys import attach
+from tallyhouse.operators.ordering import grouped_percentiles, medians, rank_and_group_total
 from tallyhouse.sources.workdir import settle
 
 SALES = (
@@ -204,16 +205,15 @@ def labour_productivity(labour: DataFrame, orders: DataFrame, demand: DataFrame)
 def service_quality(orders: DataFrame) -> DataFrame:
     """K5: preparation times and failure rates per date and daypart.
 
-    The exact percentiles keep one counter per distinct preparation time; times are measured to
-    a fraction of a minute, so the counters stay few however many orders a slot has.
+    The percentiles come from counts per distinct preparation time, so no slot is held or sorted in one task.
     """
-    return aggregate(
+    slot = ["business_date", "daypart"]
+    times = grouped_percentiles(kept(orders), slot, "preparation_minutes", {"median_preparation_minutes": 0.5, "p90_preparation_minutes": 0.9})
+    quality = aggregate(
         kept(orders),
-        ["business_date", "daypart"],
+        slot,
         "count(*) as order_count",
         f"{mean('preparation_minutes')} as average_preparation_minutes",
-        "median(preparation_minutes) as median_preparation_minutes",
-        "percentile_cont(0.9) within group (order by preparation_minutes) as p90_preparation_minutes",
         f"{share_where('is_late')} as late_order_pct",
         f"{share_where('has_missing_item')} as missing_item_pct",
         f"""{share_where("status = 'Partially Refunded'")} as refund_pct""",
@@ -222,6 +222,9 @@ def service_quality(orders: DataFrame) -> DataFrame:
         f"{mean('kitchen_staff_count')} as average_kitchen_staff_count",
         f"{mean('front_of_house_staff_count')} as average_front_of_house_staff_count",
     )
+    first = ["business_date", "daypart", "order_count", "average_preparation_minutes"]
+    middle = ["median_preparation_minutes", "p90_preparation_minutes"]
+    return attach(quality, times, slot).select(*first, *middle, *[c for c in quality.columns if c not in first])
 
 
 def ledger_position(movements: DataFrame) -> DataFrame:

@@ -91,6 +91,48 @@ def rank_and_group_total(
     return attach(rows, ranked, [group, value])
 
 
+def grouped_percentiles(
+    rows: DataFrame, group: Sequence[str], value: str, fractions: dict[str, float], slice_values: int = SLICE_VALUES
+) -> DataFrame:
+    """Exact interpolated percentiles of a value per group, several at once, as columns named by ``fractions``.
+
+    Rows are counted per distinct value first, combined on the map side and written (eager).  Percentile cut points of each
+    group deal its values to ordered slices, whose number follows the largest group; the copies of lower slices are added
+    to the running counts inside a slice, and a group's percentile takes the one or two values that hold its place.  No task
+    sorts more than a slice.  NULLs have no place; a group of NULLs alone has NULL percentiles.
+    """
+    if not group:
+        return grouped_percentiles(rows.withColumn("_all", F.lit(0)), ["_all"], value, fractions, slice_values).drop("_all")
+    group = list(group)
+    counted = settle(aggregate(rows, [*group, f"{value}"], "count(*) as _copies").withColumn("_value", F.expr(f"double({value})")), "counted-values")
+    held = counted.where("_value is not null")
+    largest = aggregate(aggregate(held, group, "count(*) as _n"), [], "max(_n)").first()[0] or 0
+    slices = max(1, min(MOST_SLICES, -(-largest // slice_values)))
+    inner = ", ".join(str(i / slices) for i in range(1, slices))
+    cuts = f"percentile_approx(_value, array({inner}), {ACCURACY})" if slices > 1 else "filter(array(max(_value)), c -> false)"
+    per_group = aggregate(held, group, "sum(_copies) as _n", f"{cuts} as _cuts")
+    sliced = attach(held, per_group, group).selectExpr(
+        *group, "_value", "_copies", "_n", "size(filter(_cuts, cut -> cut < _value)) as _slice"
+    )
+    within = ", ".join([*group, "_slice"])
+    running = sliced.selectExpr("*", f"sum(_copies) over (partition by {within} order by _value rows unbounded preceding) as _upto")
+    if slices > 1:
+        ahead = aggregate(sliced, [*group, "_slice"], "sum(_copies) as _rows").selectExpr(
+            *group, "_slice", f"sum(_rows) over (partition by {', '.join(group)} order by _slice rows unbounded preceding) - _rows as _ahead"
+        )
+        running = attach(running, ahead, [*group, "_slice"]).withColumn("_upto", F.expr("_upto + _ahead"))
+    at = {name: f"({p}D * (_n - 1))" for name, p in fractions.items()}
+    holds = "{0} >= _upto - _copies and {0} < _upto"
+    ends = {f"_{end}_{name}": f"{f}({x})" for name, x in at.items() for end, f in (("low", "floor"), ("high", "ceil"))}
+    placed = running.where(" or ".join(holds.format(x) for x in ends.values()))
+    found = aggregate(placed, group, "max(_n) as _n", *[f"max(_value) filter (where {holds.format(x)}) as {k}" for k, x in ends.items()])
+    found = found.selectExpr(
+        *group,
+        *[f"if(_low_{k} = _high_{k}, _low_{k}, (ceil({x}) - {x}) * _low_{k} + ({x} - floor({x})) * _high_{k}) as {k}" for k, x in at.items()],
+    )
+    return attach(counted.select(*group).distinct(), found, group)
+
+
 def medians(rows: DataFrame, values: Sequence[str]) -> dict[str, Column]:
     """Exact medians of whole columns, as literals to use in a later expression.  Eager: four aggregates.
 

@@ -65,6 +65,7 @@ def report(table: str, failed: DataFrame) -> DataFrame:
 
 
 # --- V2-V8: checks of the loaded tables ------------------------------------------------------
+# The messages of the checks, the text before each condition.
 
 
 def check_daily_context(context: DataFrame) -> DataFrame:

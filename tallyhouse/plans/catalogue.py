@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from tallyhouse import schemas
 from tallyhouse.functions import aggregate, count_where, mean, row_hash, select, share_where, weighted_mean
 from tallyhouse.operators import calendar, derivations, drilldowns, forecasting, history, marts, quality
-from tallyhouse.operators.ordering import rank_and_group_total, top_rows
+from tallyhouse.operators.ordering import grouped_percentiles, rank_and_group_total, top_rows
 from tallyhouse.plans import bindings
 from tallyhouse.plans.present import present
 from tallyhouse.plans.warehouse import MARTS, StoredWarehouse, Warehouse
@@ -113,6 +113,14 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Warehouse(spark, {"orders": scanned}).stg_orders
 
 
+def source_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables are there as files, the others are missing."""
+    raw = bindings.raw_tables(spark, sf_dir)
+    absent = new_folder(spark, "absent")
+    paths = {t: _as_csv(spark, raw[t], t) if t in ("orders", "reviews") else f"{absent}/{t}.csv" for t in sorted(raw)}
+    return csv_tables.source_report(spark, paths).select("table_name", "is_missing", "row_count")
+
+
 def seed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = bindings.raw_tables(spark, sf_dir)["menu_items"]
     schema = StructType.fromDDL(schemas.RAW_SCHEMAS["menu_items"])
@@ -208,6 +216,7 @@ def table_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 register("s1_csv_scan", csv_scan)
+register("s2_missing_sources", source_report)
 register("s1_load_all", load_all)
 register("s3_load_metadata", load_metadata)
 register("s4_row_hash", row_hashes)
@@ -291,11 +300,8 @@ on_warehouse(
         f"{share_where('has_missing_item')} as missing_share",
     ),
 )
-on_warehouse("g4_median", lambda w: w.stg_orders.groupBy("channel").agg(F.median("preparation_minutes").alias("median")))
-on_warehouse(
-    "g5_percentile_cont",
-    lambda w: w.stg_orders.groupBy("channel").agg(F.percentile("preparation_minutes", 0.9).alias("p90")),
-)
+on_warehouse("g4_median", lambda w: grouped_percentiles(w.stg_orders, ["channel"], "preparation_minutes", {"median": 0.5}))
+on_warehouse("g5_percentile_cont", lambda w: grouped_percentiles(w.stg_orders, ["channel"], "preparation_minutes", {"p90": 0.9}))
 on_warehouse("g6_distinct_names", lambda w: marts.affected_items(w.stg_recipes, w.stg_menu_items))
 on_warehouse(
     "g7_weighted_mean",
@@ -319,9 +325,7 @@ on_warehouse(
 on_warehouse("g11_pivot", lambda w: drilldowns.demand_pivot(drilldowns.hourly_heatmap(w.int_hourly_demand, w.dim_date)))
 on_warehouse(
     "g12_quartiles",
-    lambda w: aggregate(
-        w.stg_orders, ["daypart"], "percentile(preparation_minutes, array(0.25, 0.5, 0.75)) as q"
-    ).selectExpr("daypart", "q[0] as q1", "q[1] as median", "q[2] as q3"),
+    lambda w: grouped_percentiles(w.stg_orders, ["daypart"], "preparation_minutes", {"q1": 0.25, "median": 0.5, "q3": 0.75}),
 )
 on_feed(
     "g13_count_map",
@@ -447,6 +451,10 @@ on_warehouse(
     "q9_busiest_slot",
     lambda w: drilldowns.busiest_slot(drilldowns.preparation_vs_promise(w.stg_orders, w.dim_date)),
 )
+on_warehouse(
+    "q9_no_slot",
+    lambda w: drilldowns.busiest_slot(drilldowns.preparation_vs_promise(w.stg_orders.where("preparation_minutes < 0"), w.dim_date)),
+)
 on_warehouse("q10_executive_kpis", lambda w: drilldowns.executive_kpis(w.mart_daily_performance))
 on_warehouse("q11_orders_by_daypart", lambda w: drilldowns.orders_by_daypart(w.mart_service_quality))
 on_warehouse("q11_margin_by_category", lambda w: drilldowns.margin_by_category(w.mart_menu_engineering))

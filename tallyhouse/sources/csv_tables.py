@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tallyhouse.functions import row_hash
+from tallyhouse.functions import aggregate, row_hash
 from tallyhouse.schemas import RAW_SCHEMAS
 from tallyhouse.sources.tables import replace_table
 
@@ -48,6 +48,19 @@ def missing_sources(spark: SparkSession, paths: dict[str, str]) -> list[str]:
     return [path for path in paths.values() if not _exists(spark, path)]
 
 
+def source_report(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """A row per source with its path, whether it is missing, and the rows of one that is there."""
+    missing = set(missing_sources(spark, paths))
+    rows = None
+    for table, path in paths.items():
+        counted = spark.range(1).selectExpr("cast(null as bigint) as row_count")
+        if path not in missing:
+            counted = aggregate(scan_csv(spark, path, _schema(table)), [], "count(*) as row_count")
+        row = counted.select(F.lit(table).alias("table_name"), F.lit(path).alias("path"), F.lit(path in missing).alias("is_missing"), "row_count")
+        rows = row if rows is None else rows.unionByName(row)
+    return rows
+
+
 def with_load_metadata(rows: DataFrame, batch_id: str, loaded_at: datetime, source_file: Column | None = None) -> DataFrame:
     """Content hash of the original columns, load time, source file name and batch."""
     file_name = source_file if source_file is not None else F.element_at(F.split("_metadata.file_path", "/"), -1)

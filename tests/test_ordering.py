@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from tallyhouse.operators.ordering import medians, rank_and_group_total, running_totals, top_rows
+from tallyhouse.operators.ordering import grouped_percentiles, medians, rank_and_group_total, running_totals, top_rows
 
 
 @pytest.fixture(scope="module")
@@ -65,3 +65,26 @@ def test_top_rows_puts_nulls_last(spark):
     frame = spark.createDataFrame([(1, None), (2, 5), (3, 7), (4, 5)], "id int, v int")
     assert [r.id for r in top_rows(frame, "v desc, id", 4).collect()] == [3, 2, 4, 1]
     assert [r.id for r in top_rows(frame, "v, id", 3).collect()] == [2, 4, 3]
+
+
+@pytest.mark.parametrize("slice_values", [3, 100_000], ids=["many slices", "one slice"])
+def test_grouped_percentiles_equal_brute_force(spark, slice_values):
+    """A hot group, a NULL group, ties, NULL values, a group of NULLs alone and one of a single value."""
+    rng = random.Random(9)
+    rows = [("hot" if i % 3 == 0 else rng.choice(["a", "b", None]), i % 2, None if i % 11 == 0 else rng.randrange(40) / 8) for i in range(800)]
+    rows += [("none", 0, None), ("one", 0, 2.5)]
+    frame = spark.createDataFrame(rows, "k string, h int, v double")
+    found = grouped_percentiles(frame, ["k", "h"], "v", {"low": 0.0, "mid": 0.5, "high": 0.9, "top": 1.0}, slice_values)
+
+    def percentile(values, p):
+        at = p * (len(values) - 1)
+        low = int(at)
+        return values[low] if at == low else (low + 1 - at) * values[low] + (at - low) * values[low + 1]
+
+    want = {}
+    for k, h, v in rows:
+        want.setdefault((k, h), []).extend([] if v is None else [v])
+    want = {g: tuple(percentile(sorted(v), p) for p in (0.0, 0.5, 0.9, 1.0)) if v else (None,) * 4 for g, v in want.items()}
+    assert {(r.k, r.h): (r.low, r.mid, r.high, r.top) for r in found.collect()} == want
+    whole = grouped_percentiles(frame, [], "v", {"mid": 0.5}, slice_values).first().mid
+    assert whole == statistics.median(v for _, _, v in rows if v is not None)
