@@ -44,6 +44,29 @@ def running_totals(
     return _running_totals(rows, keys, slices, order_by, totals, lambda sums: settle(sums, "slice-sums"))
 
 
+def prefix_sums(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str], totals: dict[str, str]) -> DataFrame:
+    """Adds running sums per key in the order of columns, whatever the key or a value of the order holds.
+
+    Rows are dealt to ranges of (key, order), sorted and written with the number of their range (eager).  A range's sum per
+    key is carried to the ranges behind it, which is a running sum over as many rows as there are ranges; inside a range the
+    sum runs on from there.  Where the order is total, as with an id at its end, even a key with one instant is spread
+    over the ranges.  ``totals`` maps output column to input column.
+    """
+    spark, part = rows.sparkSession, "_range"
+    dealt = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys, *order_by)
+    dealt = settle(dealt.withColumn(part, F.spark_partition_id()), "ranges")
+    sums = aggregate(dealt, [*keys, part], *[f"coalesce(sum({source}), 0) as {out}" for out, source in totals.items()])
+    by_key = f"partition by {', '.join(keys)}" if keys else ""
+    carried = sums.selectExpr(
+        *keys, part, "0 as _own",
+        *[f"sum({out}) over ({by_key} order by {part} rows unbounded preceding) - {out} as _add_{out}" for out in totals],
+    )
+    own = dealt.selectExpr("*", "1 as _own", *[f"{source} as _add_{out}" for out, source in totals.items()])
+    window = f"over (partition by {', '.join([*keys, part])} order by _own, {', '.join(order_by)} rows unbounded preceding)"
+    summed = own.unionByName(carried, allowMissingColumns=True).selectExpr("*", *[f"sum(_add_{out}) {window} as {out}" for out in totals])
+    return summed.where("_own = 1").select(*rows.columns, *totals)
+
+
 def _running_totals(rows, keys, slices, order_by, totals, keep) -> DataFrame:
     cut = [*keys, *slices]
     partition = f"partition by {', '.join(cut)}" if cut else ""
@@ -104,33 +127,34 @@ def grouped_percentiles(
     if not group:
         return grouped_percentiles(rows.withColumn("_all", F.lit(0)), ["_all"], value, fractions, slice_values).drop("_all")
     group = list(group)
-    counted = settle(aggregate(rows, [*group, f"{value}"], "count(*) as _copies").withColumn("_value", F.expr(f"double({value})")), "counted-values")
-    held = counted.where("_value is not null")
-    largest = aggregate(aggregate(held, group, "count(*) as _n"), [], "max(_n)").first()[0] or 0
+    counted = aggregate(rows.withColumn("_value", F.expr(f"double({value})")), [*group, "_value"], "count(_value) as _copies")
+    counted = settle(counted, "counted-values")  # a NULL counts nothing and keeps its group
+    largest = aggregate(aggregate(counted, group, "count(*) as _n"), [], "max(_n)").first()[0] or 0
     slices = max(1, min(MOST_SLICES, -(-largest // slice_values)))
-    inner = ", ".join(str(i / slices) for i in range(1, slices))
-    cuts = f"percentile_approx(_value, array({inner}), {ACCURACY})" if slices > 1 else "filter(array(max(_value)), c -> false)"
-    per_group = aggregate(held, group, "sum(_copies) as _n", f"{cuts} as _cuts")
-    sliced = attach(held, per_group, group).selectExpr(
-        *group, "_value", "_copies", "_n", "size(filter(_cuts, cut -> cut < _value)) as _slice"
-    )
-    within = ", ".join([*group, "_slice"])
-    running = sliced.selectExpr("*", f"sum(_copies) over (partition by {within} order by _value rows unbounded preceding) as _upto")
-    if slices > 1:
+    by_group = f"partition by {', '.join(group)}"
+    if slices == 1:
+        upto = f"sum(_copies) over ({by_group} order by _value rows unbounded preceding) as _upto"
+        running = counted.selectExpr("*", upto, f"sum(_copies) over ({by_group}) as _n")
+    else:
+        inner = ", ".join(str(i / slices) for i in range(1, slices))
+        per_group = aggregate(counted, group, "sum(_copies) as _n", f"percentile_approx(_value, array({inner}), {ACCURACY}) as _cuts")
+        sliced = attach(counted, per_group, group).selectExpr(
+            *group, "_value", "_copies", "_n", "coalesce(size(filter(_cuts, cut -> cut < _value)), 0) as _slice"
+        )
+        upto = f"sum(_copies) over ({by_group}, _slice order by _value rows unbounded preceding) as _upto"
         ahead = aggregate(sliced, [*group, "_slice"], "sum(_copies) as _rows").selectExpr(
-            *group, "_slice", f"sum(_rows) over (partition by {', '.join(group)} order by _slice rows unbounded preceding) - _rows as _ahead"
+            *group, "_slice", f"sum(_rows) over ({by_group} order by _slice rows unbounded preceding) - _rows as _ahead"
         )
-        running = attach(running, ahead, [*group, "_slice"]).withColumn("_upto", F.expr("_upto + _ahead"))
+        running = attach(sliced.selectExpr("*", upto), ahead, [*group, "_slice"]).withColumn("_upto", F.expr("_upto + _ahead"))
     at = {name: f"({p}D * (_n - 1))" for name, p in fractions.items()}
     holds = "{0} >= _upto - _copies and {0} < _upto"
     ends = {f"_{end}_{name}": f"{f}({x})" for name, x in at.items() for end, f in (("low", "floor"), ("high", "ceil"))}
-    placed = running.where(" or ".join(holds.format(x) for x in ends.values()))
+    placed = running.where(" or ".join(["_value is null", *[holds.format(x) for x in ends.values()]]))
     found = aggregate(placed, group, "max(_n) as _n", *[f"max(_value) filter (where {holds.format(x)}) as {k}" for k, x in ends.items()])
-    found = found.selectExpr(
+    return found.selectExpr(
         *group,
         *[f"if(_low_{k} = _high_{k}, _low_{k}, (ceil({x}) - {x}) * _low_{k} + ({x} - floor({x})) * _high_{k}) as {k}" for k, x in at.items()],
     )
-    return attach(counted.select(*group).distinct(), found, group)
 
 
 def medians(rows: DataFrame, values: Sequence[str]) -> dict[str, Column]:

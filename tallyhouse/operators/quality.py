@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import aggregate, divided, mean, not_in, select
-from tallyhouse.operators.ordering import running_totals
+from tallyhouse.operators.ordering import prefix_sums
 from tallyhouse.schemas import (
     CHANNELS,
     DAYPARTS,
@@ -152,20 +152,11 @@ def check_shifts(shifts: DataFrame, employees: DataFrame) -> DataFrame:
 def running_balance(movements: DataFrame) -> DataFrame:
     """Stock after each ledger movement of an ingredient.
 
-    Movements at the same instant follow their id.  The ledger is sliced by day, hour and second, so
-    the longest sort is one ingredient's busiest second.
+    Movements at the same instant follow their id.  The ledger is cut into ranges of ingredient, instant and id, so neither
+    a busy ingredient nor a busy instant is sorted in one task.
     """
-    rows = movements.selectExpr(
-        "movement_id",
-        "ingredient_id",
-        "movement_timestamp",
-        "quantity_change",
-        "to_date(movement_timestamp) as _day",
-        "hour(movement_timestamp) as _hour",
-        "date_trunc('second', movement_timestamp) as _second",
-    )
-    order, slices = "movement_timestamp, movement_id", ["_day", "_hour", "_second"]
-    totals = running_totals(rows, ["ingredient_id"], slices, order, {"balance": "quantity_change"})
+    rows = select(movements, "movement_id, ingredient_id, movement_timestamp, quantity_change")
+    totals = prefix_sums(rows, ["ingredient_id"], ["movement_timestamp", "movement_id"], {"balance": "quantity_change"})
     return select(totals, "movement_id, ingredient_id, movement_timestamp, balance")
 
 

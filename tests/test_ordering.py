@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from tallyhouse.operators.ordering import grouped_percentiles, medians, rank_and_group_total, running_totals, top_rows
+from tallyhouse.operators.ordering import grouped_percentiles, medians, prefix_sums, rank_and_group_total, running_totals, top_rows
 
 
 @pytest.fixture(scope="module")
@@ -88,3 +88,36 @@ def test_grouped_percentiles_equal_brute_force(spark, slice_values):
     assert {(r.k, r.h): (r.low, r.mid, r.high, r.top) for r in found.collect()} == want
     whole = grouped_percentiles(frame, [], "v", {"mid": 0.5}, slice_values).first().mid
     assert whole == statistics.median(v for _, _, v in rows if v is not None)
+
+
+def test_prefix_sums_equal_brute_force(ledger):
+    rows, frame = ledger
+    expected, sums = {}, {}
+    for i, key, _, value in sorted(rows, key=lambda r: (r[2], r[0])):
+        expected[i] = sums[key] = sums.get(key, 0.0) + value
+    got = prefix_sums(frame, ["k"], ["at", "id"], {"s": "v"}).select("id", "s").collect()
+    assert len(got) == len(rows) and {r.id: r.s for r in got} == expected
+
+
+def test_prefix_sums_of_one_key_and_one_instant(spark):
+    """Everything at one instant of one key: the ranges hold shares of it, and the sum runs on over them."""
+    frame = spark.range(4000).selectExpr("id", "'k' as k", "timestamp_ntz '2026-01-05 08:00:00' as at", "id % 7 as v").repartition(3)
+    got = prefix_sums(frame, ["k"], ["at", "id"], {"s": "v"})
+    total, expected = 0, []
+    for i in range(4000):
+        total += i % 7
+        expected.append((i, total))
+    assert [(r.id, r.s) for r in got.orderBy("id").collect()] == expected
+    assert prefix_sums(frame.limit(0), [], ["id"], {"s": "v"}).count() == 0
+
+
+def test_prefix_sums_spread_one_instant(spark, monkeypatch):
+    from tallyhouse.operators import ordering
+
+    kept = []
+    plain = ordering.settle
+    monkeypatch.setattr(ordering, "settle", lambda frame, label: kept.append(plain(frame, label)) or kept[-1])
+    frame = spark.range(4000).selectExpr("id", "'k' as k", "timestamp_ntz '2026-01-05 08:00:00' as at", "1L as v")
+    prefix_sums(frame, ["k"], ["at", "id"], {"s": "v"}).count()
+    shares = [r["count"] for r in kept[0].groupBy("_range").count().collect()]
+    assert len(shares) >= 3 and max(shares) < 2000
