@@ -255,16 +255,17 @@ def ledger_position(movements: DataFrame) -> DataFrame:
     )
 
 
+def affected_pairs(recipes: DataFrame, menu_items: DataFrame) -> DataFrame:
+    """A row per ingredient and name of an item that uses it; repeats fall away per task, before either shuffle."""
+    used = select(recipes, "ingredient_id, menu_item_id").distinct()
+    named = used.join(select(menu_items, "menu_item_id, item_name").distinct(), "menu_item_id")
+    return select(named, "ingredient_id, item_name").distinct()
+
+
 def affected_items(recipes: DataFrame, menu_items: DataFrame) -> DataFrame:
-    """Names of the items that use an ingredient, each once, in alphabetical order."""
-    named = select(recipes, "ingredient_id, menu_item_id").join(
-        select(menu_items, "menu_item_id, item_name"), "menu_item_id"
-    )
-    return aggregate(
-        select(named, "ingredient_id, item_name").distinct(),
-        ["ingredient_id"],
-        "array_join(array_sort(collect_list(item_name)), ', ') as affected_menu_items",
-    )
+    """Names of the items that use an ingredient, each once, in alphabetical order, as one string."""
+    names = "array_join(array_sort(collect_list(item_name)), ', ') as affected_menu_items"
+    return aggregate(affected_pairs(recipes, menu_items), ["ingredient_id"], names)
 
 
 def inventory_risk(

@@ -94,6 +94,26 @@ def load_raw_tables(spark: SparkSession, paths: dict[str, str], folder: str) ->
     }
 
 
+def changed_rows(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
+    """What a later batch of a raw table changed, by ``record_hash``: one row per key that differs.
+
+    Of the rows a key had and has, equal hashes cancel out.  Of the rest, as many as stand on both sides are changed, the
+    others inserted or gone; repeated rows and null keys count like any.  Counts are summed per task before the one
+    shuffle of keys and hashes, so a key with many rows costs a row per hash.
+    """
+    sides = before.selectExpr(*keys, "record_hash", "-1L as _side").unionByName(
+        after.selectExpr(*keys, "record_hash", "1L as _side")
+    )
+    left_over = aggregate(sides, [*keys, "record_hash"], "sum(_side) as _side").where("_side <> 0")
+    counts = aggregate(left_over, keys, "sum(greatest(_side, 0)) as _new", "sum(greatest(-_side, 0)) as _old")
+    return counts.selectExpr(
+        *keys,
+        "_new - least(_new, _old) as inserted_rows",
+        "least(_new, _old) as changed_rows",
+        "_old - least(_new, _old) as gone_rows",
+    )
+
+
 def load_seeds(spark: SparkSession, folder: str, tables: tuple[str, ...]) -> dict[str, DataFrame]:
     """The hand-kept seed tables of a folder, by name."""
     return {t: scan_seed(spark, f"{folder}/{t}.csv", _schema(t)) for t in tables}

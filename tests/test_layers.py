@@ -234,3 +234,19 @@ def test_schemas_cover_every_bound(spark):
     for name, bounds in schemas.FIELD_BOUNDS.items():
         ddl = schemas.RAW_SCHEMAS[name]
         assert all(f"{column} " in ddl for column, _, _ in bounds)
+
+
+def test_changed_rows_count_repeats_and_null_keys(table):
+    schema = "k string, record_hash string, x int"
+    before = table([("a", "1", 0), ("a", "1", 0), ("b", "2", 0), ("c", "3", 0), (None, "4", 0), ("same", "9", 0)], schema)
+    after = table([("a", "1", 1), ("b", "5", 1), ("d", "6", 1), ("d", "6", 1), (None, "7", 1), (None, "8", 1), ("same", "9", 1)], schema)
+    rows = {r.k: (r.inserted_rows, r.changed_rows, r.gone_rows) for r in csv_tables.changed_rows(before, after, ["k"]).collect()}
+    assert rows == {"a": (0, 0, 1), "b": (0, 1, 0), "c": (0, 0, 1), "d": (2, 0, 0), None: (1, 1, 0)}
+    assert csv_tables.changed_rows(before, before, ["k"]).isEmpty() and csv_tables.changed_rows(before.limit(0), after.limit(0), ["k"]).isEmpty()
+
+
+def test_pairs_of_names_are_distinct(table):
+    recipes = table([("i1", "m1"), ("i1", "m1"), ("i1", "m2"), ("i1", "m3"), ("i2", "m9")], "ingredient_id string, menu_item_id string")
+    items = table([("m1", "Tart"), ("m2", "Broth"), ("m3", "Tart")], "menu_item_id string, item_name string")
+    assert sorted(map(tuple, marts.affected_pairs(recipes, items).collect())) == [("i1", "Broth"), ("i1", "Tart")]
+    assert [tuple(r) for r in marts.affected_items(recipes, items).collect()] == [("i1", "Broth, Tart")]
