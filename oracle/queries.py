@@ -160,6 +160,16 @@ LINE_CELLS = ", ".join(
 )
 add("s4_row_hash", f"""select l_orderkey, {n('l_linenumber')} as l_linenumber, md5(concat_ws('|', {LINE_CELLS}))
     as record_hash from lineitem""")
+LINE_COLUMNS = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, " \
+    "l_returnflag, l_linestatus, l_shipdate"
+add("s4_batch_changes", f"""select l_orderkey, {n('l_linenumber')} as l_linenumber, {n('new - least(new, old)')} as inserted_rows,
+    {n('least(new, old)')} as changed_rows, {n('old - least(new, old)')} as gone_rows from (
+      select l_orderkey, l_linenumber, sum(greatest(c, 0)) as new, sum(greatest(-c, 0)) as old from (
+        select {LINE_COLUMNS}, sum(side) as c from (
+          select {LINE_COLUMNS}, -1 as side from lineitem where l_shipdate < timestamp '2001-01-01'
+          union all select * replace (case when l_returnflag = 'A' then 'F' else l_linestatus end as l_linestatus)
+          from (select {LINE_COLUMNS}, 1 as side from lineitem where l_returnflag <> 'R'))
+        group by all) where c <> 0 group by 1, 2)""")
 add("s5_replace_table", "select channel, status, count(*) as rows from s_orders group by all")
 add("s7_channel_reference", """select o.channel, o.order_count, c.channel_label, c.is_delivery_channel, c.commission_rate
     from (select channel, count(*) as order_count from s_orders group by 1) o left join channels c using (channel)""")
@@ -211,6 +221,7 @@ add("g3_conditional_aggregates", f"""select daypart, count(*) filter (where is_l
 add("g4_median", f"select channel, {d('median(preparation_minutes)')} as median from s_orders group by 1")
 add("g5_percentile_cont", f"""select channel, {d('quantile_cont(preparation_minutes, 0.9)')} as p90
     from s_orders group by 1""")
+add("g6_distinct_pairs", "select distinct r.ingredient_id, i.item_name from s_recipes r join s_menu_items i using (menu_item_id)")
 add("g6_distinct_names", "select ingredient_id, items as affected_menu_items from uses")
 add("g7_weighted_mean", f"""select item_status, {d(div('sum(unit_price * quantity)', 'sum(quantity)'))}
     as mean_unit_price from s_order_items group by 1""")
@@ -614,6 +625,18 @@ add("x4_previous_week", f"""select business_date, {n('order_count')} as order_co
     from holdout""", **K1_LAGGED, holdout=HOLDOUT)
 add("x5_moving_average", f"""select business_date, {n('order_count')} as order_count, {d('week_mean')} as prediction
     from holdout""", **K1_LAGGED, holdout=HOLDOUT)
+COLUMNS_OF_DAY = {
+    "is_weekend": "is_weekend", "is_public_holiday": "is_public_holiday", "is_city_event": "is_city_event",
+    "has_promotion": "promotion_name is not null", "temperature_c": "temperature_c", "rain_mm": "rain_mm",
+    "previous_day_orders": "lag1", "previous_week_orders": "lag7", "rolling_7day_avg": "week_mean",
+}
+add("x6_normal_equations", f"""select feature, count(*) as rows,
+    {d('floor(sum(order_count * value) * 1000 + 0.5) / 1000')} as product from (
+    {' union all '.join(f"select '{c}' as feature, cast({x} as double) as value, order_count from taught" for c, x in COLUMNS_OF_DAY.items())}
+    union all select 'day_name=' || day_name, 1, order_count from taught
+    union all select 'month=' || month(business_date), 1, order_count from taught) group by 1""", **K1_LAGGED,
+    taught=f"""select * from lagged where {COMPLETE} and temperature_c is not null and rain_mm is not null
+      and business_date not in (select business_date from ({HOLDOUT}))""")
 add("x9_forecast_previous_week", f"""select cast(business_date + 7 as date) as business_date,
     dayname(business_date) as day_name, {d('order_count')} as predicted_orders
     from (select * from k1 order by business_date desc limit 7)""")

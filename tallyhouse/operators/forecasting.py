@@ -7,11 +7,14 @@ calendar, not by the orders behind the counts.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -174,16 +177,58 @@ def _fit(estimator, train: DataFrame, series: Sequence[str]) -> Model:
     return predict
 
 
+def _products(centre: list[float]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Per task, the products of all centred columns with one another, summed over its rows."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((len(centre), len(centre)))
+        for batch in batches:
+            rows = np.array(batch["_row"].tolist()).reshape(-1, len(centre)) - centre
+            total += rows.T @ rows
+        yield pd.DataFrame({"sums": [total.ravel()]})
+
+    return run
+
+
+def least_squares(rows: DataFrame) -> tuple[list[float], float]:
+    """Weights and constant that minimise the squared error of ``_target`` over the array ``_features``.
+
+    Two passes: means of all columns, then sums of the products of centred columns, per task and then over all.  The driver
+    gets as many numbers as pairs of columns, whatever the rows, and solves the normal equations once; of several solutions
+    it takes the shortest.  No rows give zeros.
+    """
+    table = rows.selectExpr("concat(_features, array(_target)) as _row")
+    means = table.selectExpr("posexplode(_row) as (place, value)").groupBy("place").agg(F.avg("value")).collect()
+    if not means:
+        return [], 0.0
+    centre = [m for _, m in sorted((r[0], r[1]) for r in means)]
+    sums = table.mapInPandas(_products(centre), "sums array<double>").selectExpr("posexplode(sums) as (place, value)")
+    flat = dict(sums.groupBy("place").agg(F.sum("value")).collect())
+    gram = np.array([flat[k] for k in range(len(centre) ** 2)]).reshape(len(centre), -1)
+    weights = np.linalg.lstsq(gram[:-1, :-1], gram[:-1, -1], rcond=1e-12)[0]
+    return weights.tolist(), centre[-1] - float(weights @ centre[:-1])
+
+
 def fit_linear_regression(train: DataFrame, series: Sequence[str] = ()) -> Model:
     """Least squares on nine numbers and one-hot weekday and month.
 
     Several series are fitted as one pooled model with the series one-hot, never one fit per
     series.  Rows with a missing number are not fitted on, and their prediction is NULL.
     """
-    estimator = LinearRegression(
-        featuresCol="_features", labelCol="_target", predictionCol="prediction", maxIter=500, tol=1e-10
-    )
-    return _fit(estimator, train, series)
+    design = _design(train.dropna(subset=[*NUMERIC_FEATURES, "order_count"]))
+    encoding = Pipeline(stages=_encoding(series)).fit(design)
+    features_as_array = vector_to_array("_features").alias("_features")
+    weights, constant = least_squares(encoding.transform(design).select(features_as_array, "_target"))
+    drop = _DESIGN_COLUMNS + [f"{c}_{part}" for c in series for part in ("index", "flags")] + ["_weights"]
+
+    def predict(features: DataFrame) -> DataFrame:
+        coded = encoding.transform(_design(features)).withColumn("_features", vector_to_array("_features"))
+        weighted = coded.withColumn("_weights", F.lit(weights).cast("array<double>"))
+        products = "zip_with(_features, _weights, (x, w) -> x * w)"
+        sums = F.expr(f"aggregate({products}, double({constant!r}), (a, x) -> a + x)")
+        return weighted.withColumn("prediction", F.nullif(sums, F.lit(float("nan")))).drop(*drop)
+
+    return predict
 
 
 def fit_random_forest(

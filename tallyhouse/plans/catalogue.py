@@ -140,6 +140,20 @@ def row_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.selectExpr("l_orderkey", "l_linenumber", f"{row_hash(lines.columns)} as record_hash")
 
 
+def batch_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of the lines; the later one has shipped lines closed, returned ones gone and new ones added."""
+    lines = bindings.read_table(spark, sf_dir, "lineitem")
+    earlier = lines.where("l_shipdate < timestamp_ntz '2001-01-01 00:00:00'")
+    later = lines.where("l_returnflag <> 'R'").withColumn("l_linestatus", F.expr("if(l_returnflag = 'A', 'F', l_linestatus)"))
+    loads = []
+    for batch_id, rows in (("batch-1", earlier), ("batch-2", later)):
+        path = new_folder(spark, batch_id)
+        stamped = csv_tables.with_load_metadata(rows, batch_id, datetime(2024, 1, 1), F.lit("lineitem.csv"))
+        tables.replace_table(stamped, path)
+        loads.append(spark.read.parquet(path))
+    return csv_tables.changed_rows(*loads, ["l_orderkey", "l_linenumber"])
+
+
 def replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = bindings.warehouse(spark, sf_dir)
     path = new_folder(spark, "replaced")
@@ -220,6 +234,7 @@ register("s2_missing_sources", source_report)
 register("s1_load_all", load_all)
 register("s3_load_metadata", load_metadata)
 register("s4_row_hash", row_hashes)
+register("s4_batch_changes", batch_changes)
 register("s5_replace_table", replaced_table)
 register("s6_seed_scan", seed_scan)
 register("s6_load_all_seeds", load_all_seeds)
@@ -302,6 +317,7 @@ on_warehouse(
 )
 on_warehouse("g4_median", lambda w: grouped_percentiles(w.stg_orders, ["channel"], "preparation_minutes", {"median": 0.5}))
 on_warehouse("g5_percentile_cont", lambda w: grouped_percentiles(w.stg_orders, ["channel"], "preparation_minutes", {"p90": 0.9}))
+on_warehouse("g6_distinct_pairs", lambda w: marts.affected_pairs(w.stg_recipes, w.stg_menu_items))
 on_warehouse("g6_distinct_names", lambda w: marts.affected_items(w.stg_recipes, w.stg_menu_items))
 on_warehouse(
     "g7_weighted_mean",
@@ -638,6 +654,19 @@ def _predictions(w: Warehouse, fit: Callable) -> DataFrame:
     return fit(train)(test).select("business_date", "order_count", "prediction")
 
 
+def normal_equations(w: Warehouse) -> DataFrame:
+    """Per column, its products with the fitted values, summed over the rows fitted on.
+
+    Least squares makes these equal to the products with the actual values, which a statement can sum.
+    """
+    train, _ = _split(w)
+    values = [f"struct('{c}' as feature, double({c}) as value)" for c in forecasting.NUMERIC_FEATURES]
+    flags = [f"struct(concat('{c}=', {c}) as feature, 1D as value)" for c in forecasting.CATEGORICAL_FEATURES]
+    fitted = forecasting.fit_linear_regression(train)(train).dropna(subset=forecasting.NUMERIC_FEATURES)
+    products = fitted.selectExpr("prediction", f"inline(array({', '.join(values + flags)}))")
+    return aggregate(products, ["feature"], "count(*) as rows", "floor(sum(prediction * value) * 1000 + 0.5) / 1000D as product")
+
+
 def score_baselines(w: Warehouse) -> DataFrame:
     train, test = _split(w)
     return forecasting.score_models(forecasting.fit_models(train, names=BASELINES), test)
@@ -691,6 +720,7 @@ on_warehouse("x3_metrics", score_baselines)
 on_warehouse("x4_previous_week", lambda w: _predictions(w, lambda train: forecasting.previous_week_model))
 on_warehouse("x5_moving_average", lambda w: _predictions(w, lambda train: forecasting.moving_average_model))
 on_warehouse("x6_linear_regression", lambda w: _predictions(w, forecasting.fit_linear_regression))
+on_warehouse("x6_normal_equations", normal_equations)
 on_warehouse("x7_random_forest", lambda w: _predictions(w, lambda t: forecasting.fit_random_forest(t, trees=200)))
 on_warehouse("x8_model_scores", score_all)
 on_warehouse("x8_scores_by_channel", score_by_channel)

@@ -71,10 +71,19 @@ def test_linear_regression_equals_least_squares(spark):
     wanted = (_matrix(train_rows, days, months) - x.mean(0)) @ weights + y.mean()
     model = fc.fit_linear_regression(train)
     got = [r.prediction for r in model(train).orderBy("business_date").collect()]
-    assert got == pytest.approx(list(wanted), abs=0.05)
+    assert got == pytest.approx(list(wanted), abs=1e-6)
     assert model(test).where("prediction is null").count() == 0 and len(test_rows) == 20
 
 
+def test_least_squares_takes_the_shortest_of_equal_solutions(spark):
+    rows = [([float(i), float(i), 1.0], 4.0 * i + 3.0) for i in range(7)]
+    frame = spark.createDataFrame(rows, "_features array<double>, _target double")
+    weights, constant = fc.least_squares(frame.repartition(3))
+    assert weights == pytest.approx([2.0, 2.0, 0.0]) and constant == pytest.approx(3.0)
+    assert fc.least_squares(frame.limit(0)) == ([], 0.0)
+    assert fc.least_squares(frame.limit(1))[0] == pytest.approx([0.0, 0.0, 0.0])
+
+
 def test_a_row_with_a_missing_number_is_kept_with_a_null_prediction(spark, daily):
     features = fc.feature_frame(daily)
     model = fc.fit_linear_regression(features)
