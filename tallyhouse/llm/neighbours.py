@@ -199,10 +199,13 @@ def _nearest_of_shard(row: dict, queries: list[dict], k: int) -> Iterator[tuple[
 
 
 def search(index: DataFrame, queries: DataFrame, k: int = NEAREST) -> DataFrame:
-    """(query_id, rank, vec_id, score): each query's nearest of all shards of its dimension; ties go to the smaller id."""
+    """(query_id, rank, vec_id, score): each query's nearest of all shards of its dimension; ties go to the smaller id.
+
+    Queries are dealt to blocks by id and vector, so many queries of one vector are several blocks.
+    """
     rows = settle(usable(queries), "vector-queries")
     blocks = max(1, -(-rows.count() // BLOCK_QUERIES))
-    rows = rows.withColumn("query_key", F.xxhash64("embedding")).withColumn("block", F.expr(f"cast(pmod(query_key, {blocks}) as int)"))
+    rows = rows.withColumn("query_key", F.xxhash64("embedding")).withColumn("block", F.expr(f"cast(pmod(xxhash64(vec_id, query_key), {blocks}) as int)"))
     packed = rows.groupBy(F.size("embedding").alias("dim"), "block").agg(F.collect_list(F.struct("vec_id", "query_key", "embedding")).alias("queries"))
     shards = index.agg(F.max("shard")).first()[0]  # shards are numbered from 0
     spread = packed.select("*", F.explode(F.sequence(F.lit(0), F.lit(-1 if shards is None else int(shards)))).alias("shard")) if shards is not None else packed.withColumn("shard", F.lit(0))

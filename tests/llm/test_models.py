@@ -165,6 +165,39 @@ def test_recall(spark):
     assert hits / total >= 0.95
 
 
+@pytest.mark.parametrize("clustered", [False, True])
+def test_recall_over_merged_shards(spark, table, monkeypatch, clustered):
+    find_package(spark)
+    monkeypatch.setattr(neighbours, "SHARD_NODES", 500)
+    monkeypatch.setattr(neighbours, "BLOCK_QUERIES", 8)
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(12, 24)) * (4 if clustered else 0)
+    points = centres[rng.integers(0, 12, 2000)] + rng.normal(size=(2000, 24))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(points.astype(np.float32))]
+    frame = table(rows, "vec_id long, embedding array<float>")
+    index = neighbours.build_index(frame)
+    assert index.select("shard").distinct().count() == 4 and index.agg({"n": "sum"}).first()[0] == 2000
+    got = {}
+    for r in neighbours.search(index, frame.where("vec_id % 100 = 0")).collect():
+        got.setdefault(r.query_id, {})[r.vec_id] = r["rank"]
+    assert sorted(got) == list(range(0, 2000, 100)) and all(sorted(m.values()) == list(range(1, 11)) for m in got.values())
+    hits = sum(len({j for _, j in nearest(rows, rows[q][1], q)} & set(m)) for q, m in got.items())
+    assert hits / 200 >= 0.95
+
+
+def test_queries_of_one_vector_are_several_blocks(spark, table, monkeypatch):
+    find_package(spark)
+    monkeypatch.setattr(neighbours, "BLOCK_QUERIES", 4)
+    rows = [(100 * k, [1.0, 2.0]) for k in range(40)] + [(k, [1.0, 2.0 + k]) for k in range(1, 20)]
+    frame = table(rows, "vec_id long, embedding array<float>")
+    got = {}
+    for r in neighbours.nearest_neighbours(frame).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    copies = [100 * k for k in range(11)]
+    for q in (100 * k for k in range(40)):
+        assert [(i, s) for _, i, s in sorted(got[q])] == [(i, 0.0) for i in [c for c in copies if c != q][:10]]
+
+
 def test_neighbours_of_odd_rows(spark, table):
     find_package(spark)
     nan = float("nan")
