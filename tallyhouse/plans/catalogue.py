@@ -22,7 +22,7 @@ from tallyhouse.plans.present import present
 from tallyhouse.plans.warehouse import MARTS, StoredWarehouse, Warehouse
 from tallyhouse.sources import csv_tables, tables
 from tallyhouse.sources.channels import channel_reference
-from tallyhouse.sources.workdir import new_folder, settle
+from tallyhouse.sources.workdir import new_folder, remove, settle
 from tallyhouse.streaming import rollups
 from tallyhouse.streaming.board import LiveBoard, summary_message
 from tallyhouse.streaming.source import finish, split_by_contract, write_table
@@ -102,7 +102,8 @@ def _raw_columns(table: str) -> list[str]:
 def _as_csv(spark: SparkSession, rows: DataFrame, table: str) -> str:
     folder = new_folder(spark, f"csv-{table}")
     declared = StructType.fromDDL(schemas.RAW_SCHEMAS[table])
-    rows.select(*[F.col(f.name).cast(f.dataType) for f in declared]).write.option("header", True).csv(folder)
+    typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in declared])
+    typed.write.option("header", True).option("compression", "snappy").csv(folder)
     return folder
 
 
@@ -200,7 +201,9 @@ def _rows_of(tables_by_name: dict[str, DataFrame], *more: str) -> DataFrame:
 def load_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every raw table from its CSV, as one load."""
     raw, folder = bindings.raw_tables(spark, sf_dir), new_folder(spark, "raw")
-    csv_tables.load_raw_tables(spark, {t: _as_csv(spark, raw[t], t) for t in schemas.RAW_SCHEMAS}, folder)
+    sources = {t: _as_csv(spark, raw[t], t) for t in schemas.RAW_SCHEMAS}
+    csv_tables.load_raw_tables(spark, sources, folder)
+    remove(spark, *sources.values())  # the files are this query's own; the loaded tables hold every row of them
     loaded = {t: spark.read.parquet(f"{folder}/{t}").select("record_hash", "batch_id") for t in schemas.RAW_SCHEMAS}
     return _rows_of(loaded, "count(distinct record_hash) as hashes", "count(distinct batch_id) as batches")
 

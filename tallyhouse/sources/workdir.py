@@ -35,6 +35,13 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tallyhouse/{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Deletes folders that a job wrote for itself under the shared folder and has read."""
+    for path in paths:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def settle(frame: DataFrame, label: str) -> DataFrame:
     """Writes a frame to a parquet table in the shared folder and reads it back.  Eager.
 

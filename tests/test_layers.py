@@ -250,3 +250,18 @@ def test_pairs_of_names_are_distinct(table):
     items = table([("m1", "Tart"), ("m2", "Broth"), ("m3", "Tart")], "menu_item_id string, item_name string")
     assert sorted(map(tuple, marts.affected_pairs(recipes, items).collect())) == [("i1", "Broth"), ("i1", "Tart")]
     assert [tuple(r) for r in marts.affected_items(recipes, items).collect()] == [("i1", "Broth, Tart")]
+
+
+def test_a_load_of_all_tables_leaves_no_source_files_and_packs_hashes(spark, sf_dir):
+    """The sources that the query writes for itself go once loaded; 64 hexadecimal digits take little more than 32 bytes."""
+    from pathlib import Path
+
+    from tallyhouse.plans.catalogue import QUERIES
+
+    shared = Path(workdir.shared_folder(spark).removeprefix("file:"), "tallyhouse")
+    before = set(shared.glob("*"))
+    assert QUERIES["s1_load_all"](spark, sf_dir).count() == len(schemas.RAW_SCHEMAS)
+    added = set(shared.glob("*")) - before
+    assert not [p for p in added if p.name.startswith("csv-")]
+    (loaded,) = [p for p in added if p.name.startswith("raw-")]
+    assert all(p.name.endswith(".zstd.parquet") for p in loaded.glob("*/part-*"))
