@@ -6,7 +6,7 @@ folder of the tables and reads whole tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -770,17 +770,32 @@ def _raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bindings.order_events(spark.readStream.schema(schema).parquet(_event_files(sf_dir)))
 
 
-def _sliced_stream(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame], list]) -> None:
-    """Runs streams over the events as they arrive in two parts, restarting from the checkpoint.
+#: Events of a slice of the feed, about; a batch of a stream is held in Python by feed and share.
+SLICE_EVENTS = 1_000_000
+#: Files of a slice, so that several tasks read it.
+SLICE_FILES = 8
 
-    The parts meet at the middle of the events' times and are open to either side; an event without a time is in the first.
+
+def _slices(spark: SparkSession, sf_dir: str, least: int) -> Iterator[DataFrame]:
+    """The events in order of time and id, in as many parts as their number asks for; those without a time are in the first.
+
+    They are dealt to ranges once, and each part reads its own ranges only.
     """
-    events, folder = bindings.read_table(spark, sf_dir, "events"), new_folder(spark, "arrivals")
-    middle = events.agg(F.expr("timestampadd(microsecond, percentile_approx(timestampdiff(microsecond, timestamp_ntz '1970-01-01', ts), 0.5), timestamp_ntz '1970-01-01')").alias("m")).scalar()
-    later = F.coalesce(F.col("ts") >= middle, F.lit(False))
-    for part in (events.where(~later), events.where(later)):
+    events, folder = bindings.read_table(spark, sf_dir, "events"), new_folder(spark, "slices")
+    count = max(least, -(-events.count() // SLICE_EVENTS))
+    dealt = events.repartitionByRange(count * SLICE_FILES, "ts", "event_id")
+    dealt.withColumn("slice", F.expr(f"spark_partition_id() div {SLICE_FILES}")).write.partitionBy("slice").parquet(folder)
+    schema = StructType(events.schema.fields).add("slice", "integer")
+    for n in range(count):
+        yield spark.read.schema(schema).parquet(folder).where(F.col("slice") == n).drop("slice")
+
+
+def _sliced_stream(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame], list], least: int = 2) -> None:
+    """Runs streams over the events as they arrive in parts, in order of time, restarting from the checkpoint."""
+    schema, folder = bindings.read_table(spark, sf_dir, "events").schema, new_folder(spark, "arrivals")
+    for part in _slices(spark, sf_dir, least):
         part.write.mode("append").parquet(folder)
-        finish(*start(bindings.order_events(spark.readStream.schema(events.schema).parquet(folder))))
+        finish(*start(bindings.order_events(spark.readStream.schema(schema).parquet(folder))))
 
 
 def stream_contract(name: str) -> Query:
@@ -803,14 +818,20 @@ def stream_board(show: Callable[[LiveBoard], DataFrame]) -> Query:
 
 def stream_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2 on the stream: a tick a day behind the last event moves the clock past every window, which empties."""
-    board = LiveBoard(spark, new_folder(spark, "board"), timers=True)
-    events, arrivals, ticks = bindings.read_table(spark, sf_dir, "events"), new_folder(spark, "arrivals"), new_folder(spark, "ticks")
-    last = events.selectExpr("max(cast(ts as timestamp)) as timestamp")
-    events.write.parquet(arrivals)
-    for tick in (last, last.selectExpr("timestamp + interval 1 day as timestamp")):
-        tick.write.mode("append").parquet(ticks)
-        clock = spark.readStream.schema(tick.schema).parquet(ticks)
-        finish(board.start(bindings.order_events(spark.readStream.schema(events.schema).parquet(arrivals)), clock))
+    board, ticks, arrivals = LiveBoard(spark, new_folder(spark, "board"), timers=True), new_folder(spark, "ticks"), new_folder(spark, "arrivals")
+    events = bindings.read_table(spark, sf_dir, "events")
+    tick = events.selectExpr("max(cast(ts as timestamp)) + interval 1 day as timestamp")
+    tick.where("false").write.parquet(ticks)
+
+    def follow() -> None:
+        stream, clock = (spark.readStream.schema(s).parquet(f) for s, f in ((events.schema, arrivals), (tick.schema, ticks)))
+        finish(board.start(bindings.order_events(stream), clock))
+
+    for part in _slices(spark, sf_dir, 1):
+        part.write.mode("append").parquet(arrivals)
+        follow()
+    tick.write.mode("append").parquet(ticks)
+    follow()
     return board.latest().selectExpr("site", "timestamp", "window_minutes", "order_count", "total_revenue", "average_items_per_order", "bigint(size(orders_by_channel)) as channels")
 
 

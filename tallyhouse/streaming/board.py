@@ -25,6 +25,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
@@ -80,17 +82,20 @@ class FeedWindow(StatefulProcessor):
         late = asked["at"] < before - self.lateness if before is not None else pd.Series(False, index=asked.index)
         if (late & asked["own"]).any():
             yield self._out(key, asked[late & asked["own"]], "late")
-        asked = asked[~late].sort_values(["at", "event_id", "uid"], kind="stable")
+        asked = asked[~late]
         if asked.empty:
             return
-        fresh = asked[asked["own"]]
-        mine = self._together([self._held(self.window), fresh], [*self.columns, "uid"]).sort_values(["at", "event_id", "uid"], kind="stable")
-        yield self._out(key, asked, "order", self._sums(asked, mine))
+        # an event kept from an earlier batch has no uid and is ahead of new ones of its time and id
+        rolled = self._in_order(self._together([self._held(self.window).assign(own=True), asked], [*self.columns, "uid", "own"]))
+        new = (rolled["uid"] != "").to_numpy()
+        asked, mine = rolled[new], rolled[rolled["own"].to_numpy()]
+        yield self._out(key, asked, "order", self._sums(rolled, new, mine))
         newest = max(int(asked["at"].iloc[-1]), before if before is not None else -(1 << 62))
         self.latest.update((newest,))
+        fresh = asked[asked["own"]]
         if len(fresh):
-            last = self._together([self._held(self.last), fresh], self.columns)
-            self.last.put(self._rows(last.sort_values(["at", "event_id"], kind="stable").tail(self.history)))
+            last = self._together([self._held(self.last), fresh.tail(self.history)], [*self.columns, "uid"])
+            self.last.put(self._rows(self._in_order(last)[self.columns].tail(self.history)))
         # what a later event, late ones within the lateness too, may still reach
         open_ = mine[mine["at"] >= newest - self.reach - self.lateness]
         if len(open_):
@@ -119,23 +124,28 @@ class FeedWindow(StatefulProcessor):
     def _together(parts: list[pd.DataFrame], columns: list[str]) -> pd.DataFrame:
         """Rows of several frames, with whole numbers as such whatever nulls the frames were read with."""
         rows = pd.DataFrame({c: np.concatenate([p[c].to_numpy(object) for p in parts]) for c in columns})
+        for c in ("item_count", "revenue"):  # null where a sub-state is only asked
+            if c in columns:
+                rows[c] = rows[c].where(rows[c].notna(), 0)
         return rows.astype({c: k for c, k in (("at", "int64"), ("item_count", "int64"), ("revenue", "int64"), ("own", "bool")) if c in columns})
 
     def _rows(self, frame: pd.DataFrame) -> list[tuple]:
         return [tuple(v.item() if isinstance(v, np.generic) else v for v in row) for row in frame.itertuples(index=False, name=None)]
 
-    def _sums(self, asked: pd.DataFrame, mine: pd.DataFrame) -> pd.DataFrame:
-        """Of each asked event the sums of the own events from the window's opening up to itself, in order of time and id."""
-        order = self._together([mine.assign(kind=0), asked.assign(kind=1)], ["at", "event_id", "uid", "kind"])
-        # an event kept from an earlier batch has no uid and is ahead of new ones of its time and id
-        order = order.sort_values(["at", "event_id", "uid", "kind"], kind="stable")
-        before = np.cumsum(order["kind"].to_numpy() == 0)
-        upto = before[order["kind"].to_numpy() == 1]  # asked events are in this order already
-        opening = np.searchsorted(mine["at"].to_numpy(), asked["at"].to_numpy() - self.reach, "left")
+    @staticmethod
+    def _in_order(rows: pd.DataFrame) -> pd.DataFrame:
+        """Rows by time, id and uid; Arrow compares the strings, which as Python objects take most of a batch's time."""
+        keys = pa.table({c: pa.array(rows[c].to_numpy(), pa.int64() if c == "at" else pa.string()) for c in ("at", "event_id", "uid")})
+        return rows.iloc[pc.sort_indices(keys, [(c, "ascending") for c in keys.column_names]).to_numpy()]
+
+    def _sums(self, rolled: pd.DataFrame, new: np.ndarray, mine: pd.DataFrame) -> pd.DataFrame:
+        """Of each new event the sums of the own events from the window's opening up to itself, in order of time and id."""
+        upto = np.cumsum(rolled["own"].to_numpy())[new]
+        opening = np.searchsorted(mine["at"].to_numpy(), rolled["at"].to_numpy()[new] - self.reach, "left")
         values = {"n": np.ones(len(mine), np.int64), "revenue": mine["revenue"].to_numpy(np.int64), "items": mine["item_count"].to_numpy(np.int64)}
         values |= {f"n_{c}": (mine["channel"] == c).to_numpy(np.int64) for c in CHANNELS}
         total = {k: np.concatenate([[0], np.cumsum(v)]) for k, v in values.items()}
-        return pd.DataFrame({k: total[k][upto] - total[k][np.minimum(opening, upto)] for k in SUMS}, index=asked.index)
+        return pd.DataFrame({k: total[k][upto] - total[k][np.minimum(opening, upto)] for k in SUMS})
 
     def _out(self, key, events: pd.DataFrame, kind: str, sums: pd.DataFrame | None = None) -> pd.DataFrame:
         out = pd.DataFrame({"kind": kind, "uid": events["uid"]})
@@ -208,6 +218,8 @@ class LiveBoard:
             rows = rows.unionByName(ticks.select("timestamp"), allowMissingColumns=True)
         own = f"pmod(xxhash64(uid), {SHARES}) = share"
         rows = rows.withColumn("share", F.expr(f"explode(sequence(0, {SHARES - 1}))")).withColumn("own", F.expr(own))
+        # a sub-state that is only asked needs the event's time and names
+        rows = rows.withColumns({c: F.expr(f"if(own, {c}, null)") for c in kept if c not in ("at", "event_id")})
         if self.timers:
             rows = rows.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withWatermark("timestamp", f"{round(self.lateness_minutes * 60)} seconds")
         schema = ", ".join(

@@ -200,3 +200,22 @@ def test_a_reader_sees_whole_versions(spark, table, tmp_path):
     assert sorted(map(tuple, kept.read(below=1).collect())) == [(1, 10), (2, 10)]
     kept.write(table([(3, 12)], "k int, v int"), 2)
     assert not (tmp_path / "latest" / "version=0").exists() and (tmp_path / "latest" / "version=1").exists()
+
+
+def test_a_batch_of_the_stream_holds_a_slice_of_the_events(spark, sf_dir, monkeypatch):
+    """Three slices of the 1,000 events, in order of time, give the rows that the statement gives."""
+    from pathlib import Path
+
+    from compare import differences, duck
+
+    import __spark_entry__ as entry
+    from tallyhouse.plans import catalogue
+    from tallyhouse.sources import workdir
+
+    monkeypatch.setattr(catalogue, "SLICE_EVENTS", 400)
+    shared = Path(workdir.shared_folder(spark).removeprefix("file:"), "tallyhouse")
+    name, before = "r2_stream_idle", set(shared.glob("board-*"))
+    assert differences(catalogue.QUERIES[name](spark, sf_dir), duck(sf_dir), entry.oracle_sql()[name]) is None
+    (board,) = set(shared.glob("board-*")) - before
+    sizes = [spark.read.parquet(str(p)).where("kind = 'order'").select("uid").distinct().count() for p in board.glob("answers/batch=*")]
+    assert len([n for n in sizes if n]) == 3 and max(sizes) < 700
