@@ -6,31 +6,46 @@ from pyspark.sql import DataFrame
 
 from tallyhouse.functions import aggregate, divided, select
 from tallyhouse.operators.keys import attach
+from tallyhouse.sources.workdir import settle, task_count, tasks_for
 
 # A line counts as sold when it was served and its order was not cancelled.
 SERVED = "item_status = 'Fulfilled'"
 KEPT = "status <> 'Cancelled'"
+# Rows of item-days times recipe lines that one task makes or sums.
+EXPLODED_PER_TASK = 1_000_000
 
 
-def ingredient_consumption(orders: DataFrame, lines: DataFrame, recipes: DataFrame) -> DataFrame:
+def ingredient_consumption(
+    orders: DataFrame, lines: DataFrame, recipes: DataFrame, exploded_per_task: int = EXPLODED_PER_TASK
+) -> DataFrame:
     """A1: ingredient quantity used per date, from fulfilled lines of orders not cancelled.
 
     Lines are summed per date and item *before* the recipe join, so the bill of materials
     multiplies item-days, not lines.  The line count travels along to keep the mean wastage a
     mean over lines.
+
+    Both sides of that join are written (eager).  It makes many rows of few bytes, which no size of its input tells, so
+    they are counted per item beforehand and the join and the sums behind it get partitions by that count.
     """
-    sold = aggregate(
-        select(lines.where(SERVED), "order_id, menu_item_id, quantity").join(
-            select(orders.where(KEPT), "order_id, business_date"), "order_id"
-        ),
-        ["business_date", "menu_item_id"],
-        "sum(quantity) as quantity",
-        "count(*) as line_count",
-    )
-    bill = select(recipes, "menu_item_id, ingredient_id, quantity_required, estimated_wastage_pct")
+    spark = lines.sparkSession
+    with tasks_for(spark, lines.count()):
+        sold = settle(aggregate(
+            select(lines.where(SERVED), "order_id, menu_item_id, quantity").join(
+                select(orders.where(KEPT), "order_id, business_date"), "order_id"
+            ),
+            ["business_date", "menu_item_id"],
+            "sum(quantity) as quantity",
+            "count(*) as line_count",
+        ), "sold")
+        bill = settle(select(recipes, "menu_item_id, ingredient_id, quantity_required, estimated_wastage_pct"), "bill")
+        days, uses = (aggregate(side, ["menu_item_id"], f"count(*) as {n}") for side, n in ((sold, "days"), (bill, "uses")))
+        exploded = aggregate(days.join(uses, "menu_item_id"), [], "sum(days * uses)").first()[0] or 0
+    result = ["business_date", "ingredient_id"]
+    count = task_count(spark, exploded, exploded_per_task)
+    used = sold.repartition(count, "menu_item_id").join(bill.repartition(count, "menu_item_id"), "menu_item_id")
     return aggregate(
-        sold.join(bill, "menu_item_id"),
-        ["business_date", "ingredient_id"],
+        used.repartition(count, *result),
+        result,
         "sum(quantity * quantity_required) as ingredient_quantity",
         f"{divided('sum(estimated_wastage_pct * line_count)', 'sum(line_count)')} as estimated_wastage_pct",
     )

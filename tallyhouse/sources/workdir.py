@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+# Rows of a shuffle that one task may hold, and the bytes of a file or of a shuffle that a task reads.
+ROWS_PER_TASK = 500_000
+TASK_BYTES = {"spark.sql.files.maxPartitionBytes": 16 << 20, "spark.sql.adaptive.advisoryPartitionSizeInBytes": 8 << 20}
+PARTITIONS_SETTING = "spark.sql.shuffle.partitions"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -51,3 +57,32 @@ def settle(frame: DataFrame, label: str) -> DataFrame:
     path = new_folder(frame.sparkSession, label)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def task_count(spark: SparkSession, rows: int, each: int = ROWS_PER_TASK) -> int:
+    """Partitions for so many rows: one per ``each``, and one per core at least."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // each))
+
+
+@contextmanager
+def tasks_for(spark: SparkSession, rows: int, each: int = ROWS_PER_TASK) -> Iterator[None]:
+    """What is written inside is cut into tasks by its size, so the memory of a task does not grow with the table.
+
+    A session's number of shuffle partitions is fixed, so the hash maps and sorts of a task grow with the input.  Inside,
+    the largest shuffle, of ``rows``, has a partition per ``each``, and files are read in small splits, for the map-side
+    sums; adaptive execution merges the small partitions of other shuffles.  The session's own settings return behind it, so
+    only eager work (``settle``, ``replace_table``) feels it.  A table that one task may hold is left to them.
+    """
+    if rows <= each:
+        yield
+        return
+    to_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    before = {name: spark.conf.get(name) for name in (PARTITIONS_SETTING, *TASK_BYTES)}
+    spark.conf.set(PARTITIONS_SETTING, str(max(int(before[PARTITIONS_SETTING]), task_count(spark, rows, each))))
+    for name, most in TASK_BYTES.items():
+        spark.conf.set(name, str(min(most, to_bytes(before[name]))))
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

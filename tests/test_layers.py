@@ -104,6 +104,29 @@ def test_consumption_matches_recipe_usage(table):
     assert [(r.ingredient_id, r.ingredient_quantity, r.estimated_wastage_pct) for r in row] == [("rice", 2.5, 0.1)]
 
 
+def test_consumption_gets_partitions_by_the_rows_the_recipes_make(table):
+    orders = table([(str(i), date(2026, 7, 1 + i % 20), "Completed") for i in range(60)], "order_id string, business_date date, status string")
+    lines = table([(str(i), f"M{i % 3}", 1, "Fulfilled") for i in range(60)], "order_id string, menu_item_id string, quantity int, item_status string")
+    recipes = table(
+        [(f"M{m}", f"I{i}", 0.5, 0.0) for m in range(3) for i in range(40)],
+        "menu_item_id string, ingredient_id string, quantity_required double, estimated_wastage_pct double",
+    )
+    used = derivations.ingredient_consumption(orders, lines, recipes, exploded_per_task=100)
+    assert used.rdd.getNumPartitions() == 60 * 40 // 100
+    assert used.count() == 20 * 40 and {r.ingredient_quantity for r in used.collect()} == {1.5}
+
+
+def test_tasks_follow_the_rows_and_settings_return(spark):
+    names = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    before = [spark.conf.get(n) for n in names]
+    with workdir.tasks_for(spark, 1000):
+        assert [spark.conf.get(n) for n in names] == before
+    with pytest.raises(ZeroDivisionError), workdir.tasks_for(spark, 100 * workdir.ROWS_PER_TASK + 1):
+        assert [spark.conf.get(n) for n in names] == ["101", str(16 << 20), str(8 << 20)]
+        raise ZeroDivisionError
+    assert [spark.conf.get(n) for n in names] == before
+
+
 def test_report_counts_all_and_shows_five(table):
     rows = table([(f"O{i:02d}", i) for i in range(20)], "order_id string, x int")
     found = quality.report("t", quality.failures(rows, "order_id", {"big": "x >= 3", "none": "x < 0", "unknown": "null"}))
