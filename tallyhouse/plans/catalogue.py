@@ -22,7 +22,7 @@ from tallyhouse.plans.present import present
 from tallyhouse.plans.warehouse import MARTS, StoredWarehouse, Warehouse
 from tallyhouse.sources import csv_tables, tables
 from tallyhouse.sources.channels import channel_reference
-from tallyhouse.sources.workdir import new_folder, remove, settle
+from tallyhouse.sources.workdir import new_folder, remove, settle, tasks_for
 from tallyhouse.streaming import rollups
 from tallyhouse.streaming.board import LiveBoard, summary_message
 from tallyhouse.streaming.source import finish, split_by_contract, write_table
@@ -39,6 +39,12 @@ def on_warehouse(name: str, build: Callable[[Warehouse], DataFrame]) -> None:
     register(name, lambda spark, sf_dir: build(bindings.warehouse(spark, sf_dir)))
 
 
+def sized(w: Warehouse, build: Callable[[], DataFrame], label: str) -> DataFrame:
+    """A result written (eager) by tasks that the raw tables' rows cut, so that no task grows with them."""
+    with tasks_for(w.spark, w.most_rows):
+        return settle(build(), label)
+
+
 def on_feed(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
     """Queries over the valid events of the live feed."""
     register(name, lambda spark, sf_dir: build(history.valid_events(bindings.feed(spark, sf_dir))))
@@ -564,7 +570,10 @@ on_warehouse(
     lambda w: quality.unaccepted_values(w.dim_employee, "department", schemas.DEPARTMENTS),
 )
 on_warehouse(
-    "v11_review_orders", lambda w: quality.broken_references(w.fact_reviews, "order_id", w.stg_orders, "order_id")
+    "v11_review_orders",
+    lambda w: sized(
+        w, lambda: quality.broken_references(w.fact_reviews, "order_id", w.stg_orders, "order_id"), "broken-references"
+    ),
 )
 on_warehouse(
     "v11_order_channels", lambda w: quality.broken_references(w.stg_orders, "channel", w.dim_channel, "channel")
@@ -590,10 +599,10 @@ on_warehouse(
 )
 on_warehouse(
     "v11_declared_references",
-    lambda w: _per_column({
+    lambda w: sized(w, lambda: _per_column({
         (t, c): quality.broken_references(getattr(w, t), c, getattr(w, parent), c)
         for (t, c), parent in schemas.DECLARED_REFERENCES.items()
-    }),
+    }), "broken-references"),
 )
 on_warehouse("v12_negative_balance", lambda w: quality.negative_balances(w.fact_inventory_movements))
 on_warehouse("v12_quantity", lambda w: quality.nonpositive_quantities(w.stg_order_items))

@@ -23,6 +23,8 @@ FACTS = (
     "fact_reviews",
     "fact_inventory_movements",
 )
+# Raw tables with a row per event; the others describe what these refer to.
+EVENT_TABLES = ("orders", "order_items", "reviews", "employee_shifts", "inventory_movements")
 MARTS = (
     "mart_daily_performance",
     "mart_menu_engineering",
@@ -41,6 +43,11 @@ class Warehouse:
         self.spark = spark
         self.raw = raw
 
+    @cached_property
+    def most_rows(self) -> int:
+        """Rows of the largest raw table that grows with the business; counted from file footers where a table is a projection."""
+        return max(self.raw[name].count() for name in EVENT_TABLES if name in self.raw)
+
     # staging
 
     @cached_property

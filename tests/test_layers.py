@@ -127,6 +127,18 @@ def test_tasks_follow_the_rows_and_settings_return(spark):
     assert [spark.conf.get(n) for n in names] == before
 
 
+@pytest.mark.parametrize("name", ["v11_declared_references", "v11_review_orders"])
+def test_references_are_checked_in_tasks_cut_by_rows(spark, sf_dir, monkeypatch, name):
+    from tallyhouse.plans import catalogue
+
+    asked = []
+    monkeypatch.setattr(catalogue, "tasks_for", lambda spark, rows: asked.append(rows) or workdir.tasks_for(spark, rows, 1000))
+    sized = catalogue.QUERIES[name](spark, sf_dir)
+    assert asked == [spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()]
+    monkeypatch.undo()
+    assert sorted(sized.collect()) == sorted(catalogue.QUERIES[name](spark, sf_dir).collect())
+
+
 def test_report_counts_all_and_shows_five(table):
     rows = table([(f"O{i:02d}", i) for i in range(20)], "order_id string, x int")
     found = quality.report("t", quality.failures(rows, "order_id", {"big": "x >= 3", "none": "x < 0", "unknown": "null"}))
