@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyhouse.operators import dimensions, facts, intermediate, marts, staging
 from tallyhouse.sources import tables
 from tallyhouse.sources.channels import channel_reference
+from tallyhouse.sources.workdir import tasks_for
 
 DIMENSIONS = ("dim_date", "dim_menu_item", "dim_ingredient", "dim_employee", "dim_supplier", "dim_channel")
 FACTS = (
@@ -46,7 +47,7 @@ class Warehouse:
     @cached_property
     def most_rows(self) -> int:
         """Rows of the largest raw table that grows with the business; counted from file footers where a table is a projection."""
-        return max(self.raw[name].count() for name in EVENT_TABLES if name in self.raw)
+        return max((self.raw[name].count() for name in EVENT_TABLES if name in self.raw), default=0)
 
     # staging
 
@@ -217,15 +218,16 @@ class Warehouse:
         """Writes the named layers under a folder; facts are laid out by business date.
 
         Later layers read a stored fact back instead of computing it again.  Returns rows per
-        table.
+        table.  Tasks are cut by the rows of the largest raw table.
         """
         counts = {}
-        for name in names:
-            frame = getattr(self, name)
-            layout = ("business_date", frame.columns[0]) if name in FACTS else ()
-            counts[name] = tables.replace_table(frame, f"{folder}/{name}", layout)
-            if name in FACTS:
-                self.__dict__[name] = tables.read_table(self.spark, f"{folder}/{name}", frame.schema)
+        with tasks_for(self.spark, self.most_rows):
+            for name in names:
+                frame = getattr(self, name)
+                layout = ("business_date", frame.columns[0]) if name in FACTS else ()
+                counts[name] = tables.replace_table(frame, f"{folder}/{name}", layout)
+                if name in FACTS:
+                    self.__dict__[name] = tables.read_table(self.spark, f"{folder}/{name}", frame.schema)
         return counts
 
 

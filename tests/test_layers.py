@@ -10,7 +10,7 @@ from tallyhouse import schemas
 from tallyhouse.operators import calendar, derivations, dimensions, drilldowns, intermediate, marts, quality, staging
 from tallyhouse.plans import bindings
 from tallyhouse.plans.warehouse import MARTS, StoredWarehouse
-from tallyhouse.sources import csv_tables, workdir
+from tallyhouse.sources import csv_tables, tables, workdir
 
 
 def test_food_cost_of_one_recipe_line(table):
@@ -265,6 +265,18 @@ def test_stored_facts_skip_files_by_date(spark, sf_dir, tmp_path):
     assert all(before[1] <= after[0] for before, after in zip(ordered, ordered[1:], strict=False))
 
 
+def test_a_busy_date_is_dealt_by_id_and_the_rows_are_made_once(table):
+    rows = [(str(i), date(2026, 7, 1 + max(0, i - 900) // 10) if i % 50 else None) for i in range(1200)]
+    frame = table(rows, "id string, d date")
+    dealt = tables.laid_out(frame, "d", "id", each=100)
+    parts = [p for p in dealt.rdd.glom().collect() if p]
+    assert sorted(map(tuple, dealt.collect()), key=str) == sorted(rows, key=str)
+    assert len(parts) >= 10 and max(map(len, parts)) <= 300
+    assert all(p == sorted(p, key=lambda r: (r.d is not None, r.d or date.min, r.id)) for p in parts)
+    plan = _plan(dealt)
+    assert "RangePartitioning" not in plan and "rangepartitioning" not in plan
+
+
 def test_schemas_cover_every_bound(spark):
     for name, bounds in schemas.FIELD_BOUNDS.items():
         ddl = schemas.RAW_SCHEMAS[name]
