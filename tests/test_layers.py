@@ -277,6 +277,17 @@ def test_a_busy_date_is_dealt_by_id_and_the_rows_are_made_once(table):
     assert "RangePartitioning" not in plan and "rangepartitioning" not in plan
 
 
+def test_all_checks_write_in_tasks_cut_by_rows(spark, sf_dir, monkeypatch):
+    from tallyhouse.plans import catalogue
+
+    asked = []
+    monkeypatch.setattr(quality, "tasks_for", lambda spark, rows: asked.append(rows) or workdir.tasks_for(spark, rows, 1000))
+    sized = catalogue.QUERIES["v8_all_checks"](spark, sf_dir).collect()
+    assert asked == [spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()]
+    monkeypatch.undo()
+    assert sorted(sized) == sorted(catalogue.QUERIES["v8_all_checks"](spark, sf_dir).collect())
+
+
 def test_schemas_cover_every_bound(spark):
     for name, bounds in schemas.FIELD_BOUNDS.items():
         ddl = schemas.RAW_SCHEMAS[name]
