@@ -13,11 +13,14 @@ are as many as partitions, and a running sum within a part.
 from __future__ import annotations
 
 import os
+import re
+import string
 import struct
 import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -120,26 +123,31 @@ class WordCoder:
     """Ids of whole texts by the tokenizers library, asked once per distinct word between ASCII white space.
 
     The vocabulary's normaliser and pattern treat white space as a separator, so the ids of a text are those of its chunks.
-    A final full stop or comma behind an ASCII letter is a word of its own, and ASCII letters have one case, so such chunks
-    share their ids with the plain word.  Arrow cuts a batch into chunks and finds the distinct words; their ids lie one
-    behind the other in one array, from which numpy gathers those of every text.  Unseen words go to the library together, a
-    digit between them to find their ends (digits are words of their own too); texts that may hold a special token's string
-    go to it whole.
+    Chunks of ASCII and Latin-1 letters are in normal form and share the ids of their lower case; ASCII punctuation at a
+    chunk's end, behind such a letter, is a word of its own, so the chunk shares the rest with the plain word.  Arrow cuts a
+    batch into chunks and finds the distinct words; their ids lie one behind the other in one array, from which numpy gathers
+    those of every text.  Unseen words go to the library together.  Words of letters end where an id of the vocabulary's
+    final pieces is, if there are as many as words; others have a digit between them to find their ends (digits are words of
+    their own too).  Texts that may hold a special token's string go to it whole.
     """
 
-    MARK = "0"
-    TAILS = (".", ",")
+    MARK, FINAL = "0", "</w>"
+    LETTERS, PUNCTUATION = "A-Za-zÀ-ÖØ-öø-ÿ", string.punctuation
+    PLAIN = rf"^[\x00-\x7f{LETTERS}]*$"
+    TAIL = rf"(?P<tail>[{re.escape(PUNCTUATION)}]+)$"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         self.library = Tokenizer.from_file(path)
         self.mark_id = int(self._ids(self.MARK)[0])
+        vocabulary = self.library.get_vocab()
+        self.final = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.final[[i for piece, i in vocabulary.items() if piece.endswith(self.FINAL)]] = True
         self._restart()
 
     def _restart(self) -> None:
         self.codes: dict[str, int] = {"": 0}
         self.ends, self.ids = array("q", [0, 0]), array("I")
-        self._learn(list(self.TAILS))
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
@@ -150,8 +158,16 @@ class WordCoder:
         self.ends.frombytes((ends + len(self.ids)).astype(np.int64).tobytes())
         self.ids.frombytes(ids.astype(np.uint32).tobytes())
 
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if self.MARK not in w]
+    def _learn(self, words: list[str]) -> list[int]:
+        letters, plain = [w for w in words if w.isalpha()], [w for w in words if not w.isalpha() and self.MARK not in w]
+        for k in range(0, len(letters), TOGETHER):
+            block = letters[k : k + TOGETHER]
+            coded = self._ids(" ".join(block))
+            ends = np.flatnonzero(self.final[coded]) + 1
+            if len(ends) == len(block):
+                self._remember(block, coded, ends)
+            else:
+                plain += block
         for k in range(0, len(plain), TOGETHER):
             block = plain[k : k + TOGETHER]
             coded = self._ids(f" {self.MARK} ".join(block))
@@ -161,22 +177,31 @@ class WordCoder:
             if self.MARK in word:
                 ids = self._ids(word)
                 self._remember([word], ids, np.array([len(ids)]))
+        return [self.codes[w] for w in words]
+
+    def _codes(self, words: pa.Array) -> np.ndarray:
+        """The code of each word; unseen ones are learned."""
+        encoded = words.dictionary_encode()
+        names = encoded.dictionary.to_numpy(zero_copy_only=False)
+        codes = np.fromiter(map(self.codes.get, names, repeat(-1)), np.int64, len(names))
+        unseen = np.flatnonzero(codes < 0)
+        codes[unseen] = self._learn(names[unseen].tolist())
+        return codes[encoded.indices.to_numpy()]
 
     def _words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Two codes a chunk, of the word and of the full stop or comma behind it, and the bounds of each text's chunks."""
+        """Two codes a chunk, of the word and of the punctuation behind it, and the bounds of each text's chunks."""
         cut = pc.ascii_split_whitespace(texts)
         chunks = cut.flatten().dictionary_encode()
         distinct = chunks.dictionary
-        distinct = pc.if_else(pc.string_is_ascii(distinct), pc.ascii_lower(distinct), distinct)
-        tailed = [pc.match_substring_regex(distinct, f"[A-Za-z][{t}]$") for t in self.TAILS]
-        words = pc.if_else(pc.or_(*tailed), pc.utf8_slice_codeunits(distinct, 0, -1), distinct).dictionary_encode()
-        names = words.dictionary.to_pylist()
-        self._learn([w for w in names if w not in self.codes])
-        codes = np.fromiter(map(self.codes.__getitem__, names), np.int64, len(names))[words.indices.to_numpy()]
-        tails = sum(np.where(t.to_numpy(zero_copy_only=False), self.codes[c], 0) for t, c in zip(tailed, self.TAILS, strict=True))
+        distinct = pc.if_else(pc.match_substring_regex(distinct, self.PLAIN), pc.utf8_lower(distinct), distinct)
+        tailed = pc.match_substring_regex(distinct, f"[{self.LETTERS}]{self.TAIL}")
+        tails = pc.struct_field(pc.extract_regex(distinct.filter(tailed), self.TAIL), "tail")
+        codes = np.zeros((len(distinct), 2), np.int64)
+        codes[:, 0] = self._codes(pc.if_else(tailed, pc.utf8_rtrim(distinct, self.PUNCTUATION), distinct))
+        codes[tailed.to_numpy(zero_copy_only=False), 1] = self._codes(tails)
         at = chunks.indices.to_numpy()
         bounds = cut.offsets.to_numpy().astype(np.int64)
-        return np.stack([codes, tails], axis=1)[at].ravel(), 2 * (bounds - bounds[0])
+        return codes[at].ravel(), 2 * (bounds - bounds[0])
 
     def encode(self, texts: list[bytes], end_id: int) -> list[bytes]:
         """Packed little-endian 32-bit ids of each text, with the end id."""

@@ -79,6 +79,20 @@ def test_words_equal_the_library():
         assert np.frombuffer(packed, "<u4").tolist() == [*lib.encode(s, add_special_tokens=False).ids, 2], repr(s)
 
 
+def test_letters_and_tails_equal_the_library():
+    coder, lib = token_files.WordCoder(WORDS), Tokenizer.from_file(WORDS)
+    r, odd = random.Random(4), "aÀéßÿµª×÷Ÿ'srel\u0301ΣſKİ.,!*$-_\"~^0 "
+    texts = ["".join(r.choice(odd) for _ in range(r.randint(1, 9))) for _ in range(4000)]
+    for s, packed in zip(texts, coder.encode([s.encode() for s in texts], 2), strict=True):
+        assert np.frombuffer(packed, "<u4").tolist() == [*lib.encode(s, add_special_tokens=False).ids, 2], repr(s)
+
+
+def test_words_that_differ_in_case_or_tail_are_asked_once():
+    coder = token_files.WordCoder(WORDS)
+    coder.encode(["Élève*** élève!! ÉLÈVE (élève".encode(), "ÉLÈVE*** word!! WORD***".encode()], 2)
+    assert sorted(coder.codes) == sorted(["", "élève", "(élève", "word", "***", "!!"])
+
+
 @pytest.mark.parametrize("top", [1, 3, 300, 70_000, 1 << 32])
 def test_codes_give_every_id_back(top):
     values = np.random.default_rng(0).integers(0, top, 3000).astype(np.uint32)
