@@ -4,7 +4,8 @@ Equal vectors are one node that knows its smallest ids (as many as a result can
 neighbourhood.  Nodes are dealt to shards of bounded size by a hash; each shard's graph is built in one task and stored as flat
 arrays: vectors, member ids, and per layer the nodes and a rectangle of neighbour numbers.  The stated queries are packed into
 blocks; every block meets every shard of its dimension, the shard's best are scored in double precision, and the shards'
-results are merged per query.
+results are merged per query.  A task holds a group of shards and the blocks stream past them, so a block is sent to each group
+and not to each shard, nothing is joined or broadcast, and a group answers with one merged list per query.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from tallyhouse.sources.workdir import settle
 NEAREST = 10
 #: Mean nodes of a shard and queries of a block.
 SHARD_NODES, BLOCK_QUERIES = 4096, 1024
+#: Shards that a task of a search may hold (some 3 MB each for 64 dimensions), and tasks of a search for each core, where there are shards and blocks for them.
+SHARDS_TOGETHER, TASKS_PER_CORE = 32, 3
 #: Links of a node (twice as many on the ground layer), candidates kept while building and while searching.
 LINKS, BUILD_WIDTH, SEARCH_WIDTH = 16, 80, 120
 SEED = 20
@@ -182,18 +185,32 @@ def build_index(embeddings: DataFrame, members: int = NEAREST + 1) -> DataFrame:
         row = (int(rows["shard"].iat[0]), vectors.shape[1], len(vectors), vectors.astype("<f8").tobytes(), ids.tobytes(), ends.tobytes(), SmallWorld(vectors).build().layers())
         return pd.DataFrame([row], columns=["shard", "dim", "n", "vectors", "ids", "id_ends", "layers"])
 
-    return settle(nodes.groupBy("shard", "dim").applyInPandas(build, INDEX), "vector-index")
+    # a task per shard: few bytes are much work here, so they are not to be merged by their size
+    return settle(nodes.repartitionById(shards, F.col("shard")).groupBy("shard", "dim").applyInPandas(build, INDEX), "vector-index")
 
 
-def _nearest_of_shard(row: dict, queries: list[dict], k: int) -> Iterator[tuple[int, int, int, float]]:
-    vectors = np.frombuffer(row["vectors"], "<f8").reshape(row["n"], row["dim"])
-    world = SmallWorld.from_layers(vectors, row["layers"])
-    ids, ends = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["id_ends"], "<i8")
+class Shard:
+    """A row of the index, read once for all blocks of queries."""
+
+    def __init__(self, row: dict):
+        self.dim = row["dim"]
+        self.vectors = np.frombuffer(row["vectors"], "<f8").reshape(row["n"], row["dim"])
+        self.world = SmallWorld.from_layers(self.vectors, row["layers"])
+        self.ids, self.ends = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["id_ends"], "<i8")
+
+    def nearest(self, vec_id: int, query: np.ndarray, k: int) -> list[tuple[float, int]]:
+        """(score, id) of about the k nearest rows but the query's own, ascending."""
+        nodes = self.world.search(query, k + 1)
+        scores = np.sqrt(((self.vectors[nodes] - query) ** 2).sum(axis=1))
+        found = [(float(s), int(i)) for s, node in zip(scores, nodes, strict=True) for i in self.ids[self.ends[node - 1] if node else 0 : self.ends[node]] if i != vec_id]
+        return sorted(found)[:k]
+
+
+def _nearest_of_group(shards: list[Shard], queries: list[dict], k: int) -> Iterator[tuple[int, int, int, float]]:
+    """The nearest of all shards that a task holds, for every query of a block."""
     for q in queries:
         query = np.array(q["embedding"])
-        nodes = world.search(query, k + 1)
-        scores = np.sqrt(((vectors[nodes] - query) ** 2).sum(axis=1))
-        found = [(float(s), int(i)) for s, node in zip(scores, nodes, strict=True) for i in ids[ends[node - 1] if node else 0 : ends[node]] if i != q["vec_id"]]
+        found = {pair for shard in shards for pair in shard.nearest(q["vec_id"], query, k)}
         for s, i in sorted(found)[:k]:
             yield q["vec_id"], q["query_key"], i, s
 
@@ -201,25 +218,37 @@ def _nearest_of_shard(row: dict, queries: list[dict], k: int) -> Iterator[tuple[
 def search(index: DataFrame, queries: DataFrame, k: int = NEAREST) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's nearest of all shards of its dimension; ties go to the smaller id.
 
-    Queries are dealt to blocks by id and vector, so many queries of one vector are several blocks.
+    Queries are dealt to blocks by id and vector, so many queries of one vector are several blocks.  Shards are dealt to groups
+    and blocks to slices; a task takes a group and a slice.  Slices are more than one only where shards are too few to keep the
+    cores busy, so the index is copied a bounded number of times.
     """
+    spark = queries.sparkSession
     rows = settle(usable(queries), "vector-queries")
     blocks = max(1, -(-rows.count() // BLOCK_QUERIES))
     rows = rows.withColumn("query_key", F.xxhash64("embedding")).withColumn("block", F.expr(f"cast(pmod(xxhash64(vec_id, query_key), {blocks}) as int)"))
     packed = rows.groupBy(F.size("embedding").alias("dim"), "block").agg(F.collect_list(F.struct("vec_id", "query_key", "embedding")).alias("queries"))
-    shards = index.agg(F.max("shard")).first()[0]  # shards are numbered from 0
-    spread = packed.select("*", F.explode(F.sequence(F.lit(0), F.lit(-1 if shards is None else int(shards)))).alias("shard")) if shards is not None else packed.withColumn("shard", F.lit(0))
-    met = index.join(spread, ["shard", "dim"])
+    shards = (index.agg(F.max("shard")).first()[0] or 0) + 1  # numbered from 0
+    tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    groups = min(shards, max(-(-shards // SHARDS_TOGETHER), tasks))
+    slices = max(1, min(blocks, -(-tasks // groups)))
+    held = index.selectExpr(f"explode(transform(sequence(0, {slices - 1}), s -> int(shard % {groups} * {slices} + s))) as part", "0 as kind", "*")
+    asked = packed.selectExpr(f"explode(transform(sequence(0, {groups - 1}), g -> int(g * {slices} + block % {slices}))) as part", "1 as kind", "dim", "queries")
+    both = held.unionByName(asked, allowMissingColumns=True).repartitionById(groups * slices, F.col("part")).sortWithinPartitions("kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
+        here: list[Shard] = []
         for batch in batches:
             for k_row in range(batch.num_rows):
                 row = {name: batch.column(name)[k_row].as_py() for name in batch.schema.names}
-                columns = list(zip(*_nearest_of_shard(row, row["queries"], k), strict=True)) or [(), (), (), ()]
+                if row["kind"] == 0:
+                    here.append(Shard(row))
+                    continue
+                found = _nearest_of_group([s for s in here if s.dim == row["dim"]], row["queries"], k)
+                columns = list(zip(*found, strict=True)) or [(), (), (), ()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["query_id", "query_key", "vec_id", "score"])
 
-    found = met.mapInArrow(run, "query_id long, query_key long, vec_id long, score double").distinct()
+    found = both.mapInArrow(run, "query_id long, query_key long, vec_id long, score double").distinct()
     best = Window.partitionBy("query_id", "query_key").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

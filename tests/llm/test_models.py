@@ -185,6 +185,28 @@ def test_recall_over_merged_shards(spark, table, monkeypatch, clustered):
     assert hits / 200 >= 0.95
 
 
+def test_query_blocks_are_sent_to_groups_of_shards_and_never_broadcast(spark, table, monkeypatch):
+    """A block copied for every shard grew past what the driver may collect for a broadcast join."""
+    find_package(spark)
+    monkeypatch.setattr(neighbours, "SHARD_NODES", 60)
+    monkeypatch.setattr(neighbours, "BLOCK_QUERIES", 4)
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(1200, 8)).astype(np.float32))]
+    frame = table(rows, "vec_id long, embedding array<float>")
+    index, queries = neighbours.build_index(frame), frame.where("vec_id % 100 = 0")
+    results = []
+    for together, per_core in ((32, 0), (7, 0), (32, 1), (32, 20)):  # one group of all 20 shards, 3 groups, one per core, slices too
+        monkeypatch.setattr(neighbours, "SHARDS_TOGETHER", together)
+        monkeypatch.setattr(neighbours, "TASKS_PER_CORE", per_core)
+        found = neighbours.search(index, queries)
+        plan = found._jdf.queryExecution().toString()
+        assert "Join" not in plan and "Broadcast" not in plan
+        results.append(sorted(map(tuple, found.collect())))
+    assert len(results[0]) == 120 and all(r == results[0] for r in results)
+    exact = {(q, j) for q in range(0, 1200, 100) for _, j in nearest(rows, rows[q][1], q)}
+    assert len(exact & {(r[0], r[2]) for r in results[0]}) >= 0.95 * len(exact)
+
+
 def test_queries_of_one_vector_are_several_blocks(spark, table, monkeypatch):
     find_package(spark)
     monkeypatch.setattr(neighbours, "BLOCK_QUERIES", 4)
