@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,25 +74,27 @@ def with_load_metadata(rows: DataFrame, batch_id: str, loaded_at: datetime, sour
     )
 
 
-def load_raw_tables(spark: SparkSession, paths: dict[str, str], folder: str) -> dict[str, int]:
+def load_raw_tables(
+    spark: SparkSession, paths: dict[str, str], folder: str, loaded: Callable[[str], None] | None = None
+) -> dict[str, int]:
     """Loads every named CSV into a raw table under ``folder``; returns rows per table.
 
     All sources are checked first: if any is missing nothing is written and the error lists them
-    all.  Every table of a run shares one batch id and load time.
+    all.  Every table of a run shares one batch id and load time.  ``loaded`` is called with a
+    table's name once it is written, for a caller that has no use for its source from then on.
     """
     missing = missing_sources(spark, paths)
     if missing:
         raise FileNotFoundError("Missing source files:\n" + "\n".join(missing))
     batch_id, now = str(uuid.uuid4()), datetime.now(UTC)
-    return {
-        table: replace_table(
-            with_load_metadata(
-                scan_csv(spark, path, _schema(table)), batch_id, now, F.lit(path.rstrip("/").rsplit("/", 1)[-1])
-            ),
-            f"{folder}/{table}",
-        )
-        for table, path in paths.items()
-    }
+    counts = {}
+    for table, path in paths.items():
+        source_file = F.lit(path.rstrip("/").rsplit("/", 1)[-1])
+        rows = with_load_metadata(scan_csv(spark, path, _schema(table)), batch_id, now, source_file)
+        counts[table] = replace_table(rows, f"{folder}/{table}")
+        if loaded:
+            loaded(table)
+    return counts
 
 
 def changed_rows(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:

@@ -14,6 +14,7 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 ROWS_PER_TASK = 500_000
 TASK_BYTES = {"spark.sql.files.maxPartitionBytes": 16 << 20, "spark.sql.adaptive.advisoryPartitionSizeInBytes": 8 << 20}
 PARTITIONS_SETTING = "spark.sql.shuffle.partitions"
+CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -86,3 +87,18 @@ def tasks_for(spark: SparkSession, rows: int, each: int = ROWS_PER_TASK) -> Iter
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is written inside go when its query ends.
+
+    Otherwise they stay until the driver happens to collect its garbage, so the disk holds the shuffles of all steps at once.
+    Only for eager work that is not read again by its plan (``settle``, ``replace_table``).
+    """
+    before = spark.conf.get(CLEANUP_SETTING, "false")
+    spark.conf.set(CLEANUP_SETTING, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP_SETTING, before)

@@ -323,3 +323,39 @@ def test_a_load_of_all_tables_leaves_no_source_files_and_packs_hashes(spark, sf_
     assert not [p for p in added if p.name.startswith("csv-")]
     (loaded,) = [p for p in added if p.name.startswith("raw-")]
     assert all(p.name.endswith(".zstd.parquet") for p in loaded.glob("*/part-*"))
+
+
+def test_a_load_of_all_tables_drops_each_source_once_loaded(spark, sf_dir, monkeypatch):
+    """The disk held all sources beside all tables, and then the hashes of all tables in one shuffle."""
+    from pathlib import Path
+
+    from tallyhouse.plans.catalogue import QUERIES
+
+    shared = Path(workdir.shared_folder(spark).removeprefix("file:"), "tallyhouse")
+    there_before, sources, write = set(shared.glob("csv-*")), [], csv_tables.replace_table
+
+    def counted(rows, path):
+        sources.append(len(set(shared.glob("csv-*")) - there_before))
+        return write(rows, path)
+
+    monkeypatch.setattr(csv_tables, "replace_table", counted)
+    counts = {r.table_name: (r["rows"], r.hashes, r.batches) for r in QUERIES["s1_load_all"](spark, sf_dir).collect()}
+    assert sources == list(range(len(schemas.RAW_SCHEMAS), 0, -1))
+    assert counts["order_items"][2] == 1 and counts["order_items"][0] >= counts["order_items"][1] > 0
+
+
+def test_shuffle_files_go_when_an_eager_write_ends(spark):
+    from pathlib import Path
+
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    folders = [Path(f.getPath()) for f in env.blockManager().diskBlockManager().localDirs()]
+
+    def files():
+        return {f.name for d in folders for f in d.glob("*/shuffle_*")}
+
+    rows = spark.range(1000).groupBy(F.expr("id % 7").alias("k")).agg(F.count("*").alias("n"))
+    before = files()
+    with workdir.shuffles_dropped(spark):
+        assert workdir.settle(rows.withColumn("most", rows.agg(F.max("n")).scalar()), "dropped").count() == 7
+    assert not files() - before
+    assert spark.conf.get(workdir.CLEANUP_SETTING) == "false"
