@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallyhouse.functions import aggregate, divided, select
 from tallyhouse.operators.keys import attach
-from tallyhouse.sources.workdir import settle, task_count, tasks_for
+from tallyhouse.sources.workdir import settle, shuffles_dropped, task_count, tasks_for
 
 # A line counts as sold when it was served and its order was not cancelled.
 SERVED = "item_status = 'Fulfilled'"
 KEPT = "status <> 'Cancelled'"
-# Rows of item-days times recipe lines that one task makes or sums.
+# Rows of item-days times recipe lines that one task makes or sums; an ingredient of so many tasks' rows is summed by several.
 EXPLODED_PER_TASK = 1_000_000
+TASKS_OF_A_BUSY_INGREDIENT = 16
 
 
 def ingredient_consumption(
@@ -24,31 +26,49 @@ def ingredient_consumption(
     multiplies item-days, not lines.  The line count travels along to keep the mean wastage a
     mean over lines.
 
-    Both sides of that join are written (eager).  It makes many rows of few bytes, which no size of its input tells, so
-    they are counted per item beforehand and the join and the sums behind it get partitions by that count.
+    Both sides of that join are written (eager), an item's days as arrays in one row.  The arrays travel to the task of the
+    ingredient and are unfolded there, so the rows that the join stands for are never shuffled; dates alone would not bring
+    them together, nor would sums before the shuffle, as few of them meet in a task that holds some of the items.  No size of
+    the input tells how many rows these are, so they are counted per ingredient beforehand and give the number of partitions.
+    Where an ingredient has too many for a task, its rows do meet: they are unfolded first and summed on the map side.
     """
     spark = lines.sparkSession
-    with tasks_for(spark, lines.count()):
-        sold = settle(aggregate(
+    with tasks_for(spark, lines.count()), shuffles_dropped(spark):
+        sold = aggregate(
             select(lines.where(SERVED), "order_id, menu_item_id, quantity").join(
                 select(orders.where(KEPT), "order_id, business_date"), "order_id"
             ),
             ["business_date", "menu_item_id"],
             "sum(quantity) as quantity",
             "count(*) as line_count",
-        ), "sold")
+        )
+        day = ("business_date", "quantity", "line_count")
+        folded = aggregate(sold, ["menu_item_id"], f"collect_list(struct({', '.join(day)})) as days")
+        sold = settle(folded.selectExpr("menu_item_id", *[f"days.{name} as {name}_list" for name in day]), "sold")
         bill = settle(select(recipes, "menu_item_id, ingredient_id, quantity_required, estimated_wastage_pct"), "bill")
-        days, uses = (aggregate(side, ["menu_item_id"], f"count(*) as {n}") for side, n in ((sold, "days"), (bill, "uses")))
-        exploded = aggregate(days.join(uses, "menu_item_id"), [], "sum(days * uses)").first()[0] or 0
-    result = ["business_date", "ingredient_id"]
+        days = sold.selectExpr("menu_item_id", "size(business_date_list) as days")
+        rows = settle(aggregate(select(bill, "menu_item_id, ingredient_id").join(days, "menu_item_id"), ["ingredient_id"], "sum(days) as _rows"), "rows-per-ingredient")
+    exploded = rows.agg(F.sum("_rows")).first()[0] or 0
+    busy = rows.where(f"_rows > {TASKS_OF_A_BUSY_INGREDIENT * exploded_per_task}").select("ingredient_id")
     count = task_count(spark, exploded, exploded_per_task)
-    used = sold.repartition(count, "menu_item_id").join(bill.repartition(count, "menu_item_id"), "menu_item_id")
-    return aggregate(
-        used.repartition(count, *result),
-        result,
-        "sum(quantity * quantity_required) as ingredient_quantity",
-        f"{divided('sum(estimated_wastage_pct * line_count)', 'sum(line_count)')} as estimated_wastage_pct",
-    )
+
+    def joined(bill: DataFrame) -> DataFrame:
+        return sold.repartition(count, "menu_item_id").join(bill.repartition(count, "menu_item_id"), "menu_item_id").drop("menu_item_id")
+
+    def summed(folded: DataFrame) -> DataFrame:
+        unfolded = folded.selectExpr("*", "posexplode(business_date_list) as (_day, business_date)")
+        return aggregate(
+            unfolded.selectExpr("*", "quantity_list[_day] as quantity", "line_count_list[_day] as line_count"),
+            ["business_date", "ingredient_id"],
+            "sum(quantity * quantity_required) as ingredient_quantity",
+            f"{divided('sum(estimated_wastage_pct * line_count)', 'sum(line_count)')} as estimated_wastage_pct",
+        )
+
+    if busy.isEmpty():
+        return summed(joined(bill).repartition(count, "ingredient_id"))
+    busy = F.broadcast(busy)  # at most a row for every ``TASKS_OF_A_BUSY_INGREDIENT`` tasks
+    others = summed(joined(bill.join(busy, "ingredient_id", "left_anti")).repartition(count, "ingredient_id"))
+    return others.unionByName(summed(joined(bill.join(busy, "ingredient_id"))))
 
 
 def closing_inventory(movements: DataFrame) -> DataFrame:

@@ -116,6 +116,40 @@ def test_consumption_gets_partitions_by_the_rows_the_recipes_make(table):
     assert used.count() == 20 * 40 and {r.ingredient_quantity for r in used.collect()} == {1.5}
 
 
+def test_consumption_shuffles_a_row_per_recipe_line_and_busy_ingredients_in_part_sums(table):
+    """The rows that recipes make of item-days were shuffled one by one and filled the disk."""
+    dates = [date(2026, 7, 1 + i) for i in range(20)]
+    orders = table([(f"{d}-{m}", d, "Completed") for d in dates for m in range(6)], "order_id string, business_date date, status string")
+    lines = table(
+        [(f"{d}-{m}", f"M{m}", 1 + m, "Fulfilled") for d in dates for m in range(6)] + [(f"{dates[0]}-0", None, 9, "Fulfilled"), (f"{dates[0]}-0", "M0", 9, "Missing")],
+        "order_id string, menu_item_id string, quantity int, item_status string",
+    )
+    bill = [(f"M{m}", f"I{m}{i}", 0.5, 0.25 * (m % 2)) for m in range(6) for i in range(5)] + [(f"M{m}", "salt", 0.25, 0.5) for m in range(6)] + [("M0", None, 1.0, 0.0), ("M9", "I00", 1.0, 0.0)]
+    recipes = table(bill, "menu_item_id string, ingredient_id string, quantity_required double, estimated_wastage_pct double")
+    wanted = {(d, f"I{m}{i}"): (0.5 * (1 + m), 0.25 * (m % 2)) for d in dates for m in range(6) for i in range(5)}
+    wanted |= {(d, "salt"): (0.25 * 21, 0.5) for d in dates} | {(d, None): (1.0, 0.0) for d in dates}
+
+    def largest_exchange(plan) -> int:
+        """Most rows that an exchange below the last sums wrote."""
+        most, ahead = 0, [plan]
+        while ahead:
+            node = ahead.pop()
+            if node.nodeName() == "AdaptiveSparkPlan":
+                node = node.executedPlan()
+            if "Exchange" in node.nodeName() and "shuffleRecordsWritten" in node.metrics().toString():
+                most = max(most, node.metrics().apply("shuffleRecordsWritten").value())
+            ahead += [node.plan()] if "QueryStage" in node.nodeName() else [node.children().apply(i) for i in range(node.children().size())]
+        return most
+
+    for each, busy in ((1000, False), (5, True)):  # salt has 120 rows, more than 16 tasks of 5; the others have 20
+        used = derivations.ingredient_consumption(orders, lines, recipes, exploded_per_task=each)
+        assert len(rows := used.collect()) == len(wanted)
+        assert {(r.business_date, r.ingredient_id): (r.ingredient_quantity, r.estimated_wastage_pct) for r in rows} == wanted
+        assert ("Union" in used._jdf.queryExecution().optimizedPlan().toString()) == busy
+        assert 0 < largest_exchange(used._jdf.queryExecution().executedPlan()) <= len(bill) + (len(dates) * 6 if busy else 0)
+    assert derivations.ingredient_consumption(orders, lines.limit(0), recipes).count() == 0
+
+
 def test_tasks_follow_the_rows_and_settings_return(spark):
     names = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
     before = [spark.conf.get(n) for n in names]
